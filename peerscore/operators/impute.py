@@ -68,10 +68,10 @@ def impute_with_mode(df: DataFrame, columns: Sequence[str], stats: DataFrame) ->
     ).scalar()
     out = {}
     for c in columns:
-        s = F.try_element_at(packed, F.lit(c))
+        s = F.try_element_at(F.col("_stats"), F.lit(c))
         bad = F.col(c).isNull() | (F.col(c) < s["lo"]) | (F.col(c) > s["hi"])
         out[c] = F.when(s["mode"].isNotNull() & bad, s["mode"]).otherwise(F.col(c))
-    return df.withColumns(out)
+    return df.withColumn("_stats", packed).withColumns(out).drop("_stats")
 
 
 def map_labels(df: DataFrame, column: str, mapping: dict[str, str], null_label: str) -> DataFrame:

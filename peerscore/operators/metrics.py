@@ -159,9 +159,10 @@ def entity_statistics(
     w = Window.partitionBy(key).orderBy("year_month")
     known = F.last("_level", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     rolled = (
-        flagged.groupBy(key, month_start(F.col(date_col)).alias("year_month"))
+        # The code depends on the key; as a grouping column it keeps the
+        # aggregation buffer free of strings, hence hash-based.
+        flagged.groupBy(key, F.col(code).alias("benchmark_code"), month_start(F.col(date_col)).alias("year_month"))
         .agg(
-            F.first(code).alias("benchmark_code"),
             F.count(clean_date).alias("_days"),
             F.max_by(level, clean_date).alias("_level"),
             latest_known("vl_patrim_liq", date_col).alias("_equity"),

@@ -9,6 +9,8 @@ alone, so a retried task finds the same cells.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,6 +18,9 @@ from pyspark.sql.window import Window
 # Bound on the rows of a cell table, and so on its window group and broadcast.
 CELLS = 65_536
 
+# Up to this many counted rows one sorted window is cheaper than three levels.
+ONE_TASK_ROWS = 200_000
+
 
 def _cell(v: Column, lo: Column, hi: Column) -> Column:
     width = hi - lo
@@ -36,7 +41,9 @@ def average_ranks(df: DataFrame, value: str) -> DataFrame:
     rows = df.filter(F.col(value).isNotNull())
     counts = rows.groupBy(F.col(value).alias("value")).agg(F.count("*").alias("n"))
     span = rows.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("s")).scalar()
-    coarse = counts.withColumn("cell", _cell(F.col("value"), span["lo"], span["hi"]))
+    coarse = counts.withColumn("span", span).select(
+        "value", "n", _cell(F.col("value"), F.col("span.lo"), F.col("span.hi")).alias("cell")
+    )
     cells = (
         coarse.groupBy("cell")
         .agg(F.sum("n").alias("cell_n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
@@ -58,8 +65,26 @@ def average_ranks(df: DataFrame, value: str) -> DataFrame:
     return placed.select("value", "n", (F.col("before") + (F.col("n") + 1) / 2.0).alias("avg_rank"))
 
 
-def average_rank_percentile(df: DataFrame, value: str, alias: str, decimals: int = 2) -> DataFrame:
+def average_ranks_in_one_task(df: DataFrame, value: str) -> DataFrame:
+    """:func:`average_ranks` by one sorted window, for a number of values known to be small."""
+    counts = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("value")).agg(F.count("*").alias("n"))
+    rank = _before("n", order="value") + (F.col("n") + 1) / 2.0
+    return counts.select("value", "n", rank.alias("avg_rank"))
+
+
+def ranker_for(rows: int) -> Callable[[DataFrame, str], DataFrame]:
+    """The single window up to :data:`ONE_TASK_ROWS` counted rows, cells beyond."""
+    return average_ranks_in_one_task if rows <= ONE_TASK_ROWS else average_ranks
+
+
+def average_rank_percentile(
+    df: DataFrame,
+    value: str,
+    alias: str,
+    decimals: int = 2,
+    ranker: Callable[[DataFrame, str], DataFrame] = average_ranks,
+) -> DataFrame:
     """``(value, alias)``: average rank over the number of non-null rows, times 100."""
     total = df.agg(F.count(value).alias("n")).scalar()
     pct = F.bround(F.col("avg_rank") / total * 100.0, decimals)
-    return average_ranks(df, value).select("value", pct.alias(alias))
+    return ranker(df, value).select("value", pct.alias(alias))

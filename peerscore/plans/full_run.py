@@ -6,11 +6,10 @@ from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.select import empty_frame
-from ..schemas import CHILD_ATTRIBUTES, PARENT_ATTRIBUTES, SERIES_ROWS, FUND_METRICS
-from ..sources.archives import LINE_ORDER, read_archives
+from ..schemas import CHILD_ATTRIBUTES, FUND_METRICS, PARENT_ATTRIBUTES, SERIES_ROWS
+from ..sources.archives import read_archives
 from ..sources.tables import read_table, write_table
 from .daily_series import CURRENT_PRIORITY, LEGACY_PRIORITY, quota_series, quota_series_of
 from .dimensions import class_dimension, fee_and_benchmark_lookups, fixed_income, subclass_dimension, treated
@@ -67,8 +66,12 @@ def run(spark: SparkSession, landed: Landed, out: str, as_of: date) -> dict[str,
     if absent:
         raise RuntimeError(f"essential reference series without rows: {absent}")
 
-    parent_attrs = landed.parent_attributes or empty_frame(spark, PARENT_ATTRIBUTES)
-    child_attrs = landed.child_attributes or empty_frame(spark, CHILD_ATTRIBUTES)
+    parent_attrs = landed.parent_attributes
+    if parent_attrs is None:
+        parent_attrs = empty_frame(spark, PARENT_ATTRIBUTES)
+    child_attrs = landed.child_attributes
+    if child_attrs is None:
+        child_attrs = empty_frame(spark, CHILD_ATTRIBUTES)
     lookups = fee_and_benchmark_lookups(
         spark, landed.admin_fees, landed.performance_fees, landed.benchmarks, landed.order
     )
@@ -116,6 +119,3 @@ def run(spark: SparkSession, landed: Landed, out: str, as_of: date) -> dict[str,
         ),
     )
     return paths
-
-
-__all__ = ["LINE_ORDER", "Landed", "daily_lines", "run"]

@@ -16,6 +16,7 @@ from ..operators.metrics import (
     information_ratio_expr,
     sortino_ratio_expr,
 )
+from ..operators.ranking import ranker_for
 from ..operators.reference import monthly_reference_returns
 from ..operators.returns import JUMP_SIGMA, JUMP_WINDOW, daily_log_returns, flag_jumps
 from ..operators.score import ScoringConfig, peer_score
@@ -69,7 +70,8 @@ def fund_metrics(
     """The published 12 columns, plus ``fund_key`` in front.
 
     Metrics are stored before scoring, because the moments, the ranks and the
-    result all read them.
+    result all read them; their row count then picks the ranking.
     """
     metrics = entity_metrics(classes, subclasses, series, reference, as_of, config, units, window, sigma)
-    return peer_score(materialise(metrics, "entity_metrics"), config)
+    stored = materialise(metrics, "entity_metrics")
+    return peer_score(stored, config, ranker_for(stored.count()))

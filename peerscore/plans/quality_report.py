@@ -23,7 +23,7 @@ PROFILED = {
     "class_funds_fixed_income_treated": _CLASS,
     "subclass_funds_fixed_income_treated": _SUBCLASS,
     "quota_series_fixed_income": (["cnpj_fundo_classe", "id_subclasse", "dt_comptc"], QUOTA_SERIES.fieldNames()),
-    "validacao": (_ENTITY, ["retorno_2025"]),
+    "validacao": (_ENTITY, []),  # its one value column is named after the year
     "fund_metrics": (
         _ENTITY,
         ["cnpj_classe", "id_subclasse_cvm", "benchmark", "information_ratio", "equity", "nr_cotst", "existing_time", "score"],
@@ -39,6 +39,8 @@ def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
             parts.append(profile_series(df, name, REFERENCE_COLUMNS))
             continue
         keys, columns = PROFILED[name]
+        if name == "validacao":
+            columns = [c for c in df.columns if c.startswith("retorno_")]
         parts.append(profile_table(df, name, keys, columns))
         if name == "fund_metrics":
             parts.append(profile_scores(df, name))
