@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import match_queries, series_queries
+from . import clean_queries, match_queries, series_queries, source_queries
 
-_MODULES = (series_queries, match_queries)
+_MODULES = (series_queries, match_queries, clean_queries, source_queries)
 
 # Name -> (callable(spark, sf_dir), SQL or None).
 CATALOG = {name: pair for module in _MODULES for name, pair in module.QUERIES.items()}

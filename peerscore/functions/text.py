@@ -14,6 +14,7 @@ ID_WIDTH = 14
 _HANGUL = range(0xAC00, 0xD7A4)
 _SURROGATES = range(0xD800, 0xE000)
 _MARKS = range(0x0300, 0x0370)
+_LATIN_END = "\u0180"
 
 
 @lru_cache(maxsize=1)
@@ -43,6 +44,17 @@ def _decompositions() -> tuple[str, str, str, str, tuple[str, ...]]:
     return "".join(one_from), "".join(one_to), "".join(gone), "".join(many), tuple(many_to)
 
 
+def _ranges(chars: str) -> str:
+    """Body of a regular-expression class, neighbouring characters merged."""
+    out: list[list[int]] = []
+    for cp in map(ord, chars):
+        if out and cp == out[-1][1] + 1:
+            out[-1][1] = cp
+        else:
+            out.append([cp, cp])
+    return "".join(f"\\u{lo:04x}-\\u{hi:04x}" for lo, hi in out)
+
+
 def digits_only(c: Column) -> Column:
     return F.regexp_replace(c, r"[^\p{Nd}]", "")
 
@@ -73,9 +85,12 @@ def strip_accents(c: Column) -> Column:
         ),
         "",
     )
-    # Few texts hold a character that expands, so only those pay for it.
-    wide = F.when(c.rlike(f"[{many}]"), expanded).otherwise(c)
-    return F.translate(wide, one_from + gone, one_to)
+    # Few texts hold a character that expands, so only those pay for it; the
+    # short class settles plain Latin text before the long one is tried.
+    latin = "".join(ch for ch in many if ch < _LATIN_END)
+    may_expand = c.rlike(f"[{_ranges(latin)}\\u{ord(_LATIN_END):04x}-\\uffff]")
+    wide = F.when(may_expand & c.rlike(f"[{_ranges(many)}]"), expanded).otherwise(c)
+    return F.when(c.rlike(r"[^\x00-\x7f]"), F.translate(wide, one_from + gone, one_to)).otherwise(c)
 
 
 def collapse_spaces(c: Column) -> Column:

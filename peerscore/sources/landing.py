@@ -79,10 +79,14 @@ def with_manifest(partitions: DataFrame, manifest: DataFrame, source: str) -> Da
 
 
 def month_spine(bounds: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
-    """Every month between two dates, both included; an inverted range gives none."""
+    """Every month between two dates, both included; an inverted range gives none.
+
+    Further columns of ``bounds`` are kept.
+    """
     first, last = F.trunc(start, "month"), F.trunc(end, "month")
     months = F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))
-    return bounds.filter(first <= last).select(F.explode(months).alias("month"))
+    rest = [c for c in bounds.columns if c not in (start, end)]
+    return bounds.filter(first <= last).select(*rest, F.explode(months).alias("month"))
 
 
 def _is_leap(year: Column) -> Column:
@@ -93,11 +97,12 @@ def year_windows(bounds: DataFrame, years: int, start: str = "start", end: str =
     """Inclusive, non-overlapping windows of up to ``years`` years.
 
     A start on 29 February moves to the 28th at the first window whose year
-    has no such day, and stays there.
+    has no such day, and stays there.  Further columns of ``bounds`` are kept.
     """
     ini, fim = F.col(start), F.col(end)
+    rest = [c for c in bounds.columns if c not in (start, end)]
     starts = F.sequence(F.lit(0), F.floor((F.year(fim) - F.year(ini)) / years).cast("int") + 1)
-    out = bounds.filter(ini <= fim).select(ini.alias("_ini"), fim.alias("_fim"), F.explode(starts).alias("_k"))
+    out = bounds.filter(ini <= fim).select(*rest, ini.alias("_ini"), fim.alias("_fim"), F.explode(starts).alias("_k"))
     leap_day = (F.month("_ini") == 2) & (F.dayofmonth("_ini") == 29)
 
     def opening(k: Column) -> Column:
@@ -110,6 +115,7 @@ def year_windows(bounds: DataFrame, years: int, start: str = "start", end: str =
 
     k = F.col("_k")
     return out.select(
+        *rest,
         opening(k).alias("window_start"),
         F.least(F.date_sub(opening(k + 1), 1), F.col("_fim")).alias("window_end"),
         "_fim",

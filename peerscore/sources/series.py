@@ -28,6 +28,12 @@ def parse_rate_records(records: DataFrame, keys: Sequence[str] = (), order: Sequ
     return keep_first(parsed, [*keys, "data"], [*order, "valor"]).select(*keys, "data", "valor")
 
 
+def explode_record_arrays(df: DataFrame, column: str) -> DataFrame:
+    """Rows holding a JSON array of records as text, to one row per record."""
+    records = F.from_json(F.col(column), "array<struct<data: string, valor: string>>")
+    return df.select(*[c for c in df.columns if c != column], F.inline(records))
+
+
 def read_json_series(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """JSON arrays of ``{"data": .., "valor": ..}``; overlapping chunks lose their repeats."""
     raw = (
