@@ -1,32 +1,32 @@
-"""Published tables: Parquet partitioned by reference date."""
+"""Published tables: Parquet, one folder per reference date."""
 
 from __future__ import annotations
 
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def table_path(root: str, layer: str, table: str) -> str:
+    """Read as a whole, this folder gives all dates with an ``as_of`` partition column."""
     return f"{root.rstrip('/')}/{layer}/{table}"
 
 
+def date_path(root: str, layer: str, table: str, as_of: date) -> str:
+    return f"{table_path(root, layer, table)}/as_of={as_of.isoformat()}"
+
+
 def write_table(df: DataFrame, root: str, layer: str, table: str, as_of: date) -> str:
-    """Replace one reference date of a table, leaving the others."""
-    path = table_path(root, layer, table)
-    (
-        df.withColumn("as_of", F.lit(as_of))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy("as_of")
-        .parquet(path)
-    )
+    """Replace one reference date of a table, leaving the others.
+
+    The date's folder itself is overwritten, so a result without rows also
+    replaces what was there.
+    """
+    path = date_path(root, layer, table, as_of)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return path
 
 
 def read_table(spark: SparkSession, root: str, layer: str, table: str, as_of: date) -> DataFrame:
-    """One reference date of a table; fails when the table does not exist."""
-    path = table_path(root, layer, table)
-    return spark.read.parquet(path).filter(F.col("as_of") == F.lit(as_of)).drop("as_of")
+    """One reference date of a table; fails when it was never written."""
+    return spark.read.parquet(date_path(root, layer, table, as_of))
