@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import dedup, match, select
 from ..plans import dimensions
 from ..schemas import ATTRIBUTE_COLUMNS, struct
+from ..session import materialise
 from ..sources import attributes
 from . import frames as f
 
@@ -253,7 +254,8 @@ def fixed_income_subset(spark, sf):
 
 
 def treated_dimension(spark, sf):
-    return _fees_rounded(dimensions.treated(dimensions.fixed_income(_class_dimension(spark, sf))))
+    stored = materialise(dimensions.fixed_income(_class_dimension(spark, sf)), "class_funds_fixed_income")
+    return _fees_rounded(dimensions.treated(stored))
 
 
 def _subclass_dimension(spark, sf):

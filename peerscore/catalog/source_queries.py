@@ -28,14 +28,14 @@ def _orders_as_text(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _orders_typed(df: DataFrame, at=F.col) -> DataFrame:
+def _orders_typed(df: DataFrame) -> DataFrame:
     return df.select(
-        casts.to_long(at("o_orderkey")).alias("o_orderkey"),
-        casts.to_long(at("o_custkey")).alias("o_custkey"),
-        at("o_orderstatus").alias("o_orderstatus"),
-        casts.to_double(at("o_totalprice")).alias("o_totalprice"),
-        casts.iso_date(at("o_orderdate")).alias("o_orderdate"),
-        at("o_orderpriority").alias("o_orderpriority"),
+        casts.to_long(F.col("o_orderkey")).alias("o_orderkey"),
+        casts.to_long(F.col("o_custkey")).alias("o_custkey"),
+        "o_orderstatus",
+        casts.to_double(F.col("o_totalprice")).alias("o_totalprice"),
+        casts.iso_date(F.col("o_orderdate")).alias("o_orderdate"),
+        "o_orderpriority",
     )
 
 
@@ -59,7 +59,7 @@ def _zip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def archive_expand(spark, sf):
     """Orders packed into archives by the executors, then expanded and typed again."""
     zips = _orders_as_text(spark, sf).mapInPandas(_zip_batches, "path string, content binary")
-    return _orders_typed(archives.expand_archives(zips), archives.field)
+    return _orders_typed(archives.expand_archives(zips, _ORDER_FIELDS))
 
 
 def delimited_scan(spark, sf):
@@ -69,25 +69,30 @@ def delimited_scan(spark, sf):
         "encoding", delimited.ENCODING
     ).option("quote", "").csv(path)
     back = delimited.read_delimited(spark, path)
-    typed = _orders_typed(back)
-    return typed.join(back.select(casts.to_long(F.col("o_orderkey")).alias("o_orderkey"), "o_clerk", "missing"), "o_orderkey")
+    return _orders_typed(back.withColumn("o_orderpriority", F.struct("o_orderpriority", "o_clerk", "missing"))).select(
+        *_ORDER_FIELDS[:-1], "o_orderpriority.*"
+    )
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items as archive lines of two eras; every third order is legacy."""
+    """Line items as raw archive lines of two eras; every third order is legacy."""
     li = f.table(spark, sf, "lineitem")
     legacy = F.col("l_orderkey") % 3 == 0
-    text = {
-        "id": F.concat(F.lit("00.CN-"), F.col("l_suppkey").cast("string")),
-        "sub": F.when(F.col("l_suppkey") % 2 == 1, F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))).otherwise(""),
-        "day": F.date_format("l_shipdate", "yyyy-MM-dd"),
-        "price": F.col("l_extendedprice").cast("string"),
-        "qty": F.col("l_quantity").cast("string"),
-        "disc": F.when(F.col("l_discount") == 0, "N/A").otherwise(F.col("l_discount").cast("string")),
-        "lines": F.when(F.col("l_linenumber") == 7, "7.0").otherwise(F.col("l_linenumber").cast("string")),
+    key, price = F.col("l_suppkey").cast("string"), F.col("l_extendedprice").cast("string")
+    discount = F.when(F.col("l_discount") != 0, F.col("l_discount").cast("string"))
+    raw = {
+        "TP_FUNDO_CLASSE": F.when(~legacy, "FI"),
+        "CNPJ_FUNDO_CLASSE": F.when(~legacy, F.concat(F.lit("00.CN-"), key)),
+        "CNPJ_FUNDO": F.when(legacy, F.concat(F.lit("00.CN-"), key)),
+        "ID_SUBCLASSE": F.when(~legacy & (F.col("l_suppkey") % 2 == 1), F.concat(F.lit("S"), key)),
+        "DT_COMPTC": F.date_format("l_shipdate", "yyyy-MM-dd"),
+        "VL_TOTAL": F.when(~legacy, price),
+        "VL_QUOTA": F.col("l_quantity").cast("string"),
+        "VL_PATRIM_LIQ": price,
+        "CAPTC_DIA": F.when(~legacy, discount),
+        "RESG_DIA": F.when(legacy, discount),
+        "NR_COTST": F.when(~legacy, F.when(F.col("l_linenumber") == 7, "7.0").otherwise(F.col("l_linenumber").cast("string"))),
     }
-    current = F.concat_ws(";", F.lit("FI"), text["id"], text["sub"], text["day"], text["price"], text["qty"], text["price"], text["disc"], text["lines"])
-    old = F.concat_ws(";", text["id"], text["day"], text["qty"], text["price"], text["disc"])
     return li.select(
         F.when(legacy, daily_series.LEGACY_PRIORITY).otherwise(daily_series.CURRENT_PRIORITY).alias("source_priority"),
         F.lpad(F.col("l_orderkey").cast("string"), 12, "0").alias("path"),
@@ -96,7 +101,7 @@ def _lines(spark: SparkSession, sf: str) -> DataFrame:
         F.when(legacy, "CNPJ_FUNDO;DT_COMPTC;VL_QUOTA;VL_PATRIM_LIQ;RESG_DIA")
         .otherwise("TP_FUNDO_CLASSE;CNPJ_FUNDO_CLASSE;ID_SUBCLASSE;DT_COMPTC;VL_TOTAL;VL_QUOTA;VL_PATRIM_LIQ;CAPTC_DIA;NR_COTST")
         .alias("header"),
-        F.when(legacy, old).otherwise(current).alias("line"),
+        *[raw[name].alias(name) for name in daily_series.RAW_FIELDS],
     )
 
 

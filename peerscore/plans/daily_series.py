@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import iso_date, to_double, to_long
@@ -13,7 +13,7 @@ from ..operators.dedup import keep_first
 from ..operators.match import keep_known_entities
 from ..operators.select import on_or_before
 from ..schemas import QUOTA_SERIES
-from ..sources.archives import LINE_ORDER, field, has_field
+from ..sources.archives import LINE_ORDER, has_field
 
 # Which archives win a duplicate: the yearly legacy files come first.
 LEGACY_PRIORITY = 0
@@ -22,6 +22,19 @@ CURRENT_PRIORITY = 1
 SERIES_KEY = ["cnpj_fundo_classe", "id_subclasse", "dt_comptc"]
 
 
+# Raw field of each typed column (fixed values).
+_DOUBLES = {
+    "vl_total": "VL_TOTAL",
+    "vl_quota": "VL_QUOTA",
+    "vl_patrim_liq": "VL_PATRIM_LIQ",
+    "captc_dia": "CAPTC_DIA",
+    "resg_dia": "RESG_DIA",
+}
+RAW_FIELDS = [
+    "TP_FUNDO_CLASSE", "CNPJ_FUNDO_CLASSE", "CNPJ_FUNDO", "ID_SUBCLASSE", "DT_COMPTC", *_DOUBLES.values(), "NR_COTST",
+]
+
+
 def unify_eras(lines: DataFrame) -> DataFrame:
     """Raw lines of either era to typed canonical columns.
 
@@ -29,22 +42,13 @@ def unify_eras(lines: DataFrame) -> DataFrame:
     with neither id column contributes nothing.
     """
     current = has_field("CNPJ_FUNDO_CLASSE")
-    legacy = has_field("CNPJ_FUNDO") & ~current
-
-    def only_current(c: Column) -> Column:
-        return F.when(current, c)
-
-    return lines.filter(current | legacy).select(
-        only_current(field("TP_FUNDO_CLASSE")).alias("tp_fundo_classe"),
-        clean_id(F.when(current, field("CNPJ_FUNDO_CLASSE")).otherwise(field("CNPJ_FUNDO"))).alias("cnpj_fundo_classe"),
-        only_current(field("ID_SUBCLASSE")).alias("id_subclasse"),
-        iso_date(field("DT_COMPTC")).alias("dt_comptc"),
-        to_double(field("VL_TOTAL")).alias("vl_total"),
-        to_double(field("VL_QUOTA")).alias("vl_quota"),
-        to_double(field("VL_PATRIM_LIQ")).alias("vl_patrim_liq"),
-        to_double(field("CAPTC_DIA")).alias("captc_dia"),
-        to_double(field("RESG_DIA")).alias("resg_dia"),
-        to_long(field("NR_COTST")).alias("nr_cotst"),
+    return lines.filter(current | has_field("CNPJ_FUNDO")).select(
+        F.when(current, F.col("TP_FUNDO_CLASSE")).alias("tp_fundo_classe"),
+        clean_id(F.when(current, F.col("CNPJ_FUNDO_CLASSE")).otherwise(F.col("CNPJ_FUNDO"))).alias("cnpj_fundo_classe"),
+        F.when(current, F.col("ID_SUBCLASSE")).alias("id_subclasse"),
+        iso_date(F.col("DT_COMPTC")).alias("dt_comptc"),
+        *[to_double(F.col(raw)).alias(name) for name, raw in _DOUBLES.items()],
+        to_long(F.col("NR_COTST")).alias("nr_cotst"),
         *LINE_ORDER,
     )
 

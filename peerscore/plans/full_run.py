@@ -11,7 +11,7 @@ from ..operators.select import empty_frame
 from ..schemas import CHILD_ATTRIBUTES, FUND_METRICS, PARENT_ATTRIBUTES, SERIES_ROWS
 from ..sources.archives import read_archives
 from ..sources.tables import read_table, write_table
-from .daily_series import CURRENT_PRIORITY, LEGACY_PRIORITY, quota_series, quota_series_of
+from .daily_series import CURRENT_PRIORITY, LEGACY_PRIORITY, RAW_FIELDS, quota_series, quota_series_of
 from .dimensions import class_dimension, fee_and_benchmark_lookups, fixed_income, subclass_dimension, treated
 from .fund_metrics import fund_metrics
 from .quality_report import quality_report
@@ -44,9 +44,9 @@ class Landed:
 
 
 def daily_lines(spark: SparkSession, landed: Landed) -> DataFrame:
-    lines = read_archives(spark, landed.current_archives, CURRENT_PRIORITY)
+    lines = read_archives(spark, landed.current_archives, RAW_FIELDS, priority=CURRENT_PRIORITY)
     if landed.legacy_archives:
-        lines = read_archives(spark, landed.legacy_archives, LEGACY_PRIORITY).unionByName(lines)
+        lines = read_archives(spark, landed.legacy_archives, RAW_FIELDS, priority=LEGACY_PRIORITY).unionByName(lines)
     return lines
 
 

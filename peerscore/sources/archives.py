@@ -2,71 +2,100 @@
 
 A zip cannot be split, so one archive is one unit of work; members are decoded
 line by line, so memory stays at the archive plus one batch of lines.  The
-only Python here is that decoding: headers, fields and types are resolved by
-Spark expressions.
+Python here only decodes and splits, a batch at a time with Arrow; eras and
+types are resolved by Spark expressions.
 """
 
 from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.casts import null_tokens
+from ..functions.casts import NULL_TOKENS
 from .delimited import SEPARATOR
 
 LINES_PER_BATCH = 10_000
-LINE_SCHEMA = "path string, member string, member_no int, line_no long, header string, line string"
 LINE_ORDER = ("source_priority", "path", "member_no", "line_no")
 
 
-def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = [part.split()[0] for part in LINE_SCHEMA.split(", ")]
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                for member_no, member in enumerate(archive.namelist()):
-                    if not member.lower().endswith(".csv"):
-                        continue
-                    with archive.open(member) as raw:
-                        lines = io.TextIOWrapper(raw, encoding="latin-1")
-                        header = next(lines, "").rstrip("\r\n")
-                        held = []
-                        for line_no, line in enumerate(lines, start=1):
-                            line = line.rstrip("\r\n")
-                            if line:
-                                held.append((path, member, member_no, line_no, header, line))
-                            if len(held) == LINES_PER_BATCH:
-                                yield pd.DataFrame(held, columns=names)
-                                held = []
-                        if held:
-                            yield pd.DataFrame(held, columns=names)
-
-
-def expand_archives(archives: DataFrame) -> DataFrame:
-    """``(path, content)`` rows to one row per data line of every ``.csv`` member."""
-    return archives.select("path", "content").mapInPandas(_expand, LINE_SCHEMA)
-
-
-def read_archives(spark: SparkSession, path: str | Sequence[str], priority: int = 0) -> DataFrame:
+def _pick(lines: list[str], positions: list[int | None], sep: str) -> list[pa.Array]:
+    """Fields of all lines by position; null where a line is too short or holds a null token."""
+    parts = pc.split_pattern(pa.array(lines, pa.string()), sep)
+    offsets = parts.offsets.to_numpy()
+    lengths = np.diff(offsets)
+    picked = []
+    for at in positions:
+        if at is None:
+            picked.append(pa.nulls(len(lines), pa.string()))
+            continue
+        found = parts.values.take(pa.array(offsets[:-1] + at, mask=lengths <= at))
+        missing = pc.is_in(found, value_set=pa.array(NULL_TOKENS))
+        picked.append(pc.if_else(missing, pa.scalar(None, pa.string()), found))
+    return picked
+
+
+def _expander(names: list[str], member: str | None, sep: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = ["path", "member", "member_no", "line_no", "header", *names]
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
+                    for number, name in enumerate(archive.namelist()):
+                        if name != member if member else not name.lower().endswith(".csv"):
+                            continue
+                        with archive.open(name) as raw:
+                            text = io.TextIOWrapper(raw, encoding="latin-1")
+                            header = next(text, "").rstrip("\r\n")
+                            found = header.split(sep)
+                            at = [found.index(n) if n in found else None for n in names]
+                            numbered = ((i, s.rstrip("\r\n")) for i, s in enumerate(text, start=1))
+                            kept = ((i, s) for i, s in numbered if s)
+                            while chunk := list(islice(kept, LINES_PER_BATCH)):
+                                n = len(chunk)
+                                yield pa.RecordBatch.from_arrays(
+                                    [
+                                        pa.array([path.as_py()] * n, pa.string()),
+                                        pa.array([name] * n, pa.string()),
+                                        pa.array([number] * n, pa.int32()),
+                                        pa.array([i for i, _ in chunk], pa.int64()),
+                                        pa.array([header] * n, pa.string()),
+                                        *_pick([s for _, s in chunk], at, sep),
+                                    ],
+                                    names=columns,
+                                )
+
+    return expand
+
+
+def expand_archives(
+    archives: DataFrame, names: Sequence[str], member: str | None = None, sep: str = SEPARATOR
+) -> DataFrame:
+    """``(path, content)`` rows to one row per data line of every ``.csv`` member, or of one.
+
+    The named fields become text columns, null where a member's header lacks
+    them; other fields, and fields beyond the header, are cut.
+    """
+    schema = "path string, member string, member_no int, line_no long, header string"
+    schema += "".join(f", `{n}` string" for n in names)
+    return archives.select("path", "content").mapInArrow(_expander(list(names), member, sep), schema)
+
+
+def read_archives(
+    spark: SparkSession, path: str | Sequence[str], names: Sequence[str], member: str | None = None, priority: int = 0
+) -> DataFrame:
     """Lines of the archives at ``path``; a lower ``priority`` wins a later keep-first."""
     files = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
-    return expand_archives(files).withColumn("source_priority", F.lit(priority))
-
-
-def member_lines(lines: DataFrame, member: str) -> DataFrame:
-    return lines.filter(F.col("member") == member)
-
-
-def field(name: str, sep: str = SEPARATOR) -> Column:
-    """Field of a line by its header name; null when the header lacks it."""
-    at = F.array_position(F.split("header", sep), name).cast("int") - 1
-    return null_tokens(F.get(F.split("line", sep), at))
+    return expand_archives(files, names, member).withColumn("source_priority", F.lit(priority))
 
 
 def has_field(name: str, sep: str = SEPARATOR) -> Column:
-    return F.array_contains(F.split("header", sep), name)
+    """Whether the line's header names the field."""
+    return F.concat(F.lit(sep), F.col("header"), F.lit(sep)).contains(f"{sep}{name}{sep}")

@@ -54,18 +54,17 @@ def _quotas(days):
     return out
 
 
-def _frame(lines, member):
-    one = archives.member_lines(lines, member)
-    header = one.select("header").first().header.split(";")
-    return one.select(*[archives.field(c).alias(c) for c in header], "line_no")
+def _frame(spark, path, members, member):
+    names = members[member][0].split(";")
+    return archives.read_archives(spark, path, names, member=member).select(*names, "line_no")
 
 
 @pytest.fixture(scope="module")
 def published(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("landing")
     days = list(_business_days(date(2024, 6, 3), AS_OF))
-    registry = archives.read_archives(spark, make_zip(root / "registry" / "raw.zip", _registry()))
-    history = archives.read_archives(spark, make_zip(root / "history" / "raw.zip", _history()))
+    registry = (spark, make_zip(root / "registry" / "raw.zip", _registry()), _registry())
+    history = (spark, make_zip(root / "history" / "raw.zip", _history()), _history())
     current = make_zip(root / "daily" / "raw.zip", {"a.csv": _quotas(days)})
     legacy = make_zip(root / "legacy" / "raw.zip", {"a.csv": [LEGACY, f"1;{days[0]};1;50;1;0;0;1"]})
     reference = {}
@@ -79,13 +78,13 @@ def published(spark, tmp_path_factory):
         "`CNPJ Fundo` string, `CNPJ Classe` string, Estrutura string, `Código CVM Subclasse` string, `Tipo ANBIMA` string, `Tributação Alvo` string",
     )
     landed = full_run.Landed(
-        classes=_frame(registry, "registro_classe.csv"),
-        funds=_frame(registry, "registro_fundo.csv"),
-        subclasses=_frame(registry, "registro_subclasse.csv"),
+        classes=_frame(*registry, "registro_classe.csv"),
+        funds=_frame(*registry, "registro_fundo.csv"),
+        subclasses=_frame(*registry, "registro_subclasse.csv"),
         current_archives=current,
         legacy_archives=legacy,
-        admin_fees=_frame(history, "cad_fi_hist_taxa_adm.csv"),
-        benchmarks=_frame(history, "cad_fi_hist_rentab.csv"),
+        admin_fees=_frame(*history, "cad_fi_hist_taxa_adm.csv"),
+        benchmarks=_frame(*history, "cad_fi_hist_rentab.csv"),
         parent_attributes=attributes.parent_attributes(drop),
         child_attributes=attributes.child_attributes(drop),
         reference=reference,

@@ -38,14 +38,27 @@ def test_delimited_text_is_tolerant(spark, tmp_path):
 
 def test_archive_lines_keep_member_and_line_order(spark, tmp_path):
     p = make_zip(tmp_path / "a.zip", {"b.csv": ["H", "é1", "", "2"], "readme.txt": ["no"], "a.CSV": ["H;I", "3;4"], "void.csv": []})
-    got = archives.read_archives(spark, p).orderBy("member_no", "line_no").collect()
-    assert [(r.member, r.member_no, r.line_no, r.header, r.line) for r in got] == [
-        ("b.csv", 0, 1, "H", "é1"), ("b.csv", 0, 3, "H", "2"), ("a.CSV", 2, 1, "H;I", "3;4"),
+    got = archives.read_archives(spark, p, ["H", "I"]).orderBy("member_no", "line_no").collect()
+    assert [(r.member, r.member_no, r.line_no, r.header, r.H, r.I) for r in got] == [
+        ("b.csv", 0, 1, "H", "é1", None), ("b.csv", 0, 3, "H", "2", None), ("a.CSV", 2, 1, "H;I", "3", "4"),
     ]
-    fields = archives.member_lines(archives.read_archives(spark, p), "a.CSV").select(
-        archives.field("I").alias("i"), archives.field("Z").alias("z"), archives.has_field("H").alias("h")
-    )
-    assert tuple(fields.collect()[0]) == ("4", None, True)
+    one = archives.read_archives(spark, p, ["I", "Z"], member="a.CSV")
+    assert [(r.I, r.Z) for r in one.collect()] == [("4", None)]
+
+
+def test_archive_lines_may_be_ragged_or_hold_null_tokens(spark, tmp_path):
+    p = make_zip(tmp_path / "a.zip", {"a.csv": ["A;B;C", "1;2;3;4", "5", "N/A;;NA", "n/a;x;", ";;;;"]})
+    got = archives.read_archives(spark, p, ["C", "A", "B"]).orderBy("line_no").collect()
+    assert [(r.A, r.B, r.C) for r in got] == [
+        ("1", "2", "3"), ("5", None, None), (None, None, None), ("n/a", "x", None), (None, None, None),
+    ]
+
+
+def test_archive_lines_come_in_batches(spark, tmp_path):
+    n = archives.LINES_PER_BATCH * 2 + 5
+    p = make_zip(tmp_path / "a.zip", {"a.csv": ["A", *map(str, range(n))]})
+    got = archives.read_archives(spark, p, ["A"]).agg(F.count("A"), F.max("line_no"), F.sum(F.col("A").cast("long"))).first()
+    assert tuple(got) == (n, n, n * (n - 1) // 2)
 
 
 def _row(*fields):
@@ -56,7 +69,9 @@ def _series(spark, tmp_path, current=None, legacy=None, as_of=date(2025, 12, 31)
     lines = None
     for era, members, priority in (("old", legacy, daily_series.LEGACY_PRIORITY), ("new", current, daily_series.CURRENT_PRIORITY)):
         if members:
-            part = archives.read_archives(spark, make_zip(tmp_path / era / "raw.zip", members), priority)
+            part = archives.read_archives(
+                spark, make_zip(tmp_path / era / "raw.zip", members), daily_series.RAW_FIELDS, priority=priority
+            )
             lines = part if lines is None else lines.unionByName(part)
     return daily_series.quota_series(lines, as_of)
 
