@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import display
-from ..operators import anchors, match, metrics, quality, reference, returns, score, select, toplist
+from ..operators import anchors, match, metrics, quality, ranking, reference, returns, score, select, toplist
 from ..plans import fund_metrics as metrics_plan
 from ..plans import reference_series, top_list, validation
 from ..session import materialise
@@ -190,9 +190,7 @@ def peer_score(spark, sf):
 
 
 def event_value_percentile(spark, sf):
-    from ..operators.ranking import average_rank_percentile
-
-    out = average_rank_percentile(f.table(spark, sf, "events"), "value", "percentile", decimals=6)
+    out = ranking.average_rank_percentile(f.table(spark, sf, "events"), "value", "percentile", decimals=6)
     return out.select("value", f.rounded("percentile", 5).alias("percentile"))
 
 

@@ -141,8 +141,12 @@ def resolve_keys(files: DataFrame, expected: DataFrame, name: str = "name") -> D
     ``expected`` holds ``(stem, key)`` with lower-case stems.
     """
     seen = files.select(name, file_stem(F.col(name)).alias("stem"))
-    joined = seen.join(expected, "stem", "full_outer")
-    state = (
-        F.when(F.col(name).isNull(), "missing").when(F.col("key").isNull(), "unknown").otherwise("resolved")
+    # Left join plus anti join instead of a full outer join: a stem shared by
+    # very many files can then be split over tasks.
+    found = seen.join(expected, "stem", "left").select(
+        name, "stem", "key", F.when(F.col("key").isNull(), "unknown").otherwise("resolved").alias("state")
     )
-    return joined.select(name, "stem", "key", state.alias("state"))
+    absent = expected.join(seen, "stem", "left_anti").select(
+        F.lit(None).cast("string").alias(name), "stem", "key", F.lit("missing").alias("state")
+    )
+    return found.unionByName(absent)
