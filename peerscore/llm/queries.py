@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, simhash
+from . import packing, simhash, suffix
 from .common import table
 
 
@@ -18,8 +18,13 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 # Name -> (callable(spark, sf_dir), SQL or None).
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_best_fit_packing": (op2_best_fit_packing, None),
     "op7_simhash_near_dedup": (op7_simhash_near_dedup, None),
+    "op8_suffix_array_dedup": (op8_suffix_array_dedup, None),
 }
