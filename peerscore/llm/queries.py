@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, simhash, suffix
+from . import mixing, packing, simhash, suffix
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -25,6 +29,7 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Name -> (callable(spark, sf_dir), SQL or None).
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_best_fit_packing": (op2_best_fit_packing, None),
+    "op6_mix_to_weights": (op6_mix_to_weights, None),
     "op7_simhash_near_dedup": (op7_simhash_near_dedup, None),
     "op8_suffix_array_dedup": (op8_suffix_array_dedup, None),
 }
