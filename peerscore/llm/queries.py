@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, simhash, suffix
+from . import hamming, licenses, mixing, packing, simhash, suffix
 from .common import table
 
 
@@ -14,6 +14,25 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op5_exact_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming.search(table(spark, sf_dir, "embeddings"))
+
+
+HAMMING_SQL = """WITH codes AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x > 0 AS INTEGER)) AS code FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(embedding) = (SELECT max(len(embedding)) FROM embeddings)),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.code, c.code), lambda z: CAST(z[1] <> z[2] AS INTEGER))) AS INTEGER) AS distance
+  FROM codes q JOIN codes c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM pairs) WHERE rank <= 10"""
+
+
 def op6_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -29,6 +48,8 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Name -> (callable(spark, sf_dir), SQL or None).
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_best_fit_packing": (op2_best_fit_packing, None),
+    "op3_license_scan": (op3_license_scan, licenses.scan_sql()),
+    "op5_exact_hamming_topk": (op5_exact_hamming_topk, HAMMING_SQL),
     "op6_mix_to_weights": (op6_mix_to_weights, None),
     "op7_simhash_near_dedup": (op7_simhash_near_dedup, None),
     "op8_suffix_array_dedup": (op8_suffix_array_dedup, None),
