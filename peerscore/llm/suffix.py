@@ -42,13 +42,17 @@ GRAM = 24
 SPAN = WINDOW - GRAM + 1
 #: Bytes of text a chunk holds, unless one document is longer.
 CHUNK = 4 << 20
-#: Text of a bucket of chunks, of a range of anchor hashes and of a range of segments, on average.
+#: Text behind a bucket of chunks, on average.
 PER_BUCKET = 24 << 20
+#: Text behind a range of anchor hashes, on average.
+PER_RANGE = 6 << 20
 MOST_BUCKETS = 20_000
 #: Chunks that share an anchor before its windows are dealt one by one.
 HOT = 256
 #: Symbols of a shard that gets a transform of its own.
 SHARD = 1 << 16
+#: Symbols whose transforms are merged at once; all segments of an anchor stay together.
+MERGED = 1 << 20
 #: Window starts looked at together when anchors are picked.
 _SLICE = 1 << 19
 _LAST = np.iinfo(np.int64).max
@@ -200,15 +204,16 @@ class Chunk:
             h = (h ^ (h >> np.uint64(31))) * _M2 + words[:, k] * _M3
         self.hash = _mixed(h)
 
-    def anchors_by_range(self, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct hashes in order, the place of each anchor among them, whether two documents share it, and cuts by range."""
+    def anchors_by_range(self, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, tuple[int, int]]]:
+        """Distinct hashes in order, the place of each anchor among them, whether two documents share it, and each range's part."""
         distinct, at = np.unique(self.hash, return_inverse=True)
         least = np.full(len(distinct), _LAST)
         most = np.full(len(distinct), -1)
         np.minimum.at(least, at, self.doc)
         np.maximum.at(most, at, self.doc)
-        cuts = np.searchsorted(range_of(distinct, ranges), np.arange(ranges + 1))
-        return distinct, at, least != most, cuts
+        present, starts = np.unique(range_of(distinct, ranges), return_index=True)
+        stops = [*starts[1:].tolist(), len(distinct)]
+        return distinct, at, least != most, dict(zip(present.tolist(), zip(starts.tolist(), stops)))
 
 
 def range_of(h: np.ndarray, ranges: int) -> np.ndarray:
@@ -233,10 +238,8 @@ def repeated_anchors(chunks: DataFrame, ranges: int, hot: int) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            distinct, _, _, cuts = Chunk(row).anchors_by_range(ranges)
-            yield _batch(
-                [(r, row["chunk"], distinct[a:b].tobytes()) for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if a < b], out
-            )
+            distinct, _, _, parts = Chunk(row).anchors_by_range(ranges)
+            yield _batch([(r, row["chunk"], distinct[a:b].tobytes()) for r, (a, b) in parts.items()], out)
 
     def count(rows: pd.DataFrame) -> pd.DataFrame:
         parts = [np.frombuffer(x, dtype=np.uint64) for x in rows["hashes"]]
@@ -266,10 +269,10 @@ def segments(row: dict, ranges: int) -> tuple[Chunk, dict[int, list[tuple[bytes,
     document)``.  A segment of a hot anchor is cut into single windows.
     """
     chunk = Chunk(row)
-    distinct, at, here, cuts = chunk.anchors_by_range(ranges)
+    distinct, at, here, parts = chunk.anchors_by_range(ranges)
     shared, hot = here, np.zeros(len(distinct), dtype=bool)
     for mark in row["marks"] or []:
-        a, b = cuts[mark["range"]], cuts[mark["range"] + 1]
+        a, b = parts[mark["range"]]
         shared[a:b] |= np.unpackbits(np.frombuffer(mark["shared"], dtype=np.uint8), count=b - a).astype(bool)
         hot[a:b] |= np.unpackbits(np.frombuffer(mark["hot"], dtype=np.uint8), count=b - a).astype(bool)
     wanted = np.nonzero(shared[at])[0]
@@ -393,6 +396,10 @@ def least_by_window(strings: list[bytes], least: np.ndarray, shard: int = SHARD)
     return [out[a : a + n - WINDOW] for a, n in zip(starts.tolist(), lengths.tolist())]
 
 
+def _gram(strings: list[bytes], places: list[int], i: int) -> bytes:
+    return strings[i][places[i] : places[i] + GRAM]
+
+
 def answer(rows: list[dict], shard: int = SHARD) -> list[tuple[int, bytes, bytes, bytes, bytes]]:
     """For every chunk's segments in a range: runs of windows with a least doc_id below the chunk's own."""
     number: dict[bytes, int] = {}
@@ -429,8 +436,17 @@ def answer(rows: list[dict], shard: int = SHARD) -> list[tuple[int, bytes, bytes
         for k in both:
             sides[k] = sides.get(k, 0) + 1
     mixed = [i for i, both in enumerate(keys) if any(sides[k] > 1 for k in both)]
+    mixed.sort(key=lambda i: _gram(strings, places, i))
     lows = np.array(least, dtype=np.int64)
-    by_window = dict(zip(mixed, least_by_window([strings[i] for i in mixed], lows[mixed], shard))) if mixed else {}
+    by_window: dict[int, np.ndarray] = {}
+    at, held = 0, 0
+    for n, i in enumerate(mixed):
+        held += len(strings[i]) + 1
+        last = n == len(mixed) - 1
+        if last or held >= MERGED and _gram(strings, places, i) != _gram(strings, places, mixed[n + 1]):
+            part = mixed[at : n + 1]
+            by_window.update(zip(part, least_by_window([strings[k] for k in part], lows[part], shard)))
+            at, held = n + 1, 0
     out = []
     for chunk, mine, mins in asked:
         counts, froms, tos, found = [], [], [], []
@@ -500,11 +516,11 @@ def kept_documents(chunk: Chunk, numbers: dict[int, list[tuple[bytes, int, int]]
         yield doc, n, removed, spans, chunk.bytes[end - n : end][~cut].tobytes()
 
 
-def _answered(docs: DataFrame, hot: int, per_bucket: int, chunk_size: int) -> tuple[DataFrame, int]:
+def _answered(docs: DataFrame, hot: int, per_range: int, chunk_size: int) -> tuple[DataFrame, int]:
     """Chunks with all that is known about their segments, and the number of ranges."""
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    ranges = min(MOST_BUCKETS, max(1, -(-total // per_bucket)))
-    chunks = bucketed(chunked(docs, chunk_size), ranges)
+    ranges = max(1, -(-total // per_range))
+    chunks = bucketed(chunked(docs, chunk_size), min(MOST_BUCKETS, max(1, -(-total // PER_BUCKET))))
     marks = materialise(repeated_anchors(chunks, ranges, hot), "suffix-marks")
     marked = chunks.join(marks.hint("shuffle_hash"), "chunk", "left")
     out = pa.schema([("range", pa.int32()), ("chunk", pa.int64()), ("blob", pa.binary()), ("lengths", pa.binary()), ("places", pa.binary()), ("least", pa.binary())])
@@ -541,7 +557,7 @@ def _answered(docs: DataFrame, hot: int, per_bucket: int, chunk_size: int) -> tu
     return marked.join(answers.hint("shuffle_hash"), "chunk", "left"), ranges
 
 
-def remove_repeats(docs: DataFrame, with_text: bool = False, hot: int = HOT, per_bucket: int = PER_BUCKET, chunk_size: int = CHUNK) -> DataFrame:
+def remove_repeats(docs: DataFrame, with_text: bool = False, hot: int = HOT, per_range: int = PER_RANGE, chunk_size: int = CHUNK) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)``, one row per row of ``docs``.
 
     ``with_text`` adds ``kept`` (the remaining bytes; they need not be whole
@@ -551,7 +567,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, hot: int = HOT, per
     shorten each other; a null doc_id counts as larger than any other; an empty
     table gives no rows.
     """
-    known, ranges = _answered(docs, hot, per_bucket, chunk_size)
+    known, ranges = _answered(docs, hot, per_range, chunk_size)
     kinds = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
     out = pa.schema(kinds + [("kept", pa.binary())] * with_text)
 
