@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hamming, licenses, mixing, packing, simhash, suffix
+from . import ann, hamming, licenses, mixing, packing, simhash, suffix
 from .common import table
 
 
+def op1_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Name -> (callable(spark, sf_dir), SQL or None).
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_projected_neighbours": (op1_projected_neighbours, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
     "op3_license_scan": (op3_license_scan, licenses.scan_sql()),
     "op5_exact_hamming_topk": (op5_exact_hamming_topk, HAMMING_SQL),
