@@ -99,7 +99,8 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
             probes = probes.select(*names, "segment", "value", F.explode(flips).alias("bit")).withColumn(
                 "value", F.col("value").bitwiseXOR(F.call_function("shiftleft", F.lit(1), F.col("bit")))
             )
-        found = probes.join(posting, ["segment", "value"]).select(*names, *words, "ids", distance.alias("distance")).distinct()
+        # The planner takes probes for as small as the queries they are made from and would broadcast them.
+        found = probes.join(posting.hint("merge"), ["segment", "value"]).select(*names, *words, "ids", distance.alias("distance")).distinct()
         found = found.select(*names, "distance", F.explode("ids").alias("vec_id"))
         if best is not None:
             found = found.unionByName(best.join(open_, names, "left_semi")).distinct()
