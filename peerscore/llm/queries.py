@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, hamming, licenses, mixing, packing, simhash, suffix
+from . import ann, hamming, licenses, mixing, packing, simhash, suffix, toxicity
 from .common import table
 
 
@@ -49,6 +49,10 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 # Name -> (callable(spark, sf_dir), SQL or None).
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_projected_neighbours": (op1_projected_neighbours, None),
@@ -58,4 +62,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op6_mix_to_weights": (op6_mix_to_weights, None),
     "op7_simhash_near_dedup": (op7_simhash_near_dedup, None),
     "op8_suffix_array_dedup": (op8_suffix_array_dedup, None),
+    "op9_toxicity_chain": (op9_toxicity_chain, None),
 }
