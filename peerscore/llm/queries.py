@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, hamming, licenses, mixing, packing, simhash, suffix, toxicity
+from . import ann, hamming, langid, licenses, mixing, packing, simhash, suffix, toxicity
 from .common import table
 
 
@@ -53,6 +53,10 @@ def op9_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 # Name -> (callable(spark, sf_dir), SQL or None).
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_projected_neighbours": (op1_projected_neighbours, None),
@@ -63,4 +67,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op7_simhash_near_dedup": (op7_simhash_near_dedup, None),
     "op8_suffix_array_dedup": (op8_suffix_array_dedup, None),
     "op9_toxicity_chain": (op9_toxicity_chain, None),
+    "op10_language_centroids": (op10_language_centroids, None),
 }
