@@ -41,7 +41,7 @@ GRAM = 24
 #: Grams a window holds, and so the reach of an anchor.
 SPAN = WINDOW - GRAM + 1
 #: Bytes of text a chunk holds, unless one document is longer.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Text behind a bucket of chunks, on average.
 PER_BUCKET = 24 << 20
 #: Text behind a range of anchor hashes, on average.
@@ -123,7 +123,33 @@ def anchors(blob: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return position[kept], first[kept], last[kept]
 
 
-CHUNKS = "chunk long, ids binary, lengths binary, blob binary, steps binary, before binary, after binary"
+CHUNKS = "chunk long, ids binary, lengths binary, blob binary, anchors binary"
+
+
+def _pressed(*arrays: np.ndarray | bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(a if isinstance(a, bytes) else a.tobytes() for a in arrays))
+
+
+def _opened(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _steps(position: np.ndarray) -> np.ndarray:
+    """Positions as bytes: each the distance from the one before, with 255 for every 255 that it goes beyond."""
+    gaps = np.diff(position, prepend=0)
+    if not len(gaps) or gaps.max() < 255:
+        return gaps.astype(np.uint8)
+    out = np.full(int((gaps // 255 + 1).sum()), 255, dtype=np.uint8)
+    out[np.cumsum(gaps // 255 + 1) - 1] = gaps % 255
+    return out
+
+
+def _positions(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps.astype(np.int64))[steps < 255]
 
 
 def chunked(docs: DataFrame, size: int = CHUNK) -> DataFrame:
@@ -146,13 +172,13 @@ def chunked(docs: DataFrame, size: int = CHUNK) -> DataFrame:
                 number,
                 pa.array(ids, pa.int64()).fill_null(_LAST).to_numpy(zero_copy_only=False).tobytes(),
                 lengths.tobytes(),
-                blob,
-                np.diff(position, prepend=0).astype(np.uint32).tobytes(),
-                (position - first).astype(np.uint8).tobytes(),
-                (position - last).astype(np.uint8).tobytes(),
+                _pressed(blob),
+                _pressed((position - first).astype(np.uint8), (position - last).astype(np.uint8), _steps(position)),
             ]
+            # Both counts of an anchor come before the steps, whose number may differ.
+            values[-1] = len(position).to_bytes(8, "little") + values[-1]
             number, ids, texts, held = number + 1, [], [], 0
-            kinds = [pa.int64()] + [pa.binary()] * 6
+            kinds = [pa.int64()] + [pa.binary()] * 4
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], CHUNK_NAMES)
 
         for batch in batches:
@@ -191,18 +217,21 @@ class Chunk:
         self.ids = np.frombuffer(row["ids"], dtype=np.int64)
         self.ends = np.cumsum(np.frombuffer(row["lengths"], dtype=np.int64))
         self.lengths = np.frombuffer(row["lengths"], dtype=np.int64)
-        self.blob = row["blob"]
+        self.blob = _opened(row["blob"])
         self.bytes = np.frombuffer(self.blob, dtype=np.uint8)
-        self.position = np.cumsum(np.frombuffer(row["steps"], dtype=np.uint32).astype(np.int64))
-        self.first = self.position - np.frombuffer(row["before"], dtype=np.uint8)
-        self.last = self.position - np.frombuffer(row["after"], dtype=np.uint8)
+        n = int.from_bytes(row["anchors"][:8], "little")
+        packed = np.frombuffer(_opened(row["anchors"][8:]), dtype=np.uint8)
+        self.position = _positions(packed[2 * n :])
+        self.first = self.position - packed[:n]
+        self.last = self.position - packed[n : 2 * n]
         self.doc = np.searchsorted(self.ends, self.position, side="right")
         grams = self.bytes[self.position[:, None] + np.arange(GRAM)] if len(self.position) else np.empty((0, GRAM), np.uint8)
         words = np.ascontiguousarray(grams).view(np.uint64)
         h = words[:, 0] * _M1
         for k in (1, 2):
             h = (h ^ (h >> np.uint64(31))) * _M2 + words[:, k] * _M3
-        self.hash = _mixed(h)
+        #: 48 bits: anchors that meet by chance only mean more work.
+        self.hash = _mixed(h) >> np.uint64(16)
 
     def anchors_by_range(self, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, tuple[int, int]]]:
         """Distinct hashes in order, the place of each anchor among them, whether two documents share it, and each range's part."""
@@ -218,7 +247,17 @@ class Chunk:
 
 def range_of(h: np.ndarray, ranges: int) -> np.ndarray:
     """The range of a hash; it never falls as the hash grows."""
-    return ((h >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+    return ((h >> np.uint64(16)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+
+
+def _six_bytes(h: np.ndarray) -> bytes:
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _from_six_bytes(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), dtype=np.uint8)
+    out[:, :6] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -239,10 +278,10 @@ def repeated_anchors(chunks: DataFrame, ranges: int, hot: int) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             distinct, _, _, parts = Chunk(row).anchors_by_range(ranges)
-            yield _batch([(r, row["chunk"], distinct[a:b].tobytes()) for r, (a, b) in parts.items()], out)
+            yield _batch([(r, row["chunk"], _six_bytes(distinct[a:b])) for r, (a, b) in parts.items()], out)
 
     def count(rows: pd.DataFrame) -> pd.DataFrame:
-        parts = [np.frombuffer(x, dtype=np.uint64) for x in rows["hashes"]]
+        parts = [_from_six_bytes(x) for x in rows["hashes"]]
         _, at, n = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
         n = n[at]
         cuts = np.cumsum([0] + [len(p) for p in parts])
@@ -300,7 +339,7 @@ def segments(row: dict, ranges: int) -> tuple[Chunk, dict[int, list[tuple[bytes,
             continue
         for w in range(first, last + 1):
             piece = blob[w : w + WINDOW]
-            h = np.frombuffer(hashlib.blake2b(piece, digest_size=8).digest(), dtype=np.uint64)
+            h = np.frombuffer(hashlib.blake2b(piece, digest_size=8).digest(), dtype=np.uint64) >> np.uint64(16)
             take(piece, int(range_of(h, ranges)[0]), position - w, w, doc)
     return chunk, by_range, where
 
@@ -408,11 +447,12 @@ def answer(rows: list[dict], shard: int = SHARD) -> list[tuple[int, bytes, bytes
     places: list[int] = []
     asked: list[tuple[int, list[int], list[int]]] = []
     for row in rows:
-        lengths = np.frombuffer(row["lengths"], dtype=np.uint8).astype(np.int64)
+        n, data = row["n"], _opened(row["segments"])
+        mins = np.frombuffer(data, dtype=np.int64, count=n).tolist()
+        lengths = np.frombuffer(data, dtype=np.uint8, count=n, offset=8 * n).astype(np.int64)
         ends = np.cumsum(lengths)
-        mins = np.frombuffer(row["least"], dtype=np.int64).tolist()
-        blob, mine = row["blob"], []
-        for a, b, place, low in zip((ends - lengths).tolist(), ends.tolist(), row["places"], mins):
+        blob, mine = data[10 * n :], []
+        for a, b, place, low in zip((ends - lengths).tolist(), ends.tolist(), data[9 * n : 10 * n], mins):
             s = blob[a:b]
             k = number.setdefault(s, len(strings))
             if k == len(strings):
@@ -523,7 +563,7 @@ def _answered(docs: DataFrame, hot: int, per_range: int, chunk_size: int) -> tup
     chunks = bucketed(chunked(docs, chunk_size), min(MOST_BUCKETS, max(1, -(-total // PER_BUCKET))))
     marks = materialise(repeated_anchors(chunks, ranges, hot), "suffix-marks")
     marked = chunks.join(marks.hint("shuffle_hash"), "chunk", "left")
-    out = pa.schema([("range", pa.int32()), ("chunk", pa.int64()), ("blob", pa.binary()), ("lengths", pa.binary()), ("places", pa.binary()), ("least", pa.binary())])
+    out = pa.schema([("range", pa.int32()), ("chunk", pa.int64()), ("n", pa.int32()), ("segments", pa.binary())])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
@@ -532,10 +572,13 @@ def _answered(docs: DataFrame, hot: int, per_range: int, chunk_size: int) -> tup
                 (
                     r,
                     row["chunk"],
-                    b"".join(s for s, _, _ in own),
-                    np.array([len(s) for s, _, _ in own], dtype=np.uint8).tobytes(),
-                    np.array([p for _, p, _ in own], dtype=np.uint8).tobytes(),
-                    np.array([low for _, _, low in own], dtype=np.int64).tobytes(),
+                    len(own),
+                    _pressed(
+                        np.array([low for _, _, low in own], dtype=np.int64),
+                        np.array([len(s) for s, _, _ in own], dtype=np.uint8),
+                        np.array([p for _, p, _ in own], dtype=np.uint8),
+                        *(s for s, _, _ in own),
+                    ),
                 )
                 for r, own in sorted(by_range.items())
             ]
@@ -547,7 +590,7 @@ def _answered(docs: DataFrame, hot: int, per_range: int, chunk_size: int) -> tup
         return pd.DataFrame([(c, r, *x) for c, *x in found], columns=["chunk", "range", "counts", "froms", "tos", "found"])
 
     answers = materialise(
-        marked.mapInArrow(emit, "range int, chunk long, blob binary, lengths binary, places binary, least binary")
+        marked.mapInArrow(emit, "range int, chunk long, n int, segments binary")
         .groupBy("range")
         .applyInPandas(meet, "chunk long, range int, counts binary, froms binary, tos binary, found binary")
         .groupBy("chunk")
