@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, hamming, langid, licenses, mixing, packing, simhash, suffix, toxicity
+from . import ann, hamming, html_text, langid, licenses, mixing, packing, simhash, suffix, toxicity
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_exact_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.search(table(spark, sf_dir, "embeddings"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op1_projected_neighbours": (op1_projected_neighbours, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
     "op3_license_scan": (op3_license_scan, licenses.scan_sql()),
+    "op4_html_main_text": (op4_html_main_text, None),
     "op5_exact_hamming_topk": (op5_exact_hamming_topk, HAMMING_SQL),
     "op6_mix_to_weights": (op6_mix_to_weights, None),
     "op7_simhash_near_dedup": (op7_simhash_near_dedup, None),
