@@ -189,12 +189,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, passes: int = PASSES, schedules=SCHEDULES) -> DataFrame:
     """The rows the mix takes, repeats included, with all columns of ``docs``, range-sorted by training position."""
-    rows = materialise(sized(docs), "mixing-documents")
-    choices = materialise(taken(rows, weights, share, passes), "mixing-choices")
+    whole = docs.select(F.struct("*").alias("row"), "doc_id", F.col("text").cast("string").alias("text"), "source")
+    rows = materialise(sized(whole).drop("text", "source"), "mixing-documents")
+    choices = materialise(taken(rows.drop("row"), weights, share, passes), "mixing-choices")
     placed = materialise(schedule(choices, schedules).withColumnRenamed("_uid", "_u"), "mixing-schedule")
     return (
         rows.join(placed, F.col("_uid") == F.col("_u"))
         .repartitionByRange("position", "_uid", "occurrence")
         .sortWithinPartitions("position", "_uid", "occurrence")
-        .select(*docs.columns)
+        .select("row.*")
     )

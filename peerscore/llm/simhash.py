@@ -219,6 +219,20 @@ def links(distinct: DataFrame, reach: int = REACH, sample: int = SAMPLE, leaf: i
     return dealt.groupBy("leaf").applyInPandas(meet, "u long, v long")
 
 
+def component_of(marked: DataFrame, reach: int = REACH) -> DataFrame:
+    """``(fp, component_id)`` for the distinct fingerprints of ``marked (doc_id, fp, ...)``."""
+    distinct = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    labels = materialise(components(links(distinct, reach)), "simhash-labels")
+    named = materialise(
+        distinct.join(labels, distinct["fp"] == labels["node"], "left").select(
+            "fp", "least", F.coalesce("label", "fp").alias("label")
+        ),
+        "simhash-named",
+    )
+    names = materialise(named.groupBy("label").agg(F.min("least").alias("component_id")), "simhash-names")
+    return materialise(named.join(names, "label").select("fp", "label", "component_id"), "simhash-components")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, reach: int = REACH) -> DataFrame:
     """``(doc_id, fingerprint, component_id)``: one row per row of ``docs``.
 
@@ -229,16 +243,28 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, reach: int = REACH)
     gives no rows.
     """
     marked = materialise(fingerprints(docs, shingle), "simhash-fingerprints")
-    distinct = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    labels = materialise(components(links(distinct, reach)), "simhash-labels")
-    named = materialise(
-        distinct.join(labels, distinct["fp"] == labels["node"], "left").select(
-            "fp", "least", F.coalesce("label", "fp").alias("label")
-        ),
-        "simhash-named",
-    )
-    names = materialise(named.groupBy("label").agg(F.min("least").alias("component_id")), "simhash-names")
-    by_fp = materialise(named.join(names, "label").select("fp", "component_id"), "simhash-components")
+    by_fp = component_of(marked, reach)
     return marked.join(by_fp, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, reach: int = REACH) -> DataFrame:
+    """One row of each component of ``docs``, with all its columns: that of the smallest doc_id.
+
+    Of rows that repeat a doc_id within a component, and of components without
+    any doc_id, one row stays.
+    """
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.array([fingerprint(t, shingle) for t in batch["text"].cast(pa.binary()).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch["row"], batch["doc_id"], pa.array(found.view(np.int64))], ["row", "doc_id", "fp"])
+
+    schema = rows.select("row", "doc_id").schema.add("fp", "long")
+    marked = materialise(rows.mapInArrow(run, schema).withColumn("uid", F.monotonically_increasing_id()), "simhash-documents")
+    light = marked.select("uid", "doc_id", "fp")
+    labelled = light.join(component_of(light, reach).select("fp", "label"), "fp")
+    kept = labelled.groupBy("label").agg(F.min_by("uid", F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("uid"))
+    return marked.join(materialise(kept.select("uid"), "simhash-kept"), "uid", "left_semi").select("row.*")

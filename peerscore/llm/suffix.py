@@ -31,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, scratch_path
@@ -123,7 +123,7 @@ def anchors(blob: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return position[kept], first[kept], last[kept]
 
 
-CHUNKS = "chunk long, ids binary, lengths binary, blob binary, anchors binary"
+CHUNKS = "chunk long, ids binary, lengths binary, blob binary, anchors binary, carried binary"
 
 
 def _pressed(*arrays: np.ndarray | bytes) -> bytes:
@@ -152,17 +152,18 @@ def _positions(steps: np.ndarray) -> np.ndarray:
     return np.cumsum(steps.astype(np.int64))[steps < 255]
 
 
-def chunked(docs: DataFrame, size: int = CHUNK) -> DataFrame:
-    """Documents as rows of several, with their anchors; a null doc_id sorts after all others."""
+def chunked(docs: DataFrame, size: int = CHUNK, carry: list[str] | None = None) -> DataFrame:
+    """Documents as rows of several, with their anchors and, as JSON, the columns ``carry``; a null doc_id sorts last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         ids: list[int | None] = []
         texts: list[bytes] = []
+        more: list[bytes] = []
         held = 0
 
         def row() -> pa.RecordBatch:
-            nonlocal number, ids, texts, held
+            nonlocal number, ids, texts, more, held
             lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
             blob = b"".join(texts)
             ends = np.cumsum(lengths)
@@ -177,22 +178,27 @@ def chunked(docs: DataFrame, size: int = CHUNK) -> DataFrame:
             ]
             # Both counts of an anchor come before the steps, whose number may differ.
             values[-1] = len(position).to_bytes(8, "little") + values[-1]
-            number, ids, texts, held = number + 1, [], [], 0
-            kinds = [pa.int64()] + [pa.binary()] * 4
+            values.append(_pressed(b"\n".join(more)))
+            number, ids, texts, more, held = number + 1, [], [], [], 0
+            kinds = [pa.int64()] + [pa.binary()] * 5
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], CHUNK_NAMES)
 
         for batch in batches:
-            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist()):
+            columns = batch["doc_id"], batch["text"].cast(pa.binary()), batch["carried"].cast(pa.binary())
+            for doc, text, own in zip(*(c.to_pylist() for c in columns)):
                 text = text or b""
                 if texts and held + len(text) > size:
                     yield row()
                 ids.append(doc)
                 texts.append(text)
+                more.append(own)
                 held += len(text)
         if texts:
             yield row()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, CHUNKS)
+    carried = F.to_json(F.struct(*carry), {"ignoreNullFields": "true"}) if carry else F.lit("")
+    chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), carried.alias("carried"))
+    return chosen.mapInArrow(run, CHUNKS)
 
 
 CHUNK_NAMES = [c.split()[0] for c in CHUNKS.split(", ")]
@@ -556,11 +562,11 @@ def kept_documents(chunk: Chunk, numbers: dict[int, list[tuple[bytes, int, int]]
         yield doc, n, removed, spans, chunk.bytes[end - n : end][~cut].tobytes()
 
 
-def _answered(docs: DataFrame, hot: int, per_range: int, chunk_size: int) -> tuple[DataFrame, int]:
+def _answered(docs: DataFrame, hot: int, per_range: int, chunk_size: int, carry: list[str] | None) -> tuple[DataFrame, int]:
     """Chunks with all that is known about their segments, and the number of ranges."""
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     ranges = max(1, -(-total // per_range))
-    chunks = bucketed(chunked(docs, chunk_size), min(MOST_BUCKETS, max(1, -(-total // PER_BUCKET))))
+    chunks = bucketed(chunked(docs, chunk_size, carry), min(MOST_BUCKETS, max(1, -(-total // PER_BUCKET))))
     marks = materialise(repeated_anchors(chunks, ranges, hot), "suffix-marks")
     marked = chunks.join(marks.hint("shuffle_hash"), "chunk", "left")
     out = pa.schema([("range", pa.int32()), ("chunk", pa.int64()), ("n", pa.int32()), ("segments", pa.binary())])
@@ -600,29 +606,51 @@ def _answered(docs: DataFrame, hot: int, per_range: int, chunk_size: int) -> tup
     return marked.join(answers.hint("shuffle_hash"), "chunk", "left"), ranges
 
 
-def remove_repeats(docs: DataFrame, with_text: bool = False, hot: int = HOT, per_range: int = PER_RANGE, chunk_size: int = CHUNK) -> DataFrame:
-    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)``, one row per row of ``docs``.
-
-    ``with_text`` adds ``kept`` (the remaining bytes; they need not be whole
-    characters).  ``docs`` needs ``doc_id`` and ``text``; other columns are
-    ignored.  Defined results: a null or empty text has no bytes and loses
-    none; texts below 50 bytes lose nothing; rows that repeat a doc_id do not
-    shorten each other; a null doc_id counts as larger than any other; an empty
-    table gives no rows.
-    """
-    known, ranges = _answered(docs, hot, per_range, chunk_size)
+def _finished(docs: DataFrame, carry: list[str] | None, with_text: bool, hot: int, per_range: int, chunk_size: int) -> DataFrame:
+    known, ranges = _answered(docs, hot, per_range, chunk_size, carry)
     kinds = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
-    out = pa.schema(kinds + [("kept", pa.binary())] * with_text)
+    out = pa.schema(kinds + [("kept", pa.binary()), ("carried", pa.string())])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             chunk, by_range, where = segments(row, ranges)
+            carried = _opened(row["carried"]).split(b"\n") if with_text else []
             rows = []
             for doc, n, removed, spans, kept in kept_documents(chunk, by_range, where, row["answers"] or []):
                 own = int(chunk.ids[doc])
-                digest = hashlib.sha256(kept).hexdigest()
-                rows.append((None if own == _LAST else own, n, removed, spans, digest) + (kept,) * with_text)
+                more = (kept, carried[doc].decode()) if with_text else (None, None)
+                rows.append((None if own == _LAST else own, n, removed, spans, hashlib.sha256(kept).hexdigest(), *more))
             yield _batch(rows, out)
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, carried string"
     return known.mapInArrow(finish, schema)
+
+
+def remove_repeats(docs: DataFrame, hot: int = HOT, per_range: int = PER_RANGE, chunk_size: int = CHUNK) -> DataFrame:
+    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)``, one row per row of ``docs``.
+
+    ``docs`` needs ``doc_id`` and ``text``; other columns are ignored.  Defined
+    results: a null or empty text has no bytes and loses none; texts below 50
+    bytes lose nothing; rows that repeat a doc_id do not shorten each other; a
+    null doc_id counts as larger than any other; an empty table gives no rows.
+    """
+    return _finished(docs, None, False, hot, per_range, chunk_size).drop("kept", "carried")
+
+
+def shortened(docs: DataFrame, hot: int = HOT, per_range: int = PER_RANGE, chunk_size: int = CHUNK) -> DataFrame:
+    """``docs`` with the remaining text of each row in ``text``; all other columns stay.
+
+    Bytes of a character of which only a part remains are dropped.  A text that
+    repeats as a whole becomes empty, and a null text stays null.
+    """
+    others = [c for c in docs.columns if c != "text"]
+    schema = docs.select(*others, F.col("text").isNull().alias("_was_null")).schema
+    rows = _finished(docs.withColumn("_was_null", F.col("text").isNull()), [*others, "_was_null"], True, hot, per_range, chunk_size)
+    back = rows.select(F.from_json("carried", schema).alias("row"), F.try_validate_utf8(F.col("kept").cast("string")).alias("_valid"), "kept")
+    text = F.when(F.col("row._was_null"), F.lit(None)).otherwise(F.coalesce("_valid", _whole_characters(F.col("kept"))))
+    return back.select(*[text.alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+def _whole_characters(kept: Column) -> Column:
+    """Bytes as text, without the bytes that are part of no whole character."""
+    return F.replace(F.make_valid_utf8(kept.cast("string")), F.lit("\ufffd"), F.lit(""))

@@ -226,6 +226,17 @@ def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFr
     return plain.withColumn("_text", F.col("text").cast("string")).mapInArrow(run, schema.add("is_toxic", "boolean"))
 
 
+def without_toxic(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that the chain does not reject; null and empty texts stay."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(chain.probabilities(batch.column(at).to_pylist())[:, -1] < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, p_insult, p_contempt, p_toxic, is_toxic)``, one row per row of ``docs``.
 
