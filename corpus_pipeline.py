@@ -1,10 +1,61 @@
-"""A training-data pipeline over ``documents``; its stages are filled in below."""
+"""A training-data pipeline over ``documents``.
+
+Each stage gets what the stage before it kept, written as Parquet and read
+again; all but the last return the columns of ``documents``.
+
+1. toxicity: documents the classifier chain rejects go.
+2. near_duplicates: of each group of SimHash near-duplicates one document stays.
+3. repeated_strings: bytes covered by strings of 50 bytes that an earlier document holds go.
+4. mixture: documents are taken, some twice, to the target weights of their sources, in curriculum order.
+5. packing: token ids are packed into sequences of 2048.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from peerscore.llm import mixing, packing, simhash, suffix, toxicity
+from peerscore.llm.common import materialise, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.without_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.one_of_each(docs)
+
+
+def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``n_chars`` follows the text."""
+    left = suffix.shortened(docs)
+    return left.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else left
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("repeated_strings", drop_repeated_strings),
+    ("mixture", mix_sources),
+    ("packing", pack_sequences),
+]
+
+#: Trained models, hashes of shingles and token ids are beyond SQL; a test compares the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of what the stages keep of ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs
