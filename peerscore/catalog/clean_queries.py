@@ -181,21 +181,9 @@ def quality_profile(spark, sf):
 def lineage_counts(spark, sf):
     """Before, after and dropped rows of a keep-first, with the date range that is left."""
     li = f.table(spark, sf, "lineitem").withColumn("day", F.col("l_shipdate").cast("date"))
-    cut = select.on_or_before(li, "day", f.ANCHORS[0])
-    kept = quality.key_counts(cut, ["l_orderkey", "l_linenumber"])
-    span = cut.agg(
-        F.struct(
-            F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count_distinct("l_suppkey").alias("suppliers")
-        ).alias("span")
+    return quality.lineage(
+        li, "lineitem", F.col("day") <= F.lit(f.ANCHORS[0]), ["l_orderkey", "l_linenumber"], "day", {"suppliers": "l_suppkey"}
     )
-    return kept.select(
-        F.lit("lineitem").alias("table"),
-        li.agg(F.count("*").alias("n")).scalar().alias("rows_read"),
-        F.col("rows").alias("rows_cut"),
-        F.col("distinct_keys").alias("rows_kept"),
-        "duplicates",
-        span.scalar().alias("span"),
-    ).select("table", "rows_read", "rows_cut", "rows_kept", "duplicates", "span.*")
 
 
 _GAPPY = """gappy AS (SELECT event_id, event_type, CASE WHEN event_id % 13 <> 0 THEN value END AS value, nullif(CAST(user_id AS DOUBLE), 3.0) AS "user" FROM events)"""

@@ -7,8 +7,6 @@ even key is a parent, an odd key a child of the even key below it.
 from __future__ import annotations
 
 from datetime import date
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,7 +46,6 @@ SCORING = ScoringConfig(
 )
 
 
-@lru_cache(maxsize=None)
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -226,7 +223,7 @@ FROM daily WINDOW w AS (PARTITION BY fund_key ORDER BY dt_comptc)""",
     ),
     "flagged": (
         ("returns",),
-        f"""SELECT *, coalesce(cnt >= {WINDOW} AND sd > 1e-12 AND abs((log_ret - mn) / sd) > {SIGMA}, FALSE) AS is_jump FROM (
+        f"""SELECT *, coalesce(cnt >= {WINDOW} AND sd > 1e-12 * abs(mn) AND abs((log_ret - mn) / sd) > {SIGMA}, FALSE) AS is_jump FROM (
   SELECT *, count(log_ret) OVER w AS cnt, avg(log_ret) OVER w AS mn, stddev_samp(log_ret) OVER w AS sd
   FROM returns WINDOW w AS (PARTITION BY fund_key ORDER BY dt_comptc ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW))""",
     ),
@@ -281,8 +278,8 @@ FROM daily GROUP BY fund_key""",
         ("dim", "stats", "latest"),
         f"""SELECT fund_key, cnpj_classe, id_subclasse_cvm, situacao, publico_alvo, tributacao_alvo, equity,
        coalesce(nr_cotst, 0) AS nr_cotst, greatest(date_diff('day', data_de_inicio, DATE '{AS_OF}'), 0) AS existing_time,
-       CASE WHEN excess_std > 1e-12 THEN excess_mean / excess_std * sqrt(12) END AS information_ratio,
-       CASE WHEN downside_std > 1e-12 THEN excess_mean * 12 / (downside_std * sqrt(12)) END AS sortino_ratio,
+       CASE WHEN excess_std > 1e-12 * abs(excess_mean) THEN excess_mean / excess_std * sqrt(12) END AS information_ratio,
+       CASE WHEN downside_std > 1e-12 * abs(excess_mean) THEN excess_mean * 12 / (downside_std * sqrt(12)) END AS sortino_ratio,
        CASE tributacao_alvo WHEN 'AFRICA' THEN 1.0 WHEN 'AMERICA' THEN 0.85 WHEN 'ASIA' THEN 0.8 END::DOUBLE AS tax_efficiency
 FROM dim LEFT JOIN stats USING (fund_key) LEFT JOIN latest USING (fund_key)""",
     ),

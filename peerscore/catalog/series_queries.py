@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,15 +132,15 @@ def label_efficiency(spark, sf):
 
 
 def latest_attributes(spark, sf):
-    out = metrics.attach_holders(metrics.attach_equity(_dim(spark, sf), _daily(spark, sf)), _daily(spark, sf))
-    return out.select("fund_key", f.rounded("equity", 2).alias("equity"), "nr_cotst")
+    out = _dim(spark, sf).join(metrics.latest_attributes(_daily(spark, sf)), "fund_key", "left")
+    return out.select("fund_key", f.rounded("equity", 2).alias("equity"), F.coalesce("nr_cotst", F.lit(0)).alias("nr_cotst"))
 
 
 def age_days(spark, sf):
     return metrics.attach_age(_dim(spark, sf), f.AS_OF).select("fund_key", "data_de_inicio", "existing_time")
 
 
-def _metric_plan(spark: SparkSession, sf: str, build):
+def _metric_plan(spark: SparkSession, sf: str, build, **more):
     return build(
         f.classes(spark, sf),
         f.subclasses(spark, sf),
@@ -149,6 +151,7 @@ def _metric_plan(spark: SparkSession, sf: str, build):
         units=f.UNITS,
         window=f.WINDOW,
         sigma=f.SIGMA,
+        **more,
     )
 
 
@@ -157,7 +160,7 @@ def _metrics(spark, sf):
 
 
 def _scored(spark, sf):
-    return _metric_plan(spark, sf, metrics_plan.fund_metrics)
+    return _metric_plan(spark, sf, metrics_plan.fund_metrics, store=partial(materialise, label="entity_metrics"))
 
 
 _SHOWN = ["cnpj_classe", "id_subclasse_cvm", "situacao", "publico_alvo", "tributacao_alvo"]

@@ -135,8 +135,15 @@ def json_series(spark, sf):
 def level_drop_scan(spark, sf):
     drop = f.table(spark, sf, "orders").select(
         F.col("o_orderpriority").alias("Índice"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias(series.LEVEL_DATE_COLUMN),
-        F.col("o_totalprice").cast("string").alias(series.LEVEL_VALUE_COLUMN),
+        # Some rows hold what is no date or no number for the publisher, but is for a lenient cast.
+        F.when(F.col("o_orderkey") % 5 == 0, F.date_format("o_orderdate", "yyyy"))
+        .when(F.col("o_orderkey") % 5 == 1, F.concat(F.lit(" "), F.date_format("o_orderdate", "yyyy-MM-dd")))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .alias(series.LEVEL_DATE_COLUMN),
+        F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.col("o_totalprice").cast("string"), F.lit("d")))
+        .when(F.col("o_orderkey") % 7 == 1, F.concat(F.lit(" "), F.col("o_totalprice").cast("string")))
+        .otherwise(F.col("o_totalprice").cast("string"))
+        .alias(series.LEVEL_VALUE_COLUMN),
     )
     return series.level_rows(drop)
 
@@ -273,7 +280,8 @@ QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event
     ),
     "level_drop_scan": (
         level_drop_scan,
-        "SELECT CAST(o_orderdate AS DATE) AS data, min(o_totalprice) AS valor FROM orders GROUP BY 1",
+        """SELECT CAST(o_orderdate AS DATE) AS data, CASE WHEN count(*) FILTER (o_orderkey % 7 <= 1) = 0 THEN min(o_totalprice) END AS valor
+FROM orders WHERE o_orderkey % 5 > 1 GROUP BY 1""",
     ),
     "month_spine": (
         month_spine,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 MONTHS_PER_YEAR = 12.0
 SQRT_12 = math.sqrt(MONTHS_PER_YEAR)
 
-# A spread at or below this is rounding noise around a constant series.
+# A spread at or below this share of the mean is rounding noise around a constant series.
 SPREAD_FLOOR = 1e-12
 
 
@@ -19,9 +19,9 @@ def finite(c: Column) -> Column:
     return F.when(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), c)
 
 
-def spread_or_null(std: Column) -> Column:
-    """A usable denominator: null unless clearly above zero."""
-    return F.when(std > F.lit(SPREAD_FLOOR), std)
+def spread_or_null(std: Column, mean: Column) -> Column:
+    """A usable denominator: null unless clearly above zero, measured against the mean it is a spread around."""
+    return F.when(std > F.lit(SPREAD_FLOOR) * F.abs(mean), std)
 
 
 def below_zero(c: Column) -> Column:

@@ -35,15 +35,14 @@ class MetricInputs:
 def excess_returns(monthly: DataFrame, dim: DataFrame, reference: DataFrame) -> DataFrame:
     """Months in which both the entity and its reference have a return.
 
-    The reference holds one row per configured code and calendar month, a size
-    fixed by configuration and calendar, so it is broadcast.
+    The reference holds one row per configured code and calendar month.
     """
     codes = dim.select("fund_key", F.col("benchmark").alias("benchmark_code"))
     return (
         monthly.filter(F.col("monthly_ret").isNotNull())
         .join(codes, "fund_key")
         .join(
-            F.broadcast(reference.filter(F.col("monthly_bench_ret").isNotNull())),
+            reference.filter(F.col("monthly_bench_ret").isNotNull()),
             ["year_month", "benchmark_code"],
         )
         .withColumn("excess", F.col("monthly_ret") - F.col("monthly_bench_ret"))
@@ -64,11 +63,11 @@ def excess_statistics(excess: DataFrame) -> DataFrame:
 
 
 def information_ratio_expr() -> Column:
-    return finite(F.col("excess_mean") / spread_or_null(F.col("excess_std")) * SQRT_12)
+    return finite(F.col("excess_mean") / spread_or_null(F.col("excess_std"), F.col("excess_mean")) * SQRT_12)
 
 
 def sortino_ratio_expr() -> Column:
-    downside = spread_or_null(F.col("downside_std"))
+    downside = spread_or_null(F.col("downside_std"), F.col("excess_mean"))
     return finite(F.col("excess_mean") * MONTHS_PER_YEAR / (downside * SQRT_12))
 
 
@@ -180,7 +179,7 @@ def entity_statistics(
     )
     excess = F.col("monthly_ret") - F.col("monthly_bench_ret")
     return (
-        rolled.join(F.broadcast(reference), ["year_month", "benchmark_code"], "left")
+        rolled.join(reference, ["year_month", "benchmark_code"], "left")
         .groupBy(key)
         .agg(
             *_excess_aggregates(excess),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -161,6 +161,27 @@ def profile_series(wide: DataFrame, table: str, columns: Sequence[str], date: st
     )
 
 
+def lineage(
+    df: DataFrame, table: str, cut: Column, keys: Sequence[str], date: str, distinct: Mapping[str, str]
+) -> DataFrame:
+    """One row: rows read, left by the cut, and left by keep-first on ``keys``, with the dates and distinct counts left.
+
+    All distinct counts come from one scan.
+    """
+    key = F.when(cut, F.struct(*keys))
+    return df.agg(
+        F.count("*").alias("rows_read"),
+        F.count_if(cut).alias("rows_cut"),
+        F.count_distinct(key).alias("rows_kept"),
+        F.min(F.when(cut, F.col(date))).alias("first_day"),
+        F.max(F.when(cut, F.col(date))).alias("last_day"),
+        *[F.count_distinct(F.when(cut, F.col(c))).alias(name) for name, c in distinct.items()],
+    ).select(
+        F.lit(table).alias("table"), "rows_read", "rows_cut", "rows_kept", (F.col("rows_cut") - F.col("rows_kept")).alias("duplicates"),
+        "first_day", "last_day", *distinct,
+    )
+
+
 def observe_step(df: DataFrame, step: str, *metrics: Column) -> tuple[DataFrame, Observation]:
     """Row counter (and further aggregates) that ride on whatever job runs ``df``."""
     seen = Observation(step)

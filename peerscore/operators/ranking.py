@@ -1,30 +1,35 @@
 """Average-rank percentile of a whole column, without one task holding it.
 
 An unpartitioned window would sort every row in a single task.  Instead the
-distinct values are spread over cells by position between the smallest and the
-largest value, and each cell again between its own two; running counts at the
-three levels add up to the exact rank.  Cell numbers come from min and max
-alone, so a retried task finds the same cells.
+distinct values are cut into cells at percentiles of themselves, so every cell
+holds about the same number of distinct values however they are spread; counts
+before the cell and inside it add up to the exact rank.  The percentiles are one
+scalar subquery: where exactly they fall shapes the work, never the ranks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Bound on the rows of a cell table, and so on its window group and broadcast.
-CELLS = 65_536
+# Groups of cells and cells of a group; distinct values are cut at the percentiles between them.
+GROUPS = 32
+CELLS = GROUPS * GROUPS
+
+# Percentiles are off by one part in this many at most.
+ACCURACY = 10 * CELLS
 
-# Up to this many counted rows one sorted window is cheaper than three levels.
-ONE_TASK_ROWS = 200_000
 
+def cell_of(v: Column, bounds: Column) -> Column:
+    """Number of bounds below ``v``: first among every 32nd, then among the 32 that follow.
 
-def _cell(v: Column, lo: Column, hi: Column) -> Column:
-    width = hi - lo
-    return F.when(width > 0, F.floor((v - lo) / width * (CELLS - 1))).otherwise(F.lit(0)).cast("int")
+    ``bounds`` has ``CELLS - 1`` entries, or is null where no value is finite.
+    """
+    heads = F.filter(bounds, lambda b, i: (i % GROUPS == GROUPS - 1) & (b < v))
+    group = F.size(heads)
+    rest = F.filter(F.slice(bounds, group * GROUPS + 1, F.lit(GROUPS - 1)), lambda b: b < v)
+    return F.when(bounds.isNull(), 0).otherwise(group * GROUPS + F.size(rest))
 
 
 def _before(n: str, *keys: str, order: str) -> Column:
@@ -32,59 +37,33 @@ def _before(n: str, *keys: str, order: str) -> Column:
     return F.coalesce(F.sum(n).over(w), F.lit(0))
 
 
+def with_cells(df: DataFrame, value: str) -> DataFrame:
+    """``(value, n, cell)``: one row per distinct non-null value; a cell holds only values above those of lower cells."""
+    counts = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("value")).agg(F.count("*").alias("n"))
+    number = F.col("value").cast("double")
+    known = F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
+    cuts = F.array(*[F.lit(i / CELLS) for i in range(1, CELLS)])
+    bounds = counts.agg(F.percentile_approx(known, cuts, ACCURACY).alias("bounds")).scalar()
+    return counts.withColumn("bounds", bounds).select("value", "n", cell_of(number, F.col("bounds")).alias("cell"))
+
+
 def average_ranks(df: DataFrame, value: str) -> DataFrame:
     """``(value, n, avg_rank)``: one row per distinct non-null value of ``df``.
 
     ``n`` is the number of rows holding the value and ``avg_rank`` the mean of
     the 1-based positions they occupy.
     """
-    rows = df.filter(F.col(value).isNotNull())
-    counts = rows.groupBy(F.col(value).alias("value")).agg(F.count("*").alias("n"))
-    span = rows.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("s")).scalar()
-    coarse = counts.withColumn("span", span).select(
-        "value", "n", _cell(F.col("value"), F.col("span.lo"), F.col("span.hi")).alias("cell")
-    )
-    cells = (
-        coarse.groupBy("cell")
-        .agg(F.sum("n").alias("cell_n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-        .withColumn("before_cell", _before("cell_n", order="cell"))
-        .select("cell", "lo", "hi", "before_cell")
-    )
-    fine = coarse.join(F.broadcast(cells), "cell").withColumn(
-        "sub", _cell(F.col("value"), F.col("lo"), F.col("hi"))
-    )
-    subs = (
-        fine.groupBy("cell", "sub")
-        .agg(F.sum("n").alias("sub_n"))
-        .withColumn("before_sub", _before("sub_n", "cell", order="sub"))
-        .select("cell", "sub", "before_sub")
-    )
-    placed = fine.join(subs, ["cell", "sub"]).withColumn(
-        "before", F.col("before_cell") + F.col("before_sub") + _before("n", "cell", "sub", order="value")
+    rows = with_cells(df, value)
+    # At most CELLS rows.
+    cells = rows.groupBy("cell").agg(F.sum("n").alias("cell_n")).withColumn("before_cell", _before("cell_n", order="cell"))
+    placed = rows.join(cells.select("cell", "before_cell"), "cell").withColumn(
+        "before", F.col("before_cell") + _before("n", "cell", order="value")
     )
     return placed.select("value", "n", (F.col("before") + (F.col("n") + 1) / 2.0).alias("avg_rank"))
 
 
-def average_ranks_in_one_task(df: DataFrame, value: str) -> DataFrame:
-    """:func:`average_ranks` by one sorted window, for a number of values known to be small."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("value")).agg(F.count("*").alias("n"))
-    rank = _before("n", order="value") + (F.col("n") + 1) / 2.0
-    return counts.select("value", "n", rank.alias("avg_rank"))
-
-
-def ranker_for(rows: int) -> Callable[[DataFrame, str], DataFrame]:
-    """The single window up to :data:`ONE_TASK_ROWS` counted rows, cells beyond."""
-    return average_ranks_in_one_task if rows <= ONE_TASK_ROWS else average_ranks
-
-
-def average_rank_percentile(
-    df: DataFrame,
-    value: str,
-    alias: str,
-    decimals: int = 2,
-    ranker: Callable[[DataFrame, str], DataFrame] = average_ranks,
-) -> DataFrame:
+def average_rank_percentile(df: DataFrame, value: str, alias: str, decimals: int = 2) -> DataFrame:
     """``(value, alias)``: average rank over the number of non-null rows, times 100."""
     total = df.agg(F.count(value).alias("n")).scalar()
     pct = F.bround(F.col("avg_rank") / total * 100.0, decimals)
-    return ranker(df, value).select("value", pct.alias(alias))
+    return average_ranks(df, value).select("value", pct.alias(alias))

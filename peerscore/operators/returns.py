@@ -40,7 +40,7 @@ def flag_jumps(
     null anywhere in it nothing is flagged.
     """
     w = Window.partitionBy(key).orderBy(date).rowsBetween(-(window - 1), 0)
-    z = (F.col(ret_col) - F.col("_mean")) / spread_or_null(F.col("_std"))
+    z = (F.col(ret_col) - F.col("_mean")) / spread_or_null(F.col("_std"), F.col("_mean"))
     return (
         daily.withColumns(
             {

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.select import empty_frame
 from ..schemas import CHILD_ATTRIBUTES, FUND_METRICS, PARENT_ATTRIBUTES, SERIES_ROWS
+from ..session import materialise
 from ..sources.archives import read_archives
 from ..sources.tables import read_table, write_table
 from .daily_series import CURRENT_PRIORITY, LEGACY_PRIORITY, RAW_FIELDS, quota_series, quota_series_of
@@ -96,7 +98,7 @@ def run(spark: SparkSession, landed: Landed, out: str, as_of: date) -> dict[str,
     metrics = publish(
         "gold",
         "fund_metrics",
-        fund_metrics(cls_t, sub_t, series, reference, as_of).select(*FUND_METRICS.fieldNames()),
+        fund_metrics(cls_t, sub_t, series, reference, as_of, store=partial(materialise, label="entity_metrics")).select(*FUND_METRICS.fieldNames()),
     )
     check = publish("gold", "validacao", calendar_year_return(cls_t, sub_t, series, as_of.year))
     publish("gold", "top_list", displayed(top_list(metrics, cls_t, sub_t, PROFILES, SCORING.top_n)))

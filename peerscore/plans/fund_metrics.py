@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -16,13 +16,11 @@ from ..operators.metrics import (
     information_ratio_expr,
     sortino_ratio_expr,
 )
-from ..operators.ranking import ranker_for
 from ..operators.reference import monthly_reference_returns
 from ..operators.returns import JUMP_SIGMA, JUMP_WINDOW, daily_log_returns, flag_jumps
 from ..operators.score import ScoringConfig, peer_score
 from ..operators.select import on_or_before
 from ..schemas import FUND_METRICS
-from ..session import materialise
 from .settings import REFERENCE_UNITS, SCORING
 
 CARRIED = ("situacao", "publico_alvo", "benchmark", "tributacao_alvo", "data_de_inicio")
@@ -66,12 +64,12 @@ def fund_metrics(
     units: Mapping[str, tuple[str, str]] = REFERENCE_UNITS,
     window: int = JUMP_WINDOW,
     sigma: float = JUMP_SIGMA,
+    store: Callable[[DataFrame], DataFrame] = lambda metrics: metrics,
 ) -> DataFrame:
     """The published 12 columns, plus ``fund_key`` in front.
 
-    Metrics are stored before scoring, because the moments, the ranks and the
-    result all read them; their row count then picks the ranking.
+    Lazy, unless ``store`` is not: the moments, the ranks and the result all
+    read the metrics, so with a costly series pass one that writes them.
     """
     metrics = entity_metrics(classes, subclasses, series, reference, as_of, config, units, window, sigma)
-    stored = materialise(metrics, "entity_metrics")
-    return peer_score(stored, config, ranker_for(stored.count()))
+    return peer_score(store(metrics), config)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.casts import dmy_date, to_double
+from ..functions.casts import dmy_date, iso_date, to_double
 from ..operators.dedup import keep_first
 from ..operators.select import empty_frame
 from ..schemas import SERIES_ROWS
@@ -49,8 +49,11 @@ def level_rows(drop: DataFrame) -> DataFrame:
     """The two needed columns of a level drop; without them, no rows."""
     if LEVEL_DATE_COLUMN not in drop.columns or LEVEL_VALUE_COLUMN not in drop.columns:
         return empty_frame(drop.sparkSession, SERIES_ROWS)
+    kinds = dict(drop.dtypes)
+    day, level = F.col(f"`{LEVEL_DATE_COLUMN}`"), F.col(f"`{LEVEL_VALUE_COLUMN}`")
+    # Text is read as strictly as everywhere else; typed columns only change their type.
     typed = drop.select(
-        F.col(f"`{LEVEL_DATE_COLUMN}`").try_cast("date").alias("data"),
-        F.col(f"`{LEVEL_VALUE_COLUMN}`").try_cast("double").alias("valor"),
+        (iso_date(day) if kinds[LEVEL_DATE_COLUMN] == "string" else day.try_cast("date")).alias("data"),
+        (to_double(level) if kinds[LEVEL_VALUE_COLUMN] == "string" else level.try_cast("double")).alias("valor"),
     ).filter(F.col("data").isNotNull())
     return keep_first(typed, ["data"], ["valor"])

@@ -45,7 +45,8 @@ def test_numbers(rows):
     inf = float("inf")
     assert _apply(rows, numbers.finite, 1.0, inf, -inf, float("nan"), None, kind="double") == [1.0, None, None, None, None]
     assert _apply(rows, numbers.below_zero, 1.0, -2.0, 0.0, None, kind="double") == [0.0, -2.0, 0.0, None]
-    assert _apply(rows, numbers.spread_or_null, 0.0, 1e-13, 0.1, None, kind="double") == [None, None, 0.1, None]
+    assert _apply(rows, lambda c: numbers.spread_or_null(c, F.lit(-100.0)), 0.0, 1e-11, 0.1, None, kind="double") == [None, None, 0.1, None]
+    assert _apply(rows, lambda c: numbers.spread_or_null(c, F.lit(1e-9)), 0.0, 1e-13, kind="double") == [None, 1e-13]
 
 
 def test_days_since(rows):
