@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import tempfile
 import time
 
 from peerscore.catalog import CATALOG
@@ -50,6 +51,7 @@ def main() -> None:
         spark__sql__shuffle__partitions=cpus,
         spark__driver__memory="12g",
         spark__ui__enabled="false",
+        spark__checkpoint__dir=os.environ.get("SCRATCH_DIR") or tempfile.mkdtemp(prefix="spark-scratch-"),
         spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -65,9 +65,12 @@ def archive_expand(spark, sf):
 def delimited_scan(spark, sf):
     path = scratch_path(spark, "delimited")
     rows = _orders_as_text(spark, sf).withColumn("o_clerk", F.concat(F.lit("São Tomé "), F.col("o_custkey")))
-    rows.withColumn("missing", F.lit("N/A")).write.option("sep", ";").option("header", True).option(
-        "encoding", delimited.ENCODING
-    ).option("quote", "").csv(path)
+    rows = rows.withColumn("missing", F.lit("N/A"))
+    # Two kinds of files with the columns in opposite orders.
+    for n, names in enumerate((rows.columns, rows.columns[::-1])):
+        rows.filter(F.col("o_orderkey").cast("bigint") % 2 == n).select(*names).write.mode("append").option("sep", ";").option(
+            "header", True
+        ).option("encoding", delimited.ENCODING).option("quote", "").csv(path)
     back = delimited.read_delimited(spark, path)
     return _orders_typed(back.withColumn("o_orderpriority", F.struct("o_orderpriority", "o_clerk", "missing"))).select(
         *_ORDER_FIELDS[:-1], "o_orderpriority.*"

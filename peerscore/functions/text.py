@@ -16,6 +16,11 @@ _SURROGATES = range(0xD800, 0xE000)
 _MARKS = range(0x0300, 0x0370)
 _LATIN_END = "\u0180"
 
+# Conjoining letters of Hangul syllables: 19 leads, 21 vowels and 27 tails; no tail comes first.
+_LEADS = "".join(map(chr, range(0x1100, 0x1113)))
+_VOWELS = "".join(map(chr, range(0x1161, 0x1176)))
+_TAILS = "".join(map(chr, range(0x11A8, 0x11C3)))
+
 
 @lru_cache(maxsize=1)
 def _decompositions() -> tuple[str, str, str, str, tuple[str, ...]]:
@@ -23,10 +28,10 @@ def _decompositions() -> tuple[str, str, str, str, tuple[str, ...]]:
 
     Returns (from, to, deleted, expanded, expansions): one-to-one characters
     for ``translate``, characters that vanish, and characters that become
-    several.  Hangul syllables are left whole.
+    several.  Hangul syllables are left out; they follow a rule of their own.
     """
     one_from, one_to, gone, many, many_to = [], [], [], [], []
-    for cp in range(0x80, min(sys.maxunicode, 0xFFFF) + 1):
+    for cp in range(0x80, sys.maxunicode + 1):
         if cp in _HANGUL or cp in _SURROGATES:
             continue
         ch = chr(cp)
@@ -52,7 +57,7 @@ def _ranges(chars: str) -> str:
             out[-1][1] = cp
         else:
             out.append([cp, cp])
-    return "".join(f"\\u{lo:04x}-\\u{hi:04x}" for lo, hi in out)
+    return "".join(f"\\x{{{lo:x}}}-\\x{{{hi:x}}}" for lo, hi in out)
 
 
 def digits_only(c: Column) -> Column:
@@ -72,15 +77,29 @@ def clean_id_or_null(c: Column, width: int = ID_WIDTH) -> Column:
     return F.lpad(F.nullif(digits_only(c), F.lit("")), width, "0")
 
 
+def _jamo(ch: Column) -> Column:
+    """Conjoining letters of a Hangul syllable, numbered by lead, vowel and tail."""
+    n = F.ascii(ch) - _HANGUL.start
+    tail = n % 28
+    return F.concat(
+        F.substring(F.lit(_LEADS), (n / 588).cast("int") + 1, F.lit(1)),
+        F.substring(F.lit(_VOWELS), ((n % 588) / 28).cast("int") + 1, F.lit(1)),
+        F.when(tail > 0, F.substring(F.lit(_TAILS), tail, F.lit(1))).otherwise(""),
+    )
+
+
 def strip_accents(c: Column) -> Column:
     """Compatibility-decompose and drop combining marks."""
     one_from, one_to, gone, many, many_to = _decompositions()
+    hangul = f"[\\x{{{_HANGUL.start:x}}}-\\x{{{_HANGUL.stop - 1:x}}}]"
     expanded = F.array_join(
         F.transform(
-            F.split(c, ""),
-            lambda ch: F.coalesce(
-                F.get(F.array(*[F.lit(x) for x in many_to]), F.call_function("locate", ch, F.lit(many)) - 1),
-                ch,
+            F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0)),
+            lambda ch: F.when(ch.rlike(hangul), _jamo(ch)).otherwise(
+                F.coalesce(
+                    F.get(F.array(*[F.lit(x) for x in many_to]), F.call_function("locate", ch, F.lit(many)) - 1),
+                    ch,
+                )
             ),
         ),
         "",
@@ -88,8 +107,8 @@ def strip_accents(c: Column) -> Column:
     # Few texts hold a character that expands, so only those pay for it; the
     # short class settles plain Latin text before the long one is tried.
     latin = "".join(ch for ch in many if ch < _LATIN_END)
-    may_expand = c.rlike(f"[{_ranges(latin)}\\u{ord(_LATIN_END):04x}-\\uffff]")
-    wide = F.when(may_expand & c.rlike(f"[{_ranges(many)}]"), expanded).otherwise(c)
+    may_expand = c.rlike(f"[{_ranges(latin)}\\x{{{ord(_LATIN_END):x}}}-\\x{{10ffff}}]")
+    wide = F.when(may_expand & (c.rlike(hangul) | c.rlike(f"[{_ranges(many)}]")), expanded).otherwise(c)
     return F.when(c.rlike(r"[^\x00-\x7f]"), F.translate(wide, one_from + gone, one_to)).otherwise(c)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -19,6 +21,10 @@ SESSION_DEFAULTS = {
 }
 
 
+# Application -> its scratch folder, in local mode without the setting.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def build_session(app_name: str = "peerscore", master: str | None = None, **conf: str) -> SparkSession:
     """A session with :data:`SESSION_DEFAULTS`; ``conf`` uses ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)
@@ -34,18 +40,18 @@ def build_session(app_name: str = "peerscore", master: str | None = None, **conf
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is made only when the setting is absent *and* the
-    session runs in local mode, where executors and driver share one disk.
+    Where the setting is absent in local mode, where executors and driver are one process, it is set once to a
+    folder of its own; on a cluster that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    made = getattr(spark, "_peerscore_scratch", None)
+    made = _LOCAL_ROOTS.get(spark.sparkContext.applicationId)
     if made is None:
-        made = tempfile.mkdtemp(prefix="spark-peerscore-")
-        spark._peerscore_scratch = made
+        made = _LOCAL_ROOTS[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="spark-peerscore-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
     return made
 
 

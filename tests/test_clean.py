@@ -1,3 +1,5 @@
+import sys
+import unicodedata
 from datetime import date
 
 import pytest
@@ -158,3 +160,14 @@ def test_observed_counts_ride_on_the_job(rows):
     df, seen = quality.observe_step(rows("k int", (1,), (2,)), "step", F.max("k").alias("top"))
     df.filter("k > 1").collect()
     assert seen.get == {"rows": 2, "top": 2}
+
+
+def test_every_code_point_decomposes(spark):
+    """All of Unicode, Hangul included, against the Unicode data Python ships."""
+    points = [c for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    blocks = ["".join(map(chr, points[i : i + 500])) for i in range(0, len(points), 500)]
+    df = spark.createDataFrame(list(enumerate(blocks)), "i int, t string")
+    got = {r.i: r.x for r in df.select("i", text.strip_accents(F.col("t")).alias("x")).collect()}
+    for i, block in enumerate(blocks):
+        want = "".join(c for ch in block for c in unicodedata.normalize("NFKD", ch) if not 0x300 <= ord(c) < 0x370)
+        assert got[i] == want, hex(ord(block[0]))

@@ -251,3 +251,18 @@ def test_materialised_table_lies_in_the_shared_folder(spark, rows):
 
 def test_empty_frame_has_its_schema(spark):
     assert empty_frame(spark, MANIFEST).schema == MANIFEST
+
+
+def test_files_with_different_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("A;B\n1;2\n", encoding="latin-1")
+    (tmp_path / "b.csv").write_text("B;A\n9;8\n", encoding="latin-1")
+    (tmp_path / "c.csv").write_text("B;Ç\n5;6\n", encoding="latin-1")
+    got = delimited.read_delimited(spark, str(tmp_path), keep_order=True).orderBy("_source_order")
+    assert [(r.A, r.B, r["Ç"]) for r in got.collect()] == [("1", "2", None), ("8", "9", None), (None, "5", "6")]
+
+
+def test_levels_are_read_strictly(rows):
+    names = f"`{series.LEVEL_DATE_COLUMN}` string, `{series.LEVEL_VALUE_COLUMN}` string"
+    df = rows(names, ("2024-01-02", "1.5"), ("2024", "1"), (" 2024-01-03", "1"), ("2024-01-04", "1d"), ("2024-01-05", " 2"))
+    got = {str(r.data): r.valor for r in series.level_rows(df).collect()}
+    assert got == {"2024-01-02": 1.5, "2024-01-04": None, "2024-01-05": None}
