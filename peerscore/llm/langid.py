@@ -117,11 +117,14 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, centroids: int = CENT
     """Centroids from the rows of :func:`training`."""
     rows = training(docs)
     idf = inverse_frequencies(rows)
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    chosen = rows.withColumn("_n", F.row_number().over(by_hash)).filter(F.col("_n") <= per_language)
+    # Chosen without their texts, so that only the texts of the chosen ones move: at most ``per_language`` rows for a
+    # language, which is what the broadcast holds.  A doc_id that repeats counts once.
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    picked = rows.select("doc_id", "lang").distinct().withColumn("_n", F.row_number().over(by_hash)).filter(F.col("_n") <= per_language)
+    chosen = rows.join(F.broadcast(picked), ["doc_id", "lang"]).groupBy("doc_id", "lang", "_n").agg(F.min("text").alias("text"))
 
     def cluster(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("_n")
+        part = part.sort_values(["_n", "doc_id"])
         x = vectors_of([t for t in part["text"] if has_letters(t)], idf) if part["text"].map(has_letters).any() else None
         if x is None:
             return pd.DataFrame([], columns=["lang", "number", "centroid", "floor"])
