@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
-
 #: Labelled rows the chain is trained on, at most: the first by hash of doc_id.
 TRAINING_ROWS = 20_000
 #: Words the models may use, at most: those whose share differs most between toxic and other training texts, ...
@@ -101,7 +100,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, rounds:
     """L1-penalised logistic regression by accelerated proximal gradient steps; equal rows are fitted as one with a weight."""
     n, d = x.shape
     if not n:
-        return np.zeros(d), 0.0
+        return np.zeros(d), -30.0  # nothing is known to be toxic
     both, counts = np.unique(np.column_stack([x, y]), axis=0, return_counts=True)
     share = counts / n
     full, y = np.column_stack([both[:, :-1], np.ones(len(both))]), both[:, -1]
@@ -243,8 +242,8 @@ def classify(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS, thr
     ``docs`` needs ``doc_id`` and ``text``, ``labels`` ``doc_id`` and ``toxic``;
     other columns are ignored.  Defined results: unlabelled documents and null
     labels take no part in training; a document labelled several times counts
-    each time; without any label every probability is one half at most and
-    nothing is toxic; an empty table gives no rows.
+    each time; without any label every probability is next to zero and nothing
+    is toxic; an empty table gives no rows.
     """
     chain = train(docs, labels, limit)
     return score(docs.select("doc_id", "text"), chain, threshold).drop("text")
