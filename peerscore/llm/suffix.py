@@ -6,8 +6,9 @@ with a smaller doc_id.  Steps:
 1. Documents are written once as chunks of a few MB, bucketed by chunk, with
    the *anchors* of their text: every window picks its least 24-byte gram by
    hash, so equal windows pick equal anchors wherever they stand.
-2. Anchors that occur in one document only cannot lie in a repeated window.
-   Sorted anchor hashes go to hash ranges, which answer with one bit each.
+2. Every window holds 13 bytes left or 13 bytes right of its anchor.  If an
+   anchor shares neither side with another document, no window of it repeats.
+   Sorted hashes of sides go to hash ranges, which answer with one bit each.
 3. What surrounds the other anchors (all windows that picked it: a segment) is
    dealt by anchor, each distinct segment once for a chunk with its least
    doc_id.  All equal windows meet there.
@@ -17,8 +18,8 @@ with a smaller doc_id.  Steps:
    the blocks of the interleaving are the windows that repeat; the least
    doc_id of each block goes back to the chunks.
 
-An anchor found in ``HOT`` chunks or more is not dealt by anchor but window by
-window, so no task holds all texts around a frequent passage.
+An anchor with a side found in ``HOT`` chunks or more is not dealt by anchor but
+window by window, so no task holds all texts around a frequent passage.
 """
 
 from __future__ import annotations
@@ -47,7 +48,7 @@ PER_BUCKET = 24 << 20
 #: Text behind a range of anchor hashes, on average.
 PER_RANGE = 6 << 20
 MOST_BUCKETS = 20_000
-#: Chunks that share an anchor before its windows are dealt one by one.
+#: Chunks that share a side of an anchor before its windows are dealt one by one.
 HOT = 256
 #: Symbols of a shard that gets a transform of its own.
 SHARD = 1 << 16
@@ -216,6 +217,28 @@ def bucketed(df: DataFrame, buckets: int) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+#: Bytes beside an anchor that every window of it holds on one side at least.
+SIDE = (WINDOW - GRAM) // 2
+
+
+def hashes_of(text: np.ndarray, first: np.ndarray, length: np.ndarray | int, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of every ``text[first : first + length]``."""
+    length = np.broadcast_to(np.asarray(length, dtype=np.int64), first.shape)
+    out = np.empty(len(first), dtype=np.uint64)
+    width = -(-int(length.max(initial=1)) // 8) * 8
+    for at in range(0, len(first), 1 << 15):
+        start, size = first[at : at + (1 << 15)], length[at : at + (1 << 15)]
+        place = start[:, None] + np.arange(width)
+        held = text[np.minimum(place, len(text) - 1)]
+        held[np.arange(width) >= size[:, None]] = 0
+        h = (size.astype(np.uint64) + np.uint64(seed)) * _M1
+        for word in held.view(np.uint64).T:
+            h = (h ^ (h >> np.uint64(31))) * _M2 + word * _M3
+            h ^= h >> np.uint64(29)
+        out[at : at + (1 << 15)] = _mixed(h)
+    return out
+
+
 class Chunk:
     """A row of :func:`chunked`, unpacked."""
 
@@ -231,24 +254,29 @@ class Chunk:
         self.first = self.position - packed[:n]
         self.last = self.position - packed[n : 2 * n]
         self.doc = np.searchsorted(self.ends, self.position, side="right")
-        grams = self.bytes[self.position[:, None] + np.arange(GRAM)] if len(self.position) else np.empty((0, GRAM), np.uint8)
-        words = np.ascontiguousarray(grams).view(np.uint64)
-        h = words[:, 0] * _M1
-        for k in (1, 2):
-            h = (h ^ (h >> np.uint64(31))) * _M2 + words[:, k] * _M3
-        #: 48 bits: anchors that meet by chance only mean more work.
-        self.hash = _mixed(h) >> np.uint64(16)
-
-    def anchors_by_range(self, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, tuple[int, int]]]:
-        """Distinct hashes in order, the place of each anchor among them, whether two documents share it, and each range's part."""
-        distinct, at = np.unique(self.hash, return_inverse=True)
+
+    def sides_by_range(self, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, dict[int, tuple[int, int]]]:
+        """Distinct hashes of what stands beside anchors.
+
+        Gives the hashes in order (48 bits; meeting by chance only means more
+        work), the anchor of each side, the place of each side among the
+        hashes, whether two documents share a hash, and each range's part.
+        """
+        left = np.nonzero(self.first <= self.position - SIDE)[0]
+        right = np.nonzero(self.last >= self.position - SIDE)[0]
+        anchor = np.concatenate([left, right])
+        h = np.concatenate([
+            hashes_of(self.bytes, self.position[left] - SIDE, GRAM + SIDE, 1),
+            hashes_of(self.bytes, self.position[right], GRAM + SIDE, 2),
+        ]) >> np.uint64(16)
+        distinct, at = np.unique(h, return_inverse=True)
         least = np.full(len(distinct), _LAST)
         most = np.full(len(distinct), -1)
-        np.minimum.at(least, at, self.doc)
-        np.maximum.at(most, at, self.doc)
+        np.minimum.at(least, at, self.doc[anchor])
+        np.maximum.at(most, at, self.doc[anchor])
         present, starts = np.unique(range_of(distinct, ranges), return_index=True)
         stops = [*starts[1:].tolist(), len(distinct)]
-        return distinct, at, least != most, dict(zip(present.tolist(), zip(starts.tolist(), stops)))
+        return distinct, anchor, at, least != most, dict(zip(present.tolist(), zip(starts.tolist(), stops)))
 
 
 def range_of(h: np.ndarray, ranges: int) -> np.ndarray:
@@ -278,12 +306,12 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def repeated_anchors(chunks: DataFrame, ranges: int, hot: int) -> DataFrame:
-    """``(chunk, marks)``: for every range of hashes the bits of anchors that other chunks have too, and of hot ones."""
+    """``(chunk, marks)``: for every range of hashes the bits of those that other chunks have too, and of hot ones."""
     out = pa.schema([("range", pa.int32()), ("chunk", pa.int64()), ("hashes", pa.binary())])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            distinct, _, _, parts = Chunk(row).anchors_by_range(ranges)
+            distinct, _, _, _, parts = Chunk(row).sides_by_range(ranges)
             yield _batch([(r, row["chunk"], _six_bytes(distinct[a:b])) for r, (a, b) in parts.items()], out)
 
     def count(rows: pd.DataFrame) -> pd.DataFrame:
@@ -306,48 +334,63 @@ def repeated_anchors(chunks: DataFrame, ranges: int, hot: int) -> DataFrame:
     )
 
 
-def segments(row: dict, ranges: int) -> tuple[Chunk, dict[int, list[tuple[bytes, int, int]]], list[tuple[int, int, int, int]]]:
-    """Segments of a chunk around anchors that two documents share.
+class Segments:
+    """What surrounds the anchors of a chunk that two documents share.
 
-    Gives the chunk; by range the distinct ``(segment, place of its anchor,
-    least doc_id)``; and the occurrences ``(range, number there, first window,
-    document)``.  A segment of a hot anchor is cut into single windows.
+    Distinct segments are in the order of their range; ``number`` counts them
+    within it.  ``segment``, ``first`` and ``doc`` belong to occurrences.  A
+    segment of a hot anchor is cut into single windows.
     """
-    chunk = Chunk(row)
-    distinct, at, here, parts = chunk.anchors_by_range(ranges)
-    shared, hot = here, np.zeros(len(distinct), dtype=bool)
-    for mark in row["marks"] or []:
-        a, b = parts[mark["range"]]
-        shared[a:b] |= np.unpackbits(np.frombuffer(mark["shared"], dtype=np.uint8), count=b - a).astype(bool)
-        hot[a:b] |= np.unpackbits(np.frombuffer(mark["hot"], dtype=np.uint8), count=b - a).astype(bool)
-    wanted = np.nonzero(shared[at])[0]
-    by_range: dict[int, list[tuple[bytes, int, int]]] = {}
-    number: dict[bytes, tuple[int, int]] = {}
-    where: list[tuple[int, int, int, int]] = []
-
-    def take(piece: bytes, r: int, place: int, first: int, doc: int) -> None:
-        known = number.get(piece)
-        least = int(chunk.ids[doc])
-        if known is None:
-            own = by_range.setdefault(r, [])
-            known = number[piece] = (r, len(own))
-            own.append((piece, place, least))
-        elif by_range[known[0]][known[1]][2] > least:
-            piece, place, _ = by_range[known[0]][known[1]]
-            by_range[known[0]][known[1]] = (piece, place, least)
-        where.append((*known, first, doc))
-
-    blob = chunk.blob
-    columns = (range_of(chunk.hash[wanted], ranges), chunk.position[wanted], chunk.first[wanted], chunk.last[wanted], chunk.doc[wanted], hot[at][wanted])
-    for r, position, first, last, doc, is_hot in zip(*(c.tolist() for c in columns)):
-        if not is_hot:
-            take(blob[first : last + WINDOW], r, position - first, first, doc)
-            continue
-        for w in range(first, last + 1):
-            piece = blob[w : w + WINDOW]
-            h = np.frombuffer(hashlib.blake2b(piece, digest_size=8).digest(), dtype=np.uint64) >> np.uint64(16)
-            take(piece, int(range_of(h, ranges)[0]), position - w, w, doc)
-    return chunk, by_range, where
+
+    def __init__(self, row: dict, ranges: int) -> None:
+        self.chunk = chunk = Chunk(row)
+        distinct, anchor, at, shared, parts = chunk.sides_by_range(ranges)
+        hot = np.zeros(len(distinct), dtype=bool)
+        for mark in row["marks"] or []:
+            a, b = parts[mark["range"]]
+            shared[a:b] |= np.unpackbits(np.frombuffer(mark["shared"], dtype=np.uint8), count=b - a).astype(bool)
+            hot[a:b] |= np.unpackbits(np.frombuffer(mark["hot"], dtype=np.uint8), count=b - a).astype(bool)
+        wanted, windowed = np.zeros(len(chunk.position), dtype=bool), np.zeros(len(chunk.position), dtype=bool)
+        wanted[anchor[shared[at]]] = True
+        windowed[anchor[hot[at]]] = True
+        plain, cut = np.nonzero(wanted & ~windowed)[0], np.nonzero(wanted & windowed)[0]
+        grams = hashes_of(chunk.bytes, chunk.position[plain], GRAM) >> np.uint64(16)
+        sizes = chunk.last[cut] - chunk.first[cut] + 1
+        each = np.repeat(cut, sizes)
+        window = chunk.first[each] + np.arange(len(each)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        own = hashes_of(chunk.bytes, window, WINDOW) >> np.uint64(16)
+        self.first = np.concatenate([chunk.first[plain], window])
+        length = np.concatenate([chunk.last[plain] - chunk.first[plain] + WINDOW, np.full(len(window), WINDOW)])
+        place = np.concatenate([chunk.position[plain], chunk.position[each]]) - self.first
+        self.doc = np.concatenate([chunk.doc[plain], chunk.doc[each]])
+        part = range_of(np.concatenate([grams, own]), ranges)
+        _, head, same = distinct_texts(chunk.bytes, self.first, length)
+        least = np.full(len(head), _LAST)
+        np.minimum.at(least, same, chunk.ids[self.doc])
+        order = np.argsort(part[head], kind="stable")
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        self.segment, head = rank[same], head[order]
+        self.least, self.range, self.length, self.place, self.start = least[order], part[head], length[head], place[head], self.first[head]
+        self.ranges, starts = np.unique(self.range, return_index=True)
+        self.cuts = [*starts.tolist(), len(head)]
+
+    def text(self, a: int, b: int) -> bytes:
+        """The segments ``a`` to ``b``, one after the other."""
+        size = self.length[a:b]
+        place = np.repeat(self.start[a:b] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+        return self.chunk.bytes[place].tobytes()
+
+
+def distinct_texts(text: np.ndarray, first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first occurrence and number of the distinct ``text[first : first + length]``, told apart by 128 bits."""
+    one, two = hashes_of(text, first, length, 3), hashes_of(text, first, length, 4)
+    distinct, head, same = np.unique(one, return_index=True, return_inverse=True)
+    if (two[head][same] != two).any():
+        both = np.stack([one, two], axis=1)
+        found, head, same = np.unique(both, axis=0, return_index=True, return_inverse=True)
+        return found[:, 0], head, same.ravel()
+    return distinct, head, same
 
 
 def shard_transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -441,124 +484,99 @@ def least_by_window(strings: list[bytes], least: np.ndarray, shard: int = SHARD)
     return [out[a : a + n - WINDOW] for a, n in zip(starts.tolist(), lengths.tolist())]
 
 
-def _gram(strings: list[bytes], places: list[int], i: int) -> bytes:
-    return strings[i][places[i] : places[i] + GRAM]
-
-
-def answer(rows: list[dict], shard: int = SHARD) -> list[tuple[int, bytes, bytes, bytes, bytes]]:
+def answer(rows: list[dict], shard: int = SHARD) -> list[tuple[int, int, bytes]]:
     """For every chunk's segments in a range: runs of windows with a least doc_id below the chunk's own."""
-    number: dict[bytes, int] = {}
-    strings: list[bytes] = []
-    least: list[int] = []
-    places: list[int] = []
-    asked: list[tuple[int, list[int], list[int]]] = []
+    blobs, mins, lengths, places, counts = [], [], [], [], []
     for row in rows:
         n, data = row["n"], _opened(row["segments"])
-        mins = np.frombuffer(data, dtype=np.int64, count=n).tolist()
-        lengths = np.frombuffer(data, dtype=np.uint8, count=n, offset=8 * n).astype(np.int64)
-        ends = np.cumsum(lengths)
-        blob, mine = data[10 * n :], []
-        for a, b, place, low in zip((ends - lengths).tolist(), ends.tolist(), data[9 * n : 10 * n], mins):
-            s = blob[a:b]
-            k = number.setdefault(s, len(strings))
-            if k == len(strings):
-                strings.append(s)
-                least.append(low)
-                places.append(place)
-            elif low < least[k]:
-                least[k] = low
-            mine.append(k)
-        asked.append((row["chunk"], mine, mins))
-    # A window is the anchor and 26 bytes around it, so it holds 13 bytes left or right of it: segments that share
-    # neither such string with another segment hold no window of another.
-    sides: dict[bytes, int] = {}
-    reach = (WINDOW - GRAM) // 2
-    keys = []
-    for s, p in zip(strings, places):
-        both = [b"L" + s[p - reach : p + GRAM]] if p >= reach else []
-        if len(s) >= p + GRAM + reach:
-            both.append(b"R" + s[p : p + GRAM + reach])
-        keys.append(both)
-        for k in both:
-            sides[k] = sides.get(k, 0) + 1
-    mixed = [i for i, both in enumerate(keys) if any(sides[k] > 1 for k in both)]
-    mixed.sort(key=lambda i: _gram(strings, places, i))
-    lows = np.array(least, dtype=np.int64)
-    by_window: dict[int, np.ndarray] = {}
-    at, held = 0, 0
-    for n, i in enumerate(mixed):
-        held += len(strings[i]) + 1
-        last = n == len(mixed) - 1
-        if last or held >= MERGED and _gram(strings, places, i) != _gram(strings, places, mixed[n + 1]):
-            part = mixed[at : n + 1]
-            by_window.update(zip(part, least_by_window([strings[k] for k in part], lows[part], shard)))
-            at, held = n + 1, 0
+        counts.append(n)
+        mins.append(np.frombuffer(data, dtype=np.int64, count=n))
+        lengths.append(np.frombuffer(data, dtype=np.uint8, count=n, offset=8 * n))
+        places.append(np.frombuffer(data, dtype=np.uint8, count=n, offset=9 * n))
+        blobs.append(np.frombuffer(data, dtype=np.uint8, offset=10 * n))
+    text, own = np.concatenate(blobs), np.concatenate(mins)
+    length, place = np.concatenate(lengths).astype(np.int64), np.concatenate(places).astype(np.int64)
+    start = np.cumsum(length) - length
+    _, head, same = distinct_texts(text, start, length)
+    least = np.full(len(head), _LAST)
+    np.minimum.at(least, same, own)
+    start, size, place = start[head], length[head], place[head]
+    # A segment that shares no side of its anchor with a different one holds no window of another.
+    left, right = np.nonzero(place >= SIDE)[0], np.nonzero(size >= place + GRAM + SIDE)[0]
+    sides = np.concatenate([hashes_of(text, start[left] + place[left] - SIDE, GRAM + SIDE, 1), hashes_of(text, start[right] + place[right], GRAM + SIDE, 2)])
+    _, at, met = np.unique(sides, return_inverse=True, return_counts=True)
+    mixed = np.unique(np.concatenate([left, right])[met[at] > 1])
+    gram = hashes_of(text, start[mixed] + place[mixed], GRAM)
+    order = np.argsort(gram, kind="stable")
+    mixed, gram = mixed[order], gram[order]
+    # All segments of an anchor stay together; a part ends at the first change of anchor beyond its size.
+    symbols, by_window, begun = np.cumsum(size[mixed] + 1), {}, 0
+    changes = np.append(np.nonzero(gram[1:] != gram[:-1])[0] + 1, len(mixed)) if len(mixed) else np.empty(0, dtype=np.int64)
+    for stop in changes.tolist():
+        if stop < len(mixed) and symbols[stop - 1] - (symbols[begun - 1] if begun else 0) < MERGED:
+            continue
+        part = mixed[begun:stop]
+        strings = [text[a : a + n].tobytes() for a, n in zip(start[part].tolist(), size[part].tolist())]
+        by_window.update(zip(part.tolist(), least_by_window(strings, least[part], shard)))
+        begun = stop
+    is_mixed = np.zeros(len(head), dtype=bool)
+    is_mixed[mixed] = True
     out = []
-    for chunk, mine, mins in asked:
-        counts, froms, tos, found = [], [], [], []
-        for k, own in zip(mine, mins):
-            w = by_window.get(k)
-            if w is None:
-                hit = least[k] < own
-                counts.append(int(hit))
-                if hit:
-                    froms.append(0)
-                    tos.append(len(strings[k]) - WINDOW + 1)
-                    found.append(least[k])
-                continue
-            if least[k] >= own and w.min() >= own:
-                counts.append(0)
+    stop = 0
+    for row, n in zip(rows, counts):
+        mine, low = same[stop : stop + n], own[stop : stop + n]
+        stop += n
+        hits = (least[mine] < low) & ~is_mixed[mine]
+        number = [np.nonzero(hits)[0]]
+        froms, tos, found = [np.zeros(int(hits.sum()), dtype=np.int64)], [size[mine[hits]] - WINDOW + 1], [least[mine[hits]]]
+        for k in np.nonzero(is_mixed[mine])[0].tolist():
+            w = by_window[int(mine[k])]
+            if w.min() >= low[k]:
                 continue
-            cuts = np.nonzero(np.diff(w, prepend=-1))[0].tolist() + [len(w)]
-            n = 0
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                if w[a] < own:
-                    n += 1
-                    froms.append(a)
-                    tos.append(b)
-                    found.append(int(w[a]))
-            counts.append(n)
-        out.append(
-            (chunk, *(np.array(x, dtype=np.uint8).tobytes() for x in (counts, froms, tos)), np.array(found, dtype=np.int64).tobytes())
-        )
+            heads = np.nonzero(np.diff(w, prepend=-1))[0]
+            ends = np.append(heads[1:], len(w))
+            lower = w[heads] < low[k]
+            number.append(np.full(int(lower.sum()), k))
+            froms.append(heads[lower])
+            tos.append(ends[lower])
+            found.append(w[heads[lower]])
+        number, froms, tos, found = (np.concatenate(x) for x in (number, froms, tos, found))
+        packed = _pressed(found.astype(np.int64), number.astype(np.uint32), froms.astype(np.uint8), tos.astype(np.uint8))
+        out.append((row["chunk"], len(number), packed))
     return out
 
 
-def kept_documents(chunk: Chunk, numbers: dict[int, list[tuple[bytes, int, int]]], where: list[tuple[int, int, int, int]], answers: list[dict]) -> Iterator[tuple[int, int, int, int, bytes]]:
+def kept_documents(own: Segments, answers: list[dict]) -> Iterator[tuple[int, int, int, int, bytes]]:
     """``(document, n_bytes, n_removed, n_spans, kept bytes)`` for all documents of a chunk."""
-    runs: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+    chunk = own.chunk
+    begin = dict(zip(own.ranges.tolist(), own.cuts))
+    number, froms, tos, found = [np.arange(len(own.least))], [np.zeros(len(own.least), dtype=np.int64)], [own.length - WINDOW + 1], [own.least]
     for a in answers:
-        at = 0
-        froms, tos = a["froms"], a["tos"]
-        found = np.frombuffer(a["found"], dtype=np.int64).tolist()
-        for number, n in enumerate(a["counts"]):
-            if n:
-                runs[a["range"], number] = [(froms[i], tos[i], found[i]) for i in range(at, at + n)]
-            at += n
-    ids = chunk.ids.tolist()
-    change = np.zeros(len(chunk.bytes) + 1, dtype=np.int64)
-    opened, closed = [], []
-    for r, number, first, doc in where:
-        piece, _, least = numbers[r][number]
-        own = ids[doc]
-        if least < own:
-            opened.append(first)
-            closed.append(first + len(piece))
-            continue
-        for a, b, low in runs.get((r, number), ()):
-            if low < own:
-                opened.append(first + a)
-                closed.append(first + b - 1 + WINDOW)
-    np.add.at(change, np.array(opened, dtype=np.int64), 1)
-    np.add.at(change, np.array(closed, dtype=np.int64), -1)
+        n, data = a["n"], _opened(a["runs"])
+        found.append(np.frombuffer(data, dtype=np.int64, count=n))
+        number.append(np.frombuffer(data, dtype=np.uint32, count=n, offset=8 * n).astype(np.int64) + begin[a["range"]])
+        froms.append(np.frombuffer(data, dtype=np.uint8, count=n, offset=12 * n).astype(np.int64))
+        tos.append(np.frombuffer(data, dtype=np.uint8, count=n, offset=13 * n).astype(np.int64))
+    number, froms, tos, found = (np.concatenate(x) for x in (number, froms, tos, found))
+    order = np.argsort(number, kind="stable")
+    froms, tos, found = froms[order], tos[order], found[order]
+    runs = np.bincount(number, minlength=len(own.least))
+    # Every occurrence with every run of its segment.
+    many = runs[own.segment]
+    each = np.repeat(np.arange(len(own.segment)), many)
+    run = np.repeat((np.cumsum(runs) - runs)[own.segment] - np.cumsum(many) + many, many) + np.arange(len(each))
+    goes = found[run] < chunk.ids[own.doc[each]]
+    each, run = each[goes], run[goes]
+    size = len(chunk.bytes) + 1
+    change = np.bincount(own.first[each] + froms[run], minlength=size) - np.bincount(own.first[each] + tos[run] - 1 + WINDOW, minlength=size)
     gone = np.cumsum(change[:-1]) > 0
     for doc, (end, n) in enumerate(zip(chunk.ends.tolist(), chunk.lengths.tolist())):
         cut = gone[end - n : end]
-        removed = int(cut.sum())
+        removed = int(np.count_nonzero(cut))
         if not removed:
             yield doc, n, 0, 0, chunk.blob[end - n : end]
             continue
-        spans = int(cut[0]) + int((cut[1:] & ~cut[:-1]).sum())
+        spans = int(cut[0]) + int(np.count_nonzero(cut[1:] & ~cut[:-1]))
         yield doc, n, removed, spans, chunk.bytes[end - n : end][~cut].tobytes()
 
 
@@ -573,34 +591,24 @@ def _answered(docs: DataFrame, hot: int, per_range: int, chunk_size: int, carry:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            _, by_range, _ = segments(row, ranges)
-            rows = [
-                (
-                    r,
-                    row["chunk"],
-                    len(own),
-                    _pressed(
-                        np.array([low for _, _, low in own], dtype=np.int64),
-                        np.array([len(s) for s, _, _ in own], dtype=np.uint8),
-                        np.array([p for _, p, _ in own], dtype=np.uint8),
-                        *(s for s, _, _ in own),
-                    ),
-                )
-                for r, own in sorted(by_range.items())
-            ]
+            own = Segments(row, ranges)
+            rows = []
+            for r, a, b in zip(own.ranges.tolist(), own.cuts[:-1], own.cuts[1:]):
+                packed = _pressed(own.least[a:b], own.length[a:b].astype(np.uint8), own.place[a:b].astype(np.uint8), own.text(a, b))
+                rows.append((r, row["chunk"], b - a, packed))
             yield _batch(rows, out)
 
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
         r = rows["range"].iloc[0]
         found = answer(rows.sort_values("chunk").to_dict("records"))
-        return pd.DataFrame([(c, r, *x) for c, *x in found], columns=["chunk", "range", "counts", "froms", "tos", "found"])
+        return pd.DataFrame([(c, r, *x) for c, *x in found], columns=["chunk", "range", "n", "runs"])
 
     answers = materialise(
         marked.mapInArrow(emit, "range int, chunk long, n int, segments binary")
         .groupBy("range")
-        .applyInPandas(meet, "chunk long, range int, counts binary, froms binary, tos binary, found binary")
+        .applyInPandas(meet, "chunk long, range int, n int, runs binary")
         .groupBy("chunk")
-        .agg(F.collect_list(F.struct("range", "counts", "froms", "tos", "found")).alias("answers")),
+        .agg(F.collect_list(F.struct("range", "n", "runs")).alias("answers")),
         "suffix-answers",
     )
     return marked.join(answers.hint("shuffle_hash"), "chunk", "left"), ranges
@@ -613,13 +621,13 @@ def _finished(docs: DataFrame, carry: list[str] | None, with_text: bool, hot: in
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            chunk, by_range, where = segments(row, ranges)
+            own = Segments(row, ranges)
             carried = _opened(row["carried"]).split(b"\n") if with_text else []
             rows = []
-            for doc, n, removed, spans, kept in kept_documents(chunk, by_range, where, row["answers"] or []):
-                own = int(chunk.ids[doc])
+            for doc, n, removed, spans, kept in kept_documents(own, row["answers"] or []):
+                name = int(own.chunk.ids[doc])
                 more = (kept, carried[doc].decode()) if with_text else (None, None)
-                rows.append((None if own == _LAST else own, n, removed, spans, hashlib.sha256(kept).hexdigest(), *more))
+                rows.append((None if name == _LAST else name, n, removed, spans, hashlib.sha256(kept).hexdigest(), *more))
             yield _batch(rows, out)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, carried string"
