@@ -8,17 +8,21 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.quality import observe_step
 from ..operators.select import empty_frame
 from ..schemas import CHILD_ATTRIBUTES, FUND_METRICS, PARENT_ATTRIBUTES, SERIES_ROWS
 from ..session import materialise
 from ..sources.archives import read_archives
+from ..sources.attributes import child_attributes, parent_attributes
+from ..sources.delimited import ORDER_COLUMN
 from ..sources.tables import read_table, write_table
 from .daily_series import CURRENT_PRIORITY, LEGACY_PRIORITY, RAW_FIELDS, quota_series, quota_series_of
 from .dimensions import class_dimension, fee_and_benchmark_lookups, fixed_income, subclass_dimension, treated
 from .fund_metrics import fund_metrics
-from .quality_report import quality_report
+from .landing_zone import DAILY, LINE_COLUMN, MEMBERS, Zone, daily_archives, level_series, member, products, rate_series
+from .quality_report import quality_report, step_rows
 from .reference_series import index_series, missing_essentials
-from .settings import PROFILES, REFERENCE_COLUMNS, SCORING
+from .settings import PROFILES, REFERENCE_COLUMNS, SCORING, SERIES_LOOKBACK_MONTHS
 from .top_list import displayed, top_list
 from .validation import calendar_year_return
 
@@ -45,6 +49,28 @@ class Landed:
     order: tuple[str, ...] = ()
 
 
+def landed_at(zone: Zone, as_of: date, months: int = SERIES_LOOKBACK_MONTHS) -> Landed:
+    """What a run reads of a landing zone: only payloads its manifest knows."""
+    drop = products(zone)
+    monthly, yearly = daily_archives(zone, as_of, months)
+    if not monthly:
+        raise RuntimeError(f"no monthly archive of {DAILY} has landed up to {as_of}")
+    return Landed(
+        **{name: member(zone, name) for name in MEMBERS},
+        current_archives=monthly,
+        legacy_archives=yearly or None,
+        parent_attributes=None if drop is None else parent_attributes(drop, [ORDER_COLUMN]),
+        child_attributes=None if drop is None else child_attributes(drop, [ORDER_COLUMN]).drop(ORDER_COLUMN),
+        reference=rate_series(zone) | level_series(zone),
+        order=(LINE_COLUMN,),
+    )
+
+
+def run_zone(spark: SparkSession, root: str, manifest: DataFrame, out: str, as_of: date) -> dict[str, str]:
+    """:func:`run` on what has landed below ``root`` according to ``manifest``."""
+    return run(spark, landed_at(Zone(spark, root, manifest), as_of), out, as_of)
+
+
 def daily_lines(spark: SparkSession, landed: Landed) -> DataFrame:
     lines = read_archives(spark, landed.current_archives, RAW_FIELDS, priority=CURRENT_PRIORITY)
     if landed.legacy_archives:
@@ -91,7 +117,11 @@ def run(spark: SparkSession, landed: Landed, out: str, as_of: date) -> dict[str,
     sub_fi = publish("silver", "subclass_funds_fixed_income", fixed_income(sub))
     cls_t = publish("silver", "class_funds_fixed_income_treated", treated(cls_fi))
     sub_t = publish("silver", "subclass_funds_fixed_income_treated", treated(sub_fi, stats_from=cls_fi))
-    series = publish("silver", "quota_series", quota_series(daily_lines(spark, landed), as_of))
+    # Counters that ride on the job that writes the series.
+    lines, read = observe_step(daily_lines(spark, landed), "lines read")
+    kept, left = observe_step(quota_series(lines, as_of), "rows kept")
+    series = publish("silver", "quota_series", kept)
+    steps = step_rows(spark, "quota_series", {"lines read": read, "rows kept": left})
     series_fi = publish("silver", "quota_series_fixed_income", quota_series_of(series, cls_fi, sub_fi))
     reference = publish("silver", "index_series", index_series(pieces, as_of))
 
@@ -118,6 +148,6 @@ def run(spark: SparkSession, landed: Landed, out: str, as_of: date) -> dict[str,
                 "index_series": reference,
                 "fund_metrics": metrics,
             }
-        ),
+        ).unionByName(steps),
     )
     return paths

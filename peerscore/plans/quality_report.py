@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.quality import profile_scores, profile_series, profile_table
+from ..operators.quality import REPORT_COLUMNS, profile_scores, profile_series, profile_table
 from ..schemas import CLASS_FUNDS, QUOTA_SERIES, SUBCLASS_FUNDS
 from .settings import REFERENCE_COLUMNS
 
@@ -31,6 +32,15 @@ PROFILED = {
 }
 
 
+def step_rows(spark: SparkSession, table: str, seen: Mapping[str, Observation]) -> DataFrame:
+    """Observed row counts of a table's steps as report rows; the job that observes them must have run."""
+    rows = [(table, "step", step, int(observation.get["rows"])) for step, observation in seen.items()]
+    counts = spark.createDataFrame(rows, "table string, check string, item string, n long")
+    return counts.select(
+        *[F.col(c) if c in counts.columns else F.lit(None).cast("double" if c == "value" else "date").alias(c) for c in REPORT_COLUMNS]
+    )
+
+
 def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Profiles of the given tables; an unknown name is an error, a missing one is skipped."""
     parts = []

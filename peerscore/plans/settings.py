@@ -82,6 +82,7 @@ PROFILES = {
     "Profissional": ["Público Geral", "Qualificado", "Profissional"],
 }
 
+# Weights, thresholds and top-N of the published score (fixed values).
 SCORING = ScoringConfig(
     metrics={
         "information_ratio": MetricSpec("positive", 0.60),
@@ -100,5 +101,3 @@ SCORING = ScoringConfig(
 
 # Look-back of the landing zone (fixed values).
 SERIES_LOOKBACK_MONTHS = 360
-REFERENCE_LOOKBACK_YEARS = 26
-RATE_WINDOW_YEARS = 10

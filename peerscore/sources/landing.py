@@ -73,9 +73,11 @@ def classify_changes(
 
 
 def with_manifest(partitions: DataFrame, manifest: DataFrame, source: str) -> DataFrame:
-    """Rows of those ``competence`` partitions that have a manifest entry."""
-    known = manifest.filter((F.col("source") == source) & F.col("sha256").isNotNull()).select("competence")
-    return partitions.join(known, "competence", "left_semi")
+    """Rows of those ``competence`` partitions that have a manifest entry; a snapshot's competence is null."""
+    known = manifest.filter((F.col("source") == source) & F.col("sha256").isNotNull()).select(
+        F.col("competence").alias("_known")
+    )
+    return partitions.join(known, F.col("competence").eqNullSafe(F.col("_known")), "left_semi")
 
 
 def month_spine(bounds: DataFrame, start: str = "start", end: str = "end") -> DataFrame:

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 import math
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from peerscore.plans import full_run
-from peerscore.sources import archives, attributes, series, tables
+from peerscore.operators.select import empty_frame
+from peerscore.plans import full_run, landing_zone
+from peerscore.schemas import MANIFEST
+from peerscore.sources import landing, tables
 from test_sources import CURRENT, LEGACY, make_zip
 
 AS_OF = date(2025, 12, 31)
@@ -44,9 +46,11 @@ def _history():
     return {"cad_fi_hist_taxa_adm.csv": adm, "cad_fi_hist_rentab.csv": rent}
 
 
-def _quotas(days):
+def _quotas(days, month):
     out = [CURRENT]
     for n, d in enumerate(days):
+        if f"{d:%Y%m}" != month:
+            continue
         for i in range(1, 7):
             level = 100 * (1.0005 + 0.00002 * i) ** n * (1 + 0.004 * math.sin(n * (i + 1)))
             sub = "SUB6" if i == 6 else ""
@@ -54,49 +58,43 @@ def _quotas(days):
     return out
 
 
-def _frame(spark, path, members, member):
-    names = members[member][0].split(";")
-    return archives.read_archives(spark, path, names, member=member).select(*names, "line_no")
+HALF_LANDED = "202503"
 
 
 @pytest.fixture(scope="module")
 def published(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("landing")
     days = list(_business_days(date(2024, 6, 3), AS_OF))
-    registry = (spark, make_zip(root / "registry" / "raw.zip", _registry()), _registry())
-    history = (spark, make_zip(root / "history" / "raw.zip", _history()), _history())
-    current = make_zip(root / "daily" / "raw.zip", {"a.csv": _quotas(days)})
-    legacy = make_zip(root / "legacy" / "raw.zip", {"a.csv": [LEGACY, f"1;{days[0]};1;50;1;0;0;1"]})
-    reference = {}
+    make_zip(root / "cvm_registro_classe" / "raw.zip", _registry())
+    make_zip(root / "cvm_cad_fi_hist" / "raw.zip", _history())
+    for month in sorted({f"{d:%Y%m}" for d in days}):
+        make_zip(root / "cvm_inf_diario" / f"competence={month}" / "raw.zip", {"a.csv": _quotas(days, month)})
+    # A yearly archive is only read for years that lack a month.
+    make_zip(root / "cvm_inf_diario_hist" / "competence=2024" / "raw.zip", {"a.csv": [LEGACY, f"1;{days[0]};1;50;1;0;0;1"]})
     for code in ("cdi", "selic", "ipca"):
-        p = root / f"{code}.json"
+        p = root / f"bcb_{code}" / "raw.json"
+        p.parent.mkdir()
         p.write_text(json.dumps([{"data": d.strftime("%d/%m/%Y"), "valor": "1.05" if code == "ipca" else "0.05"} for d in days if code != "ipca" or d.day < 4]))
-        reference[code] = series.read_json_series(spark, str(p))
-    drop = spark.createDataFrame(
-        [(f"9{i}", str(i), "Classe", None, "Renda Fixa X" if i != 5 else "Multimercado", "Isento") for i in range(1, 7)]
-        + [("96", "6", "Subclasse", "SUB6", "Renda Fixa Y", "Curto Prazo")],
-        "`CNPJ Fundo` string, `CNPJ Classe` string, Estrutura string, `Código CVM Subclasse` string, `Tipo ANBIMA` string, `Tributação Alvo` string",
-    )
-    landed = full_run.Landed(
-        classes=_frame(*registry, "registro_classe.csv"),
-        funds=_frame(*registry, "registro_fundo.csv"),
-        subclasses=_frame(*registry, "registro_subclasse.csv"),
-        current_archives=current,
-        legacy_archives=legacy,
-        admin_fees=_frame(*history, "cad_fi_hist_taxa_adm.csv"),
-        benchmarks=_frame(*history, "cad_fi_hist_rentab.csv"),
-        parent_attributes=attributes.parent_attributes(drop),
-        child_attributes=attributes.child_attributes(drop),
-        reference=reference,
-        order=("line_no",),
-    )
+    drop = ["CNPJ Fundo;CNPJ Classe;Estrutura;Código CVM Subclasse;Tipo ANBIMA;Tributação Alvo"]
+    drop += [f"9{i};{i};Classe;;{'Renda Fixa X' if i != 5 else 'Multimercado'};Isento" for i in range(1, 7)]
+    drop += ["96;6;Subclasse;SUB6;Renda Fixa Y;Curto Prazo"]
+    levels = ["Data de Referência;Número Índice;Outro"] + [f"{d};{1000 + n};x" for n, d in enumerate(days)]
+    for folder, name, lines in (("anbima_175", "raw.csv", drop), ("anbima_indices", "IMAB-Historico.CSV", levels), ("anbima_indices", "unknown.csv", levels)):
+        (root / folder).mkdir(exist_ok=True)
+        (root / folder / name).write_text("\n".join(lines), encoding="latin-1")
+    files = landing_zone.partitions(spark, str(root)).select("source", "competence", "path").distinct()
+    manifest = landing.classify_changes(
+        files.select("source", "competence", "path", F.sha2("path", 256).alias("sha256"), F.lit(1).cast("long").alias("byte_size")),
+        empty_frame(spark, MANIFEST),
+        datetime(2026, 1, 2),
+    ).filter(f"competence IS NULL OR competence <> '{HALF_LANDED}'")
     out = str(tmp_path_factory.mktemp("published"))
-    full_run.run(spark, landed, out, AS_OF)
+    full_run.run_zone(spark, str(root), manifest, out, AS_OF)
 
     def read(layer, name):
         return tables.read_table(spark, out, layer, name, AS_OF)
 
-    read.landed = landed
+    read.landed = full_run.landed_at(landing_zone.Zone(spark, str(root), manifest), AS_OF)
     read.out = out
     return read
 
@@ -120,12 +118,14 @@ def test_dimensions(published):
 def test_series(published):
     qs = published("silver", "quota_series")
     assert qs.filter((F.col("vl_quota") == 50.0)).count() == 1  # the legacy row won its day
+    months = {r.m for r in qs.select(F.date_format("dt_comptc", "yyyyMM").alias("m")).distinct().collect()}
+    assert HALF_LANDED not in months and {"202502", "202504"} < months  # no manifest entry, no rows
     assert qs.groupBy("cnpj_fundo_classe", "id_subclasse", "dt_comptc").count().filter("count > 1").count() == 0
     kept = published("silver", "quota_series_fixed_income")
     assert {r.cnpj_fundo_classe[-1] for r in kept.select("cnpj_fundo_classe").distinct().collect()} == set("12346")
     idx = published("silver", "index_series")
     assert idx.filter("cdi is not null").count() > idx.filter("ipca is not null").count() > 0
-    assert idx.filter("irf_m is not null").count() == 0
+    assert idx.filter("irf_m is not null").count() == 0 < idx.filter("ima_b is not null").count()
 
 
 def test_metrics_and_ranking(published):
@@ -150,6 +150,8 @@ def test_cross_check_and_quality(published):
     assert rows["fund_metrics"] == 5 and rows["class_funds"] == 5
     assert q.filter("check = 'score_bucket'").agg(F.sum("n")).first()[0] == 5
     assert q.filter("table = 'index_series' and check = 'coverage'").count() == 11
+    steps = {r.item: r.n for r in q.filter("check = 'step'").collect()}
+    assert steps["rows kept"] == published("silver", "quota_series").count() and steps["lines read"] > steps["rows kept"]
     nulls = {r.item: r.n for r in q.filter("table = 'fund_metrics' and check = 'nulls'").collect()}
     assert nulls["score"] == 0 and nulls["id_subclasse_cvm"] == 4 and nulls["benchmark"] is None
 
