@@ -77,6 +77,12 @@ def delimited_scan(spark, sf):
     )
 
 
+_LEGACY_HEADER = ["CNPJ_FUNDO", "DT_COMPTC", "VL_QUOTA", "VL_PATRIM_LIQ", "RESG_DIA"]
+_CURRENT_HEADER = [
+    "TP_FUNDO_CLASSE", "CNPJ_FUNDO_CLASSE", "ID_SUBCLASSE", "DT_COMPTC", "VL_TOTAL", "VL_QUOTA", "VL_PATRIM_LIQ", "CAPTC_DIA", "NR_COTST",
+]
+
+
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as raw archive lines of two eras; every third order is legacy."""
     li = f.table(spark, sf, "lineitem")
@@ -101,9 +107,10 @@ def _lines(spark: SparkSession, sf: str) -> DataFrame:
         F.lpad(F.col("l_orderkey").cast("string"), 12, "0").alias("path"),
         F.col("l_linenumber").alias("member_no"),
         (F.col("l_partkey") * 100 + F.col("l_quantity")).cast("bigint").alias("line_no"),
-        F.when(legacy, "CNPJ_FUNDO;DT_COMPTC;VL_QUOTA;VL_PATRIM_LIQ;RESG_DIA")
-        .otherwise("TP_FUNDO_CLASSE;CNPJ_FUNDO_CLASSE;ID_SUBCLASSE;DT_COMPTC;VL_TOTAL;VL_QUOTA;VL_PATRIM_LIQ;CAPTC_DIA;NR_COTST")
-        .alias("header"),
+        F.when(legacy, archives.field_mask(_LEGACY_HEADER, daily_series.RAW_FIELDS))
+        .otherwise(archives.field_mask(_CURRENT_HEADER, daily_series.RAW_FIELDS))
+        .cast("bigint")
+        .alias("fields"),
         *[raw[name].alias(name) for name in daily_series.RAW_FIELDS],
     )
 

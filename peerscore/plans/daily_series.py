@@ -41,8 +41,8 @@ def unify_eras(lines: DataFrame) -> DataFrame:
     The header decides the era, whatever folder the archive lay in; a header
     with neither id column contributes nothing.
     """
-    current = has_field("CNPJ_FUNDO_CLASSE")
-    return lines.filter(current | has_field("CNPJ_FUNDO")).select(
+    current = has_field("CNPJ_FUNDO_CLASSE", RAW_FIELDS)
+    return lines.filter(current | has_field("CNPJ_FUNDO", RAW_FIELDS)).select(
         F.when(current, F.col("TP_FUNDO_CLASSE")).alias("tp_fundo_classe"),
         clean_id(F.when(current, F.col("CNPJ_FUNDO_CLASSE")).otherwise(F.col("CNPJ_FUNDO"))).alias("cnpj_fundo_classe"),
         F.when(current, F.col("ID_SUBCLASSE")).alias("id_subclasse"),

@@ -1,9 +1,9 @@
 """Zip archives of delimited members, expanded to one row per line.
 
-A zip cannot be split, so one archive is one unit of work; members are decoded
-line by line, so memory stays at the archive plus one batch of lines.  The
-Python here only decodes and splits, a batch at a time with Arrow; eras and
-types are resolved by Spark expressions.
+A zip cannot be split, so one archive is one unit of work (of at most 2 GB, the
+limit of Spark's binary files); members are read in blocks, so memory stays at
+the archive plus one block.  The Python here only decodes and splits whole
+blocks with Arrow; eras and types are resolved by Spark expressions.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +21,13 @@ from pyspark.sql import functions as F
 from ..functions.casts import NULL_TOKENS
 from .delimited import SEPARATOR
 
-LINES_PER_BATCH = 10_000
+BLOCK_BYTES = 4 << 20
 LINE_ORDER = ("source_priority", "path", "member_no", "line_no")
 
 
-def _pick(lines: list[str], positions: list[int | None], sep: str) -> list[pa.Array]:
+def _pick(lines: pa.Array, positions: list[int | None], sep: str) -> list[pa.Array]:
     """Fields of all lines by position; null where a line is too short or holds a null token."""
-    parts = pc.split_pattern(pa.array(lines, pa.string()), sep)
+    parts = pc.split_pattern(lines, sep)
     offsets = parts.offsets.to_numpy()
     lengths = np.diff(offsets)
     picked = []
@@ -42,32 +41,57 @@ def _pick(lines: list[str], positions: list[int | None], sep: str) -> list[pa.Ar
     return picked
 
 
+def _line_blocks(raw: io.BufferedIOBase) -> Iterator[pa.Array]:
+    """Whole lines of a member, without their ends, about ``BLOCK_BYTES`` at a time."""
+    rest = b""
+    while block := raw.read(BLOCK_BYTES):
+        whole, found, rest = (rest + block).rpartition(b"\n")
+        if found:
+            yield _lines(whole)
+    if rest:
+        yield _lines(rest)
+
+
+def _lines(block: bytes) -> pa.Array:
+    text = pa.array([block.decode("latin-1")], pa.large_string())
+    return pc.utf8_rtrim(pc.split_pattern(text, "\n").flatten(), characters="\r").cast(pa.string())
+
+
+def field_mask(present: Sequence[str], names: Sequence[str]) -> int:
+    """Which of ``names`` a header has: bit i for name i."""
+    return sum(1 << i for i, n in enumerate(names) if n in present)
+
+
 def _expander(names: list[str], member: str | None, sep: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = ["path", "member", "member_no", "line_no", "header", *names]
+        columns = ["path", "member", "member_no", "line_no", "fields", *names]
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
                     for number, name in enumerate(archive.namelist()):
                         if name != member if member else not name.lower().endswith(".csv"):
                             continue
+                        at: list[int | None] | None = None
+                        seen = 0
                         with archive.open(name) as raw:
-                            text = io.TextIOWrapper(raw, encoding="latin-1")
-                            header = next(text, "").rstrip("\r\n")
-                            found = header.split(sep)
-                            at = [found.index(n) if n in found else None for n in names]
-                            numbered = ((i, s.rstrip("\r\n")) for i, s in enumerate(text, start=1))
-                            kept = ((i, s) for i, s in numbered if s)
-                            while chunk := list(islice(kept, LINES_PER_BATCH)):
-                                n = len(chunk)
+                            for lines in _line_blocks(raw):
+                                if at is None:
+                                    found = lines[0].as_py().split(sep)
+                                    at = [found.index(n) if n in found else None for n in names]
+                                    fields = field_mask(found, names)
+                                numbers = np.arange(seen, seen + len(lines))
+                                seen += len(lines)
+                                kept = pc.and_(pc.not_equal(lines, ""), pa.array(numbers > 0))
+                                lines = lines.filter(kept)
+                                n = len(lines)
                                 yield pa.RecordBatch.from_arrays(
                                     [
-                                        pa.array([path.as_py()] * n, pa.string()),
-                                        pa.array([name] * n, pa.string()),
-                                        pa.array([number] * n, pa.int32()),
-                                        pa.array([i for i, _ in chunk], pa.int64()),
-                                        pa.array([header] * n, pa.string()),
-                                        *_pick([s for _, s in chunk], at, sep),
+                                        pa.repeat(pa.scalar(path.as_py(), pa.string()), n),
+                                        pa.repeat(pa.scalar(name, pa.string()), n),
+                                        pa.repeat(pa.scalar(number, pa.int32()), n),
+                                        pa.array(numbers).filter(kept),
+                                        pa.repeat(pa.scalar(fields, pa.int64()), n),
+                                        *_pick(lines, at, sep),
                                     ],
                                     names=columns,
                                 )
@@ -81,9 +105,10 @@ def expand_archives(
     """``(path, content)`` rows to one row per data line of every ``.csv`` member, or of one.
 
     The named fields become text columns, null where a member's header lacks
-    them; other fields, and fields beyond the header, are cut.
+    them; other fields, and fields beyond the header, are cut.  ``fields``
+    says which of up to 63 names the header has (:func:`has_field`).
     """
-    schema = "path string, member string, member_no int, line_no long, header string"
+    schema = "path string, member string, member_no int, line_no long, fields long"
     schema += "".join(f", `{n}` string" for n in names)
     return archives.select("path", "content").mapInArrow(_expander(list(names), member, sep), schema)
 
@@ -96,6 +121,6 @@ def read_archives(
     return expand_archives(files, names, member).withColumn("source_priority", F.lit(priority))
 
 
-def has_field(name: str, sep: str = SEPARATOR) -> Column:
-    """Whether the line's header names the field."""
-    return F.concat(F.lit(sep), F.col("header"), F.lit(sep)).contains(f"{sep}{name}{sep}")
+def has_field(name: str, names: Sequence[str]) -> Column:
+    """Whether the header of the line's member has the field; ``names`` as given when the line was read."""
+    return F.getbit("fields", F.lit(list(names).index(name))) == 1
