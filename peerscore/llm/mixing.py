@@ -199,3 +199,54 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
         .sortWithinPartitions("position", "_uid", "occurrence")
         .select("row.*")
     )
+
+
+def _time_sql(schedules=SCHEDULES) -> str:
+    """:func:`_time_of` in SQL, for columns ``part`` and ``place``."""
+    cases = []
+    for n, knots in enumerate(schedules):
+        areas = [0.0]
+        for (t0, w0), (t1, w1) in zip(knots[:-1], knots[1:]):
+            areas.append(areas[-1] + (t1 - t0) * (w0 + w1) / 2)
+        inner = ""
+        for (t0, w0), (t1, w1), a0, a1 in zip(knots[:-1], knots[1:], areas[:-1], areas[1:]):
+            due, slope = f"(part * {areas[-1]!r}::DOUBLE - {a0!r}::DOUBLE)", (w1 - w0) / (t1 - t0)
+            root = f"sqrt(greatest({w0 * w0!r}::DOUBLE + {2 * slope!r}::DOUBLE * {due}, 0))"
+            inner += f" WHEN part * {areas[-1]!r}::DOUBLE <= {a1!r}::DOUBLE THEN least({t0!r}::DOUBLE + 2 * {due} / ({root} + {w0!r}::DOUBLE), {t1!r}::DOUBLE)"
+        cases.append(f"WHEN place = {n} THEN CASE{inner} ELSE {knots[-1][0]!r}::DOUBLE END")
+    return f"CASE {' '.join(cases)} END"
+
+
+def mix_sql(documents: str = "documents", weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, passes: int = PASSES) -> str:
+    """:func:`mix` for DuckDB, with ``first_position`` rounded to six places; rows that repeat a doc_id may tie."""
+    word = "[^\\x20\\x09-\\x0D]+"
+    weight = " ".join(f"WHEN {n} THEN {float(w)!r}::DOUBLE" for n, w in enumerate(weights))
+
+    def fill(rows: str, out: str) -> str:
+        return f"""best_{out} AS (SELECT src, arg_min(uid, (abs(size - gap), o, uid)) AS pick, arg_min(size, (abs(size - gap), o, uid)) AS by_
+  FROM {rows} WHERE NOT more AND size > 0 AND size < 2 * gap GROUP BY src),
+{out} AS (SELECT f.* REPLACE (more OR coalesce(uid = pick, FALSE) AS more, gap - coalesce(by_, 0) AS gap)
+  FROM {rows} f LEFT JOIN best_{out} b ON f.src IS NOT DISTINCT FROM b.src)"""
+
+    return f"""WITH docs AS (SELECT doc_id, source AS src, row_number() OVER () AS uid, md5(CAST(doc_id AS VARCHAR)) AS o,
+  CAST(len(regexp_extract_all(coalesce(text, ''), '{word}')) AS BIGINT) AS size FROM {documents}),
+sources AS (SELECT src, CAST(sum(size) AS BIGINT) AS n, (row_number() OVER (ORDER BY src NULLS LAST) - 1) % {len(weights)} AS place FROM docs GROUP BY src),
+weighed AS (SELECT *, CASE place {weight} END AS w, n * {float(passes)!r}::DOUBLE AS cap FROM sources),
+levels AS (SELECT *, cap / w AS ratio,
+  ((sum(n) OVER ())::DOUBLE * {share!r}::DOUBLE - coalesce(sum(cap) OVER b, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER b, 0)) AS level
+  FROM weighed WINDOW b AS (ORDER BY cap / w, src NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+plan AS (SELECT src, n, place, least(cap, coalesce(w * (SELECT arg_min(level, ratio) FROM levels WHERE level <= ratio), cap)) AS target FROM levels),
+ordered AS (SELECT d.*, n, place, target, CASE WHEN n > 0 THEN CAST(floor(target / n) AS INTEGER) ELSE 0 END AS whole,
+  coalesce(sum(size) OVER (PARTITION BY d.src ORDER BY o NULLS LAST, size, uid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM docs d JOIN plan p ON d.src IS NOT DISTINCT FROM p.src),
+first AS (SELECT *, before + size <= target - whole * n AS more FROM ordered),
+gaps AS (SELECT *, target - whole * n - sum(CASE WHEN more THEN size ELSE 0 END) OVER (PARTITION BY src) AS gap FROM first),
+{fill("gaps", "once")},
+{fill("once", "twice")},
+chosen AS (SELECT *, whole + CAST(more AS INTEGER) AS times FROM twice),
+each AS (SELECT *, unnest(range(0, times)) AS occurrence FROM chosen),
+stood AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY src ORDER BY occurrence, o NULLS LAST, size, uid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done,
+  sum(size) OVER (PARTITION BY src) AS whole_size FROM each),
+timed AS (SELECT uid, place, CASE WHEN whole_size > 0 THEN (done + size / 2) / whole_size ELSE 0.5 END AS part FROM stood WHERE occurrence = 0)
+SELECT doc_id, size, n AS source_size, target, CAST(size * times AS BIGINT) AS taken, round(t, 6) AS first_position
+FROM chosen LEFT JOIN (SELECT uid, {_time_sql()} AS t FROM timed) USING (uid)"""

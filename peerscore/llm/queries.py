@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import ann, hamming, html_text, langid, licenses, mixing, packing, simhash, suffix, toxicity
 from .common import table
@@ -42,7 +43,8 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, distance FROM (
 
 
 def op6_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.withColumn("first_position", F.round("first_position", 6))
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,9 +70,9 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op3_license_scan": (op3_license_scan, licenses.scan_sql()),
     "op4_html_main_text": (op4_html_main_text, None),
     "op5_exact_hamming_topk": (op5_exact_hamming_topk, HAMMING_SQL),
-    "op6_mix_to_weights": (op6_mix_to_weights, None),
+    "op6_mix_to_weights": (op6_mix_to_weights, mixing.mix_sql()),
     "op7_simhash_near_dedup": (op7_simhash_near_dedup, None),
-    "op8_suffix_array_dedup": (op8_suffix_array_dedup, None),
+    "op8_suffix_array_dedup": (op8_suffix_array_dedup, suffix.remove_repeats_sql()),
     "op9_toxicity_chain": (op9_toxicity_chain, None),
     "op10_language_centroids": (op10_language_centroids, None),
 }

@@ -662,3 +662,23 @@ def shortened(docs: DataFrame, hot: int = HOT, per_range: int = PER_RANGE, chunk
 def _whole_characters(kept: Column) -> Column:
     """Bytes as text, without the bytes that are part of no whole character."""
     return F.replace(F.make_valid_utf8(kept.cast("string")), F.lit("\ufffd"), F.lit(""))
+
+
+def remove_repeats_sql(documents: str = "documents") -> str:
+    """:func:`remove_repeats` for DuckDB, window by window; for small tables."""
+    return f"""WITH docs AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM {documents}),
+windows AS (SELECT r, doc_id, i, substr(h, 2 * i + 1, {2 * WINDOW}) AS s
+  FROM (SELECT r, doc_id, h, unnest(range(0, greatest(len(h) // 2 - {WINDOW - 1}, 0))) AS i FROM docs)),
+repeated AS (SELECT s, min(coalesce(doc_id, {_LAST})) AS least FROM windows GROUP BY s HAVING count(*) > 1),
+hits AS (SELECT r, i FROM windows JOIN repeated USING (s) WHERE least < coalesce(doc_id, {_LAST})),
+islands AS (SELECT r, i, sum(CASE WHEN i <= before + {WINDOW} THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS g
+  FROM (SELECT *, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM hits)),
+spans AS (SELECT r, g, min(i) AS a, max(i) + {WINDOW} AS b FROM islands GROUP BY r, g),
+pieces AS (
+  SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS a, a AS b FROM spans
+  UNION ALL SELECT r, coalesce(max(spans.b), 0), any_value(len(h) // 2) FROM docs LEFT JOIN spans USING (r) GROUP BY r),
+kept AS (SELECT r, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS k FROM pieces JOIN docs USING (r) GROUP BY r),
+counts AS (SELECT r, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(k)) AS kept_sha256
+FROM docs JOIN kept USING (r) LEFT JOIN counts USING (r)"""
