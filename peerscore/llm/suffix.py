@@ -54,6 +54,9 @@ HOT = 256
 SHARD = 1 << 16
 #: Symbols whose transforms are merged at once; all segments of an anchor stay together.
 MERGED = 1 << 20
+#: Bytes that no UTF-8 text holds; four of them stand for an anchor's gram, which every window of a segment holds whole.
+_CODES = [bytes([c]) for c in (0xC0, 0xC1, *range(0xF5, 0xFF))]
+_CODE = 4
 #: Window starts looked at together when anchors are picked.
 _SLICE = 1 << 19
 _LAST = np.iinfo(np.int64).max
@@ -455,8 +458,8 @@ def merged_blocks(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray,
     return order, block
 
 
-def least_by_window(strings: list[bytes], least: np.ndarray, shard: int = SHARD) -> list[np.ndarray]:
-    """For every string the least of ``least`` over all strings that hold each of its windows."""
+def least_by_window(strings: list[bytes], least: np.ndarray, shard: int = SHARD, window: int = WINDOW) -> list[np.ndarray]:
+    """For every string the least of ``least`` over all strings that hold each of its windows (of an even size)."""
     transforms, places, base = [], [], 0
     group: list[bytes] = []
     held = 0
@@ -469,19 +472,19 @@ def least_by_window(strings: list[bytes], least: np.ndarray, shard: int = SHARD)
             places.append(rows + base)
             base += len(t)
             group, held = [], 0
-    order, block = merged_blocks(transforms, WINDOW)
+    order, block = merged_blocks(transforms, window)
     lengths = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings)) + 1
     starts = np.cumsum(lengths) - lengths
     at = np.concatenate(places)[order]
     string = np.searchsorted(starts, at, side="right") - 1
     offset = at - starts[string]
-    window = offset + WINDOW < lengths[string]
-    at, string, block = at[window], string[window], block[window]
+    whole = offset + window < lengths[string]
+    at, string, block = at[whole], string[whole], block[whole]
     heads = np.nonzero(np.diff(block, prepend=-1))[0]
     found = np.minimum.reduceat(least[string], heads)[np.searchsorted(block[heads], block)]
     out = np.full(int(lengths.sum()), _LAST)
     out[at] = found
-    return [out[a : a + n - WINDOW] for a, n in zip(starts.tolist(), lengths.tolist())]
+    return [out[a : a + n - window] for a, n in zip(starts.tolist(), lengths.tolist())]
 
 
 def answer(rows: list[dict], shard: int = SHARD) -> list[tuple[int, int, bytes]]:
@@ -509,40 +512,49 @@ def answer(rows: list[dict], shard: int = SHARD) -> list[tuple[int, int, bytes]]
     gram = hashes_of(text, start[mixed] + place[mixed], GRAM)
     order = np.argsort(gram, kind="stable")
     mixed, gram = mixed[order], gram[order]
-    # All segments of an anchor stay together; a part ends at the first change of anchor beyond its size.
-    symbols, by_window, begun = np.cumsum(size[mixed] + 1), {}, 0
+    # All segments of an anchor stay together; a part ends at the first change of anchor beyond its size.  A gram is
+    # written as its number in the part, so texts and windows get shorter by what they have in common.
+    symbols, begun, number = np.cumsum(size[mixed] - GRAM + _CODE + 1), 0, 0
+    values: list[np.ndarray] = []
+    strings: list[bytes] = []
     changes = np.append(np.nonzero(gram[1:] != gram[:-1])[0] + 1, len(mixed)) if len(mixed) else np.empty(0, dtype=np.int64)
-    for stop in changes.tolist():
-        if stop < len(mixed) and symbols[stop - 1] - (symbols[begun - 1] if begun else 0) < MERGED:
-            continue
-        part = mixed[begun:stop]
-        strings = [text[a : a + n].tobytes() for a, n in zip(start[part].tolist(), size[part].tolist())]
-        by_window.update(zip(part.tolist(), least_by_window(strings, least[part], shard)))
-        begun = stop
-    is_mixed = np.zeros(len(head), dtype=bool)
-    is_mixed[mixed] = True
-    out = []
-    stop = 0
+    for first, stop in zip(np.append(0, changes[:-1]).tolist(), changes.tolist()):
+        code = b"".join(_CODES[number // len(_CODES) ** k % len(_CODES)] for k in range(_CODE))
+        one = mixed[first:stop]
+        for a, n, p in zip(start[one].tolist(), size[one].tolist(), place[one].tolist()):
+            strings.append(text[a : a + p].tobytes() + code + text[a + p + GRAM : a + n].tobytes())
+        number += 1
+        full = symbols[stop - 1] - (symbols[begun - 1] if begun else 0) >= MERGED or number == len(_CODES) ** _CODE
+        if full or stop == len(mixed):
+            values.extend(least_by_window(strings, least[mixed[begun:stop]], shard, WINDOW - GRAM + _CODE))
+            begun, number, strings = stop, 0, []
+    # Runs of windows of equal least doc_id: of a segment that mixes with no other, all its windows.
+    alone = np.ones(len(head), dtype=bool)
+    alone[mixed] = False
+    alone = np.nonzero(alone)[0]
+    windows = np.concatenate([size[alone] * 0 + 1, size[mixed] - WINDOW + 1])
+    of = np.repeat(np.concatenate([alone, mixed]), windows)
+    value = np.concatenate([least[alone], *values])
+    begins = np.nonzero(np.append(True, (of[1:] != of[:-1]) | (value[1:] != value[:-1])))[0] if len(of) else np.empty(0, dtype=np.int64)
+    base = np.repeat(np.cumsum(windows) - windows, windows)
+    froms, tos = begins - base[begins], np.append(begins[1:], len(of)) - base[begins]
+    of, value = of[begins], value[begins]
+    tos = np.where(np.isin(of, alone, assume_unique=False), size[of] - WINDOW + 1, tos)
+    order = np.argsort(of, kind="stable")
+    froms, tos, value = froms[order], tos[order], value[order]
+    runs = np.bincount(of, minlength=len(head))
+    ahead = np.cumsum(runs) - runs
+    out, stop = [], 0
     for row, n in zip(rows, counts):
         mine, low = same[stop : stop + n], own[stop : stop + n]
         stop += n
-        hits = (least[mine] < low) & ~is_mixed[mine]
-        number = [np.nonzero(hits)[0]]
-        froms, tos, found = [np.zeros(int(hits.sum()), dtype=np.int64)], [size[mine[hits]] - WINDOW + 1], [least[mine[hits]]]
-        for k in np.nonzero(is_mixed[mine])[0].tolist():
-            w = by_window[int(mine[k])]
-            if w.min() >= low[k]:
-                continue
-            heads = np.nonzero(np.diff(w, prepend=-1))[0]
-            ends = np.append(heads[1:], len(w))
-            lower = w[heads] < low[k]
-            number.append(np.full(int(lower.sum()), k))
-            froms.append(heads[lower])
-            tos.append(ends[lower])
-            found.append(w[heads[lower]])
-        number, froms, tos, found = (np.concatenate(x) for x in (number, froms, tos, found))
-        packed = _pressed(found.astype(np.int64), number.astype(np.uint32), froms.astype(np.uint8), tos.astype(np.uint8))
-        out.append((row["chunk"], len(number), packed))
+        many = runs[mine]
+        each = np.repeat(np.arange(n), many)
+        run = np.repeat(ahead[mine] - np.cumsum(many) + many, many) + np.arange(len(each))
+        lower = value[run] < low[each]
+        each, run = each[lower], run[lower]
+        packed = _pressed(value[run].astype(np.int64), each.astype(np.uint32), froms[run].astype(np.uint8), tos[run].astype(np.uint8))
+        out.append((row["chunk"], len(each), packed))
     return out
 
 
