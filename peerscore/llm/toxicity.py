@@ -160,7 +160,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS
     marked = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").select(F.col("doc_id").alias("_doc"), F.col("toxic").cast("int").alias("_toxic"))
     picked = marked.orderBy(F.xxhash64("_doc"), "_doc", "_toxic").limit(limit)
     texts = docs.filter(F.col("text").isNotNull()).select("doc_id", "text")
-    return texts.join(picked, texts["doc_id"] == F.col("_doc")).select("doc_id", F.col("text").cast("string"), F.col("_toxic").alias("toxic"))
+    # ``limit`` numbers bound what the broadcast holds; the texts stay where they are read.
+    return texts.join(F.broadcast(picked), texts["doc_id"] == F.col("_doc")).select("doc_id", F.col("text").cast("string"), F.col("_toxic").alias("toxic"))
 
 
 def chosen_features(rows: DataFrame, most: int = VOCABULARY, least_z: float = LEAST_Z) -> list[str]:
@@ -194,10 +195,20 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> Cha
     first = every.groupBy("key").agg(F.min(F.struct("doc_id", "toxic")).alias("first")).select("key", "first.*").distinct()
     rows = materialise(every.join(first, ["key", "doc_id", "toxic"]).dropDuplicates(["key"]), "toxicity-rows")
     features = Features(chosen_features(rows))
-    place = F.array(*[F.array_contains("features", f).cast("double") for f in features.names])
-    # One row of 0 and 1 for each training row; both numbers are bounded.
-    held = rows.select("doc_id", "toxic", "insult", "contempt", place.alias("x")).orderBy("doc_id", "toxic").limit(limit).toPandas()
-    x = np.stack(held["x"]).astype(np.float64) if len(held) and features.names else np.zeros((len(held), len(features.names)))
+    place = {name: i for i, name in enumerate(features.names)}
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [[place[f] for f in own if f in place] for own in batch["features"].to_pylist()]
+            columns = [batch[c] for c in ("doc_id", "toxic", "insult", "contempt")] + [pa.array(found, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "insult", "contempt", "found"])
+
+    # The places of the features in each training row; both numbers are bounded.
+    small = rows.mapInArrow(coded, "doc_id long, toxic int, insult boolean, contempt boolean, found array<int>")
+    held = small.orderBy("doc_id", "toxic").limit(limit).toPandas()
+    x = np.zeros((len(held), len(place)))
+    for row, found in enumerate(held["found"]):
+        x[row, np.asarray(found, dtype=np.int64)] = 1
     toxic = held["toxic"].to_numpy(dtype=np.int64) > 0
     marks = [held[kind].to_numpy(dtype=bool) & toxic for kind in CATEGORIES[:-1]]
     return fit_chain(features, x, np.column_stack([*marks, toxic]))
