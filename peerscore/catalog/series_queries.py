@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,11 @@ from ..session import materialise
 from . import frames as f
 
 
-def _daily(spark: SparkSession, sf: str) -> DataFrame:
+def _daily(spark: SparkSession, sf: str, extra: Sequence[str] = ()) -> DataFrame:
     """Series rows of known entities up to the reference date."""
     dim = _dim(spark, sf)
-    keyed = match.attach_entity_key(select.on_or_before(f.quotas(spark, sf), "dt_comptc", f.AS_OF), dim)
-    return keyed.select("fund_key", "dt_comptc", "vl_quota", "vl_patrim_liq", "nr_cotst")
+    keyed = match.attach_entity_key(select.on_or_before(f.quotas(spark, sf), "dt_comptc", f.AS_OF), dim, extra)
+    return keyed.select("fund_key", *extra, "dt_comptc", "vl_quota", "vl_patrim_liq", "nr_cotst")
 
 
 def _dim(spark: SparkSession, sf: str) -> DataFrame:
@@ -32,15 +33,16 @@ def _wide(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _reference_monthly(spark: SparkSession, sf: str) -> DataFrame:
-    return reference.monthly_reference_returns(_wide(spark, sf), f.UNITS)
+    long = select.on_or_before(f.reference_long(spark, sf), "data", f.AS_OF).withColumnRenamed("code", "series")
+    return reference.monthly_series_returns(long, f.UNITS)
 
 
-def _flagged(spark: SparkSession, sf: str) -> DataFrame:
-    return returns.flag_jumps(returns.daily_log_returns(_daily(spark, sf)), window=f.WINDOW, sigma=f.SIGMA)
+def _flagged(spark: SparkSession, sf: str, extra: Sequence[str] = ()) -> DataFrame:
+    return returns.flag_jumps(returns.daily_log_returns(_daily(spark, sf, extra)), window=f.WINDOW, sigma=f.SIGMA)
 
 
-def _monthly(spark: SparkSession, sf: str) -> DataFrame:
-    return returns.monthly_returns(returns.drop_jumps(_flagged(spark, sf)))
+def _monthly(spark: SparkSession, sf: str, extra: Sequence[str] = ()) -> DataFrame:
+    return returns.monthly_returns(returns.drop_jumps(_flagged(spark, sf, extra)), carry=extra)
 
 
 def daily_log_returns(spark, sf):
@@ -103,7 +105,7 @@ def reference_returns_long(spark, sf):
 
 
 def excess_statistics(spark, sf):
-    excess = metrics.excess_returns(_monthly(spark, sf), _dim(spark, sf), _reference_monthly(spark, sf))
+    excess = metrics.excess_returns(_monthly(spark, sf, ["benchmark"]), _dim(spark, sf), _reference_monthly(spark, sf))
     out = metrics.excess_statistics(excess)
     return out.select("fund_key", *[f.rounded(c, 9).alias(c) for c in ("excess_mean", "excess_std", "downside_std")])
 
@@ -111,18 +113,18 @@ def excess_statistics(spark, sf):
 def complete_pairs(spark, sf):
     dim = _dim(spark, sf).select("fund_key", F.col("benchmark").alias("benchmark_code"))
     paired = _monthly(spark, sf).join(dim, "fund_key", "left").join(
-        F.broadcast(_reference_monthly(spark, sf)), ["year_month", "benchmark_code"], "left"
+        _reference_monthly(spark, sf), ["year_month", "benchmark_code"], "left"
     )
     return select.complete_pairs(paired, "monthly_ret", "monthly_bench_ret").groupBy("fund_key").agg(F.count("*").alias("months"))
 
 
 def information_ratio(spark, sf):
-    out = metrics.attach_information_ratio(_dim(spark, sf), _monthly(spark, sf), _reference_monthly(spark, sf))
+    out = metrics.attach_information_ratio(_dim(spark, sf).select("fund_key"), _monthly(spark, sf, ["benchmark"]), _reference_monthly(spark, sf))
     return out.select("fund_key", f.rounded("information_ratio").alias("information_ratio"))
 
 
 def sortino_ratio(spark, sf):
-    out = metrics.attach_sortino_ratio(_dim(spark, sf), _monthly(spark, sf), _reference_monthly(spark, sf))
+    out = metrics.attach_sortino_ratio(_dim(spark, sf).select("fund_key"), _monthly(spark, sf, ["benchmark"]), _reference_monthly(spark, sf))
     return out.select("fund_key", f.rounded("sortino_ratio").alias("sortino_ratio"))
 
 

@@ -35,12 +35,14 @@ class MetricInputs:
 def excess_returns(monthly: DataFrame, dim: DataFrame, reference: DataFrame) -> DataFrame:
     """Months in which both the entity and its reference have a return.
 
-    The reference holds one row per configured code and calendar month.
+    The reference holds one row per configured code and calendar month.  The
+    code comes from the dimension, unless ``monthly`` carries ``benchmark``.
     """
-    codes = dim.select("fund_key", F.col("benchmark").alias("benchmark_code"))
+    months = monthly.filter(F.col("monthly_ret").isNotNull())
+    if "benchmark" not in months.columns:
+        months = months.join(dim.select("fund_key", "benchmark"), "fund_key")
     return (
-        monthly.filter(F.col("monthly_ret").isNotNull())
-        .join(codes, "fund_key")
+        months.withColumnRenamed("benchmark", "benchmark_code")
         .join(
             reference.filter(F.col("monthly_bench_ret").isNotNull()),
             ["year_month", "benchmark_code"],

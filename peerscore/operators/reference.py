@@ -60,17 +60,25 @@ def level_returns(long: DataFrame, key: str = "series", date: str = "data", valu
 
 def monthly_reference_returns(
     wide: DataFrame, units: Mapping[str, tuple[str, str]], date: str = "data"
+) -> DataFrame:
+    """:func:`monthly_series_returns` of the columns of a wide table."""
+    return monthly_series_returns(lengthen(wide, list(units), date), units, date)
+
+
+def monthly_series_returns(
+    long: DataFrame, units: Mapping[str, tuple[str, str]], date: str = "data"
 ) -> DataFrame:
     """``(year_month, benchmark_code, monthly_bench_ret)`` of every series in ``units``.
 
-    ``units`` maps a column to (code, unit).  All three units share one
-    aggregation by series and month; the unit then picks its result.
+    ``long`` has ``(series, date, valor)`` rows; ``units`` maps a series to
+    (code, unit).  All three units share one aggregation by series and month;
+    the unit then picks its result.
     """
     codes = {c: code for c, (code, _) in units.items()}
     kinds = {c: kind for c, (_, kind) in units.items()}
     v, d = F.col("valor"), F.col(date)
     monthly = (
-        lengthen(wide, list(units), date)
+        long.filter(F.col("series").isin(*units) & F.col("valor").isNotNull())
         .groupBy("series", month_start(d).alias("year_month"))
         .agg(
             compounded(v).alias("_daily"),

@@ -7,6 +7,8 @@ bounded by the calendar, whatever share of the raw rows its entity had.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -59,10 +61,10 @@ def drop_jumps(daily: DataFrame) -> DataFrame:
 
 
 def month_end_levels(
-    daily: DataFrame, key: str = "fund_key", date: str = "dt_comptc", level: str = "vl_quota"
+    daily: DataFrame, key: str = "fund_key", date: str = "dt_comptc", level: str = "vl_quota", carry: Sequence[str] = ()
 ) -> DataFrame:
-    """Level on an entity's last row of each month, even when that level is null."""
-    return daily.groupBy(key, month_start(F.col(date)).alias("year_month")).agg(
+    """Level on an entity's last row of each month, even when that level is null; ``carry`` names columns the key decides."""
+    return daily.groupBy(key, *carry, month_start(F.col(date)).alias("year_month")).agg(
         F.max_by(level, date).alias("vl_quota_eom")
     )
 
@@ -92,9 +94,9 @@ def period_change(
 
 
 def monthly_returns(
-    daily: DataFrame, key: str = "fund_key", date: str = "dt_comptc", level: str = "vl_quota"
+    daily: DataFrame, key: str = "fund_key", date: str = "dt_comptc", level: str = "vl_quota", carry: Sequence[str] = ()
 ) -> DataFrame:
-    """``(key, year_month, vl_quota_eom, monthly_ret)``."""
+    """``(key, carry.., year_month, vl_quota_eom, monthly_ret)``."""
     return period_change(
-        month_end_levels(daily, key, date, level), "vl_quota_eom", "year_month", "monthly_ret", key
+        month_end_levels(daily, key, date, level, carry), "vl_quota_eom", "year_month", "monthly_ret", key
     )

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import date
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.quality import observe_step
 from ..operators.select import empty_frame
 from ..schemas import CHILD_ATTRIBUTES, FUND_METRICS, PARENT_ATTRIBUTES, SERIES_ROWS
-from ..session import materialise
+from ..session import discard, materialise
 from ..sources.archives import read_archives
 from ..sources.attributes import child_attributes, parent_attributes
 from ..sources.delimited import ORDER_COLUMN
@@ -125,11 +124,16 @@ def run(spark: SparkSession, landed: Landed, out: str, as_of: date) -> dict[str,
     series_fi = publish("silver", "quota_series_fixed_income", quota_series_of(series, cls_fi, sub_fi))
     reference = publish("silver", "index_series", index_series(pieces, as_of))
 
-    metrics = publish(
-        "gold",
-        "fund_metrics",
-        fund_metrics(cls_t, sub_t, series, reference, as_of, store=partial(materialise, label="entity_metrics")).select(*FUND_METRICS.fieldNames()),
-    )
+    stored: list[DataFrame] = []
+
+    def store(df: DataFrame) -> DataFrame:
+        stored.append(materialise(df, "entity_metrics"))
+        return stored[-1]
+
+    scored = fund_metrics(cls_t, sub_t, series, reference, as_of, store=store)
+    metrics = publish("gold", "fund_metrics", scored.select(*FUND_METRICS.fieldNames()))
+    for df in stored:
+        discard(df)
     check = publish("gold", "validacao", calendar_year_return(cls_t, sub_t, series, as_of.year))
     publish("gold", "top_list", displayed(top_list(metrics, cls_t, sub_t, PROFILES, SCORING.top_n)))
     publish(
