@@ -2,44 +2,22 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import materialise, scratch_path
+from ..session import discard, materialise, scratch_path
 
-__all__ = ["WORD", "discard", "materialise", "ordered_by_doc", "running_total", "scratch_path", "table", "word_lists"]
+__all__ = ["WORD", "discard", "materialise", "running_total", "scratch_path", "table"]
 
 #: A word: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_ASCII_UPPER = re.compile("[A-Z]+")
-
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def word_lists(texts: list[bytes | None]) -> list[list[bytes]]:
-    """Words of each UTF-8 text; ``bytes.split`` cuts at exactly the white space :data:`WORD` names."""
-    return [t.split() if t else [] for t in texts]
-
-
-def discard(df: DataFrame) -> None:
-    """Delete the scratch files behind a table of :func:`materialise` that nothing reads any more."""
-    session = df.sparkSession
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/peerscore/" in folder:
-            path = session._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(session._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def ordered_by_doc(*columns: str) -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in columns]
-
-
 def running_total(df: DataFrame, order: list[Column], size: str, alias: str, label: str) -> DataFrame:
     """``df`` with ``alias``: the sum of ``size`` over all rows that come before in ``order``.
 
