@@ -6,6 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +24,9 @@ SESSION_DEFAULTS = {
 }
 
 
+# Scratch paths given out in the current context, where someone records them.
+_RECORD: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
 # Application -> its scratch folder, in local mode without the setting.
 _LOCAL_ROOTS: dict[str, str] = {}
 
@@ -57,7 +63,28 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path below the scratch area."""
-    return f"{scratch_root(spark)}/peerscore/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/peerscore/{label}-{uuid.uuid4().hex}"
+    made = _RECORD.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def recorded_scratch(made: list[str]) -> Iterator[None]:
+    """Adds to ``made`` the scratch paths that are given out inside, for :func:`remove` once nothing reads them."""
+    before = _RECORD.set(made)
+    try:
+        yield
+    finally:
+        _RECORD.reset(before)
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch paths."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -74,8 +101,5 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Delete the scratch files behind a table of :func:`materialise` that nothing reads any more."""
-    session = df.sparkSession
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/peerscore/" in folder:
-            path = session._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(session._jsc.hadoopConfiguration()).delete(path, True)
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    remove(df.sparkSession, [f for f in folders if "/peerscore/" in f])
