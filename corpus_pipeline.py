@@ -12,11 +12,15 @@ again; all but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerscore.llm import mixing, packing, simhash, suffix, toxicity
 from peerscore.llm.common import materialise, table
+from peerscore.session import recorded_scratch, remove
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,12 +45,33 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack_documents(docs)
 
 
+# Scratch tables behind the stage that ran last, by application.
+_LAST_STAGE: dict[str, list[str]] = {}
+
+
+def tidy(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage that first deletes the scratch tables of the one before it.
+
+    A stage begins when the one before has been written, so nothing reads them any more.
+    """
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        app = spark.sparkContext.applicationId
+        remove(spark, _LAST_STAGE.pop(app, []))
+        made = _LAST_STAGE[app] = []
+        with recorded_scratch(made):
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("near_duplicates", drop_near_duplicates),
-    ("repeated_strings", drop_repeated_strings),
-    ("mixture", mix_sources),
-    ("packing", pack_sequences),
+    ("toxicity", tidy(drop_toxic)),
+    ("near_duplicates", tidy(drop_near_duplicates)),
+    ("repeated_strings", tidy(drop_repeated_strings)),
+    ("mixture", tidy(mix_sources)),
+    ("packing", tidy(pack_sequences)),
 ]
 
 #: Trained models, hashes of shingles and token ids are beyond SQL; a test compares the stages with brute force.
