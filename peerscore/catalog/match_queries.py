@@ -86,16 +86,21 @@ def override_attributes(spark, sf):
 _PASS_VALUES = ["segment", "owner"]
 
 
+def _per(key: Column, n: int) -> Column:
+    """Keys of groups of ``n``: as many as the keys allow, so their number grows with the table."""
+    return F.floor(key / n).cast("bigint")
+
+
 def _pass_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     base = f.table(spark, sf, "customer").select(
         F.col("c_custkey").cast("string").alias("entity_id"),
-        (F.col("c_custkey") % 211).alias("k1"),
+        _per(F.col("c_custkey"), 7).alias("k1"),
         (F.col("c_custkey") % 7).alias("k2"),
     )
     o = f.table(spark, sf, "orders")
     attrs = o.select(
         F.when(F.col("o_orderkey") % 3 == 0, F.col("o_custkey").cast("string")).alias("code"),
-        (F.col("o_custkey") % 211).alias("k1"),
+        _per(F.col("o_custkey"), 7).alias("k1"),
         (F.col("o_orderkey") % 11).alias("k2"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("segment"),
         F.col("o_orderpriority").alias("owner"),
@@ -152,7 +157,7 @@ def _registries(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, Dat
     status = F.when(F.col("c_acctbal") >= 0, "OPEN").otherwise("CLOSED")
     classes = f.table(spark, sf, "customer").select(
         F.col("c_custkey").alias("ID_Registro_Classe"),
-        (F.col("c_custkey") % 97).alias("ID_Registro_Fundo"),
+        _per(F.col("c_custkey"), 15).alias("ID_Registro_Fundo"),
         F.concat(F.lit("CN/"), F.col("c_custkey").cast("string")).alias("CNPJ_Classe"),
         F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")).alias("Denominacao_Social"),
         status.alias("Situacao"),
@@ -169,7 +174,7 @@ def _registries(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, Dat
         F.concat(F.col("s_name"), F.lit(" ")).alias("Denominacao_Social"),
     )
     subs = f.table(spark, sf, "part").select(
-        (F.col("p_partkey") % 150 * 3).alias("ID_Registro_Classe"),
+        (_per(F.col("p_partkey"), 4) * 3).alias("ID_Registro_Classe"),
         F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("ID_Subclasse"),
         F.concat(F.lit(" "), F.col("p_name")).alias("Denominacao_Social"),
         F.lit("OPEN").alias("Situacao"),
@@ -185,7 +190,7 @@ def _drop_table(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as the attribute drop: classes by customer, subclasses by part number."""
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     return f.table(spark, sf, "orders").select(
-        F.concat(F.lit("F-"), (c % 97).cast("string")).alias("CNPJ do Fundo"),
+        F.concat(F.lit("F-"), _per(c, 15).cast("string")).alias("CNPJ do Fundo"),
         F.concat(F.lit("CN/"), c.cast("string")).alias("cnpj classe"),
         F.when(k % 4 == 0, F.lit(" Subclasse")).otherwise(F.lit("CLASSE ")).alias("Estrutura"),
         F.when(k % 8 == 0, F.concat(F.lit(" P"), (k / 8).cast("bigint").cast("string"))).alias("Código CVM Subclasse"),
@@ -202,7 +207,7 @@ def _fee_history(spark: SparkSession, sf: str, value: str, since: str, shown) ->
     li = f.table(spark, sf, "lineitem")
     return _text(
         li.select(
-            F.concat(F.lit("F-"), (F.col("l_suppkey") % 97).cast("string")).alias("CNPJ_FUNDO"),
+            F.concat(F.lit("F-"), F.col("l_suppkey").cast("string")).alias("CNPJ_FUNDO"),
             F.when(F.col("l_orderkey") % 10 != 0, F.date_format("l_shipdate", "yyyy-MM-dd")).alias(since),
             shown.alias(value),
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line"),
@@ -275,7 +280,7 @@ def treated_subclass_dimension(spark, sf):
 
 
 _ID = "lpad(regexp_replace({0}, '\\D', '', 'g'), 14, '0')"
-_DROP_SQL = f"""drops AS (SELECT {_ID.format("'F-' || CAST(o_custkey % 97 AS VARCHAR)")} AS cnpj_fundo,
+_DROP_SQL = f"""drops AS (SELECT {_ID.format("'F-' || CAST(o_custkey // 15 AS VARCHAR)")} AS cnpj_fundo,
   lpad(CAST(o_custkey AS VARCHAR), 14, '0') AS cnpj_classe,
   CASE WHEN o_orderkey % 4 = 0 THEN 'sub' ELSE 'cls' END AS kind,
   CASE WHEN o_orderkey % 8 = 0 THEN 'P' || CAST(o_orderkey // 8 AS VARCHAR) END AS codigo_cvm_subclasse,
@@ -285,8 +290,8 @@ _DROP_SQL = f"""drops AS (SELECT {_ID.format("'F-' || CAST(o_custkey % 97 AS VAR
   CASE WHEN o_orderkey % 9 <> 0 THEN o_orderkey % 60 END AS prazo_de_resgate, o_orderkey FROM orders)"""
 _ATTRS = ", ".join(ATTRIBUTE_COLUMNS)
 _FEE_SQL = """{0} AS (SELECT cnpj_fundo, v AS {1} FROM (
-  SELECT lpad(CAST(l_suppkey % 97 AS VARCHAR), 14, '0') AS cnpj_fundo, {2} AS v,
-    row_number() OVER (PARTITION BY l_suppkey % 97 ORDER BY CASE WHEN l_orderkey % 10 <> 0 THEN CAST(l_shipdate AS DATE) END DESC NULLS LAST,
+  SELECT lpad(CAST(l_suppkey AS VARCHAR), 14, '0') AS cnpj_fundo, {2} AS v,
+    row_number() OVER (PARTITION BY l_suppkey ORDER BY CASE WHEN l_orderkey % 10 <> 0 THEN CAST(l_shipdate AS DATE) END DESC NULLS LAST,
       l_orderkey * 10 + l_linenumber, {2}) AS rn FROM lineitem) WHERE rn = 1)"""
 _LOOKUP_SQL = ",\n".join(
     [
@@ -301,8 +306,8 @@ _CLASS_SQL = f"""cls AS (SELECT lpad(CAST(s_suppkey AS VARCHAR), 14, '0') AS cnp
   s_name AS denom_social_fundo, c_name AS denom_social_classe, CASE WHEN c_acctbal >= 0 THEN 'OPEN' ELSE 'CLOSED' END AS situacao,
   CASE WHEN c_custkey % 5 <> 0 THEN DATE '1999-01-01' + CAST(c_custkey % 900 AS INTEGER) END AS data_de_inicio, 'N' AS exclusivo,
   c_mktsegment AS publico_alvo, 'Aberto' AS condominio
- FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey % 97
- WHERE c_custkey NOT IN (SELECT p_partkey % 150 * 3 FROM part)),
+ FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey // 15
+ WHERE c_custkey NOT IN (SELECT p_partkey // 4 * 3 FROM part)),
 full_cls AS (SELECT cls.*, {_ATTRS}, taxa_adm, taxa_perform, benchmark FROM cls
  LEFT JOIN pattrs USING (cnpj_fundo, cnpj_classe) LEFT JOIN adm USING (cnpj_fundo) LEFT JOIN perf USING (cnpj_fundo) LEFT JOIN rent USING (cnpj_fundo))"""
 _SUB_SQL = f"""p1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY codigo_cvm_subclasse ORDER BY {_ATTRS}) AS rn
@@ -312,7 +317,7 @@ p2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cnpj_fundo, cnpj
 sub AS (SELECT lpad(CAST(s_suppkey AS VARCHAR), 14, '0') AS cnpj_fundo, lpad(CAST(c_custkey AS VARCHAR), 14, '0') AS cnpj_classe,
   'P' || CAST(p_partkey AS VARCHAR) AS id_subclasse_cvm, p_name AS denom_social_subclasse, 'OPEN' AS situacao, DATE '2001-02-03' AS data_de_inicio,
   'S' AS exclusivo, p_brand AS publico_alvo, p_type AS condominio
- FROM part LEFT JOIN customer ON c_custkey = p_partkey % 150 * 3 LEFT JOIN supplier ON s_suppkey = c_custkey % 97),
+ FROM part LEFT JOIN customer ON c_custkey = p_partkey // 4 * 3 LEFT JOIN supplier ON s_suppkey = c_custkey // 15),
 full_sub AS (SELECT sub.*, {', '.join(f'coalesce(p1.{a}, p2.{a}) AS {a}' for a in ATTRIBUTE_COLUMNS)}, taxa_adm, taxa_perform, benchmark FROM sub
  LEFT JOIN p1 ON p1.codigo_cvm_subclasse = sub.id_subclasse_cvm
  LEFT JOIN p2 ON p2.cnpj_fundo = sub.cnpj_fundo AND p2.cnpj_classe = sub.cnpj_classe
@@ -336,8 +341,8 @@ _DIM_SQL = f"WITH {_DROP_SQL},\n{_PARENT_SQL},\n{_LOOKUP_SQL},\n{_CLASS_SQL}"
 _BASE_SQL = "base AS (SELECT * FROM full_cls WHERE classificacao_anbima LIKE 'Renda Fixa%')"
 _SUBDIM_SQL = f"WITH {_DROP_SQL},\n{_LOOKUP_SQL},\n{_SUB_SQL}"
 
-_PASS_SQL = """WITH base AS (SELECT CAST(c_custkey AS VARCHAR) AS entity_id, c_custkey % 211 AS k1, c_custkey % 7 AS k2 FROM customer),
-attrs AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR) END AS code, o_custkey % 211 AS k1, o_orderkey % 11 AS k2,
+_PASS_SQL = """WITH base AS (SELECT CAST(c_custkey AS VARCHAR) AS entity_id, c_custkey // 7 AS k1, c_custkey % 7 AS k2 FROM customer),
+attrs AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR) END AS code, o_custkey // 7 AS k1, o_orderkey % 11 AS k2,
   CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS segment, o_orderpriority AS owner, o_orderkey FROM orders),
 p1 AS (SELECT * FROM attrs WHERE code IS NOT NULL QUALIFY row_number() OVER (PARTITION BY code ORDER BY o_orderkey) = 1),
 p2 AS (SELECT * FROM attrs WHERE code IS NULL QUALIFY row_number() OVER (PARTITION BY k1, k2 ORDER BY o_orderkey) = 1),
