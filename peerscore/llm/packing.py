@@ -42,11 +42,9 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def shared_cache(path: str) -> dict[bytes, bytes]:
-    """This worker's cache; looked up by name, since functions sent to tasks carry their globals along."""
-    from . import packing
-
-    return packing._IDS_OF.setdefault(path, {})
+def cached_ids(path: str) -> dict[bytes, bytes]:
+    """This worker's cache for a tokenizer file."""
+    return _IDS_OF.setdefault(path, {})
 
 
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = SEQUENCE, end: int = END) -> DataFrame:
@@ -65,7 +63,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = SEQUENCE, e
         from tokenizers import Tokenizer
 
         encode = Tokenizer.from_file(path).encode_batch
-        ids = shared_cache(path)
+        ids = cached_ids(path)
         tail = np.array([end], dtype="<u4").tobytes()
         step = 4 * capacity
         for batch in batches:
