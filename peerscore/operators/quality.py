@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from .ranking import average_ranks
+
 REPORT_COLUMNS = ("table", "check", "item", "n", "value", "first_date", "last_date")
 
 # Half-open score buckets (fixed values); the last one takes in 100.
@@ -78,22 +80,27 @@ def score_buckets(df: DataFrame, score: str = "score") -> DataFrame:
     )
 
 
-def score_summary(df: DataFrame, score: str = "score") -> DataFrame:
-    """One row: count, min, median, mean and max; no scores, no rows.
+def median_of(df: DataFrame, value: str) -> Column:
+    """Scalar: the exact median of a column of any size, from the values' ranks."""
+    ranks = average_ranks(df, value)
+    half = (F.col("n") - 1) / 2
+    total = df.agg(F.count(value).alias("total")).scalar()
 
-    The exact median keeps a count per distinct value: a score has two
-    decimals between 0 and 100, so at most 10,001 of them.
-    """
+    def at(position: Column) -> Column:
+        covers = (F.col("avg_rank") - half <= position) & (position <= F.col("avg_rank") + half)
+        return F.max(F.when(covers, F.col("value")))
+
+    lower, upper = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1
+    return ranks.withColumn("total", total).agg(((at(lower) + at(upper)) / 2).alias("median")).scalar()
+
+
+def score_summary(df: DataFrame, score: str = "score") -> DataFrame:
+    """One row: count, min, median, mean and max; no scores, no rows."""
     return (
-        df.filter(F.col(score).isNotNull())
-        .agg(
-            F.count("*").alias("n"),
-            F.min(score).alias("min"),
-            F.median(score).alias("median"),
-            F.avg(score).alias("mean"),
-            F.max(score).alias("max"),
-        )
+        df.agg(F.count(score).alias("n"), F.min(score).alias("min"), F.avg(score).alias("mean"), F.max(score).alias("max"))
         .filter(F.col("n") > 0)
+        .withColumn("median", median_of(df, score))
+        .select("n", "min", "median", "mean", "max")
     )
 
 
