@@ -3,7 +3,7 @@
 A string of ``WINDOW`` bytes is removed wherever it also starts in a document
 with a smaller doc_id.  Steps:
 
-1. Documents are written once as chunks of a few MB, bucketed by chunk, with
+1. Documents are written once as chunks of about a MB, bucketed by chunk, with
    the *anchors* of their text: every window picks its least 24-byte gram by
    hash, so equal windows pick equal anchors wherever they stand.
 2. Every window holds 13 bytes left or 13 bytes right of its anchor.  If an
@@ -42,23 +42,25 @@ GRAM = 24
 #: Grams a window holds, and so the reach of an anchor.
 SPAN = WINDOW - GRAM + 1
 #: Bytes of text a chunk holds, unless one document is longer.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 #: Text behind a bucket of chunks, on average.
-PER_BUCKET = 24 << 20
+PER_BUCKET = 12 << 20
 #: Text behind a range of anchor hashes, on average.
 PER_RANGE = 6 << 20
 MOST_BUCKETS = 20_000
 #: Chunks that share a side of an anchor before its windows are dealt one by one.
-HOT = 256
+HOT = 512
 #: Symbols of a shard that gets a transform of its own.
 SHARD = 1 << 16
 #: Symbols whose transforms are merged at once; all segments of an anchor stay together.
-MERGED = 1 << 20
+MERGED = 1 << 19
 #: Bytes that no UTF-8 text holds; four of them stand for an anchor's gram, which every window of a segment holds whole.
 _CODES = [bytes([c]) for c in (0xC0, 0xC1, *range(0xF5, 0xFF))]
 _CODE = 4
 #: Window starts looked at together when anchors are picked.
-_SLICE = 1 << 19
+_SLICE = 1 << 17
+#: Texts hashed together.
+_ROWS = 1 << 13
 _LAST = np.iinfo(np.int64).max
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -229,8 +231,8 @@ def hashes_of(text: np.ndarray, first: np.ndarray, length: np.ndarray | int, see
     length = np.broadcast_to(np.asarray(length, dtype=np.int64), first.shape)
     out = np.empty(len(first), dtype=np.uint64)
     width = -(-int(length.max(initial=1)) // 8) * 8
-    for at in range(0, len(first), 1 << 15):
-        start, size = first[at : at + (1 << 15)], length[at : at + (1 << 15)]
+    for at in range(0, len(first), _ROWS):
+        start, size = first[at : at + _ROWS], length[at : at + _ROWS]
         place = start[:, None] + np.arange(width)
         held = text[np.minimum(place, len(text) - 1)]
         held[np.arange(width) >= size[:, None]] = 0
@@ -238,7 +240,7 @@ def hashes_of(text: np.ndarray, first: np.ndarray, length: np.ndarray | int, see
         for word in held.view(np.uint64).T:
             h = (h ^ (h >> np.uint64(31))) * _M2 + word * _M3
             h ^= h >> np.uint64(29)
-        out[at : at + (1 << 15)] = _mixed(h)
+        out[at : at + _ROWS] = _mixed(h)
     return out
 
 
