@@ -6,20 +6,22 @@ with a smaller doc_id.  Steps:
 1. Documents are written once as chunks of about a MB, bucketed by chunk, with
    the *anchors* of their text: every window picks its least 24-byte gram by
    hash, so equal windows pick equal anchors wherever they stand.
-2. Every window holds 13 bytes left or 13 bytes right of its anchor.  If an
-   anchor shares neither side with another document, no window of it repeats.
-   Sorted hashes of sides go to hash ranges, which answer with one bit each.
-3. What surrounds the other anchors (all windows that picked it: a segment) is
-   dealt by anchor, each distinct segment once for a chunk with its least
-   doc_id.  All equal windows meet there.
-4. Segments that share an anchor but differ are split over shards; each shard
+2. Every window holds 13 bytes left of its anchor or, if not, 13 bytes right of
+   it.  If no other document has that side, with the anchor, the window does not
+   repeat.  Sorted hashes of sides go to hash ranges, which answer with one bit
+   each.
+3. The windows of an anchor with the left side, and those without it, are a
+   segment each.  Segments of shared sides are dealt by side, each distinct
+   segment once for a chunk with its least doc_id.  All equal windows meet there.
+4. Segments that share a side but differ are split over shards; each shard
    gets its Burrows-Wheeler transform, and the transforms are merged by
    refining their interleaving two symbols a round.  After ``WINDOW`` symbols
    the blocks of the interleaving are the windows that repeat; the least
    doc_id of each block goes back to the chunks.
 
-An anchor with a side found in ``HOT`` chunks or more is not dealt by anchor but
-window by window, so no task holds all texts around a frequent passage.
+Segments of a side found in ``HOT`` chunks or more are not dealt by side but
+window by window, so no task holds all texts around a frequent passage.  Equal
+windows have equal sides, so they are always dealt alike.
 """
 
 from __future__ import annotations
@@ -48,11 +50,11 @@ PER_BUCKET = 12 << 20
 #: Text behind a range of anchor hashes, on average.
 PER_RANGE = 6 << 20
 MOST_BUCKETS = 20_000
-#: Chunks that share a side of an anchor before its windows are dealt one by one.
+#: Chunks that share a side of an anchor before the windows with it are dealt one by one.
 HOT = 512
 #: Symbols of a shard that gets a transform of its own.
 SHARD = 1 << 16
-#: Symbols whose transforms are merged at once; all segments of an anchor stay together.
+#: Symbols whose transforms are merged at once; a range's segments of an anchor stay together.
 MERGED = 1 << 19
 #: Bytes that no UTF-8 text holds; four of them stand for an anchor's gram, which every window of a segment holds whole.
 _CODES = [bytes([c]) for c in (0xC0, 0xC1, *range(0xF5, 0xFF))]
@@ -260,16 +262,19 @@ class Chunk:
         self.last = self.position - packed[n : 2 * n]
         self.doc = np.searchsorted(self.ends, self.position, side="right")
 
-    def sides_by_range(self, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, dict[int, tuple[int, int]]]:
+    def sides_by_range(self, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, dict[int, tuple[int, int]]]:
         """Distinct hashes of what stands beside anchors.
 
         Gives the hashes in order (48 bits; meeting by chance only means more
-        work), the anchor of each side, the place of each side among the
-        hashes, whether two documents share a hash, and each range's part.
+        work), the anchor of each side, its first and last window, the place of
+        each side among the hashes, whether two documents share a hash, and each
+        range's part.  A window with both sides belongs to the left one.
         """
         left = np.nonzero(self.first <= self.position - SIDE)[0]
-        right = np.nonzero(self.last >= self.position - SIDE)[0]
+        right = np.nonzero(self.last > self.position - SIDE)[0]
         anchor = np.concatenate([left, right])
+        first = np.concatenate([self.first[left], np.maximum(self.first[right], self.position[right] - SIDE + 1)])
+        last = np.concatenate([np.minimum(self.last[left], self.position[left] - SIDE), self.last[right]])
         h = np.concatenate([
             hashes_of(self.bytes, self.position[left] - SIDE, GRAM + SIDE, 1),
             hashes_of(self.bytes, self.position[right], GRAM + SIDE, 2),
@@ -281,7 +286,7 @@ class Chunk:
         np.maximum.at(most, at, self.doc[anchor])
         present, starts = np.unique(range_of(distinct, ranges), return_index=True)
         stops = [*starts[1:].tolist(), len(distinct)]
-        return distinct, anchor, at, least != most, dict(zip(present.tolist(), zip(starts.tolist(), stops)))
+        return distinct, anchor, first, last, at, least != most, dict(zip(present.tolist(), zip(starts.tolist(), stops)))
 
 
 def range_of(h: np.ndarray, ranges: int) -> np.ndarray:
@@ -316,7 +321,7 @@ def repeated_anchors(chunks: DataFrame, ranges: int, hot: int) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            distinct, _, _, _, parts = Chunk(row).sides_by_range(ranges)
+            distinct, *_, parts = Chunk(row).sides_by_range(ranges)
             yield _batch([(r, row["chunk"], _six_bytes(distinct[a:b])) for r, (a, b) in parts.items()], out)
 
     def count(rows: pd.DataFrame) -> pd.DataFrame:
@@ -340,36 +345,34 @@ def repeated_anchors(chunks: DataFrame, ranges: int, hot: int) -> DataFrame:
 
 
 class Segments:
-    """What surrounds the anchors of a chunk that two documents share.
+    """What surrounds the anchors of a chunk with a side that two documents share.
 
     Distinct segments are in the order of their range; ``number`` counts them
     within it.  ``segment``, ``first`` and ``doc`` belong to occurrences.  A
-    segment of a hot anchor is cut into single windows.
+    segment of a hot side is cut into single windows.
     """
 
     def __init__(self, row: dict, ranges: int) -> None:
         self.chunk = chunk = Chunk(row)
-        distinct, anchor, at, shared, parts = chunk.sides_by_range(ranges)
+        distinct, anchor, first, last, at, shared, parts = chunk.sides_by_range(ranges)
         hot = np.zeros(len(distinct), dtype=bool)
         for mark in row["marks"] or []:
             a, b = parts[mark["range"]]
             shared[a:b] |= np.unpackbits(np.frombuffer(mark["shared"], dtype=np.uint8), count=b - a).astype(bool)
             hot[a:b] |= np.unpackbits(np.frombuffer(mark["hot"], dtype=np.uint8), count=b - a).astype(bool)
-        wanted, windowed = np.zeros(len(chunk.position), dtype=bool), np.zeros(len(chunk.position), dtype=bool)
-        wanted[anchor[shared[at]]] = True
-        windowed[anchor[hot[at]]] = True
-        plain, cut = np.nonzero(wanted & ~windowed)[0], np.nonzero(wanted & windowed)[0]
-        grams = hashes_of(chunk.bytes, chunk.position[plain], GRAM) >> np.uint64(16)
-        sizes = chunk.last[cut] - chunk.first[cut] + 1
+        plain, cut = np.nonzero((shared & ~hot)[at])[0], np.nonzero((shared & hot)[at])[0]
+        sizes = last[cut] - first[cut] + 1
         each = np.repeat(cut, sizes)
-        window = chunk.first[each] + np.arange(len(each)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        window = first[each] + np.arange(len(each)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         own = hashes_of(chunk.bytes, window, WINDOW) >> np.uint64(16)
-        self.first = np.concatenate([chunk.first[plain], window])
-        length = np.concatenate([chunk.last[plain] - chunk.first[plain] + WINDOW, np.full(len(window), WINDOW)])
-        place = np.concatenate([chunk.position[plain], chunk.position[each]]) - self.first
-        self.doc = np.concatenate([chunk.doc[plain], chunk.doc[each]])
-        part = range_of(np.concatenate([grams, own]), ranges)
-        _, head, same = distinct_texts(chunk.bytes, self.first, length)
+        self.first = np.concatenate([first[plain], window])
+        length = np.concatenate([last[plain] - first[plain] + WINDOW, np.full(len(window), WINDOW)])
+        of = np.concatenate([anchor[plain], anchor[each]])
+        place = chunk.position[of] - self.first
+        self.doc = chunk.doc[of]
+        part = range_of(np.concatenate([distinct[at[plain]], own]), ranges)
+        # Equal texts can have anchors, and so sides, at several places; single windows are dealt by their text alone.
+        _, head, same = distinct_texts(chunk.bytes, self.first, length, np.append(place[: len(plain)] + 1, np.zeros(len(window), dtype=np.int64)))
         least = np.full(len(head), _LAST)
         np.minimum.at(least, same, chunk.ids[self.doc])
         order = np.argsort(part[head], kind="stable")
@@ -387,9 +390,11 @@ class Segments:
         return self.chunk.bytes[place].tobytes()
 
 
-def distinct_texts(text: np.ndarray, first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first occurrence and number of the distinct ``text[first : first + length]``, told apart by 128 bits."""
+def distinct_texts(text: np.ndarray, first: np.ndarray, length: np.ndarray, kind: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first occurrence and number of the distinct ``text[first : first + length]`` (of a ``kind``), told apart by 128 bits."""
     one, two = hashes_of(text, first, length, 3), hashes_of(text, first, length, 4)
+    if kind is not None:
+        one, two = _mixed(one + kind.astype(np.uint64) * _M2), _mixed(two + kind.astype(np.uint64) * _M3)
     distinct, head, same = np.unique(one, return_index=True, return_inverse=True)
     if (two[head][same] != two).any():
         both = np.stack([one, two], axis=1)
@@ -514,7 +519,7 @@ def answer(rows: list[dict], shard: int = SHARD) -> list[tuple[int, int, bytes]]
     gram = hashes_of(text, start[mixed] + place[mixed], GRAM)
     order = np.argsort(gram, kind="stable")
     mixed, gram = mixed[order], gram[order]
-    # All segments of an anchor stay together; a part ends at the first change of anchor beyond its size.  A gram is
+    # All segments of an anchor in a range stay together; a part ends at the first change of anchor beyond its size.  A gram is
     # written as its number in the part, so texts and windows get shorter by what they have in common.
     symbols, begun, number = np.cumsum(size[mixed] - GRAM + _CODE + 1), 0, 0
     values: list[np.ndarray] = []

@@ -256,6 +256,20 @@ def test_repeats_equal_brute_force(spark, hot):
     assert sorted((tuple(r) for r in got), key=key) == sorted(_removed(rows), key=key)
 
 
+def test_repeats_beside_a_hot_passage(spark):
+    """Documents in chunks of their own that share one rare side of an anchor, whose other side is hot for one of them."""
+    rng = random.Random(4)
+    passage = prose(rng, 40)
+    texts = [passage + prose(rng, 10) for _ in range(6)] + [prose(rng, 10) + passage for _ in range(6)]
+    for i in range(30):
+        tail = prose(rng, 12)
+        texts += [passage + tail, prose(rng, 5) + passage[-20 - i % 10 :] + tail]
+        texts += [tail[::-1] + passage, tail[::-1] + passage[: 20 + i % 10] + prose(rng, 5)]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    got = suffix.remove_repeats(docs(spark, rows).repartition(2), hot=3, per_range=200, chunk_size=1).collect()
+    assert sorted(map(tuple, got)) == sorted(_removed(rows))
+
+
 def test_shortened_keeps_all_columns(spark):
     rows = _repeating_rows()
     df = docs(spark, rows)
