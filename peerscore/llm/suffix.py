@@ -59,7 +59,7 @@ MERGED = 1 << 19
 #: Bytes that no UTF-8 text holds; four of them stand for an anchor's gram, which every window of a segment holds whole.
 _CODES = [bytes([c]) for c in (0xC0, 0xC1, *range(0xF5, 0xFF))]
 _CODE = 4
-#: Window starts looked at together when anchors are picked.
+#: Anchor positions looked at together.
 _SLICE = 1 << 17
 #: Texts hashed together.
 _ROWS = 1 << 13
@@ -100,7 +100,7 @@ def anchors(blob: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     them.  Grams that tie for the least hash of a window are all anchors.
     """
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for at in range(0, max(0, len(blob) - WINDOW + 1), _SLICE):
+    for at in range(0, max(0, len(blob) - GRAM + 1), _SLICE):
         # A slice of anchor positions, with all windows and grams that bear on them.
         lo = max(0, at - 2 * SPAN)
         part = blob[lo : at + _SLICE + 2 * SPAN + GRAM]

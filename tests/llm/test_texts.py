@@ -284,6 +284,17 @@ def test_no_documents_no_repeats(spark):
     assert suffix.remove_repeats(docs(spark, odd_rows()).limit(0)).collect() == []
 
 
+def test_anchors_at_the_end_of_a_slice(monkeypatch):
+    text = np.random.default_rng(2).integers(97, 105, suffix._SLICE + 60, dtype=np.uint8)
+    starts = np.array([0, suffix._SLICE - 200])
+    sizes = range(suffix._SLICE + 20, suffix._SLICE + 56)
+    sliced = [suffix.anchors(text[:n], starts, np.array([starts[1], n])) for n in sizes]
+    monkeypatch.setattr(suffix, "_SLICE", 1 << 20)
+    for n, got in zip(sizes, sliced):
+        for a, b in zip(got, suffix.anchors(text[:n], starts, np.array([starts[1], n]))):
+            assert a.tolist() == b.tolist()
+
+
 def test_anchor_steps_round_trip():
     for position in ([], [0], [3, 4, 300, 1000, 1254, 1509, 70_000]):
         assert suffix._positions(suffix._steps(np.array(position, dtype=np.int64))).tolist() == position
