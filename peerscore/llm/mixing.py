@@ -9,6 +9,8 @@ functions only.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -91,13 +93,43 @@ def _filled(rows: DataFrame) -> DataFrame:
     )
 
 
+def _refilled(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """``(_uid)`` of documents that fill ``_gap``, those that come first in ``order`` first.
+
+    Each round passes over documents larger than half of what is missing and
+    takes the others as far as they fit.  Either one no longer fits, and less
+    than half is still missing, or none is left, so rounds are as few as the gap
+    has bits.  At the end one larger document at most would fit, and single ones
+    that come nearest end the remainder.
+    """
+    left = materialise(rows, "mixing-left")
+    picked: list[DataFrame] = []
+    while True:
+        small = left.filter(2 * F.col("_size") <= F.col("_gap"))
+        if small.isEmpty():
+            break
+        summed = running_total(small, order, "_size", "_sum", "mixing-rounds")
+        first = materialise(summed.groupBy("_place_of").agg(F.min("_sum").alias("_base")).withColumnRenamed("_place_of", "_of"), "mixing-bases")
+        stood = summed.join(first, F.col("_place_of") == F.col("_of")).filter(F.col("_sum") - F.col("_base") + F.col("_size") <= F.col("_gap"))
+        stood = materialise(stood.select(F.col("_uid").alias("_u"), F.col("_place_of").alias("_of"), F.col("_size").alias("_by")), "mixing-round")
+        added = materialise(stood.groupBy("_of").agg(F.sum("_by").alias("_by")), "mixing-added")
+        picked.append(stood.select("_u"))
+        rest = left.join(picked[-1], F.col("_uid") == F.col("_u"), "left_anti").join(added, F.col("_place_of") == F.col("_of"), "left")
+        rest = rest.withColumn("_gap", F.col("_gap") - F.coalesce(F.col("_by"), F.lit(0))).drop("_of", "_by")
+        left = materialise(rest.filter(F.col("_size") < 2 * F.col("_gap")), "mixing-left")
+    last = _filled(materialise(_filled(left.withColumn("_more", F.lit(False))), "mixing-filled"))
+    return reduce(DataFrame.unionByName, picked, last.filter("_more").select(F.col("_uid").alias("_u")))
+
+
 def taken(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, passes: int = PASSES) -> DataFrame:
     """``(_uid, doc_id, _size, source_size, target, _place, _times, _before, _used)`` for rows of :func:`sized`.
 
     A source is taken whole as often as its target holds its size.  The rest is
     filled with documents in the order of md5(doc_id) as far as they fit, then
-    with two single ones that come nearest to what is still missing, so taken
-    words differ from the target by less than any document left could mend.
+    with two single ones that come nearest to what is still missing.  If taken
+    words then differ from the target by as much as the smallest document left,
+    as where a long one stood in the way, :func:`_refilled` takes the place of
+    the two, so no document that fits is left out.
     """
     names = rows.groupBy("_source").agg(F.sum("_size").alias("source_size")).withColumnRenamed("_source", "source")
     plan = materialise(targets(names, weights, share, passes).withColumn("_place_of", F.xxhash64("source")), "mixing-targets")
@@ -118,7 +150,18 @@ def taken(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float =
         "mixing-fits",
     )
     rows = stood.join(fits, F.col("_place_of") == F.col("_of")).withColumn("_gap", rest - F.col("_has")).drop("_of", "_has")
-    rows = _filled(materialise(_filled(rows), "mixing-filled"))
+    rows = rows.withColumn("_first", F.col("_more"))
+    rows = materialise(_filled(materialise(_filled(rows), "mixing-filled")), "mixing-twice")
+    least = F.min(F.when(~F.col("_more") & (F.col("_size") > 0), F.col("_size")))
+    had = F.first("_gap") + F.sum(F.when(F.col("_more") & ~F.col("_first"), F.col("_size")).otherwise(0))
+    short = rows.groupBy("_place_of").agg(least.alias("_least"), F.first("_gap").alias("_miss"), had.alias("_had"))
+    short = materialise(short.filter(F.abs("_miss") >= F.col("_least")).select(F.col("_place_of").alias("_of"), "_had"), "mixing-short")
+    if not short.isEmpty():
+        left = rows.filter(~F.col("_first") & (F.col("_size") > 0)).join(short, F.col("_place_of") == F.col("_of"))
+        left = left.select("_uid", "_size", "_order", "_place_of", F.col("_had").alias("_gap"))
+        more = F.when(F.col("_of").isNull(), F.col("_more")).otherwise(F.col("_first") | F.col("_u").isNotNull())
+        rows = rows.join(short, F.col("_place_of") == F.col("_of"), "left").join(_refilled(left, order), F.col("_uid") == F.col("_u"), "left")
+        rows = rows.withColumn("_more", more)
     return rows.withColumn("_times", F.col("_whole") + F.col("_more").cast("int")).select(
         "_uid", "doc_id", "_size", "source_size", "target", "_place", "_place_of", "_order", "_times"
     )
@@ -218,7 +261,7 @@ def _time_sql(schedules=SCHEDULES) -> str:
 
 
 def mix_sql(documents: str = "documents", weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, passes: int = PASSES) -> str:
-    """:func:`mix` for DuckDB, with ``first_position`` rounded to six places; rows that repeat a doc_id may tie."""
+    """:func:`mix` for DuckDB, without :func:`_refilled`, with ``first_position`` rounded to six places; rows that repeat a doc_id may tie."""
     word = "[^\\x20\\x09-\\x0D]+"
     weight = " ".join(f"WHEN {n} THEN {float(w)!r}::DOUBLE" for n, w in enumerate(weights))
 
