@@ -2,8 +2,9 @@
 
 Paragraphs pass points for their length and commas to the elements above them,
 less with each level.  An element's points are discounted by the share of its
-text that stands in links.  The best element and those of its siblings that
-look like it are kept, without the boilerplate inside them.
+text that stands in links.  The best element, or the article or main element
+around it, and those of its siblings that look like it are kept, without the
+boilerplate inside them.
 """
 
 from __future__ import annotations
@@ -62,6 +63,8 @@ _HEADINGS = frozenset(("h1", "h2", "h3"))
 
 #: Share of points that elements above a paragraph get, from the parent upwards.
 _SHARES = (1.0, 0.5, 1 / 6, 1 / 9, 1 / 12)
+#: Bonus of article and main elements.
+_ARTICLE = 25.0
 #: Siblings of the best element are kept from this share of its score on.
 SIBLING = 0.2
 #: Lists and boxes with more than this share of their text in links are menus.
@@ -88,7 +91,7 @@ def _judge(tag: str, attributes: str) -> tuple[bool, bool, float]:
     """Whether an element is aside from the article by its kind, whether by its names, and its bonus."""
     aside, marked, bonus = tag in _ASIDE, False, 0.0
     if tag in ("article", "main"):
-        bonus = 25.0
+        bonus = _ARTICLE
     if attributes:
         for name, *values in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), values[0] or values[1] or values[2]
@@ -96,7 +99,7 @@ def _judge(tag: str, attributes: str) -> tuple[bool, bool, float]:
                 aside = True
             elif name == "role":
                 aside = aside or value.lower() in _ROLES
-                bonus = 25.0 if value.lower() in ("main", "article") else bonus
+                bonus = _ARTICLE if value.lower() in ("main", "article") else bonus
             elif name in ("class", "id", "itemprop"):
                 words = {w.lower() for w in _TOKEN.findall(value)}
                 if words & _GOOD:
@@ -210,12 +213,15 @@ def main_text(page: str | None) -> str:
     best = max(elements, key=lambda e: (e.score, e.bonus), default=None)
     if best is None or not blocks or best.score <= 0:
         return ""
+    # Whatever its best part, an article is kept whole.
+    top = best.score
+    best = next((x for x in _up(best) if x.bonus >= _ARTICLE and not x.aside), best)
     kept = {id(best)}
     for other in elements:
         if other is best or other.parent is not best.parent or other.aside or best.parent is None:
             continue
         density = other.linked / max(other.chars, 1)
-        if other.score >= max(1.0, SIBLING * best.score) or other.tag in _HEADINGS or other.tag == "p" and other.chars > 80 and density < 0.25:
+        if other.score >= max(1.0, SIBLING * top) or other.tag in _HEADINGS or other.tag == "p" and other.chars > 80 and density < 0.25:
             kept.add(id(other))
     out = []
     for node, text, linked in blocks:

@@ -125,6 +125,20 @@ def test_main_text(spark):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+@pytest.mark.parametrize("around", ["article", "main", "div role=main"])
+@pytest.mark.parametrize("n", [1, 40])
+def test_an_article_is_kept_whole(around, n):
+    """However much longer one part of it is than the others."""
+    p = "<p>Some words, with commas, to read, number %d, here.</p>"
+    long, short = "".join(p % i for i in range(n)), "".join(p % i for i in range(2))
+    parts = ["<h1>Title</h1>", "<p>Lead, short.</p>", f"<section>{long}</section>", f"<section>{short}</section>", "<h4>Steps</h4>",
+             "<ul><li>One thing<li>Two things</ul>", "<blockquote>Quote</blockquote>", "<pre>x = 1</pre>", "<table><tr><td>Cell</table>"]
+    page = f"<nav><a href=/>Home</a></nav><{around}>{''.join(parts)}<div class=related><p>Other, page, to read</p></div></{around.split()[0]}><footer>me</footer>"
+    lines = html_text.main_text(page).split("\n")
+    assert lines[:2] == ["Title", "Lead, short."] and lines[-6:] == ["Steps", "One thing", "Two things", "Quote", "x = 1", "Cell"]
+    assert len(lines) == 2 + n + 2 + 6
+
+
 def test_very_long_page():
     body = "".join(f"<p>Sentence {i}, with a comma, and some words.</p>" for i in range(20_000))
     assert html_text.main_text(f"<article>{body}</article>").count("\n") == 19_999
