@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import random
 import zlib
 from collections import Counter
@@ -144,15 +143,6 @@ def test_stages_on_an_empty_table(spark, stages):
         assert stage(spark, empty, root).collect() == []
 
 
-@pytest.mark.parametrize("share", [0.2, 0.3])
-def test_a_long_document_does_not_block_its_source(spark, share):
-    """It comes first and is too long at a share of 0.2; at 0.3 it is nearest to what is missing, but small ones fit."""
-    first = min(range(1001), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
-    rows = [(i, "w " * (3000 if i == first else 3), "en", "s", 1) for i in range(1001)]
-    got = mixing.mix(spark.createDataFrame(rows, DOCS), share=share).collect()
-    assert len(got) == 1001 and abs(sum(r.taken for r in got) - got[0].target) < 3
-
-
 def test_mixing_is_the_same_each_time(spark, stages):
     _, _, held = stages
     first, again = (sorted(map(tuple, mixing.mix(df).collect()), key=str) for df in (held[0], held[0].repartition(7)))
