@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, hamming, html_text, langid, licenses, mixing, packing, simhash, suffix, toxicity
+from . import ann, bitplanes, hamming, html_text, langid, lexical, licenses, mixing, packing, simhash, suffix, token_counts, toxicity
 from .common import table
 
 
@@ -63,6 +63,18 @@ def op10_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_bitplane_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplanes.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 # Name -> (callable(spark, sf_dir), SQL or None).
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_projected_neighbours": (op1_projected_neighbours, None),
@@ -75,4 +87,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_suffix_array_dedup": (op8_suffix_array_dedup, suffix.remove_repeats_sql()),
     "op9_toxicity_chain": (op9_toxicity_chain, None),
     "op10_language_centroids": (op10_language_centroids, None),
+    "op11_bitplane_kmeans": (op11_bitplane_kmeans, bitplanes.cluster_sql()),
+    "op12_token_counts": (op12_token_counts, None),
+    "op13_lexical_search": (op13_lexical_search, lexical.search_sql()),
 }
