@@ -84,14 +84,13 @@ def median_of(df: DataFrame, value: str) -> Column:
     """Scalar: the exact median of a column of any size, from the values' ranks."""
     ranks = average_ranks(df, value)
     half = (F.col("n") - 1) / 2
-    total = df.agg(F.count(value).alias("total")).scalar()
 
     def at(position: Column) -> Column:
         covers = (F.col("avg_rank") - half <= position) & (position <= F.col("avg_rank") + half)
         return F.max(F.when(covers, F.col("value")))
 
     lower, upper = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1
-    return ranks.withColumn("total", total).agg(((at(lower) + at(upper)) / 2).alias("median")).scalar()
+    return ranks.agg(((at(lower) + at(upper)) / 2).alias("median")).scalar()
 
 
 def score_summary(df: DataFrame, score: str = "score") -> DataFrame:

@@ -1,69 +1,57 @@
 """Average-rank percentile of a whole column, without one task holding it.
 
 An unpartitioned window would sort every row in a single task.  Instead the
-distinct values are cut into cells at percentiles of themselves, so every cell
-holds about the same number of distinct values however they are spread; counts
-before the cell and inside it add up to the exact rank.  The percentiles are one
-scalar subquery: where exactly they fall shapes the work, never the ranks.
+distinct values with their counts are dealt by range, once, and written with
+the number of their range.  Totals of the ranges are summed up, and each range
+adds its own running count: together that is the exact rank.  Values are
+distinct when they are dealt, so no value, however frequent, weighs more than
+one row, and ranges are cut at sampled quantiles, so tails are as wide as they
+need to be.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Groups of cells and cells of a group; distinct values are cut at the percentiles between them.
-GROUPS = 32
-CELLS = GROUPS * GROUPS
+from ..session import materialise
 
-# Percentiles are off by one part in this many at most.
-ACCURACY = 10 * CELLS
 
+def in_ranges(df: DataFrame, value: str, ranges: int | None = None) -> DataFrame:
+    """``(value, n, range)``: one row per distinct non-null value; a range holds only values above those of lower ranges.
 
-def cell_of(v: Column, bounds: Column) -> Column:
-    """Number of bounds below ``v``: first among every 32nd, then among the 32 that follow.
-
-    ``bounds`` has ``CELLS - 1`` entries, or is null where no value is finite.
+    Written at once.  ``ranges`` defaults to the session's shuffle partitions,
+    which adaptive execution merges where they are small.
     """
-    heads = F.filter(bounds, lambda b, i: (i % GROUPS == GROUPS - 1) & (b < v))
-    group = F.size(heads)
-    rest = F.filter(F.slice(bounds, group * GROUPS + 1, F.lit(GROUPS - 1)), lambda b: b < v)
-    return F.when(bounds.isNull(), 0).otherwise(group * GROUPS + F.size(rest))
-
-
-def _before(n: str, *keys: str, order: str) -> Column:
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(n).over(w), F.lit(0))
-
-
-def with_cells(df: DataFrame, value: str) -> DataFrame:
-    """``(value, n, cell)``: one row per distinct non-null value; a cell holds only values above those of lower cells."""
     counts = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("value")).agg(F.count("*").alias("n"))
-    number = F.col("value").cast("double")
-    known = F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
-    cuts = F.array(*[F.lit(i / CELLS) for i in range(1, CELLS)])
-    bounds = counts.agg(F.percentile_approx(known, cuts, ACCURACY).alias("bounds")).scalar()
-    return counts.withColumn("bounds", bounds).select("value", "n", cell_of(number, F.col("bounds")).alias("cell"))
+    dealt = counts.repartitionByRange("value") if ranges is None else counts.repartitionByRange(ranges, "value")
+    return materialise(dealt.withColumn("range", F.spark_partition_id()), "ranks")
 
 
-def average_ranks(df: DataFrame, value: str) -> DataFrame:
-    """``(value, n, avg_rank)``: one row per distinct non-null value of ``df``.
+def average_ranks(df: DataFrame, value: str, ranges: int | None = None) -> DataFrame:
+    """``(value, n, avg_rank, total)``: one row per distinct non-null value of ``df``.
 
-    ``n`` is the number of rows holding the value and ``avg_rank`` the mean of
-    the 1-based positions they occupy.
+    ``n`` is the number of rows holding the value, ``avg_rank`` the mean of the
+    1-based positions they occupy, and ``total`` the number of all rows ranked.
     """
-    rows = with_cells(df, value)
-    # At most CELLS rows.
-    cells = rows.groupBy("cell").agg(F.sum("n").alias("cell_n")).withColumn("before_cell", _before("cell_n", order="cell"))
-    placed = rows.join(cells.select("cell", "before_cell"), "cell").withColumn(
-        "before", F.col("before_cell") + _before("n", "cell", order="value")
+    rows = in_ranges(df, value, ranges)
+    # One row per range.
+    totals = rows.groupBy("range").agg(F.sum("n").alias("_n"))
+    lower = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(
+        "range", F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_start"), F.sum("_n").over(Window.partitionBy()).alias("total")
+    )
+    smaller = Window.partitionBy("range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_start") + F.coalesce("_inside", F.lit(0))
+    return (
+        rows.withColumn("_inside", F.sum("n").over(smaller))
+        .join(starts, "range")
+        .select("value", "n", (before + (F.col("n") + 1) / 2.0).alias("avg_rank"), "total")
     )
-    return placed.select("value", "n", (F.col("before") + (F.col("n") + 1) / 2.0).alias("avg_rank"))
 
 
 def average_rank_percentile(df: DataFrame, value: str, alias: str, decimals: int = 2) -> DataFrame:
     """``(value, alias)``: average rank over the number of non-null rows, times 100."""
-    total = df.agg(F.count(value).alias("n")).scalar()
-    pct = F.bround(F.col("avg_rank") / total * 100.0, decimals)
+    pct = F.bround(F.col("avg_rank") / F.col("total") * 100.0, decimals)
     return average_ranks(df, value).select("value", pct.alias(alias))

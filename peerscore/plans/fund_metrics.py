@@ -68,8 +68,8 @@ def fund_metrics(
 ) -> DataFrame:
     """The published 12 columns, plus ``fund_key`` in front.
 
-    Lazy, unless ``store`` is not: the moments, the ranks and the result all
-    read the metrics, so with a costly series pass one that writes them.
+    The moments and the composite both read the metrics, so with a costly
+    series pass a ``store`` that writes them.
     """
     metrics = entity_metrics(classes, subclasses, series, reference, as_of, config, units, window, sigma)
     return peer_score(store(metrics), config)

@@ -138,10 +138,11 @@ def test_ranks_equal_brute_force(rows, name, values):
 @pytest.mark.parametrize("name,values", list(_wide_sets()), ids=lambda x: x if isinstance(x, str) else "")
 def test_no_window_group_holds_much(rows, name, values):
     df = rows("v double", *[(v,) for v in values])
-    cells = [r.c for r in ranking.with_cells(df, "v").groupBy("cell").agg(F.count("*").alias("c")).collect()]
+    ranges = 16
+    held = [r.c for r in ranking.in_ranges(df, "v", ranges).groupBy("range").agg(F.count("*").alias("c")).collect()]
     distinct = len(set(values))
-    assert sum(cells) == distinct and max(cells) <= 3 + 2 * distinct / ranking.CELLS
-    got = {r.value: r.avg_rank for r in ranking.average_ranks(df, "v").collect()}
+    assert sum(held) == distinct and max(held) <= 3 * distinct / ranges
+    got = {r.value: r.avg_rank for r in ranking.average_ranks(df, "v", ranges).collect()}
     assert got == {v: r for v, (_, r) in _brute(values).items()}
 
 
