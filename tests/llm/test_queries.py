@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert {n for n, (_, sql) in QUERIES.items() if sql} <= set(entry.oracle_sql())
 
