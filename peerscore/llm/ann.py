@@ -4,17 +4,22 @@ Vectors are projected by a Gaussian (2-stable) matrix: the squared projected
 distance of two vectors, over their squared true distance, follows a
 chi-square law with as many degrees of freedom as projections.  A kd-tree over
 the projections, its top fitted on a bounded sample, deals all vectors to
-cells; each cell holds a kd-tree of its own.  A query takes its first
-neighbours from its own cell and then visits the other cells.  Projected
-neighbours are verified in the order of growing projected distance until the
-chi-square test holds: a vector nearer than the k-th verified one would, with
-probability ``confidence``, have a smaller projected distance than the next.
+cells, and cells that come out large are dealt on into parts of bounded size;
+each part holds a kd-tree of its own.  A query takes its first neighbours from
+one part of its own cell and then visits the others.  Projected neighbours are
+verified in the order of growing projected distance until the chi-square test
+holds: a vector nearer than the k-th verified one would, with probability
+``confidence``, have a smaller projected distance than the next.
+
+Equal vectors are searched for once, and of equal candidates only as many are
+held as anyone can need, so copies of one vector make no work.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -28,12 +33,12 @@ from .common import materialise
 
 K = 10
 EVERY = 100
-PROJECTIONS = 8
-CONFIDENCE = 0.98
+PROJECTIONS = 32
+CONFIDENCE = 0.88
 SEED = 7
 #: Vectors the top of the tree is fitted on, at most.
 SAMPLE = 20_000
-#: Vectors a cell holds on average, while the sample is large enough to split that far.
+#: Vectors a cell holds on average, while the sample is large enough to split that far; a part holds at most about twice as many.
 CELL = 2000
 #: Vectors in a leaf of a cell's own tree.
 LEAF = 32
@@ -157,10 +162,12 @@ class Cell:
 
         grow(np.arange(len(ids)))
         self.leaves = leaves
+        #: Vectors whose true distance was taken, over all queries.
+        self.verified = 0
         self.low = np.array([self.projected[i].min(0) for i in leaves])
         self.high = np.array([self.projected[i].max(0) for i in leaves])
 
-    def nearest(self, query: int, vector: np.ndarray, point: np.ndarray, k: int, bound: float, ratio: float) -> list[tuple[float, int]]:
+    def nearest(self, vector: np.ndarray, point: np.ndarray, k: int, bound: float, ratio: float) -> list[tuple[float, int]]:
         """The best ``k`` of this cell as ``(squared distance, id)``; ``bound`` is a k-th squared distance known already."""
         gaps = np.maximum(np.maximum(self.low - point, point - self.high), 0.0)
         far = (gaps * gaps).sum(1)
@@ -170,9 +177,10 @@ class Cell:
                 break
             index = self.leaves[leaf]
             off = self.projected[index] - point
-            index = index[((off * off).sum(1) <= ratio * bound) & (self.ids[index] != query)]
+            index = index[(off * off).sum(1) <= ratio * bound]
             if not len(index):
                 continue
+            self.verified += len(index)
             off = self.vectors[index] - vector
             found = (off * off).sum(1)
             fine = found <= bound
@@ -204,22 +212,33 @@ def search(
     ``score`` is the Euclidean distance of the original vectors in double
     precision; ties go to the smaller vec_id.  ``vectors`` needs ``vec_id`` and
     ``embedding``; other columns are ignored.  Defined results: vectors that are
-    null, zero or hold null or non-finite components, and rows with a null
-    vec_id, take no part, nor do vectors of another length than the longest;
-    rows that repeat both id and vector count once; with fewer candidates than
-    ``k`` a query gets all found; an empty table gives no rows.
+    null, empty, zero or hold null or non-finite components, and rows with a
+    null vec_id, take no part, whatever their length; vectors of different
+    lengths are never neighbours, so each length is searched by itself; rows
+    that repeat both id and vector count once; with fewer candidates than ``k``
+    a query gets all found; an empty table gives no rows.
     """
-    dims = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
-    dims = max(dims, 1)
-    # Of equal vectors only the k + 1 smallest ids can be among anyone's k nearest.
+    rows = materialise(usable(vectors).distinct(), "ann-rows")
+    lengths = [row[0] for row in rows.select(F.size("vector")).distinct().toLocalIterator()]
+    found = [_search_length(rows.filter(F.size("vector") == dims), dims, k, every, projections, confidence, sample, cell) for dims in sorted(lengths)]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _search_length(rows: DataFrame, dims: int, k: int, every: int, projections: int, confidence: float, sample: int, cell: int) -> DataFrame:
+    """:func:`search` among usable vectors of one length."""
+    # One more than asked for, as a query drops itself afterwards.
+    wanted = k + 1
     equal = Window.partitionBy("vector").orderBy("vec_id")
-    rows = usable(vectors).filter(F.size("vector") == dims).distinct()
-    rows = rows.withColumn("query", F.col("vec_id") % every == 0).withColumn("_n", F.row_number().over(equal))
-    rows = materialise(rows.filter((F.col("_n") <= k + 1) | F.col("query")).withColumn("kept", F.col("_n") <= k + 1).drop("_n"), "ann-vectors")
+    kept = materialise(rows.withColumn("_n", F.row_number().over(equal)).filter(F.col("_n") <= wanted).drop("_n"), "ann-vectors")
+    members = rows.filter(F.col("vec_id") % every == 0).withColumnRenamed("vec_id", "query_id")
+    distinct = materialise(members.groupBy("vector").agg(F.min("query_id").alias("asked_id")), "ann-asked")
     matrix, ratio = projection(dims, projections), stop_ratio(projections, confidence)
-    n = rows.filter("kept").count()
-    picked = _matrix_of(rows.filter("kept").orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()["vector"])
-    tree, _ = fit_tree((picked @ matrix) if len(picked) else np.empty((0, projections)), max(8, int(cell * len(picked) / max(n, 1))))
+    n = kept.count()
+    picked = _matrix_of(kept.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()["vector"])
+    tree, _ = fit_tree(picked @ matrix, max(8, int(cell * len(picked) / max(n, 1))))
+    vector = "vector array<double>"
 
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,59 +246,68 @@ def search(
             if len(points):
                 yield pa.RecordBatch.from_arrays([pa.array(cells_of(tree, points @ matrix)), *batch.columns], ["cell", *batch.schema.names])
 
-    vector = "vector array<double>"
-    dealt = materialise(rows.mapInArrow(home, f"cell int, vec_id long, {vector}, query boolean, kept boolean"), "ann-cells")
+    placed = materialise(kept.mapInArrow(home, f"cell int, vec_id long, {vector}"), "ann-cells")
+    # One row per cell, and no more cells than an eighth of the sample.
+    parts = {r["cell"]: -(-r["n"] // (2 * cell)) for r in placed.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    sized = F.broadcast(rows.sparkSession.createDataFrame(list(parts.items()), "cell int, parts long"))
+    dealt = placed.join(sized, "cell").select("cell", F.pmod(F.xxhash64("vec_id"), "parts").alias("part"), "vec_id", "vector")
+
+    def first_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in home(batches):
+            part = [i % parts.get(c, 1) for i, c in zip(batch["asked_id"].to_pylist(), batch["cell"].to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part, pa.int64())], [*batch.schema.names, "part"])
 
-    def found_rows(cells: Cell, asked: pd.DataFrame, bounds: np.ndarray) -> list[tuple[int, int, float]]:
+    asked = materialise(distinct.select("asked_id", "vector").mapInArrow(first_part, f"cell int, asked_id long, {vector}, part long"), "ann-first")
+    columns, kinds = ["asked_id", "vec_id", "score"], "asked_id long, vec_id long, score double"
+
+    def answer(held: pd.DataFrame, asking: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
+        if not len(asking) or not len(held):
+            return pd.DataFrame([], columns=columns)
+        index = Cell(held["vec_id"].to_numpy(), _matrix_of(held["vector"]), matrix)
         out = []
-        for query, own, bound in zip(asked["vec_id"].tolist(), asked["vector"], bounds.tolist()):
+        for query, own, bound in zip(asking["asked_id"].tolist(), asking["vector"], bounds.tolist()):
             own = np.asarray(own, dtype=np.float64)
-            out.extend((query, i, float(np.sqrt(d))) for d, i in cells.nearest(query, own, own @ matrix, k, bound, ratio))
-        return out
+            out.extend((query, i, float(np.sqrt(d))) for d, i in index.nearest(own, own @ matrix, wanted, bound, ratio))
+        return pd.DataFrame(out, columns=columns)
 
-    columns, kinds = ["query_id", "vec_id", "score"], "query_id long, vec_id long, score double"
+    def first(held: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
+        return answer(held, asking, np.full(len(asking), np.inf))
 
-    def first(rows: pd.DataFrame) -> pd.DataFrame:
-        held, asked = rows[rows["kept"]], rows[rows["query"]]
-        if not len(asked) or not len(held):
-            return pd.DataFrame([], columns=columns)
-        cells = Cell(held["vec_id"].to_numpy(), _matrix_of(held["vector"]), matrix)
-        return pd.DataFrame(found_rows(cells, asked, np.full(len(asked), np.inf)), columns=columns)
-
-    at_home = materialise(dealt.groupBy("cell").applyInPandas(first, kinds), "ann-home")
-    bounds = at_home.groupBy("query_id").agg(F.count("*").alias("n"), F.max("score").alias("far"))
-    asked = (
-        dealt.filter("query").join(bounds, F.col("vec_id") == F.col("query_id"), "left")
-        .select("cell", "vec_id", "vector", F.when(F.col("n") >= k, F.col("far")).otherwise(float("inf")).alias("bound"))
-    )
+    by_part = dealt.groupBy("cell", "part")
+    at_home = materialise(by_part.cogroup(asked.groupBy("cell", "part")).applyInPandas(first, kinds), "ann-home")
+    bounds = at_home.groupBy("asked_id").agg(F.count("*").alias("n"), F.max("score").alias("far"))
+    bound = F.when(F.col("n") >= wanted, F.col("far")).otherwise(float("inf"))
+    bounded = asked.join(bounds, "asked_id", "left").select("cell", "part", "asked_id", "vector", bound.alias("bound"))
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             points = _matrix_of(batch["vector"].to_pylist())
             if not len(points):
                 continue
-            number, index = [], []
-            for i, (point, bound, own) in enumerate(zip(points @ matrix, batch["bound"].to_pylist(), batch["cell"].to_pylist())):
-                others = [c for c in cells_near(tree, point, ratio * bound * bound) if c != own]
-                number.extend(others)
-                index.extend([i] * len(others))
-            picked = batch.take(pa.array(index, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(number, pa.int32()), picked["vec_id"], picked["vector"], picked["bound"]], ["cell", "vec_id", "vector", "bound"])
-
-    visits = asked.mapInArrow(visit, f"cell int, vec_id long, {vector}, bound double")
-
-    def rest(held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if not len(asked) or not len(held):
-            return pd.DataFrame([], columns=columns)
-        cells = Cell(held["vec_id"].to_numpy(), _matrix_of(held["vector"]), matrix)
+            number, part, index = [], [], []
+            for i, (point, far, *own) in enumerate(zip(points @ matrix, *[batch[c].to_pylist() for c in ("bound", "cell", "part")])):
+                for c in cells_near(tree, point, ratio * far * far):
+                    others = [p for p in range(parts.get(c, 0)) if [c, p] != own]
+                    number.extend([c] * len(others))
+                    part.extend(others)
+                    index.extend([i] * len(others))
+            asking = batch.take(pa.array(index, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(number, pa.int32()), pa.array(part, pa.int64()), *[asking[c] for c in ("asked_id", "vector", "bound")]], ["cell", "part", "asked_id", "vector", "bound"]
+            )
+
+    visits = bounded.mapInArrow(visit, f"cell int, part long, asked_id long, {vector}, bound double")
+
+    def rest(held: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
         # A little above, so that squaring a rounded root loses no tie.
-        return pd.DataFrame(found_rows(cells, asked, asked["bound"].to_numpy() ** 2 * (1 + 1e-12)), columns=columns)
+        return answer(held, asking, asking["bound"].to_numpy() ** 2 * (1 + 1e-12))
 
-    elsewhere = dealt.filter("kept").select("cell", "vec_id", "vector").groupBy("cell").cogroup(visits.groupBy("cell")).applyInPandas(rest, kinds)
+    elsewhere = by_part.cogroup(visits.groupBy("cell", "part")).applyInPandas(rest, kinds)
+    best = Window.partitionBy("asked_id").orderBy("score", "vec_id")
+    top = at_home.unionByName(elsewhere).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= wanted).drop("rank")
     ranked = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
-        at_home.unionByName(elsewhere)
-        .withColumn("rank", F.row_number().over(ranked))
+        members.join(distinct, "vector").select("query_id", "asked_id").join(top, "asked_id").filter("vec_id <> query_id")
+        .select("query_id", F.row_number().over(ranked).alias("rank"), "vec_id", "score")
         .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    )

@@ -1,13 +1,14 @@
 """Exact top-k search of binary codes by incremental multi-index hashing.
 
-A code is cut into segments of 16 bits, and every distinct code is indexed
-under each of its segments.  A query looks up all segment values within a
-radius that grows by one each round.  By the pigeonhole principle a code within
-``m * (radius + 1) - 1`` bits of the query (m segments) agrees with it within
-``radius`` bits in some segment, so once the k-th verified distance is no more
-than that, no code still unseen can be nearer or tie with it, and the query is
-done.  No cap is set on candidates; a query that stays open ends at radius 16,
-where every code has been seen.
+A code is cut into segments of about log2(number of codes) bits, so that a
+segment value holds few codes however many there are, and every distinct code
+is indexed under each of its segments.  A query looks up all segment values
+within a radius that grows by one each round.  By the pigeonhole principle a
+code within ``m * (radius + 1) - 1`` bits of the query (m segments) agrees with
+it within ``radius`` bits in some segment, so once the k-th verified distance is
+no more than that, no code still unseen can be nearer or tie with it, and the
+query is done.  No cap is set on candidates; a query that stays open ends at a
+radius of all bits of a segment, where every code has been seen.
 """
 
 from __future__ import annotations
@@ -22,18 +23,17 @@ from .common import discard, materialise
 
 K = 10
 EVERY = 50
-SEGMENT_BITS = 16
+#: Bits of a segment, at least and at most.
+SEGMENT_BITS = (8, 30)
 _WORD = 64
 
 
 def codes(vectors: DataFrame, dims: int) -> DataFrame:
     """``(vec_id, w0, w1, ...)``: one bit per component, set where it is above zero, in words of 64.
 
-    Vectors that are null, of another length than ``dims``, or hold null or
-    non-finite components have no code and are left out.
+    Vectors of another length than ``dims`` are left out.
     """
     v = F.col("embedding")
-    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     words = []
     for start in range(0, dims, _WORD):
         bits = [
@@ -41,20 +41,28 @@ def codes(vectors: DataFrame, dims: int) -> DataFrame:
             for i in range(start, min(start + _WORD, dims))
         ]
         words.append(reduce(lambda a, b: a.bitwiseOR(b), bits).alias(f"w{start // _WORD}"))
-    return vectors.filter(v.isNotNull() & (F.size(v) == dims) & fine).select(F.col("vec_id").cast("long").alias("vec_id"), *words)
+    return vectors.filter(F.size(v) == dims).select("vec_id", *words)
+
+
+def usable(vectors: DataFrame) -> DataFrame:
+    """``(vec_id, embedding)`` without null and empty vectors, and those with null or non-finite components."""
+    v = F.col("embedding")
+    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return vectors.filter(F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & fine).select(F.col("vec_id").cast("long").alias("vec_id"), v)
+
 
+def _segment(words: list[str], start: int, bits: int) -> Column:
+    """``bits`` bits of a code from ``start`` on; they can lie in two words."""
+    word, at = divmod(start, _WORD)
+    out = F.shiftrightunsigned(words[word], at)
+    if at + bits > _WORD and word + 1 < len(words):
+        out = out.bitwiseOR(F.shiftleft(words[word + 1], _WORD - at))
+    return out.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
 
-def _segments(words: list[str], dims: int) -> Column:
+
+def _segments(words: list[str], dims: int, bits: int) -> Column:
     """Array of ``(segment, value)`` of a code."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(n).alias("segment"),
-                F.shiftrightunsigned(words[n * SEGMENT_BITS // _WORD], n * SEGMENT_BITS % _WORD).bitwiseAND(F.lit((1 << SEGMENT_BITS) - 1)).cast("int").alias("value"),
-            )
-            for n in range(-(-dims // SEGMENT_BITS))
-        ]
-    )
+    return F.array(*[F.struct(F.lit(n).alias("segment"), _segment(words, n * bits, bits).alias("value")) for n in range(-(-dims // bits))])
 
 
 def search(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
@@ -62,15 +70,25 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
 
     Nearness is the Hamming distance of sign codes, ties go to the smaller
     vec_id.  ``vectors`` needs ``vec_id`` and ``embedding``; other columns are
-    ignored.  Defined results: rows without a code take no part; a row with a
-    null vec_id takes no part; rows that repeat a vec_id count as one for each
-    distinct code; with fewer candidates than ``k`` a query gets all of them;
-    an empty table gives no rows.
+    ignored.  Defined results: vectors that are null, empty or hold null or
+    non-finite components, and rows with a null vec_id, take no part, whatever
+    their length; vectors of different lengths are never neighbours, so each
+    length is searched by itself; rows that repeat a vec_id count as one for
+    each distinct code; with fewer candidates than ``k`` a query gets all of
+    them; an empty table gives no rows.
     """
-    dims = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
-    dims = max(dims, 1)
+    rows = usable(vectors)
+    lengths = [row[0] for row in rows.select(F.size("embedding")).distinct().toLocalIterator()]
+    found = [_search_length(rows, dims, k, every) for dims in sorted(lengths)]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, distance int")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _search_length(vectors: DataFrame, dims: int, k: int, every: int) -> DataFrame:
+    """:func:`search` among usable vectors of one length."""
     words = [f"w{i}" for i in range(-(-dims // _WORD))]
-    rows = materialise(codes(vectors, dims).filter("vec_id IS NOT NULL").distinct(), "hamming-codes")
+    rows = materialise(codes(vectors, dims).distinct(), "hamming-codes")
     # Of equal codes only the k + 1 smallest ids can be among anyone's k nearest.
     per_code = Window.partitionBy(*words).orderBy("vec_id")
     shared = (
@@ -79,23 +97,24 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     )
     index = materialise(shared, "hamming-index")
     total = rows.count()
-    posting = materialise(index.select("*", F.inline(_segments(words, dims))), "hamming-postings")
+    bits = min(max(total.bit_length(), SEGMENT_BITS[0]), SEGMENT_BITS[1])
+    posting = materialise(index.select("*", F.inline(_segments(words, dims, bits))), "hamming-postings")
     asked = [F.col(w).alias(f"q{i}") for i, w in enumerate(words)]
     names = [f"q{i}" for i in range(len(words))]
     queries = rows.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), *asked)
     queries = materialise(queries, "hamming-queries")
     # One search for each distinct query code, for k + 1 rows, as a query drops itself afterwards.
     open_ = materialise(queries.select(*names).distinct(), "hamming-open")
-    segments = -(-dims // SEGMENT_BITS)
+    segments = -(-dims // bits)
     want = min(k + 1, total)
     distance = reduce(lambda a, b: a + b, [F.bit_count(F.col(w).bitwiseXOR(F.col(q))) for w, q in zip(words, names)]).cast("int")
     nearest = Window.partitionBy(*names).orderBy("distance", "vec_id")
     best: DataFrame | None = None
     closed: list[DataFrame] = []
-    for radius in range(SEGMENT_BITS + 1):
-        probes = open_.select(*names, F.inline(_segments(names, dims)), F.lit(-1).alias("bit"))
+    for radius in range(bits + 1):
+        probes = open_.select(*names, F.inline(_segments(names, dims, bits)), F.lit(-1).alias("bit"))
         for _ in range(radius):  # flip one bit more, above the last one
-            flips = F.filter(F.array(*[F.lit(b) for b in range(SEGMENT_BITS)]), lambda b: b > F.col("bit"))
+            flips = F.filter(F.array(*[F.lit(b) for b in range(bits)]), lambda b: b > F.col("bit"))
             probes = probes.select(*names, "segment", "value", F.explode(flips).alias("bit")).withColumn(
                 "value", F.col("value").bitwiseXOR(F.call_function("shiftleft", F.lit(1), F.col("bit")))
             )
@@ -107,7 +126,7 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
         best = materialise(found.withColumn("_n", F.row_number().over(nearest)).filter(F.col("_n") <= want).drop("_n"), "hamming-best")
         reached = best.groupBy(*names).agg(F.count("*").alias("_n"), F.max("distance").alias("_far"))
         done = reached.filter((F.col("_n") >= want) & (F.col("_far") <= segments * (radius + 1) - 1)).select(*names)
-        if radius == SEGMENT_BITS:
+        if radius == bits:
             closed.append(best)
             break
         closed.append(best.join(done, names, "left_semi"))

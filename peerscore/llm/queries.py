@@ -33,11 +33,10 @@ def op5_exact_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 HAMMING_SQL = """WITH codes AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(x > 0 AS INTEGER)) AS code FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-    AND len(embedding) = (SELECT max(len(embedding)) FROM embeddings)),
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 pairs AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.code, c.code), lambda z: CAST(z[1] <> z[2] AS INTEGER))) AS INTEGER) AS distance
-  FROM codes q JOIN codes c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+  FROM codes q JOIN codes c ON c.vec_id <> q.vec_id AND len(c.code) = len(q.code) WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, distance FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM pairs) WHERE rank <= 10"""
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from peerscore.llm import ann, hamming
 
@@ -15,7 +16,7 @@ def _vectors(spark, n=600, dims=16, seed=3):
     points = rng.standard_normal((n, dims)).astype(np.float32)
     points[n // 2 : n // 2 + 120] = points[7]  # one vector many times
     rows = [(i, [float(v) for v in p], 0, "x", "y", "z") for i, p in enumerate(points)]
-    bad = [[0.0] * dims, None, [float("nan")] * dims, [float("inf")] + [1.0] * (dims - 1), [None] + [1.0] * (dims - 1), [1.0]]
+    bad = [[0.0] * dims, None, [float("nan")] * dims, [float("inf")] + [1.0] * (dims - 1), [None] + [1.0] * (dims - 1), [float("nan")] * (3 * dims), None]
     rows += [(10_000 + 100 * i, v, 0, "x", "y", "z") for i, v in enumerate(bad)]
     rows += [(None, [1.0] * dims, 0, "x", "y", "z"), rows[0]]
     return spark.createDataFrame(rows, SCHEMA), points.astype(np.float64)
@@ -46,6 +47,40 @@ def test_neighbours_of_few_or_no_vectors(spark):
     assert hamming.search(few.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("search", [ann.search, hamming.search])
+def test_each_length_is_searched_by_itself(spark, search):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.standard_normal(12 if i % 3 else 20).tolist()) for i in range(90)] + [(300, [float("nan")] * 40), (400, rng.standard_normal(33).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    every = lambda part, **more: sorted(map(tuple, search(part, every=10).collect()))
+    sizes = [df.filter(F.size("embedding") == n) for n in (12, 20)]
+    assert every(df) == sorted(every(sizes[0]) + every(sizes[1]))
+    assert {r[0] for r in every(df)} == set(range(0, 90, 10))
+
+
+def test_copies_of_a_query(spark):
+    """Equal queries are searched once, and each drops itself."""
+    rows = [(i, [1.0, 2.0]) for i in range(0, 3000, 100)] + [(5001, [1.0, 3.0])]
+    got: dict[int, list] = {}
+    for r in ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {q: [i for i in range(0, 3000, 100) if i != q][:10] for q in range(0, 3000, 100)}
+
+
+def test_the_stop_saves_most_verifications():
+    rng = np.random.default_rng(5)
+    centres = 4 * rng.standard_normal((40, 64))
+    points = centres[rng.integers(0, 40, 4000)] + rng.standard_normal((4000, 64))
+    matrix, ratio = ann.projection(64), ann.stop_ratio(ann.PROJECTIONS, ann.CONFIDENCE)
+    index = ann.Cell(np.arange(4000), points, matrix)
+    hits = 0
+    for q in range(0, 4000, 100):
+        found = {i for _, i in index.nearest(points[q], points[q] @ matrix, 11, np.inf, ratio)}
+        hits += len(found & set(np.argsort(((points - points[q]) ** 2).sum(1), kind="stable")[:11].tolist()))
+    assert hits >= 0.9 * 11 * 40
+    assert index.verified < 0.2 * 4000 * 40
+
+
 def test_chi_square():
     assert ann.chi_square_cdf(np.array(2.0), 2) == pytest.approx(1 - np.exp(-1))
     assert ann.chi_square_cdf(np.array(15.507), 8) == pytest.approx(0.95, abs=1e-4)
