@@ -28,10 +28,9 @@ END = 0
 BLOCK = 2000
 #: A bin with no more free room than this is final.
 SLACK = 8
-#: Words of a worker's cache of token ids; it starts anew when full.
-CACHED_WORDS = 1_200_000
-#: Token ids of words by tokenizer file, kept from task to task of one worker.
-_IDS_OF: dict[str, dict[bytes, bytes]] = {}
+#: Bytes of words and ids (with about 170 more for an entry) in a generation of a worker's cache, which has two.
+CACHE_BYTES = 40 << 20
+_ENTRY_BYTES = 170
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -42,9 +41,43 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def cached_ids(path: str) -> dict[bytes, bytes]:
-    """This worker's cache for a tokenizer file."""
-    return _IDS_OF.setdefault(path, {})
+class WordIds:
+    """Token ids of words, as bytes: two generations of bounded size, so that words in use outlive the others."""
+
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.encode = Tokenizer.from_file(path).encode_batch_fast
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.held = 0
+
+    def of(self, words: list[bytes]) -> bytes:
+        try:
+            return b"".join(map(self.young.__getitem__, words))
+        except KeyError:
+            pass
+        if self.held > CACHE_BYTES:
+            self.old, self.young, self.held = self.young, {}, 0
+        missed = set(words).difference(self.young)
+        found = {w: self.old[w] for w in missed if w in self.old}
+        new = list(missed.difference(found))
+        for word, ids in zip(new, self.encode([w.decode() for w in new], add_special_tokens=False)):
+            found[word] = np.array(ids.ids, dtype="<u4").tobytes()
+        self.young.update(found)
+        self.held += sum(map(len, found)) + sum(map(len, found.values())) + _ENTRY_BYTES * len(found)
+        return b"".join(map(self.young.__getitem__, words))
+
+
+#: One for each tokenizer file, kept from task to task of one worker.
+_WORD_IDS: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    if path not in _WORD_IDS:
+        _WORD_IDS[path] = WordIds(path)
+    return _WORD_IDS[path]
 
 
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = SEQUENCE, end: int = END) -> DataFrame:
@@ -59,11 +92,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = SEQUENCE, e
     path = path or tokenizer_path()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        encode = Tokenizer.from_file(path).encode_batch
-        ids = cached_ids(path)
+        ids = word_ids(path)
         tail = np.array([end], dtype="<u4").tobytes()
         step = 4 * capacity
         for batch in batches:
@@ -72,16 +101,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = SEQUENCE, e
                 text = text or b""
                 # The tokenizer lowers words, but not the names of its special tokens.
                 words = text.split() if b"<|" in text else text.lower().split()
-                try:
-                    packed = b"".join(map(ids.__getitem__, words)) + tail
-                except KeyError:
-                    new = list(set(words).difference(ids))
-                    if len(ids) + len(new) > CACHED_WORDS:
-                        ids.clear()
-                        new = list(set(words))
-                    for word, found in zip(new, encode([w.decode() for w in new], add_special_tokens=False)):
-                        ids[word] = np.array(found.ids, dtype="<u4").tobytes()
-                    packed = b"".join(map(ids.__getitem__, words)) + tail
+                packed = ids.of(words) + tail
                 for n, at in enumerate(range(0, len(packed), step)):
                     part = packed[at : at + step]
                     out.append((doc, n, at // 4, len(part) // 4, zlib.crc32(part)))
