@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, materialise, running_total
+from .common import WORD, discard, materialise, running_total
 
 #: Weights of the sources in the order of their names, repeating.
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -21,6 +21,11 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 #: A source is taken this many times over at most.
 PASSES = 2
+#: Stretches a source's documents are cut into, to find where a prefix ends.
+STRETCHES = 4096
+#: Rounds of the SQL twin: a remainder halves with each.
+_SQL_ROUNDS = 40
+_END = (1 << 63) - 1
 #: Relative weight over training time by place in the repeating order: heavy
 #: sources come early, light ones late, the middle ones evenly.
 SCHEDULES = (
@@ -74,6 +79,47 @@ def sized(docs: DataFrame) -> DataFrame:
     )
 
 
+def _is_taken() -> Column:
+    """Whether a round of :func:`_round` took the document: not above the round's limit, and before its cut."""
+    return F.exists("_rounds", lambda r: (F.col("_size") <= r["limit"]) & (F.col("_before") < r["cut"]))
+
+
+def _round(stood: DataFrame, state: DataFrame, first: bool) -> DataFrame:
+    """``state`` after one more round: of the open documents up to a limit, the longest prefix that fits the gap is taken.
+
+    The limit is the gap at first, so larger documents step aside, and half of
+    it afterwards.  Then a document that ends the prefix leaves less than half
+    of the gap, or no document up to the limit is left.  ``_moved`` says whether
+    the round took anything.  The cut is searched among totals of stretches,
+    then inside the one where it lies.
+    """
+    limit = F.col("_gap") if first else F.col("_gap") / 2
+    known = state.withColumn("_limit", limit)
+    open_ = stood.join(known, F.col("_place_of") == F.col("_of")).filter((F.col("_size") > 0) & (F.col("_size") <= F.col("_limit")) & ~_is_taken())
+    up_to = Window.partitionBy("_of").rowsBetween(Window.unboundedPreceding, 0)
+    over = F.col("_run") > F.col("_gap")
+    stretches = open_.groupBy("_of", "_gap", "_stretch").agg(F.sum("_size").alias("_n"))
+    summed = stretches.withColumn("_run", F.sum("_n").over(up_to.orderBy("_stretch")))
+    ends = materialise(
+        summed.groupBy("_of").agg(F.min(F.when(over, F.col("_stretch"))).alias("_last"), F.coalesce(F.max(F.when(~over, F.col("_run"))), F.lit(0)).alias("_whole_ones")),
+        "mixing-stretches",
+    )
+    inside = open_.join(ends.withColumnRenamed("_of", "_at"), (F.col("_of") == F.col("_at")) & (F.col("_stretch") == F.col("_last")))
+    inside = inside.withColumn("_run", F.col("_whole_ones") + F.sum("_size").over(up_to.orderBy("_before")))
+    cuts = inside.groupBy("_at").agg(F.min(F.when(over, F.col("_before"))).alias("_cut"), F.max(F.when(~over, F.col("_run"))).alias("_in_last"))
+    found = ends.join(cuts, F.col("_of") == F.col("_at"), "left").select(
+        F.col("_of").alias("_at"), F.coalesce("_cut", F.lit(_END)).alias("cut"), F.coalesce("_in_last", "_whole_ones").alias("_took")
+    )
+    taken_now = F.array(F.struct(F.col("_limit").alias("limit"), "cut"))
+    moved = F.col("_at").isNotNull()
+    return known.join(found, F.col("_of") == F.col("_at"), "left").select(
+        "_of",
+        (F.col("_gap") - F.coalesce("_took", F.lit(0))).alias("_gap"),
+        F.when(moved, F.concat("_rounds", taken_now)).otherwise(F.col("_rounds")).alias("_rounds"),
+        moved.alias("_moved"),
+    )
+
+
 def _filled(rows: DataFrame) -> DataFrame:
     """``_more`` and ``_gap`` after one document more of a source has filled what its remainder lacks, as well as it can."""
     room = rows.filter(~F.col("_more") & (F.col("_size") > 0) & (F.col("_size") < 2 * F.col("_gap")))
@@ -92,12 +138,14 @@ def _filled(rows: DataFrame) -> DataFrame:
 
 
 def taken(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, passes: int = PASSES) -> DataFrame:
-    """``(_uid, doc_id, _size, source_size, target, _place, _times, _before, _used)`` for rows of :func:`sized`.
+    """``(_uid, doc_id, _size, source_size, target, _place, _place_of, _order, _times)`` for rows of :func:`sized`.
 
     A source is taken whole as often as its target holds its size.  The rest is
-    filled with documents in the order of md5(doc_id) as far as they fit, then
-    with two single ones that come nearest to what is still missing, so taken
-    words differ from the target by less than any document left could mend.
+    filled with documents in the order of md5(doc_id): those larger than what is
+    missing step aside, the others are taken as far as they fit, and so on with
+    those up to half of what is then missing, until none fits.  Two single
+    documents that come nearest to the rest end it, so no document left could
+    bring a source nearer to its target.
     """
     names = rows.groupBy("_source").agg(F.sum("_size").alias("source_size")).withColumnRenamed("_source", "source")
     plan = materialise(targets(names, weights, share, passes).withColumn("_place_of", F.xxhash64("source")), "mixing-targets")
@@ -109,16 +157,25 @@ def taken(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float =
     order = [F.col("_place_of"), F.col("_order").asc_nulls_last(), F.col("_size"), F.col("_uid")]
     summed = running_total(planned, order, "_size", "_sum", "mixing-ranges")
     first = materialise(summed.groupBy("_place_of").agg(F.min("_sum").alias("_base")).withColumnRenamed("_place_of", "_of"), "mixing-bases")
-    rest = F.col("target") - F.col("_whole") * F.col("source_size")
-    stood = summed.join(first, F.col("_place_of") == F.col("_of")).withColumn("_before", F.col("_sum") - F.col("_base"))
-    stood = stood.withColumn("_more", F.col("_before") + F.col("_size") <= rest).drop("_sum", "_base", "_of")
-    stood = materialise(stood, "mixing-first")
-    fits = materialise(
-        stood.groupBy("_place_of").agg(F.sum(F.when(F.col("_more"), F.col("_size")).otherwise(0)).alias("_has")).withColumnRenamed("_place_of", "_of"),
-        "mixing-fits",
-    )
-    rows = stood.join(fits, F.col("_place_of") == F.col("_of")).withColumn("_gap", rest - F.col("_has")).drop("_of", "_has")
-    rows = _filled(materialise(_filled(rows), "mixing-filled"))
+    stretch = F.when(F.col("source_size") > 0, F.floor((F.col("_sum") - F.col("_base")) / F.col("source_size") * STRETCHES)).otherwise(0)
+    stood = materialise(
+        summed.join(first, F.col("_place_of") == F.col("_of"))
+        .withColumn("_before", F.col("_sum") - F.col("_base")).withColumn("_stretch", stretch.cast("int")).drop("_sum", "_base", "_of"),
+        "mixing-stood",
+    )
+    rest = F.col("target") - whole * F.col("source_size")
+    no_rounds = F.array().cast("array<struct<limit:double,cut:bigint>>")
+    state = materialise(plan.select(F.col("_place_of").alias("_of"), rest.alias("_gap"), no_rounds.alias("_rounds")), "mixing-gaps")
+    moved, n = True, 0
+    while moved:
+        after = materialise(_round(stood, state.select("_of", "_gap", "_rounds"), first=n == 0), "mixing-gaps")
+        discard(state)
+        state, n = after, n + 1
+        moved = not state.filter("_moved").isEmpty()
+    empty = (F.col("_size") == 0) & (F.col("_before") <= F.col("target") - F.col("_whole") * F.col("source_size"))
+    rows = stood.join(state, F.col("_place_of") == F.col("_of")).withColumn("_more", empty | (F.col("_size") > 0) & _is_taken())
+    rows = rows.drop("_of", "_rounds", "_moved", "_stretch", "_before")
+    rows = _filled(materialise(_filled(materialise(rows, "mixing-first")), "mixing-filled"))
     return rows.withColumn("_times", F.col("_whole") + F.col("_more").cast("int")).select(
         "_uid", "doc_id", "_size", "source_size", "target", "_place", "_place_of", "_order", "_times"
     )
@@ -228,6 +285,14 @@ def mix_sql(documents: str = "documents", weights: tuple[float, ...] = WEIGHTS,
 {out} AS (SELECT f.* REPLACE (more OR coalesce(uid = pick, FALSE) AS more, gap - coalesce(by_, 0) AS gap)
   FROM {rows} f LEFT JOIN best_{out} b ON f.src IS NOT DISTINCT FROM b.src)"""
 
+    rounds = ""
+    for n in range(_SQL_ROUNDS):
+        limit = "gap" if n == 0 else "gap / 2"
+        fits = f"NOT more AND size > 0 AND size <= {limit}"
+        rounds += f"""
+r{n + 1} AS MATERIALIZED (SELECT * EXCLUDE (take) REPLACE (more OR take AS more, gap - coalesce(sum(size) FILTER (take) OVER (PARTITION BY src), 0) AS gap)
+  FROM (SELECT *, {fits} AND sum(CASE WHEN {fits} THEN size ELSE 0 END) OVER (PARTITION BY src ORDER BY before, size, uid ROWS UNBOUNDED PRECEDING) <= gap AS take FROM r{n})),"""
+
     return f"""WITH docs AS (SELECT doc_id, source AS src, row_number() OVER () AS uid, md5(CAST(doc_id AS VARCHAR)) AS o,
   CAST(len(regexp_extract_all(coalesce(text, ''), '{word}')) AS BIGINT) AS size FROM {documents}),
 sources AS (SELECT src, CAST(sum(size) AS BIGINT) AS n, (row_number() OVER (ORDER BY src NULLS LAST) - 1) % {len(weights)} AS place FROM docs GROUP BY src),
@@ -239,9 +304,8 @@ plan AS (SELECT src, n, place, least(cap, coalesce(w * (SELECT arg_min(level, ra
 ordered AS (SELECT d.*, n, place, target, CASE WHEN n > 0 THEN CAST(floor(target / n) AS INTEGER) ELSE 0 END AS whole,
   coalesce(sum(size) OVER (PARTITION BY d.src ORDER BY o NULLS LAST, size, uid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM docs d JOIN plan p ON d.src IS NOT DISTINCT FROM p.src),
-first AS (SELECT *, before + size <= target - whole * n AS more FROM ordered),
-gaps AS (SELECT *, target - whole * n - sum(CASE WHEN more THEN size ELSE 0 END) OVER (PARTITION BY src) AS gap FROM first),
-{fill("gaps", "once")},
+r0 AS MATERIALIZED (SELECT *, size = 0 AND before <= target - whole * n AS more, target - whole * n AS gap FROM ordered),{rounds}
+{fill(f"r{_SQL_ROUNDS}", "once")},
 {fill("once", "twice")},
 chosen AS (SELECT *, whole + CAST(more AS INTEGER) AS times FROM twice),
 each AS (SELECT *, unnest(range(0, times)) AS occurrence FROM chosen),
