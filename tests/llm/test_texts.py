@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -99,6 +100,102 @@ def test_license_rules(spark):
     assert len(got) == len(rows) and all(x == "" and n == 0 for i, x, n in got if i not in (10, 11, 12, 14))
 
 
+# Notices as their publishers give them, each with the licence a scan has to name.
+NOTICES = [
+    ("GPL-3.0-or-later", """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details."""),
+    ("GPL-2.0-or-later", """ * This program is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU General Public License
+ * as published by the Free Software Foundation; either version 2
+ * of the License, or (at your option) any later version."""),
+    ("GPL-2.0-only", """// This program is free software; you can redistribute it and/or modify
+// it under the terms of the GNU General Public License version 2 as
+// published by the Free Software Foundation."""),
+    ("LGPL-2.1-or-later", """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version."""),
+    ("AGPL-3.0-or-later", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as
+published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."""),
+    ("MPL-2.0", """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at http://mozilla.org/MPL/2.0/. */"""),
+    ("Apache-2.0", """   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software"""),
+    ("BSD-3-Clause", """Copyright (c) 2020, Someone
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""),
+    ("BSD-2-Clause", """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+* Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+* Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""),
+    ("MIT", """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL"""),
+    ("ISC", """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""),
+    ("MIT", "# SPDX-License-Identifier: MIT"), ("Apache-2.0", "// SPDX-License-Identifier: Apache-2.0"),
+    ("GPL-2.0-or-later", "/* SPDX-License-Identifier: GPL-2.0-or-later */"), ("CC-BY-SA-4.0", "SPDX-License-Identifier: CC-BY-SA-4.0"),
+    ("BSD-3-Clause", "Words before.\nSPDX-License-Identifier: BSD-3-Clause\nWords behind."),
+    ("MIT", "The MIT License (MIT)"), ("MIT", "Words.\nMIT License\nMore words."), ("ISC", "ISC License"),
+    ("Apache-2.0", "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/"),
+    ("GPL-3.0-only", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0\n=================================="),
+    ("MIT", "This project is licensed under the MIT License - see the LICENSE file for details."),
+]
+
+
+def test_published_notices_are_recognised(spark):
+    rows = [(i, text, "en", "s", 1) for i, (_, text) in enumerate(NOTICES)]
+    df = docs(spark, [*rows, (900, "The license of the fisher was free software to him; it was published.", "en", "s", 1)])
+    got = {r.doc_id: r.licenses for r in licenses.scan(df).collect()}
+    assert got == {i: lic for i, (lic, _) in enumerate(NOTICES)} | {900: ""}
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    assert {r[0]: r[2] for r in con.sql(licenses.scan_sql()).fetchall()} == got
+    assert licenses.scan(df.limit(0)).collect() == []
+
+
 def test_known_sentences_hold_a_cue():
     for s in licenses.known_sentences():
         assert s.startswith("under ") or any(c in s for c in licenses.CUES), s
