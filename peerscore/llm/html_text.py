@@ -2,9 +2,9 @@
 
 Paragraphs pass points for their length and commas to the elements above them,
 less with each level.  An element's points are discounted by the share of its
-text that stands in links.  The best element, or the article or main element
-around it, and those of its siblings that look like it are kept, without the
-boilerplate inside them.
+text that stands in links.  The best element is kept with its siblings, or, if
+it lies in an article or main element, that one with those of its siblings that
+look like it; boilerplate inside them goes.
 """
 
 from __future__ import annotations
@@ -47,7 +47,12 @@ _MARKS = frozenset(
     "reply respond rss search share sharing shoutbox sidebar sidenav signup skip social sponsor sponsored subscribe subscription tags toc toolbar topbar "
     "tracking widget widgets".split()
 )
-#: Marks that count on an article element, too.
+# Words that stand beside a mark in a name without changing what it says.
+_BESIDE = frozenset(
+    "area article articles bar block blog body bottom box buttons container content entry first form global group header inner item items last left link links list main outer "
+    "page panel post posts primary right second secondary section site slot story text thread title top unit widget wrap wrapper".split()
+)
+#: Marks that count on an article element, too, and however much of the page's text an element holds.
 _NOT_ARTICLES = frozenset("ad ads advert advertisement comment comments promo related remark replies reply sponsored teaser".split())
 _GOOD = frozenset("article body content entry main page post story text blog".split())
 
@@ -61,22 +66,25 @@ _ATTRIBUTE = re.compile(r"(?:^|[\s/])(class|id|role|hidden|aria-hidden|style|ite
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _HEADINGS = frozenset(("h1", "h2", "h3"))
 
+_LISTS = frozenset(("ul", "ol", "table"))
+_LINK_BOXES = _LISTS | {"div", "section"}
+
 #: Share of points that elements above a paragraph get, from the parent upwards.
 _SHARES = (1.0, 0.5, 1 / 6, 1 / 9, 1 / 12)
 #: Bonus of article and main elements.
 _ARTICLE = 25.0
-#: Siblings of the best element are kept from this share of its score on.
+#: Siblings of an article are kept from this share of the best score on.
 SIBLING = 0.2
 #: Lists and boxes with more than this share of their text in links are menus.
 LINKED = 0.7
 
 
 class Element:
-    __slots__ = ("tag", "parent", "barred", "marked", "bonus", "points", "chars", "linked")
+    __slots__ = ("tag", "parent", "barred", "marked", "firm", "bonus", "points", "chars", "linked", "plain")
 
-    def __init__(self, tag: str, parent: Element | None, barred: bool, marked: bool, bonus: float) -> None:
-        self.tag, self.parent, self.barred, self.marked, self.bonus = tag, parent, barred, marked, bonus
-        self.points, self.chars, self.linked = 0.0, 0, 0
+    def __init__(self, tag: str, parent: Element | None, barred: bool, marked: bool, firm: bool, bonus: float) -> None:
+        self.tag, self.parent, self.barred, self.marked, self.firm, self.bonus = tag, parent, barred, marked, firm, bonus
+        self.points, self.chars, self.linked, self.plain = 0.0, 0, 0, 0
 
     @property
     def aside(self) -> bool:
@@ -87,9 +95,15 @@ class Element:
         return (self.points + (self.bonus if self.points else 0.0)) * (1 - self.linked / max(self.chars, 1))
 
 
-def _judge(tag: str, attributes: str) -> tuple[bool, bool, float]:
-    """Whether an element is aside from the article by its kind, whether by its names, and its bonus."""
-    aside, marked, bonus = tag in _ASIDE, False, 0.0
+def _says(name: str, marks: frozenset[str]) -> bool:
+    """Whether a class name or id as a whole names one of ``marks``: no other word in it but numbers and such as "left" or "box"."""
+    words = [w.lower() for w in _TOKEN.findall(name)]
+    return any(w in marks for w in words) and all(w in marks or w in _MARKS or w in _BESIDE or w.isdigit() for w in words)
+
+
+def _judge(tag: str, attributes: str) -> tuple[bool, bool, bool, float]:
+    """Whether an element is aside from the article by its kind, whether by its names, whether firmly so, and its bonus."""
+    aside, marked, firm, bonus = tag in _ASIDE, False, False, 0.0
     if tag in ("article", "main"):
         bonus = _ARTICLE
     if attributes:
@@ -104,14 +118,15 @@ def _judge(tag: str, attributes: str) -> tuple[bool, bool, float]:
                 words = {w.lower() for w in _TOKEN.findall(value)}
                 if words & _GOOD:
                     bonus = max(bonus, 10.0)
-                if words & (_NOT_ARTICLES if tag == "article" else _MARKS) and tag not in ("main", "body", "html"):
-                    marked = True
-    return aside, marked, bonus
+                if tag not in ("main", "body", "html"):
+                    firm = firm or any(_says(n, _NOT_ARTICLES) for n in value.split())
+                    marked = firm or marked or tag != "article" and any(_says(n, _MARKS) for n in value.split())
+    return aside, marked, firm, bonus
 
 
 def _blocks(page: str) -> tuple[list[tuple[Element, str, int]], list[Element]]:
     """Text blocks in page order as ``(element, text, characters in links)``, and all elements."""
-    root = Element("html", None, False, False, 0.0)
+    root = Element("html", None, False, False, False, 0.0)
     elements = [root]
     here = root
     blocks: list[tuple[Element, str, int]] = []
@@ -177,13 +192,13 @@ def _blocks(page: str) -> tuple[list[tuple[Element, str, int]], list[Element]]:
         flush()
         if tag in _VOID or tag in ("html", "body") and here is not root:
             continue
-        barred, marked, bonus = _judge(tag, attributes)
+        barred, marked, firm, bonus = _judge(tag, attributes)
         if tag == "header" and any(x.tag in ("article", "main") for x in _up(here)):
             barred = False
         if tag in ("article", "main") and not (barred or marked):
             for above in _up(here):  # a box around the article is no sidebar, whatever its name
                 above.marked = False
-        here = Element(tag, here, barred, marked, bonus)
+        here = Element(tag, here, barred, marked, firm, bonus)
         elements.append(here)
     flush()
     return blocks, elements
@@ -195,11 +210,26 @@ def _up(node: Element | None) -> Iterator[Element]:
         node = node.parent
 
 
+def _unmark(blocks: list[tuple[Element, str, int]], elements: list[Element]) -> None:
+    """No name marks what holds most of a page's text outside links, but for comments, adverts and the like."""
+    total = 0
+    for node, text, linked in blocks:
+        if any(x.barred or x.firm and x.marked for x in _up(node)):
+            continue
+        total += len(text) - linked
+        for above in _up(node):
+            above.plain += len(text) - linked
+    for element in elements:
+        if element.marked and not element.firm and 2 * element.plain > total:
+            element.marked = False
+
+
 def main_text(page: str | None) -> str:
     """The article of a page; empty if it has none."""
     if not page:
         return ""
     blocks, elements = _blocks(page)
+    _unmark(blocks, elements)
     blocks = [b for b in blocks if not b[0].aside]
     for node, text, linked in blocks:
         for above in _up(node):
@@ -216,22 +246,26 @@ def main_text(page: str | None) -> str:
     # Whatever its best part, an article is kept whole.
     top = best.score
     best = next((x for x in _up(best) if x.bonus >= _ARTICLE and not x.aside), best)
+    article = best.bonus >= _ARTICLE
     kept = {id(best)}
     for other in elements:
         if other is best or other.parent is not best.parent or other.aside or best.parent is None:
             continue
         density = other.linked / max(other.chars, 1)
-        if other.score >= max(1.0, SIBLING * top) or other.tag in _HEADINGS or other.tag == "p" and other.chars > 80 and density < 0.25:
+        if not article or other.score >= max(1.0, SIBLING * top) or other.tag in _HEADINGS or other.tag == "p" and other.chars > 80 and density < 0.25:
             kept.add(id(other))
+    # Text that stands in the parent itself, between the kept children.
+    loose = None if article else best.parent
     out = []
     for node, text, linked in blocks:
-        inside, menu, heading = False, False, False
+        inside, menu, heading = node is loose, False, False
         for above in _up(node):
             heading = heading or above.tag in _HEADINGS
             if above.tag == "header" and not heading:
                 menu = True
-            if above.tag in ("ul", "ol", "div", "table", "section") and above.chars and above.linked > LINKED * above.chars and above is not best:
-                menu = True
+            if above.tag in _LINK_BOXES and above.chars and above.linked > LINKED * above.chars and above is not best:
+                # An article's lists of links are its own.
+                menu = menu or not (article and (best.tag == "article" or above.tag in _LISTS))
             if id(above) in kept:
                 inside = True
                 break

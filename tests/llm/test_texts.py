@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import zlib
+from html.parser import HTMLParser
 
 import duckdb
 import numpy as np
@@ -236,6 +237,81 @@ def test_an_article_is_kept_whole(around, n):
     assert len(lines) == 2 + n + 2 + 6
 
 
+_P = "<p>Words of the page, with commas, to read, part %s, for all.</p>"
+_MANY = "".join(_P % i for i in range(8))
+_TEXT = [f"Words of the page, with commas, to read, part {i}, for all." for i in range(8)]
+_AROUND = "<nav><a href=/>Home</a></nav>%s<div class='comments'><p>Nice, really, nice, I say, well done.</p></div><footer>me</footer>"
+
+KEPT = [
+    # Names that only hold a mark as one of their words, around a page without an article element.
+    *[(_AROUND % f"<div class='{name}'>{_MANY}</div>", _TEXT) for name in ("layout has-sidebar", "widget-area-none content", "social-science-article", "sidebar")],
+    # ... and inside an article.
+    ("<article>" + _MANY + "<div class='notice-period'><p>Two, weeks.</p></div><div id='search-results-2020'><p>Found, none.</p></div></article>", [*_TEXT, "Two, weeks.", "Found, none."]),
+    # Short parts beside the best container.
+    (_AROUND % f"<div><div>{_MANY}</div><ul><li>One<li>Two</ul><div><p>Short, second.</p></div><p>The end.</p></div>", [*_TEXT, "One", "Two", "Short, second.", "The end."]),
+    # A list of references in an article.
+    ("<article>" + _MANY + "<ol><li><a href=x>First reference</a><li><a href=y>Second reference</a></ol></article>", [*_TEXT, "First reference", "Second reference"]),
+    # What has to go, all the same.
+    (_AROUND % f"<div><div>{_MANY}</div><ul><li><a href=x>Menu</a><li><a href=y>Other</a></ul><div class='related-posts'><p>More, to read.</p></div><div id=sidebarLeft><p>Side, bar.</p></div></div>", _TEXT),
+    ("<div class=comment-list>" + _MANY * 5 + "</div><div><p>The post, itself, is short, but it is here.</p></div>", ["The post, itself, is short, but it is here."]),
+]
+
+
+@pytest.mark.parametrize("n", range(len(KEPT)))
+def test_text_is_kept(n):
+    page, want = KEPT[n]
+    assert html_text.main_text(page).split("\n") == want
+
+
+class _Article(HTMLParser):
+    """The blocks of a page's article element, by the library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open, self.blocks, self.here = [], [], ""
+
+    def end_block(self):
+        if text := " ".join(self.here.split()):
+            self.blocks.append(text)
+        self.here = ""
+
+    def handle_starttag(self, tag, attrs):
+        if tag in html_text._BLOCKS:
+            self.end_block()
+        if tag == "br":
+            self.here += " "
+        if tag not in html_text._VOID:
+            self.open.append("aside" if dict(attrs).get("class") == "ad" else tag)
+
+    def handle_endtag(self, tag):
+        if tag in html_text._BLOCKS:
+            self.end_block()
+        while tag in self.open or tag == "div" and "aside" in self.open:
+            if self.open.pop() in (tag, "aside"):
+                break
+
+    def handle_data(self, data):
+        if "article" in self.open and not {"script", "style", "nav", "aside", "form", "footer", "header"} & set(self.open):
+            self.here += data
+
+
+def test_articles_of_all_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    for r, got in zip(pages.orderBy("page_id").collect(), html_text.extract(pages).orderBy("page_id").collect()):
+        parser = _Article()
+        parser.feed(r.html or "")
+        parser.close()
+        assert got.text.split("\n") == (parser.blocks or [""]), r.page_id
+
+
+def test_repeated_and_no_pages(spark):
+    schema = "page_id long, url string, html string, text string, n_chars string"
+    rows = [(1, "u", "<p>Same, text, in here.", "own", "own")] * 3
+    df = spark.createDataFrame(rows, schema)
+    assert [r.text for r in html_text.extract(df).collect()] == ["Same, text, in here."] * 3
+    assert html_text.extract(df.limit(0)).collect() == []
+
+
 def test_very_long_page():
     body = "".join(f"<p>Sentence {i}, with a comma, and some words.</p>" for i in range(20_000))
     assert html_text.main_text(f"<article>{body}</article>").count("\n") == 19_999
