@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import date, datetime
 
 import pandas as pd
@@ -15,7 +15,7 @@ from ..functions import casts
 from ..plans import daily_series
 from ..schemas import MANIFEST, QUOTA_SERIES
 from ..session import scratch_path
-from ..sources import archives, delimited, landing, series, tables
+from ..sources import archives, delimited, landing, series, tables, zip_members
 from . import frames as f
 
 _ORDER_FIELDS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -39,27 +39,41 @@ def _orders_typed(df: DataFrame) -> DataFrame:
     )
 
 
-def _zip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One archive per batch of rows, with two data members and one to be skipped."""
-    for batch in batches:
-        names = list(batch.columns)
-        held = io.BytesIO()
-        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr("readme.txt", "not data")
-            half = len(batch) // 2
-            for member, rows, columns in (
-                ("first.csv", batch.iloc[:half], names),
-                ("SECOND.CSV", batch.iloc[half:], names[::-1]),
-            ):
-                lines = [";".join(columns), *[";".join(r) for r in rows[columns].itertuples(index=False)]]
-                archive.writestr(member, "\r\n".join(lines).encode("latin-1"))
-        yield pd.DataFrame({"path": [f"orders-{batch.iloc[0, 0]}"], "content": [held.getvalue()]})
+def _zipped(root: str | None) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """One archive per batch of rows, with four data members and one to be skipped, below ``root`` or as content."""
+
+    def zip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            names = list(batch.columns)
+            held = io.BytesIO()
+            with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr("readme.txt", "not data")
+                for n in range(4):
+                    columns = names[::-1] if n % 2 else names
+                    lines = [";".join(columns), *[";".join(r) for r in batch.iloc[n::4][columns].itertuples(index=False)]]
+                    archive.writestr(f"part{n}.CSV" if n % 2 else f"part{n}.csv", "\r\n".join(lines).encode("latin-1"))
+            path = f"{root or ''}/orders-{batch.iloc[0, 0]}.zip"
+            content = held.getvalue()
+            if root:
+                system, name = zip_members.file_system(path)
+                with system.open_output_stream(name) as out:
+                    out.write(content)
+                content = b""
+            yield pd.DataFrame({"path": [path], "content": [content]})
+
+    return zip_batches
 
 
 def archive_expand(spark, sf):
-    """Orders packed into archives by the executors, then expanded and typed again."""
-    zips = _orders_as_text(spark, sf).mapInPandas(_zip_batches, "path string, content binary")
-    return _orders_typed(archives.expand_archives(zips, _ORDER_FIELDS))
+    """Orders packed into archives by the executors, then read member by member and typed again."""
+    root = scratch_path(spark, "archives")
+    reached = zip_members.file_system(root)
+    zips = _orders_as_text(spark, sf).mapInPandas(_zipped(root if reached else None), "path string, content binary")
+    if reached is None:
+        return _orders_typed(archives.expand_archives(zips, _ORDER_FIELDS))
+    reached[0].create_dir(reached[1])
+    zips.write.format("noop").mode("overwrite").save()
+    return _orders_typed(archives.read_archives(spark, root, _ORDER_FIELDS))
 
 
 def delimited_scan(spark, sf):

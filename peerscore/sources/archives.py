@@ -1,100 +1,42 @@
 """Zip archives of delimited members, expanded to one row per line.
 
-A zip cannot be split, so one archive is one unit of work (of at most 2 GB, the
-limit of Spark's binary files); members are read in blocks, so memory stays at
-the archive plus one block.  The Python here only decodes and splits whole
-blocks with Arrow; eras and types are resolved by Spark expressions.
+Archives are read member by member (:mod:`.zip_members`), each member by a task
+of its own.  Only where a path is out of reach of ranged reads does an archive
+come as one binary file, which Spark limits to 2 GB.  The Python here decodes
+and splits whole blocks with Arrow; eras and types are resolved by Spark
+expressions.
 """
 
 from __future__ import annotations
 
 import io
+import json
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 
-import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.casts import NULL_TOKENS
 from .delimited import SEPARATOR
+from .lines import BLOCK_BYTES, field_mask, line_batches, lines_schema
+from .zip_members import ZipMembers, file_system, wanted
 
-BLOCK_BYTES = 4 << 20
-LINE_ORDER = ("source_priority", "path", "member_no", "line_no")
-
-
-def _pick(lines: pa.Array, positions: list[int | None], sep: str) -> list[pa.Array]:
-    """Fields of all lines by position; null where a line is too short or holds a null token."""
-    parts = pc.split_pattern(lines, sep)
-    offsets = parts.offsets.to_numpy()
-    lengths = np.diff(offsets)
-    picked = []
-    for at in positions:
-        if at is None:
-            picked.append(pa.nulls(len(lines), pa.string()))
-            continue
-        found = parts.values.take(pa.array(offsets[:-1] + at, mask=lengths <= at))
-        missing = pc.is_in(found, value_set=pa.array(NULL_TOKENS))
-        picked.append(pc.if_else(missing, pa.scalar(None, pa.string()), found))
-    return picked
-
-
-def _line_blocks(raw: io.BufferedIOBase) -> Iterator[pa.Array]:
-    """Whole lines of a member, without their ends, about ``BLOCK_BYTES`` at a time."""
-    rest = b""
-    while block := raw.read(BLOCK_BYTES):
-        whole, found, rest = (rest + block).rpartition(b"\n")
-        if found:
-            yield _lines(whole)
-    if rest:
-        yield _lines(rest)
-
+__all__ = ["LINE_ORDER", "expand_archives", "field_mask", "has_field", "read_archives"]
 
-def _lines(block: bytes) -> pa.Array:
-    text = pa.array([block.decode("latin-1")], pa.large_string())
-    return pc.utf8_rtrim(pc.split_pattern(text, "\n").flatten(), characters="\r").cast(pa.string())
-
-
-def field_mask(present: Sequence[str], names: Sequence[str]) -> int:
-    """Which of ``names`` a header has: bit i for name i."""
-    return sum(1 << i for i, n in enumerate(names) if n in present)
+LINE_ORDER = ("source_priority", "path", "member_no", "line_no")
 
 
 def _expander(names: list[str], member: str | None, sep: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = ["path", "member", "member_no", "line_no", "fields", *names]
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
                     for number, name in enumerate(archive.namelist()):
-                        if name != member if member else not name.lower().endswith(".csv"):
-                            continue
-                        at: list[int | None] | None = None
-                        seen = 0
-                        with archive.open(name) as raw:
-                            for lines in _line_blocks(raw):
-                                if at is None:
-                                    found = lines[0].as_py().split(sep)
-                                    at = [found.index(n) if n in found else None for n in names]
-                                    fields = field_mask(found, names)
-                                numbers = np.arange(seen, seen + len(lines))
-                                seen += len(lines)
-                                kept = pc.and_(pc.not_equal(lines, ""), pa.array(numbers > 0))
-                                lines = lines.filter(kept)
-                                n = len(lines)
-                                yield pa.RecordBatch.from_arrays(
-                                    [
-                                        pa.repeat(pa.scalar(path.as_py(), pa.string()), n),
-                                        pa.repeat(pa.scalar(name, pa.string()), n),
-                                        pa.repeat(pa.scalar(number, pa.int32()), n),
-                                        pa.array(numbers).filter(kept),
-                                        pa.repeat(pa.scalar(fields, pa.int64()), n),
-                                        *_pick(lines, at, sep),
-                                    ],
-                                    names=columns,
-                                )
+                        if wanted(name, member):
+                            with archive.open(name) as raw:
+                                yield from line_batches(iter(partial(raw.read, BLOCK_BYTES), b""), path.as_py(), name, number, names, sep)
 
     return expand
 
@@ -108,17 +50,27 @@ def expand_archives(
     them; other fields, and fields beyond the header, are cut.  ``fields``
     says which of up to 63 names the header has (:func:`has_field`).
     """
-    schema = "path string, member string, member_no int, line_no long, fields long"
-    schema += "".join(f", `{n}` string" for n in names)
-    return archives.select("path", "content").mapInArrow(_expander(list(names), member, sep), schema)
+    return archives.select("path", "content").mapInArrow(_expander(list(names), member, sep), lines_schema(names))
 
 
 def read_archives(
     spark: SparkSession, path: str | Sequence[str], names: Sequence[str], member: str | None = None, priority: int = 0
 ) -> DataFrame:
-    """Lines of the archives at ``path``; a lower ``priority`` wins a later keep-first."""
+    """Lines of the archives at ``path``, as of :func:`expand_archives`; a lower ``priority`` wins a later keep-first.
+
+    The archives are listed at once, one name each on the driver.
+    """
     files = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
-    return expand_archives(files, names, member).withColumn("source_priority", F.lit(priority))
+    found = [r["path"] for r in files.select("path").orderBy("path").toLocalIterator()]
+    if not found:
+        lines = spark.createDataFrame([], lines_schema(names))
+    elif all(file_system(p) for p in found):
+        spark.dataSource.register(ZipMembers)
+        asked = {"paths": json.dumps(found), "names": json.dumps(list(names)), "member": member or "", "sep": SEPARATOR}
+        lines = spark.read.format("zip_members").options(**asked).load()
+    else:
+        lines = expand_archives(files, names, member)
+    return lines.withColumn("source_priority", F.lit(priority))
 
 
 def has_field(name: str, names: Sequence[str]) -> Column:

@@ -1,3 +1,4 @@
+import dataclasses
 import hashlib
 import io
 import json
@@ -11,7 +12,7 @@ from peerscore import session
 from peerscore.operators.select import empty_frame
 from peerscore.plans import daily_series
 from peerscore.schemas import MANIFEST, QUOTA_SERIES
-from peerscore.sources import archives, attributes, delimited, landing, series, tables
+from peerscore.sources import archives, attributes, delimited, landing, lines, series, tables, zip_members
 
 CURRENT = "TP_FUNDO_CLASSE;CNPJ_FUNDO_CLASSE;ID_SUBCLASSE;DT_COMPTC;VL_TOTAL;VL_QUOTA;VL_PATRIM_LIQ;CAPTC_DIA;RESG_DIA;NR_COTST"
 LEGACY = "CNPJ_FUNDO;DT_COMPTC;VL_TOTAL;VL_QUOTA;VL_PATRIM_LIQ;CAPTC_DIA;RESG_DIA;NR_COTST"
@@ -61,6 +62,55 @@ def test_archive_lines_come_in_blocks(spark, tmp_path):
     assert tuple(got.first()) == (n, n * (n - 1) // 2, n, n)
 
 
+def test_members_are_read_by_tasks_of_their_own(spark, tmp_path):
+    members = {f"m{i}.csv": ["A;B", *[f"{i};{n}" for n in range(i)]] for i in range(6)}
+    p = make_zip(tmp_path / "a.zip", members)
+    df = archives.read_archives(spark, p, ["A", "B"])
+    assert df.rdd.getNumPartitions() == 6
+    got = df.withColumn("task", F.spark_partition_id()).groupBy("member").agg(F.count("*").alias("n"), F.count_distinct("task").alias("tasks"))
+    assert {r.member: (r.n, r.tasks) for r in got.collect()} == {f"m{i}.csv": (i, 1) for i in range(1, 6)}
+    assert archives.read_archives(spark, p, ["A"], member="none.csv").collect() == []
+    (tmp_path / "none").mkdir()
+    assert archives.read_archives(spark, str(tmp_path / "none"), ["A"]).collect() == []
+
+
+def test_archives_beyond_two_gigabytes(spark, tmp_path):
+    """An archive that stands behind 5 GB of nothing, which takes no room on disk."""
+    p = tmp_path / "large.zip"
+    with open(p, "wb") as f:
+        f.truncate(5 << 30)
+    with zipfile.ZipFile(p, "a", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("a.csv", "A;B\n1;2\n")
+        z.writestr(zipfile.ZipInfo("b.csv"), "A;B\n3;4\n")  # stored
+    got = archives.read_archives(spark, str(p), ["A", "B"]).orderBy("member_no").collect()
+    assert [(r.member, r.A, r.B) for r in got] == [("a.csv", "1", "2"), ("b.csv", "3", "4")]
+
+
+def test_blocks_of_a_member_are_bounded_and_checked(tmp_path):
+    p = make_zip(tmp_path / "a.zip", {"a.csv": ["A", "0" * (3 * lines.BLOCK_BYTES), "1"]})
+    (member,) = zip_members.members_of(p)
+    blocks = list(zip_members.blocks_of(member))
+    assert max(map(len, blocks)) <= lines.BLOCK_BYTES and sum(map(len, blocks)) == 3 * lines.BLOCK_BYTES + 4
+    with pytest.raises(ValueError, match="checksum"):
+        list(zip_members.blocks_of(dataclasses.replace(member, crc=1)))
+    with pytest.raises(ValueError, match="no member"):
+        list(zip_members.blocks_of(dataclasses.replace(member, offset=1)))
+
+
+def test_paths_that_ranged_reads_reach():
+    assert zip_members.file_system("/a b/c.zip")[1] == "/a b/c.zip" == zip_members.file_system("file:/a b/c.zip")[1] == zip_members.file_system("file:///a b/c.zip")[1]
+    assert zip_members.file_system("viewfs://x/a.zip") is None
+
+
+def test_whole_content_gives_the_same_lines(spark, tmp_path):
+    p = make_zip(tmp_path / "a.zip", {"b.csv": ["H;I", "1;2"], "a.CSV": ["I", "3", "", "4"]})
+    files = spark.read.format("binaryFile").load(p)
+    ranged = archives.read_archives(spark, p, ["H", "I"]).drop("source_priority")
+    whole = archives.expand_archives(files, ["H", "I"])
+    assert ranged.schema == whole.schema
+    assert sorted(map(tuple, ranged.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+
+
 def _row(*fields):
     return ";".join(fields)
 
