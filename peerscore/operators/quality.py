@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, Observation
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .ranking import average_ranks
 
 REPORT_COLUMNS = ("table", "check", "item", "n", "value", "first_date", "last_date")
@@ -132,17 +135,34 @@ def _report(df: DataFrame, table: str, check: str, **cols: Column) -> DataFrame:
 def profile_table(
     df: DataFrame, table: str, keys: Sequence[str], null_columns: Sequence[str], top: int = 10
 ) -> DataFrame:
-    """Key counts, nulls per column and, for a single key, its top duplicates."""
-    counts = key_counts(df, keys).unpivot([], ["rows", "distinct_keys", "duplicates"], "item", "n")
-    out = _report(counts, table, "keys", item=F.col("item"), n=F.col("n"))
-    nulls = null_counts(df, null_columns)
-    out = out.unionByName(
-        _report(nulls, table, "nulls", item=F.col("column"), n=F.col("nulls"), value=F.col("pct"))
-    )
+    """Key counts, nulls per column and, for a single key, its top duplicates, from one scan and one exchange.
+
+    Rows and nulls are counted by key, and all figures follow from these counts.
+    A key's counts are one struct, so the totals and the top duplicates, which
+    need different ones, read the same exchange.
+    """
+    have = [c for c in null_columns if c in df.columns]
+    counts = F.struct(F.count("*").alias("n"), *[F.count_if(F.col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(have)])
+    by_key = df.groupBy(*keys).agg(counts.alias("counts")).filter(F.col("counts.n") > 0)
+    total = lambda name: F.coalesce(F.sum(f"counts.{name}"), F.lit(0))
+    totals = by_key.agg(total("n").alias("rows"), F.count("*").alias("distinct_keys"), *[total(f"nulls_{i}").alias(f"nulls_{i}") for i in range(len(have))])
+
+    def line(check: str, item: str, n: Column, value: Column) -> Column:
+        return F.struct(F.lit(check).alias("check"), F.lit(item).alias("item"), n.cast("bigint").alias("n"), value.cast("double").alias("value"))
+
+    rows, distinct, none = F.col("rows"), F.col("distinct_keys"), F.lit(None)
+    lines = [line("keys", "rows", rows, none), line("keys", "distinct_keys", distinct, none), line("keys", "duplicates", rows - distinct, none)]
+    for c in null_columns:
+        nulls = F.col(f"nulls_{have.index(c)}") if c in have else none
+        lines.append(line("nulls", c, nulls, _percent(nulls, rows) if c in have else none))
+    found = totals.select(F.inline(F.array(*lines)))
     if len(keys) == 1:
-        dups = top_duplicates(df, keys[0], top)
-        out = out.unionByName(_report(dups, table, "top_duplicates", item=F.col(keys[0]), n=F.col("n")))
-    return out
+        most = by_key.filter(F.col("counts.n") > 1).orderBy(F.col("counts.n").desc(), F.col(keys[0]).asc_nulls_first()).limit(top)
+        found = found.unionByName(
+            most.select(F.lit("top_duplicates").alias("check"), F.col(keys[0]).cast("string").alias("item"), F.col("counts.n").alias("n"), none.cast("double").alias("value"))
+        )
+    dates = [F.lit(None).cast("date").alias(c) for c in ("first_date", "last_date")]
+    return found.select(F.lit(table).alias("table"), "check", "item", "n", "value", *dates)
 
 
 def profile_scores(df: DataFrame, table: str, score: str = "score") -> DataFrame:
@@ -172,23 +192,67 @@ def lineage(
 ) -> DataFrame:
     """One row: rows read, left by the cut, and left by keep-first on ``keys``, with the dates and distinct counts left.
 
-    All distinct counts come from one scan.
+    Rows and dates are observed on the job that takes the distinct counts, so
+    all come from one scan, run at once.
     """
-    key = F.when(cut, F.struct(*keys))
-    return df.agg(
-        F.count("*").alias("rows_read"),
-        F.count_if(cut).alias("rows_cut"),
-        F.count_distinct(key).alias("rows_kept"),
-        F.min(F.when(cut, F.col(date))).alias("first_day"),
-        F.max(F.when(cut, F.col(date))).alias("last_day"),
-        *[F.count_distinct(F.when(cut, F.col(c))).alias(name) for name, c in distinct.items()],
-    ).select(
-        F.lit(table).alias("table"), "rows_read", "rows_cut", "rows_kept", (F.col("rows_cut") - F.col("rows_kept")).alias("duplicates"),
-        "first_day", "last_day", *distinct,
-    )
+    read, seen_read = observe_step(df, f"{table}: read")
+    left, seen_cut = observe_step(read.filter(cut), f"{table}: cut", F.min(date).alias("first_day"), F.max(date).alias("last_day"))
+    counted = left.agg(F.count_distinct(F.struct(*keys)).alias("rows_kept"), *[F.count_distinct(c).alias(name) for name, c in distinct.items()])
+    counts = materialise(counted, "lineage")
+    rows_read, cut_counts = observed(seen_read), observed(seen_cut)
+    rows_cut = F.lit(cut_counts.get("rows", 0)).cast("bigint")
+    return counts.select(
+        F.lit(table).alias("table"), F.lit(rows_read.get("rows", 0)).cast("bigint").alias("rows_read"), rows_cut.alias("rows_cut"), "rows_kept",
+        (rows_cut - F.col("rows_kept")).alias("duplicates"),
+        *[F.lit(cut_counts.get(day)).cast("date").alias(day) for day in ("first_day", "last_day")], *distinct,
+    )
 
 
 def observe_step(df: DataFrame, step: str, *metrics: Column) -> tuple[DataFrame, Observation]:
     """Row counter (and further aggregates) that ride on whatever job runs ``df``."""
     seen = Observation(step)
     return df.observe(seen, F.count("*").alias("rows"), *metrics), seen
+
+
+def observed(seen: Observation) -> dict[str, object]:
+    """What was observed once the job has run; nothing where Spark left the step out, as one beside an empty table."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
+class Watch(Protocol):
+    """Counts the rows of a builder's step, and gives the frame to go on with."""
+
+    def __call__(self, df: DataFrame, step: str, date: str | None = None, **metrics: Column) -> DataFrame: ...
+
+
+def unwatched(df: DataFrame, step: str, date: str | None = None, **metrics: Column) -> DataFrame:
+    return df
+
+
+class StepCounts:
+    """Counters of the steps of all tables of a run; they ride on the jobs that write the tables."""
+
+    def __init__(self) -> None:
+        self._seen: list[tuple[str, str, Observation]] = []
+
+    def of(self, table: str) -> Watch:
+        def watch(df: DataFrame, step: str, date: str | None = None, **metrics: Column) -> DataFrame:
+            dates = [F.min(date).cast("date").alias("first_date"), F.max(date).cast("date").alias("last_date")] if date else []
+            out, seen = observe_step(df, f"{table}: {step}", *dates, *[m.alias(name) for name, m in metrics.items()])
+            self._seen.append((table, step, seen))
+            return out
+
+        return watch
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """Report rows, once the jobs have run: a step's rows and dates, and its further counts as ``step: count``."""
+        rows = []
+        for table, step, seen in self._seen:
+            found = observed(seen)
+            rows.append((table, "step", step, found.pop("rows", None), found.pop("first_date", None), found.pop("last_date", None)))
+            rows += [(table, "step", f"{step}: {name}", n, None, None) for name, n in found.items()]
+        counts = spark.createDataFrame(rows, "table string, check string, item string, n long, first_date date, last_date date")
+        return counts.withColumn("value", F.lit(None).cast("double")).select(*REPORT_COLUMNS)

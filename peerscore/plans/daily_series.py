@@ -11,6 +11,7 @@ from ..functions.casts import iso_date, to_double, to_long
 from ..functions.text import clean_id
 from ..operators.dedup import keep_first
 from ..operators.match import keep_known_entities
+from ..operators.quality import Watch, unwatched
 from ..operators.select import on_or_before
 from ..schemas import QUOTA_SERIES
 from ..sources.archives import LINE_ORDER, has_field
@@ -53,12 +54,13 @@ def unify_eras(lines: DataFrame) -> DataFrame:
     )
 
 
-def quota_series(lines: DataFrame, as_of: date) -> DataFrame:
+def quota_series(lines: DataFrame, as_of: date, watch: Watch = unwatched) -> DataFrame:
     """Typed rows up to ``as_of``, one per entity, sub-entity and day."""
-    rows = on_or_before(unify_eras(lines), "dt_comptc", as_of)
-    return keep_first(rows, SERIES_KEY, list(LINE_ORDER)).select(*QUOTA_SERIES.fieldNames())
+    typed = watch(unify_eras(watch(lines, "lines read")), "typed", "dt_comptc")
+    rows = watch(on_or_before(typed, "dt_comptc", as_of), "up to the reference date", "dt_comptc")
+    return watch(keep_first(rows, SERIES_KEY, list(LINE_ORDER)), "one per entity and day", "dt_comptc").select(*QUOTA_SERIES.fieldNames())
 
 
-def quota_series_of(series: DataFrame, classes: DataFrame, subclasses: DataFrame) -> DataFrame:
+def quota_series_of(series: DataFrame, classes: DataFrame, subclasses: DataFrame, watch: Watch = unwatched) -> DataFrame:
     """The part of the series that belongs to the listed entities."""
-    return keep_known_entities(series, classes, subclasses).select(*QUOTA_SERIES.fieldNames())
+    return watch(keep_known_entities(watch(series, "read"), classes, subclasses), "of listed entities", "dt_comptc").select(*QUOTA_SERIES.fieldNames())

@@ -12,6 +12,7 @@ from ..functions.text import clean_id, text_trim
 from ..operators.dedup import keep_first, latest_record
 from ..operators.impute import impute_with_mode, map_labels, mode_bounds
 from ..operators.match import drop_parents_with_children, hierarchy_chain, star, two_pass_match
+from ..operators.quality import Watch, unwatched
 from ..operators.select import conform, empty_frame, find_column, with_prefix
 from ..schemas import ATTRIBUTE_COLUMNS, CLASS_FUNDS, SUBCLASS_FUNDS, struct
 from .settings import BENCHMARK_CODES, DEFAULT_BENCHMARK, FIXED_INCOME_PREFIX
@@ -90,12 +91,13 @@ def class_dimension(
     attributes: DataFrame,
     lookups: Sequence[tuple[DataFrame, Sequence[str]]],
     order: Sequence[str] = (),
+    watch: Watch = unwatched,
 ) -> DataFrame:
     """One row per class that has no subclass."""
-    keyed = classes.withColumn("ID_Registro_Classe", _registry_id("ID_Registro_Classe"))
+    keyed = watch(classes.withColumn("ID_Registro_Classe", _registry_id("ID_Registro_Classe")), "read")
     if "ID_Registro_Classe" in subclasses.columns:
         subclasses = subclasses.select(_registry_id("ID_Registro_Classe"))
-    alone = drop_parents_with_children(keyed, subclasses, "ID_Registro_Classe")
+    alone = watch(drop_parents_with_children(keyed, subclasses, "ID_Registro_Classe"), "without subclasses")
     base = alone.select(
         _registry_id("ID_Registro_Fundo"),
         clean_id(F.col("CNPJ_Classe")).alias("cnpj_classe"),
@@ -113,7 +115,7 @@ def class_dimension(
         base, [(fund, ["ID_Registro_Fundo"]), (attributes, ["cnpj_fundo", "cnpj_classe"]), *lookups]
     )
     ranked = keep_first(enriched, ["cnpj_classe"], [*order, "cnpj_fundo", "denom_social_classe", "data_de_inicio"])
-    return conform(ranked, CLASS_FUNDS)
+    return conform(watch(ranked, "one per class", "data_de_inicio"), CLASS_FUNDS)
 
 
 def subclass_dimension(
@@ -123,9 +125,10 @@ def subclass_dimension(
     attributes: DataFrame,
     lookups: Sequence[tuple[DataFrame, Sequence[str]]],
     order: Sequence[str] = (),
+    watch: Watch = unwatched,
 ) -> DataFrame:
     """One row per subclass, with its class and fund ids and two-pass attributes."""
-    sub = subclasses.select(
+    sub = watch(subclasses, "read").select(
         _registry_id("ID_Registro_Classe"),
         F.col("ID_Subclasse").cast("string").alias("id_subclasse_cvm"),
         *_status_columns("denom_social_subclasse"),
@@ -147,6 +150,7 @@ def subclass_dimension(
         ["cnpj_fundo", "cnpj_classe"],
         ATTRIBUTE_COLUMNS,
         [c for c in order if c in attributes.columns] or ATTRIBUTE_COLUMNS,
+        watch,
     )
     enriched = star(matched, lookups)
     ranked = keep_first(
@@ -154,18 +158,19 @@ def subclass_dimension(
         ["id_subclasse_cvm"],
         [*[f"_sub_{c}" for c in order], "cnpj_classe", "denom_social_subclasse", "data_de_inicio"],
     )
-    return conform(ranked, SUBCLASS_FUNDS)
+    return conform(watch(ranked, "one per subclass", "data_de_inicio"), SUBCLASS_FUNDS)
 
 
-def fixed_income(dim: DataFrame) -> DataFrame:
-    return with_prefix(dim, "classificacao_anbima", FIXED_INCOME_PREFIX)
+def fixed_income(dim: DataFrame, watch: Watch = unwatched) -> DataFrame:
+    return watch(with_prefix(watch(dim, "read"), "classificacao_anbima", FIXED_INCOME_PREFIX), "fixed income")
 
 
-def treated(dim: DataFrame, stats_from: DataFrame | None = None) -> DataFrame:
+def treated(dim: DataFrame, stats_from: DataFrame | None = None, watch: Watch = unwatched) -> DataFrame:
     """Canonical benchmark codes and imputed fees.
 
     Fee statistics come from ``stats_from`` (the class table, for subclasses)
     or from the table itself.
     """
     stats = mode_bounds(dim if stats_from is None else stats_from, FEES)
+    dim = watch(dim, "read", **{f"without_{c}": F.count_if(F.col(c).isNull()) for c in (*FEES, "benchmark")})
     return impute_with_mode(map_labels(dim, "benchmark", BENCHMARK_CODES, DEFAULT_BENCHMARK), FEES, stats)

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.quality import Watch, unwatched
 from ..operators.reference import widen
 from ..operators.select import on_or_before
 from .settings import ESSENTIAL_SERIES, REFERENCE_COLUMNS
@@ -21,10 +22,11 @@ def long_series(pieces: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def index_series(
-    pieces: Mapping[str, DataFrame], as_of: date, columns: Sequence[str] = REFERENCE_COLUMNS
+    pieces: Mapping[str, DataFrame], as_of: date, columns: Sequence[str] = REFERENCE_COLUMNS, watch: Watch = unwatched
 ) -> DataFrame:
     """All series side by side up to ``as_of``; a series without rows is a null column."""
-    return widen(on_or_before(long_series(pieces), "data", as_of), columns)
+    rows = watch(on_or_before(watch(long_series(pieces), "read", "data"), "data", as_of), "up to the reference date", "data")
+    return widen(rows, columns)
 
 
 def missing_essentials(

@@ -162,6 +162,33 @@ def test_observed_counts_ride_on_the_job(rows):
     assert seen.get == {"rows": 2, "top": 2}
 
 
+def test_steps_beside_an_empty_table_are_no_error(spark, rows):
+    steps = quality.StepCounts()
+    watch = steps.of("t")
+    df = watch(watch(rows("k int, day date", (1, date(2024, 1, 2)), (2, None)), "read", "day", odd=F.count_if(F.col("k") % 2 == 1)).filter("k > rand() + 5"), "cut")
+    watch(df.groupBy("k").count(), "kept").collect()
+    got = {r.item: (r.n, r.first_date) for r in steps.report(spark).collect()}
+    assert got["kept"] == (0, None) and set(got) >= {"read", "cut", "kept"}
+    assert got["read"] in ((2, date(2024, 1, 2)), (None, None))
+
+
+@pytest.mark.parametrize("keys", [["k"], ["k", "v"]])
+def test_a_profile_is_one_scan(spark, tmp_path, keys):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("a", 1), ("a", 1), (None, 2), ("b", None), ("b", 3), ("b", 3)], "k string, v int").write.parquet(path)
+    df = spark.read.parquet(path)
+    out = quality.profile_table(df, "t", keys, ["k", "v", "absent"])
+    got = {(r.check, r.item): (r.n, r.value) for r in out.collect()}
+    assert got["nulls", "k"] == (1, pytest.approx(100 / 6)) and got["nulls", "v"] == (1, pytest.approx(100 / 6)) and got["nulls", "absent"] == (None, None)
+    want = quality.key_counts(df, keys).first()
+    assert [got["keys", c][0] for c in ("rows", "distinct_keys", "duplicates")] == [want.rows, want.distinct_keys, want.duplicates]
+    assert {i: n for (c, i), (n, _) in got.items() if c == "top_duplicates"} == ({"a": 2, "b": 3} if keys == ["k"] else {})
+    out.write.format("noop").mode("overwrite").save()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert final.count("FileScan") == 1, plan
+
+
 def test_every_code_point_decomposes(spark):
     """All of Unicode, Hangul included, against the Unicode data Python ships."""
     points = [c for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
