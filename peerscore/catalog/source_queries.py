@@ -264,10 +264,15 @@ def partitioned_sink(spark, sf):
     tables.write_table(orders, root, "silver", "orders", first)
     tables.write_table(orders, root, "silver", "orders", second)
     tables.write_table(orders.filter(F.col("o_orderstatus") == "F"), root, "silver", "orders", second)
-    kept = [
-        tables.read_table(spark, root, "silver", "orders", day).withColumn("as_of", F.lit(day)) for day in (first, second)
-    ]
-    return kept[0].unionByName(kept[1])
+    return tables.read_dates(spark, root, "silver", "orders").withColumn("as_of", F.col("as_of").cast("date"))
+
+
+def sorted_sink(spark, sf):
+    """Line items published in the order of their dates, read back with their places in the files."""
+    root, day = scratch_path(spark, "sink"), date(2001, 1, 31)
+    lines = f.table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("day"), "l_orderkey", "l_linenumber")
+    tables.write_table(lines, root, "silver", "lines", day, order=["day", "l_orderkey", "l_linenumber"], by_range=True)
+    return tables.file_positions(tables.read_table(spark, root, "silver", "lines", day))
 
 
 _LINE_SQL = """u AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE 'FI' END AS tp_fundo_classe,
@@ -346,4 +351,9 @@ UNION ALL SELECT 'orders', 'old-' || c, 'orders/' || c, n, DATE '2001-01-02', 'n
         """SELECT o_orderkey, o_orderstatus, o_totalprice, DATE '2001-01-31' AS as_of FROM orders
 UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice, DATE '2001-02-28' FROM orders WHERE o_orderstatus = 'F'""",
     ),
+    "sorted_sink": (
+        sorted_sink,
+        """SELECT CAST(l_shipdate AS DATE) AS day, l_orderkey, l_linenumber,
+ row_number() OVER (ORDER BY CAST(l_shipdate AS DATE), l_orderkey, l_linenumber) AS position FROM lineitem""",
+    ),
 }

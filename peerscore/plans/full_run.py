@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.quality import observe_step
+from ..operators.quality import StepCounts
 from ..operators.select import empty_frame
 from ..schemas import CHILD_ATTRIBUTES, FUND_METRICS, PARENT_ATTRIBUTES, SERIES_ROWS
 from ..session import discard, materialise
@@ -19,7 +21,7 @@ from .daily_series import CURRENT_PRIORITY, LEGACY_PRIORITY, RAW_FIELDS, quota_s
 from .dimensions import class_dimension, fee_and_benchmark_lookups, fixed_income, subclass_dimension, treated
 from .fund_metrics import fund_metrics
 from .landing_zone import DAILY, LINE_COLUMN, MEMBERS, Zone, daily_archives, level_series, member, products, rate_series
-from .quality_report import quality_report, step_rows
+from .quality_report import quality_report
 from .reference_series import index_series, missing_essentials
 from .settings import PROFILES, REFERENCE_COLUMNS, SCORING, SERIES_LOOKBACK_MONTHS
 from .top_list import displayed, top_list
@@ -83,9 +85,12 @@ def run(spark: SparkSession, landed: Landed, out: str, as_of: date) -> dict[str,
     Each published table is written once and read back by its consumers.
     """
     paths: dict[str, str] = {}
+    steps = StepCounts()
 
     def publish(layer: str, name: str, df: DataFrame) -> DataFrame:
-        paths[name] = write_table(df, out, layer, name, as_of)
+        # Series are sorted by date; the wide one is small enough to be dealt by it, too.
+        by_date = {"index_series": ["data"], "quota_series": ["dt_comptc"], "quota_series_fixed_income": ["dt_comptc"]}
+        paths[name] = write_table(df, out, layer, name, as_of, order=by_date.get(name, ()), by_range=name == "index_series")
         return read_table(spark, out, layer, name, as_of)
 
     pieces = {c: landed.reference.get(c, empty_frame(spark, SERIES_ROWS)) for c in REFERENCE_COLUMNS}
@@ -105,24 +110,23 @@ def run(spark: SparkSession, landed: Landed, out: str, as_of: date) -> dict[str,
     cls = publish(
         "silver",
         "class_funds",
-        class_dimension(landed.classes, landed.funds, landed.subclasses, parent_attrs, lookups, landed.order),
+        class_dimension(landed.classes, landed.funds, landed.subclasses, parent_attrs, lookups, landed.order, steps.of("class_funds")),
     )
     sub = publish(
         "silver",
         "subclass_funds",
-        subclass_dimension(landed.subclasses, landed.classes, landed.funds, child_attrs, lookups, landed.order),
+        subclass_dimension(landed.subclasses, landed.classes, landed.funds, child_attrs, lookups, landed.order, steps.of("subclass_funds")),
     )
-    cls_fi = publish("silver", "class_funds_fixed_income", fixed_income(cls))
-    sub_fi = publish("silver", "subclass_funds_fixed_income", fixed_income(sub))
-    cls_t = publish("silver", "class_funds_fixed_income_treated", treated(cls_fi))
-    sub_t = publish("silver", "subclass_funds_fixed_income_treated", treated(sub_fi, stats_from=cls_fi))
-    # Counters that ride on the job that writes the series.
-    lines, read = observe_step(daily_lines(spark, landed), "lines read")
-    kept, left = observe_step(quota_series(lines, as_of), "rows kept")
-    series = publish("silver", "quota_series", kept)
-    steps = step_rows(spark, "quota_series", {"lines read": read, "rows kept": left})
-    series_fi = publish("silver", "quota_series_fixed_income", quota_series_of(series, cls_fi, sub_fi))
-    reference = publish("silver", "index_series", index_series(pieces, as_of))
+    def derive(layer: str, name: str, build: Callable[..., DataFrame], *args: object, **more: object) -> DataFrame:
+        return publish(layer, name, build(*args, **more, watch=steps.of(name)))
+
+    cls_fi = derive("silver", "class_funds_fixed_income", fixed_income, cls)
+    sub_fi = derive("silver", "subclass_funds_fixed_income", fixed_income, sub)
+    cls_t = derive("silver", "class_funds_fixed_income_treated", treated, cls_fi)
+    sub_t = derive("silver", "subclass_funds_fixed_income_treated", treated, sub_fi, stats_from=cls_fi)
+    series = derive("silver", "quota_series", quota_series, daily_lines(spark, landed), as_of)
+    series_fi = derive("silver", "quota_series_fixed_income", quota_series_of, series, cls_fi, sub_fi)
+    reference = derive("silver", "index_series", index_series, pieces, as_of)
 
     stored: list[DataFrame] = []
 
@@ -131,11 +135,12 @@ def run(spark: SparkSession, landed: Landed, out: str, as_of: date) -> dict[str,
         return stored[-1]
 
     scored = fund_metrics(cls_t, sub_t, series, reference, as_of, store=store)
-    metrics = publish("gold", "fund_metrics", scored.select(*FUND_METRICS.fieldNames()))
+    counted = steps.of("fund_metrics")(scored, "entities", scored=F.count("score"))
+    metrics = publish("gold", "fund_metrics", counted.select(*FUND_METRICS.fieldNames()))
     for df in stored:
         discard(df)
-    check = publish("gold", "validacao", calendar_year_return(cls_t, sub_t, series, as_of.year))
-    publish("gold", "top_list", displayed(top_list(metrics, cls_t, sub_t, PROFILES, SCORING.top_n)))
+    check = publish("gold", "validacao", steps.of("validacao")(calendar_year_return(cls_t, sub_t, series, as_of.year), "entities"))
+    publish("gold", "top_list", steps.of("top_list")(displayed(top_list(metrics, cls_t, sub_t, PROFILES, SCORING.top_n)), "ranked"))
     publish(
         "gold",
         "data_quality",
@@ -152,6 +157,6 @@ def run(spark: SparkSession, landed: Landed, out: str, as_of: date) -> dict[str,
                 "index_series": reference,
                 "fund_metrics": metrics,
             }
-        ).unionByName(steps),
+        ).unionByName(steps.report(spark)),
     )
     return paths

@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.select import empty_frame
 from ..schemas import struct
+from ..session import materialise
 from ..sources.archives import read_archives
 from ..sources.delimited import read_delimited
 from ..sources.landing import lookback_bounds, month_spine, resolve_keys, with_manifest, years_to_backfill
@@ -61,11 +63,16 @@ class Zone:
     root: str
     manifest: DataFrame
 
+    @cached_property
+    def listing(self) -> DataFrame:
+        """What lay in the zone when it was first asked for: listed once, written, and filtered by every source."""
+        return materialise(partitions(self.spark, self.root), "landing-zone")
+
     def known(self, source: str) -> DataFrame:
-        return with_manifest(partitions(self.spark, self.root).filter(F.col("source") == source), self.manifest, source)
+        return with_manifest(self.listing.filter(F.col("source") == source), self.manifest, source)
 
     def paths(self, source: str) -> list[str]:
-        """Known payloads in order: as many rows as the listing of the source's folder."""
+        """Known payloads of a source in order."""
         return [r["path"] for r in self.known(source).select("path").orderBy("path").collect()]
 
 

@@ -58,10 +58,14 @@ def read_archives(
 ) -> DataFrame:
     """Lines of the archives at ``path``, as of :func:`expand_archives`; a lower ``priority`` wins a later keep-first.
 
-    The archives are listed at once, one name each on the driver.
+    ``path`` is a folder, a pattern or one archive, which is listed at once, or
+    a list of archives, which is taken as it is.
     """
-    files = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
-    found = [r["path"] for r in files.select("path").orderBy("path").toLocalIterator()]
+    if isinstance(path, str):
+        listed = spark.read.format("binaryFile").load(path).select("path").orderBy("path")
+        found = [r["path"] for r in listed.toLocalIterator()]
+    else:
+        found = sorted(path)
     if not found:
         lines = spark.createDataFrame([], lines_schema(names))
     elif all(file_system(p) for p in found):
@@ -69,7 +73,7 @@ def read_archives(
         asked = {"paths": json.dumps(found), "names": json.dumps(list(names)), "member": member or "", "sep": SEPARATOR}
         lines = spark.read.format("zip_members").options(**asked).load()
     else:
-        lines = expand_archives(files, names, member)
+        lines = expand_archives(spark.read.format("binaryFile").load(found), names, member)
     return lines.withColumn("source_priority", F.lit(priority))
 
 

@@ -1,14 +1,31 @@
-"""Published tables: Parquet, one folder per reference date."""
+"""Published tables: Parquet, one folder per reference date, switched as a whole.
+
+A date's rows are written to a version folder of their own.  Once they are all
+there, an empty marker that names the version is created; readers follow the
+marker with the highest number.  So a job that is lost in mid-write, and one
+that runs while another reads, leave the old rows in place.  Creating a file is
+one step in every file system, renaming is not.  The version before stays for
+those who read it already.
+"""
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+_MARKER = re.compile(r"_current-(\d{9})-(v-[0-9a-f]{32})")
+#: Versions of a date that are kept: the current one and the one before.
+KEPT = 2
 
 
 def table_path(root: str, layer: str, table: str) -> str:
-    """Read as a whole, this folder gives all dates with an ``as_of`` partition column."""
+    """The folder of a table; :func:`read_dates` reads it as a whole."""
     return f"{root.rstrip('/')}/{layer}/{table}"
 
 
@@ -16,17 +33,80 @@ def date_path(root: str, layer: str, table: str, as_of: date) -> str:
     return f"{table_path(root, layer, table)}/as_of={as_of.isoformat()}"
 
 
-def write_table(df: DataFrame, root: str, layer: str, table: str, as_of: date) -> str:
-    """Replace one reference date of a table, leaving the others.
+def _folder(spark: SparkSession, path: str):
+    """A Hadoop path with its file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    at, system = _folder(spark, path)
+    return [f.getPath().getName() for f in system.listStatus(at)] if system.exists(at) else []
+
+
+def versions(spark: SparkSession, root: str, layer: str, table: str, as_of: date) -> list[tuple[int, str]]:
+    """``(number, version folder)`` of the complete versions of a date, the current one last."""
+    found = (_MARKER.fullmatch(n) for n in _names(spark, date_path(root, layer, table, as_of)))
+    return sorted((int(m[1]), m[2]) for m in found if m)
+
+
+def _discard_old(spark: SparkSession, path: str, complete: list[tuple[int, str]]) -> None:
+    for number, version in complete[:-KEPT]:
+        for name in (f"_current-{number:09d}-{version}", version):
+            at, system = _folder(spark, f"{path}/{name}")
+            system.delete(at, True)
+
 
-    The date's folder itself is overwritten, so a result without rows also
-    replaces what was there.
+def write_table(
+    df: DataFrame, root: str, layer: str, table: str, as_of: date, order: Sequence[str] = (), by_range: bool = False
+) -> str:
+    """Replace one reference date of a table, leaving the others; returns the path of the new version.
+
+    ``order`` sorts the rows of each file, so that filters on its first columns
+    skip row groups; with ``by_range`` rows are also dealt by range, so that
+    whole files are skipped and files in the order of their names are sorted.
     """
     path = date_path(root, layer, table, as_of)
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return path
+    version = f"v-{uuid.uuid4().hex}"
+    if order:
+        df = (df.repartitionByRange(*order) if by_range else df).sortWithinPartitions(*order)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(f"{path}/{version}")
+    before = versions(spark := df.sparkSession, root, layer, table, as_of)
+    number = before[-1][0] + 1 if before else 1
+    at, system = _folder(spark, f"{path}/_current-{number:09d}-{version}")
+    system.create(at, False).close()
+    _discard_old(spark, path, [*before, (number, version)])
+    return f"{path}/{version}"
+
+
+def current_path(spark: SparkSession, root: str, layer: str, table: str, as_of: date) -> str:
+    """The current version of one reference date; fails when it was never written as a whole."""
+    complete = versions(spark, root, layer, table, as_of)
+    if not complete:
+        raise FileNotFoundError(f"no complete version of {date_path(root, layer, table, as_of)}")
+    return f"{date_path(root, layer, table, as_of)}/{complete[-1][1]}"
 
 
 def read_table(spark: SparkSession, root: str, layer: str, table: str, as_of: date) -> DataFrame:
     """One reference date of a table; fails when it was never written."""
-    return spark.read.parquet(date_path(root, layer, table, as_of))
+    return spark.read.parquet(current_path(spark, root, layer, table, as_of))
+
+
+def read_dates(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
+    """All reference dates of a table with an ``as_of`` column."""
+    path = table_path(root, layer, table)
+    days = sorted(date.fromisoformat(n.removeprefix("as_of=")) for n in _names(spark, path) if n.startswith("as_of="))
+    current = [current_path(spark, root, layer, table, day) for day in days if versions(spark, root, layer, table, day)]
+    return spark.read.option("basePath", path).parquet(*current)
+
+
+def file_positions(df: DataFrame, alias: str = "position") -> DataFrame:
+    """Rows of a Parquet read with their 1-based place, files in the order of their names.
+
+    Only counts per file are summed up in one place.
+    """
+    placed = df.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = placed.groupBy("_file").agg(F.count("*").alias("_n"))
+    lower = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select("_file", F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_start"))
+    return placed.join(starts, "_file").withColumn(alias, F.col("_start") + F.col("_row") + 1).drop("_file", "_row", "_start")

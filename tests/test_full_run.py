@@ -89,7 +89,13 @@ def published(spark, tmp_path_factory):
         datetime(2026, 1, 2),
     ).filter(f"competence IS NULL OR competence <> '{HALF_LANDED}'")
     out = str(tmp_path_factory.mktemp("published"))
-    full_run.run_zone(spark, str(root), manifest, out, AS_OF)
+    listed, original = [], landing_zone.partitions
+    landing_zone.partitions = lambda *args: listed.append(args) or original(*args)
+    try:
+        full_run.run_zone(spark, str(root), manifest, out, AS_OF)
+    finally:
+        landing_zone.partitions = original
+    assert len(listed) == 1
 
     def read(layer, name):
         return tables.read_table(spark, out, layer, name, AS_OF)
@@ -150,8 +156,19 @@ def test_cross_check_and_quality(published):
     assert rows["fund_metrics"] == 5 and rows["class_funds"] == 5
     assert q.filter("check = 'score_bucket'").agg(F.sum("n")).first()[0] == 5
     assert q.filter("table = 'index_series' and check = 'coverage'").count() == 11
-    steps = {r.item: r.n for r in q.filter("check = 'step'").collect()}
-    assert steps["rows kept"] == published("silver", "quota_series").count() and steps["lines read"] > steps["rows kept"]
+    steps = {(r.table, r.item): r for r in q.filter("check = 'step'").collect()}
+    n = lambda table, item: steps[table, item].n
+    series = published("silver", "quota_series")
+    assert n("quota_series", "one per entity and day") == series.count() and n("quota_series", "lines read") > series.count()
+    assert steps["quota_series", "one per entity and day"].last_date == series.agg(F.max("dt_comptc")).first()[0]
+    assert n("class_funds", "read") > n("class_funds", "without subclasses") >= n("class_funds", "one per class") == rows["class_funds"]
+    matched = [n("subclass_funds", f"match: {c}") for c in ("pass1_matched", "pass2_matched", "unmatched")]
+    assert sum(matched) == n("subclass_funds", "match") >= n("subclass_funds", "one per subclass") == rows["subclass_funds"]
+    assert n("class_funds_fixed_income", "read") == rows["class_funds"] and n("class_funds_fixed_income", "fixed income") == rows["class_funds_fixed_income"]
+    assert n("fund_metrics", "entities: scored") == published("gold", "fund_metrics").filter("score IS NOT NULL").count()
+    fixed = {f"{t}_fixed_income{more}" for t in ("class_funds", "subclass_funds") for more in ("", "_treated")}
+    others = {"class_funds", "subclass_funds", "quota_series", "quota_series_fixed_income", "index_series", "fund_metrics", "validacao", "top_list"}
+    assert {t for t, _ in steps} == fixed | others
     nulls = {r.item: r.n for r in q.filter("table = 'fund_metrics' and check = 'nulls'").collect()}
     assert nulls["score"] == 0 and nulls["id_subclasse_cvm"] == 4 and nulls["benchmark"] is None
 

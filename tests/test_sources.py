@@ -4,7 +4,9 @@ import io
 import json
 import zipfile
 from datetime import date, datetime
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -286,13 +288,50 @@ def test_sink_replaces_one_reference_date(spark, rows, tmp_path):
     tables.write_table(rows("v int", (3,)), root, "gold", "t", two)
     assert [r.v for r in tables.read_table(spark, root, "gold", "t", one).collect()] == [1]
     assert [r.v for r in tables.read_table(spark, root, "gold", "t", two).collect()] == [3]
-    assert {(r.v, r.as_of) for r in spark.read.parquet(tables.table_path(root, "gold", "t")).collect()} == {(1, one), (3, two)}
+    assert {(r.v, r.as_of) for r in tables.read_dates(spark, root, "gold", "t").collect()} == {(1, one), (3, two)}
     tables.write_table(rows("v int", (4,)).filter("v > 4"), root, "gold", "t", two)
     assert tables.read_table(spark, root, "gold", "t", two).collect() == []
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+    with pytest.raises(FileNotFoundError, match="no complete version"):
         tables.read_table(spark, root, "gold", "missing", one)
 
 
+def test_a_job_lost_in_mid_write_leaves_the_old_rows(spark, rows, tmp_path):
+    root, day = str(tmp_path), date(2024, 1, 31)
+    read = lambda: sorted(r.v for r in tables.read_table(spark, root, "gold", "t", day).collect())
+    tables.write_table(rows("v int", (1,), (2,)), root, "gold", "t", day)
+    reading = tables.read_table(spark, root, "gold", "t", day)
+    lost = spark.range(100, numPartitions=4).select(F.when(F.col("id") < 70, F.col("id").cast("int")).otherwise(F.raise_error(F.lit("lost"))).alias("v"))
+    with pytest.raises(Exception, match="lost"):
+        tables.write_table(lost, root, "gold", "t", day)
+    assert read() == [1, 2] and len(tables.versions(spark, root, "gold", "t", day)) == 1
+    tables.write_table(rows("v int", (3,)), root, "gold", "t", day)
+    # Who read before the switch can go on.
+    assert read() == [3] and sorted(r.v for r in reading.collect()) == [1, 2]
+    for v in (4, 5):
+        tables.write_table(rows("v int", (v,)), root, "gold", "t", day)
+    assert read() == [5] and len(tables.versions(spark, root, "gold", "t", day)) == tables.KEPT
+    left = [p.name for p in (tmp_path / "gold" / "t" / f"as_of={day}").iterdir() if p.name.startswith("v-")]
+    assert len(left) == tables.KEPT + 1  # and what the lost job left
+
+
+def test_sorted_files_skip_row_groups(spark, tmp_path):
+    day = date(2024, 1, 31)
+    df = spark.range(4000, numPartitions=4).select((F.col("id") * 7919 % 4000).alias("k"), F.lit("x").alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # one file would do for these rows
+    try:
+        path = tables.write_table(df, str(tmp_path), "silver", "t", day, order=["k"], by_range=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    placed = tables.file_positions(spark.read.parquet(path)).collect()
+    assert sorted((r.position, r.k) for r in placed) == [(i + 1, i) for i in range(4000)]
+    bounds = [pq.read_metadata(p).row_group(0).column(0).statistics for p in sorted(Path(path).glob("*.parquet"))]
+    assert len(bounds) > 1 and all(a.max < b.min for a, b in zip(bounds, bounds[1:]))
+    within = tables.write_table(df, str(tmp_path), "silver", "u", day, order=["k"])
+    for p in Path(within).glob("*.parquet"):
+        keys = pq.read_table(p)["k"].to_pylist()
+        assert keys == sorted(keys)
+
+
 def test_materialised_table_lies_in_the_shared_folder(spark, rows):
     df = session.materialise(rows("v int, w string", (1, "a")), "t")
     assert df.inputFiles()[0].replace("file://", "").startswith(spark.conf.get("spark.checkpoint.dir"))
