@@ -8,12 +8,28 @@ from pyspark.sql.window import Window
 
 from ..session import discard, materialise, scratch_path
 
-__all__ = ["WORD", "discard", "materialise", "running_total", "scratch_path", "table"]
+__all__ = ["WORD", "discard", "drop_worker_caches", "materialise", "running_total", "scratch_path", "table", "worker_cache"]
 
 #: A word: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Dictionaries that this worker process keeps from task to task.
+_WORKER_CACHES: list[dict] = []
+
+
+def worker_cache() -> dict:
+    """A dictionary that outlives a task, until :func:`drop_worker_caches`."""
+    _WORKER_CACHES.append({})
+    return _WORKER_CACHES[-1]
+
+
+def drop_worker_caches() -> None:
+    """Called where a task of an operator without such a cache begins: Spark uses its workers again, whatever they hold."""
+    for cache in _WORKER_CACHES:
+        cache.clear()
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

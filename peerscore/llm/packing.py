@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, worker_cache
 
 SEQUENCE = 2048
 #: Id that ends a document.
@@ -29,8 +29,12 @@ BLOCK = 2000
 #: A bin with no more free room than this is final.
 SLACK = 8
 #: Bytes of words and ids (with about 170 more for an entry) in a generation of a worker's cache, which has two.
-CACHE_BYTES = 40 << 20
+CACHE_BYTES = 56 << 20
 _ENTRY_BYTES = 170
+#: What the last token of every piece of a word ends with.
+_WORD_END = "</w>"
+#: Marks that are a piece by themselves behind a word's letters.
+_MARKS = frozenset(b".,;:!?)")
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -41,6 +45,16 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _pieces_of(word: bytes) -> int:
+    """How many pieces the tokenizer makes of a word before it merges: known for letters with a mark at most.
+
+    Lower-casing can only add pieces to that, so a sum of pieces that comes out right is right for every word.
+    """
+    if word[-1] in _MARKS:
+        return 2 if word[:-1].decode().isalpha() else 0
+    return 1 if word.decode().isalpha() else 0
+
+
 class WordIds:
     """Token ids of words, as bytes: two generations of bounded size, so that words in use outlive the others."""
 
@@ -48,30 +62,64 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
+        tokenizer = Tokenizer.from_file(path)
+        self.encode = tokenizer.encode_batch_fast
+        self.ends = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
+        self.ends[[i for token, i in tokenizer.get_vocab().items() if token.endswith(_WORD_END)]] = True
+        self.marks = {m: self._one_by_one([bytes([m])])[bytes([m])] for m in _MARKS}
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.held = 0
 
+    def _one_by_one(self, words: list[bytes]) -> dict[bytes, bytes]:
+        found = self.encode([w.decode() for w in words], add_special_tokens=False)
+        return {w: np.array(f.ids, dtype="<u4").tobytes() for w, f in zip(words, found)}
+
+    def _together(self, words: list[bytes], pieces: list[int]) -> dict[bytes, bytes]:
+        """Words whose pieces are known, encoded as one text and cut where pieces end."""
+        ids = np.array(self.encode([b" ".join(words).decode()], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        last = np.cumsum(pieces)
+        if len(ends) != last[-1]:
+            return self._one_by_one(words)
+        packed, stops = ids.tobytes(), (4 * ends[last - 1]).tolist()
+        return {w: packed[a:b] for w, a, b in zip(words, [0, *stops], stops)}
+
+    def _known(self, word: bytes) -> bytes | None:
+        """Ids of a word that the young generation lacks, from the old one or from those of its letters."""
+        if (ids := self.old.get(word)) is not None:
+            return ids
+        if word[-1] in _MARKS and (ids := self.young.get(word[:-1])) is not None and word[:-1].decode().isalpha():
+            return ids + self.marks[word[-1]]
+        return None
+
     def of(self, words: list[bytes]) -> bytes:
-        try:
-            return b"".join(map(self.young.__getitem__, words))
-        except KeyError:
-            pass
         if self.held > CACHE_BYTES:
             self.old, self.young, self.held = self.young, {}, 0
-        missed = set(words).difference(self.young)
-        found = {w: self.old[w] for w in missed if w in self.old}
-        new = list(missed.difference(found))
-        for word, ids in zip(new, self.encode([w.decode() for w in new], add_special_tokens=False)):
-            found[word] = np.array(ids.ids, dtype="<u4").tobytes()
+        each = list(map(self.young.get, words))
+        if None not in each:
+            return b"".join(each)
+        found: dict[bytes, bytes] = {}
+        plain, pieces, others = [], [], []
+        for word in {w for w, ids in zip(words, each) if ids is None}:
+            if (ids := self._known(word)) is not None:
+                found[word] = ids
+            elif n := _pieces_of(word):
+                plain.append(word)
+                pieces.append(n)
+            else:
+                others.append(word)
+        if plain:
+            found |= self._together(plain, pieces)
+        if others:
+            found |= self._one_by_one(others)
         self.young.update(found)
         self.held += sum(map(len, found)) + sum(map(len, found.values())) + _ENTRY_BYTES * len(found)
-        return b"".join(map(self.young.__getitem__, words))
+        return b"".join([found[w] if ids is None else ids for w, ids in zip(words, each)])
 
 
-#: One for each tokenizer file, kept from task to task of one worker.
-_WORD_IDS: dict[str, WordIds] = {}
+#: One for each tokenizer file, kept from task to task of one worker until another operator's task begins there.
+_WORD_IDS: dict[str, WordIds] = worker_cache()
 
 
 def word_ids(path: str) -> WordIds:
