@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import materialise
+
 #: Places of the n-gram vector: a power of two.
 BITS = 12
 SIZE = 1 << BITS
@@ -28,6 +30,8 @@ GRAMS = (2, 3, 4)
 CENTROIDS = 4
 #: Documents of a language its centroids are fitted on, at most: the first by hash of doc_id.
 PER_LANGUAGE = 1000
+#: Added to the documents that pass the bound on the hash, so that enough do for small numbers, too.
+_SPARE = 64
 ROUNDS = 12
 #: Standard deviations below its documents' mean cosine at which a centroid rejects a text.
 REJECT = 4.0
@@ -118,9 +122,14 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, centroids: int = CENT
     rows = training(docs)
     idf = inverse_frequencies(rows)
     # Chosen without their texts, so that only the texts of the chosen ones move: at most ``per_language`` rows for a
-    # language, which is what the broadcast holds.  A doc_id that repeats counts once.
+    # language, which is what the broadcast holds.  A doc_id that repeats counts once.  A bound on the hash that follows
+    # from the number of a language's documents comes first, so no task gets more than about twice as many of a language.
+    ids = materialise(rows.select("doc_id", "lang").distinct(), "langid-ids")
+    share = F.xxhash64("doc_id") / float(1 << 64) + 0.5
+    enough = (2 * per_language + _SPARE) / F.col("_all")
+    few = ids.join(ids.groupBy("lang").agg(F.count("*").alias("_all")), "lang").filter(share < enough)
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = rows.select("doc_id", "lang").distinct().withColumn("_n", F.row_number().over(by_hash)).filter(F.col("_n") <= per_language)
+    picked = few.select("doc_id", "lang").withColumn("_n", F.row_number().over(by_hash)).filter(F.col("_n") <= per_language)
     chosen = rows.join(F.broadcast(picked), ["doc_id", "lang"]).groupBy("doc_id", "lang", "_n").agg(F.min("text").alias("text"))
 
     def cluster(part: pd.DataFrame) -> pd.DataFrame:

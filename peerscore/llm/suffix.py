@@ -27,17 +27,17 @@ windows have equal sides, so they are always dealt alike.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import materialise, scratch_path
+from .common import drop_worker_caches, materialise, scratch_path
 
 WINDOW = 50
 GRAM = 24
@@ -160,14 +160,29 @@ def _positions(steps: np.ndarray) -> np.ndarray:
     return np.cumsum(steps.astype(np.int64))[steps < 255]
 
 
-def chunked(docs: DataFrame, size: int = CHUNK, carry: list[str] | None = None) -> DataFrame:
-    """Documents as rows of several, with their anchors and, as JSON, the columns ``carry``; a null doc_id sorts last."""
+def _written(parts: list[pa.Array]) -> bytes:
+    """A column with whatever type it has, as bytes."""
+    batch = pa.RecordBatch.from_arrays([pa.concat_arrays(parts)], ["carried"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as stream:
+        stream.write_batch(batch)
+    return _pressed(sink.getvalue().to_pybytes())
+
+
+def _read(data: bytes) -> pa.Array:
+    return pa.ipc.open_stream(_opened(data)).read_all()["carried"].combine_chunks()
+
+
+def chunked(docs: DataFrame, size: int = CHUNK, carried: Column | None = None) -> DataFrame:
+    """Documents as rows of several, with their anchors and, in the format of Arrow, the column ``carried``; a null doc_id sorts last."""
+    carries = carried is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_caches()
         number = TaskContext.get().partitionId() << 32
         ids: list[int | None] = []
         texts: list[bytes] = []
-        more: list[bytes] = []
+        more: list[pa.Array] = []
         held = 0
 
         def row() -> pa.RecordBatch:
@@ -186,26 +201,28 @@ def chunked(docs: DataFrame, size: int = CHUNK, carry: list[str] | None = None)
             ]
             # Both counts of an anchor come before the steps, whose number may differ.
             values[-1] = len(position).to_bytes(8, "little") + values[-1]
-            values.append(_pressed(b"\n".join(more)))
+            values.append(_written(more) if carries else b"")
             number, ids, texts, more, held = number + 1, [], [], [], 0
             kinds = [pa.int64()] + [pa.binary()] * 5
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], CHUNK_NAMES)
 
         for batch in batches:
-            columns = batch["doc_id"], batch["text"].cast(pa.binary()), batch["carried"].cast(pa.binary())
-            for doc, text, own in zip(*(c.to_pylist() for c in columns)):
+            start = 0
+            for at, (doc, text) in enumerate(zip(batch["doc_id"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist())):
                 text = text or b""
                 if texts and held + len(text) > size:
+                    more.append(batch["carried"].slice(start, at - start))
+                    start = at
                     yield row()
                 ids.append(doc)
                 texts.append(text)
-                more.append(own)
                 held += len(text)
+            more.append(batch["carried"].slice(start))
         if texts:
             yield row()
 
-    carried = F.to_json(F.struct(*carry), {"ignoreNullFields": "true"}) if carry else F.lit("")
-    chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), carried.alias("carried"))
+    with_doc = F.lit(None).cast("boolean") if carried is None else carried
+    chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), with_doc.alias("carried"))
     return chosen.mapInArrow(run, CHUNKS)
 
 
@@ -214,14 +231,20 @@ CHUNK_NAMES = [c.split()[0] for c in CHUNKS.split(", ")]
 
 def bucketed(df: DataFrame, buckets: int) -> DataFrame:
     """``df`` written once, bucketed by chunk below the shared scratch folder, so that joins by chunk do not move text."""
-    name = f"chunks_{uuid.uuid4().hex}"
-    (
-        df.repartition(buckets, "chunk")
-        .write.bucketBy(buckets, "chunk")
-        .option("path", scratch_path(df.sparkSession, "suffix-chunks"))
-        .saveAsTable(name)
-    )
-    return df.sparkSession.table(name)
+    path = scratch_path(df.sparkSession, "suffix-chunks")
+    df.repartition(buckets, "chunk").write.bucketBy(buckets, "chunk").option("path", path).saveAsTable(_table_of(path))
+    return df.sparkSession.table(_table_of(path))
+
+
+def _table_of(path: str) -> str:
+    return path.rsplit("/", 1)[1].replace("-", "_")
+
+
+def forget(spark: SparkSession, paths: list[str]) -> None:
+    """Take the tables of :func:`bucketed` at scratch paths out of the session's catalog; their files are left to the caller."""
+    for path in paths:
+        if "/suffix-chunks-" in path:
+            spark.sql(f"DROP TABLE IF EXISTS {_table_of(path)}")
 
 
 #: Bytes beside an anchor that every window of it holds on one side at least.
@@ -599,11 +622,11 @@ def kept_documents(own: Segments, answers: list[dict]) -> Iterator[tuple[int, in
         yield doc, n, removed, spans, chunk.bytes[end - n : end][~cut].tobytes()
 
 
-def _answered(docs: DataFrame, hot: int, per_range: int, chunk_size: int, carry: list[str] | None) -> tuple[DataFrame, int]:
+def _answered(docs: DataFrame, hot: int, per_range: int, chunk_size: int, carried: Column | None) -> tuple[DataFrame, int]:
     """Chunks with all that is known about their segments, and the number of ranges."""
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     ranges = max(1, -(-total // per_range))
-    chunks = bucketed(chunked(docs, chunk_size, carry), min(MOST_BUCKETS, max(1, -(-total // PER_BUCKET))))
+    chunks = bucketed(chunked(docs, chunk_size, carried), min(MOST_BUCKETS, max(1, -(-total // PER_BUCKET))))
     marks = materialise(repeated_anchors(chunks, ranges, hot), "suffix-marks")
     marked = chunks.join(marks.hint("shuffle_hash"), "chunk", "left")
     out = pa.schema([("range", pa.int32()), ("chunk", pa.int64()), ("n", pa.int32()), ("segments", pa.binary())])
@@ -633,23 +656,29 @@ def _answered(docs: DataFrame, hot: int, per_range: int, chunk_size: int, carry:
     return marked.join(answers.hint("shuffle_hash"), "chunk", "left"), ranges
 
 
-def _finished(docs: DataFrame, carry: list[str] | None, with_text: bool, hot: int, per_range: int, chunk_size: int) -> DataFrame:
-    known, ranges = _answered(docs, hot, per_range, chunk_size, carry)
-    kinds = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
-    out = pa.schema(kinds + [("kept", pa.binary()), ("carried", pa.string())])
+def _finished(docs: DataFrame, carried: Column | None, hot: int, per_range: int, chunk_size: int) -> DataFrame:
+    """Counts and digest of every document and, with a column to carry, the bytes left and that column."""
+    known, ranges = _answered(docs, hot, per_range, chunk_size, carried)
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+    schema = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    carries = carried is not None
+    if carries:
+        kinds.append(pa.binary())
+        schema = schema.add("kept", "binary").add("carried", docs.select(carried.alias("carried")).schema[0].dataType)
+    names = schema.names
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             own = Segments(row, ranges)
-            carried = _opened(row["carried"]).split(b"\n") if with_text else []
             rows = []
             for doc, n, removed, spans, kept in kept_documents(own, row["answers"] or []):
                 name = int(own.chunk.ids[doc])
-                more = (kept, carried[doc].decode()) if with_text else (None, None)
-                rows.append((None if name == _LAST else name, n, removed, spans, hashlib.sha256(kept).hexdigest(), *more))
-            yield _batch(rows, out)
+                rows.append((None if name == _LAST else name, n, removed, spans, hashlib.sha256(kept).hexdigest(), kept))
+            columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)]
+            if carries:
+                columns.append(_read(row["carried"]))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, carried string"
     return known.mapInArrow(finish, schema)
 
 
@@ -661,7 +690,7 @@ def remove_repeats(docs: DataFrame, hot: int = HOT, per_range: int = PER_RANGE,
     bytes lose nothing; rows that repeat a doc_id do not shorten each other; a
     null doc_id counts as larger than any other; an empty table gives no rows.
     """
-    return _finished(docs, None, False, hot, per_range, chunk_size).drop("kept", "carried")
+    return _finished(docs, None, hot, per_range, chunk_size)
 
 
 def shortened(docs: DataFrame, hot: int = HOT, per_range: int = PER_RANGE, chunk_size: int = CHUNK) -> DataFrame:
@@ -671,11 +700,11 @@ def shortened(docs: DataFrame, hot: int = HOT, per_range: int = PER_RANGE, chunk
     repeats as a whole becomes empty, and a null text stays null.
     """
     others = [c for c in docs.columns if c != "text"]
-    schema = docs.select(*others, F.col("text").isNull().alias("_was_null")).schema
-    rows = _finished(docs.withColumn("_was_null", F.col("text").isNull()), [*others, "_was_null"], True, hot, per_range, chunk_size)
-    back = rows.select(F.from_json("carried", schema).alias("row"), F.try_validate_utf8(F.col("kept").cast("string")).alias("_valid"), "kept")
-    text = F.when(F.col("row._was_null"), F.lit(None)).otherwise(F.coalesce("_valid", _whole_characters(F.col("kept"))))
-    return back.select(*[text.alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    carried = F.struct(F.col("text").isNull().alias("absent"), F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"))
+    rows = _finished(docs, carried, hot, per_range, chunk_size)
+    back = rows.select("carried", F.try_validate_utf8(F.col("kept").cast("string")).alias("_valid"), "kept")
+    text = F.when(F.col("carried.absent"), F.lit(None)).otherwise(F.coalesce("_valid", _whole_characters(F.col("kept"))))
+    return back.select(*[text.alias("text") if c == "text" else F.col("carried.row").getField(c).alias(c) for c in docs.columns])
 
 
 def _whole_characters(kept: Column) -> Column:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import drop_worker_caches, materialise
 
 #: Labelled rows the chain is trained on, at most: the first by hash of doc_id.
 TRAINING_ROWS = 20_000
@@ -182,6 +182,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> Cha
     """The chain for :data:`CATEGORIES`; only labelled toxic texts count for a kind of toxicity."""
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_caches()
         for batch in batches:
             words = [words_of(t) for t in batch["text"].to_pylist()]
             columns = [batch["doc_id"], pa.array([sorted(features_of(w)) for w in words], pa.list_(pa.string()))]
@@ -225,7 +226,7 @@ def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = chain.probabilities(batch["_text"].to_pylist())
+            p = chain.probabilities(batch.column(len(kept)).to_pylist())
             columns = [batch[c] for c in kept]
             columns += [pa.array(p[:, n]) for n in range(len(names))] + [pa.array(p[:, -1] >= threshold)]
             yield pa.RecordBatch.from_arrays(columns, [*kept, *names, "is_toxic"])
@@ -233,7 +234,10 @@ def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFr
     schema = plain.schema
     for name in names:
         schema = schema.add(name, "double")
-    return plain.withColumn("_text", F.col("text").cast("string")).mapInArrow(run, schema.add("is_toxic", "boolean"))
+    text = "_text"
+    while text in docs.columns:
+        text += "_"
+    return plain.withColumn(text, F.col("text").cast("string")).mapInArrow(run, schema.add("is_toxic", "boolean"))
 
 
 def without_toxic(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:
@@ -241,6 +245,7 @@ def without_toxic(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_caches()
         for batch in batches:
             yield batch.filter(pa.array(chain.probabilities(batch.column(at).to_pylist())[:, -1] < threshold))
 

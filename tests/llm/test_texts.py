@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 from html.parser import HTMLParser
 
 import duckdb
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from peerscore.llm import html_text, langid, licenses, packing, simhash, suffix, toxicity
 from peerscore.llm.components import components
+from peerscore.session import recorded_scratch
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns named like those the operators make.
@@ -68,6 +70,20 @@ def test_pieces_and_places(spark):
     assert len(bins) <= 1.02 * -(-sum(w[3] for w in want) // 2048) + 1
 
 
+def test_ids_of_words_with_a_small_cache(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "CACHE_BYTES", 40_000)
+    model, ids = Tokenizer.from_file(packing.tokenizer_path()), packing.WordIds(packing.tokenizer_path())
+    rng = random.Random(4)
+    words = [prose(rng, 1) for _ in range(400)] + ["été", "é", "e\u0301", "İst", "ǅ", "K", "中文", "日本,", "don't", "it's.", "a1b", "x..", "(y)", "ﬁn!", "ªb", "<|endoftext|>", "a\u200bb", "."]
+    for _ in range(200):
+        text = " ".join(rng.choice(words) + rng.choice(["", "", ",", ".", "!", "'s", ";)"]) for _ in range(rng.randint(1, 60)))
+        cut = text.encode().split() if "<|" in text else text.encode().lower().split()
+        assert np.frombuffer(ids.of(cut), dtype="<u4").tolist() == model.encode(text, add_special_tokens=False).ids
+        assert ids.held <= 40_000 + 200 * 60
+
+
 def test_best_fit_takes_the_fullest_bin():
     bins, offsets, fills = packing.best_fit(np.array([6, 5, 4, 3, 2]), 10)
     assert bins.tolist() == [0, 1, 0, 1, 1] and offsets.tolist() == [0, 0, 6, 5, 8] and fills.tolist() == [10, 10]
@@ -467,6 +483,28 @@ def test_shortened_keeps_all_columns(spark):
     assert found == want or all(a[:4] == b[:4] and a[4] <= b[4] for a, b in zip(found, want))
 
 
+def test_shortened_keeps_types_and_clashing_names(spark):
+    rows = _repeating_rows()[:40]
+    df = docs(spark, rows, extra=False).select(
+        "*", F.timestamp_micros(F.lit(1_700_000_000_123_456) + F.coalesce("doc_id", F.lit(0))).alias("seen"), F.unhex(F.lit("00ff80")).alias("raw"),
+        F.create_map(F.lit("k"), F.col("doc_id")).alias("pairs"), F.lit("mine").alias("_was_null"), F.lit("own").alias("carried"), F.lit(1).alias("kept"),
+        F.struct(F.lit(None).cast("decimal(20,3)").alias("absent"), F.array(F.lit("x")).alias("row")).alias("row"), F.lit("d").alias("a.b"),
+    )
+    got = suffix.shortened(df.repartition(2), per_range=2000, chunk_size=3000)
+    assert got.schema.simpleString() == df.schema.simpleString()
+    without = lambda frame: sorted(repr([v for c, v in r.asDict().items() if c != "text"]) for r in frame.collect())
+    assert without(got) == without(df)
+
+
+def test_tables_of_chunks_can_be_dropped(spark):
+    before, made = len(spark.catalog.listTables()), []
+    with recorded_scratch(made):
+        suffix.remove_repeats(docs(spark, _repeating_rows())).collect()
+    assert len(spark.catalog.listTables()) == before + 1
+    suffix.forget(spark, made)
+    assert len(spark.catalog.listTables()) == before
+
+
 def test_no_documents_no_repeats(spark):
     assert suffix.remove_repeats(docs(spark, odd_rows()).limit(0)).collect() == []
 
@@ -515,6 +553,44 @@ def test_chain_finds_toxic_words(spark):
     assert abs(left.count() - (len(rows) * 4 // 5 + len(odd_rows()))) <= 4
 
 
+def _plain_logistic(x, y, penalty, rounds=30_000):
+    """Proximal gradient steps without acceleration, row by row weights or grouping."""
+    full = np.column_stack([x, np.ones(len(x))])
+    w = np.zeros(full.shape[1])
+    step = 4 * len(x) / np.linalg.norm(full, 2) ** 2
+    for _ in range(rounds):
+        w = w - step * full.T @ (1 / (1 + np.exp(-full @ w)) - y) / len(x)
+        w[:-1] = np.sign(w[:-1]) * np.maximum(np.abs(w[:-1]) - step * penalty, 0)
+    return w
+
+
+def test_chain_equals_a_plain_fit():
+    rng = np.random.default_rng(3)
+    x = (rng.random((240, 5)) < 0.4).astype(float)
+    first = (rng.random(240) < np.where(x[:, 0] > 0, 0.85, 0.1)).astype(int)
+    second = (rng.random(240) < np.where(first + x[:, 1] > 1, 0.9, 0.15)).astype(int)
+    names = [f"w{i}" for i in range(5)]
+    chain = toxicity.fit_chain(toxicity.Features(names), x, np.column_stack([first, second]))
+    fold = np.arange(240) % toxicity.FOLDS
+    apart = np.zeros(240)
+    sigmoid = lambda w, rows: 1 / (1 + np.exp(-(np.column_stack([rows, np.ones(len(rows))]) @ w)))
+    for f in range(toxicity.FOLDS):
+        apart[fold == f] = sigmoid(_plain_logistic(x[fold != f], first[fold != f], toxicity.PENALTY), x[fold == f])
+    models = [_plain_logistic(x, first, toxicity.PENALTY), _plain_logistic(np.column_stack([x, apart]), second, toxicity.PENALTY)]
+    texts = [" ".join(n for n, v in zip(names, row) if v) for row in x]
+    got = chain.probabilities(texts)
+    p_first = sigmoid(models[0], x)
+    assert np.allclose(got[:, 0], p_first, atol=0.01)
+    assert np.allclose(got[:, 1], sigmoid(models[1], np.column_stack([x, p_first])), atol=0.02)
+
+
+def test_an_own_text_column_stays(spark):
+    df = docs(spark, [(1, "idiot words", "en", "s", 1), (2, None, "en", "s", 1)], extra=False).withColumn("_text", F.lit(7))
+    none = toxicity.Chain(toxicity.Features([]), [(np.zeros(n), -1.0) for n in range(3)])
+    out = toxicity.score(df, none)
+    assert out.columns[: len(df.columns)] == df.columns and [r._text for r in out.collect()] == [7, 7]
+
+
 def test_without_labels_nothing_is_toxic(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     got = toxicity.classify(docs(spark, odd_rows()), none).collect()
@@ -540,6 +616,59 @@ def test_languages_are_told_apart(spark):
     assert by_id[901].lang_pred == "aa"
 
 
+def _plain_centroids(rows, per_language):
+    """The model by plain steps: every n-gram counted in a dictionary, documents chosen by sorting all of them."""
+
+    def counted(text):
+        raw = (" " + text.lower() + " ").encode()
+        raw = bytes(c if c > 127 or chr(c).isalpha() else 32 for c in raw)
+        out = Counter()
+        for n in (2, 3, 4):
+            for at in range(len(raw) - n + 1):
+                value = int.from_bytes(raw[at : at + n], "big")
+                out[((value + n) * 2654435761 % 2**32) >> (32 - langid.BITS)] += 1
+        return out
+
+    learnt = [(str(i), t, lang) for i, t, lang, *_ in rows if t is not None and lang is not None and zlib.crc32(str("" if i is None else i).encode()) % 4 != 2]
+    seen = Counter(place for _, t, _ in learnt for place in counted(t))
+    idf = np.array([np.log((1 + len(learnt)) / (1 + seen[p])) + 1 for p in range(langid.SIZE)])
+
+    def vector(text):
+        x = np.zeros(langid.SIZE)
+        for place, n in counted(text).items():
+            x[place] = np.log1p(n) * idf[place]
+        return x / max(np.linalg.norm(x), 1e-12)
+
+    means = {}
+    for lang in sorted({lang for *_, lang in learnt}):
+        own = {i: t for i, t, of in learnt if of == lang and langid.has_letters(t)}
+        x = np.stack([vector(t) for t in own.values()])
+        means[lang] = x.mean(0) / np.linalg.norm(x.mean(0))
+    return vector, means
+
+
+def test_languages_equal_a_plain_fit(spark):
+    """With one centroid for a language the model is the mean of its documents' vectors."""
+    rng = random.Random(18)
+    stems = {"aa": "abcdex", "bb": "abfghx", "cc": "klmñx"}
+    rows = [(i, " ".join("".join(rng.choice(stems[lang]) for _ in range(rng.randint(1, 6))) for _ in range(12)), lang, "s", 1) for i, lang in enumerate(["aa", "bb", "cc"] * 60)]
+    df = docs(spark, rows).repartition(3)
+    model = langid.fit(df, per_language=1000, centroids=1)
+    vector, means = _plain_centroids(rows, 1000)
+    assert model.languages == sorted(means)
+    assert np.allclose(model.matrix, np.stack([means[lang] for lang in model.languages]), atol=1e-4)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(df, model).collect()}
+    for i, text, *_ in rows:
+        near = {lang: float(vector(text) @ mean) for lang, mean in means.items()}
+        assert got[i][0] == max(near, key=near.get) and got[i][1] == pytest.approx(max(near.values()), abs=1e-4)
+
+
+def test_few_documents_of_a_language_reach_a_task(spark):
+    rows = [(i, "abc def", "aa" if i % 10 else "bb", "s", 1) for i in range(6000)]
+    model = langid.fit(docs(spark, rows).repartition(40), per_language=20)
+    assert model.languages == ["aa", "bb"]
+
+
 def test_nothing_to_learn_from(spark):
     rows = [(i, "some words", None, "s", 1) for i in range(5)]
     assert {r.lang_pred for r in langid.identify(docs(spark, rows)).collect()} == {"und"}
