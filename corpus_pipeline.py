@@ -58,7 +58,9 @@ def tidy(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         app = spark.sparkContext.applicationId
-        remove(spark, _LAST_STAGE.pop(app, []))
+        made = _LAST_STAGE.pop(app, [])
+        suffix.forget(spark, made)
+        remove(spark, made)
         made = _LAST_STAGE[app] = []
         with recorded_scratch(made):
             return stage(spark, docs, sf_dir)
