@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import casts
-from ..plans import daily_series
+from ..plans import daily_series, series_store
 from ..schemas import MANIFEST, QUOTA_SERIES
 from ..session import scratch_path
 from ..sources import archives, delimited, landing, series, tables, zip_members
@@ -137,6 +137,27 @@ def canonical_series(spark, sf):
     return daily_series.quota_series(_lines(spark, sf), f.AS_OF)
 
 
+def series_update(spark, sf):
+    """The series built from archives of which a year's had errors, then brought up to date by their corrections."""
+    root = scratch_path(spark, "series-store")
+    lines = _lines(spark, sf)
+    month, order = F.substring("DT_COMPTC", 1, 7), F.col("path").cast("int")
+    lines = lines.withColumn("line_no", F.col("member_no").cast("bigint")).withColumn("member_no", order)
+    lines = lines.withColumn("path", F.concat_ws("-", "source_priority", month))
+    wrong = F.col("path").contains("-1995-")
+
+    def now(paths):
+        return lines.filter(F.col("path").isin(list(paths)))
+
+    def before(paths):
+        return now(paths).filter(~wrong | (F.col("member_no") % 3 > 0)).withColumn("VL_QUOTA", F.when(wrong, "1").otherwise(F.col("VL_QUOTA")))
+
+    paths = [r["path"] for r in lines.select("path").distinct().orderBy("path").collect()]
+    series_store.build(spark, root, before, paths, f.AS_OF)
+    series_store.update(spark, root, now, [p for p in paths if "-1995-" in p], f.AS_OF)
+    return series_store.read_series(spark, root).drop("month")
+
+
 def source_priority(spark, sf):
     """How many surviving rows each era contributes."""
     out = daily_series.quota_series(_lines(spark, sf), f.AS_OF)
@@ -298,6 +319,7 @@ QUERIES = {
     ),
     "schema_unify": (schema_unify, f"WITH {_LINE_SQL} SELECT {_SERIES_COLS} FROM u"),
     "canonical_series": (canonical_series, f"{_KEPT_SQL} SELECT {_SERIES_COLS} FROM kept"),
+    "series_update": (series_update, f"{_KEPT_SQL} SELECT {_SERIES_COLS} FROM kept"),
     "source_priority": (
         source_priority,
         f"{_KEPT_SQL} SELECT coalesce(tp_fundo_classe, 'legacy') AS era, count(*) AS rows FROM kept GROUP BY 1",
