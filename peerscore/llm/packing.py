@@ -29,12 +29,13 @@ BLOCK = 2000
 #: A bin with no more free room than this is final.
 SLACK = 8
 #: Bytes of words and ids (with about 170 more for an entry) in a generation of a worker's cache, which has two.
-CACHE_BYTES = 56 << 20
+CACHE_BYTES = 80 << 20
 _ENTRY_BYTES = 170
 #: What the last token of every piece of a word ends with.
 _WORD_END = "</w>"
-#: Marks that are a piece by themselves behind a word's letters.
+#: Marks that are a piece by themselves behind a word's letters, and those of which a run is one on either side.
 _MARKS = frozenset(b".,;:!?)")
+_AROUND = b".,;:!?()[]{}<>\"*#$%&+-=/@\\^_`|~"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -46,13 +47,16 @@ def tokenizer_path() -> str:
 
 
 def _pieces_of(word: bytes) -> int:
-    """How many pieces the tokenizer makes of a word before it merges: known for letters with a mark at most.
+    """How many pieces the tokenizer makes of a word before it merges: known for letters with marks around them, and digits.
 
     Lower-casing can only add pieces to that, so a sum of pieces that comes out right is right for every word.
     """
-    if word[-1] in _MARKS:
-        return 2 if word[:-1].decode().isalpha() else 0
-    return 1 if word.decode().isalpha() else 0
+    if word.isdigit():
+        return len(word)
+    core = word.lstrip(_AROUND)
+    before, behind = len(core) < len(word), len(core)
+    core = core.rstrip(_AROUND)
+    return before + 1 + (len(core) < behind) if core.decode().isalpha() else 0
 
 
 class WordIds:
