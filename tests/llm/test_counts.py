@@ -76,7 +76,7 @@ def test_few_equal_and_no_vectors(spark):
     got = bitplanes.cluster(few).orderBy(F.col("vec_id").asc_nulls_last()).collect()
     assert [(r.vec_id, r.cluster, r.distance) for r in got] == [(1, 0, 0), (1, 0, 0), (None, 2, 0)]
     assert bitplanes.cluster(few.limit(0)).collect() == []
-    far = spark.createDataFrame([(i, [v] * 64, "", "", "") for i, v in enumerate((-131072.0, 131071.0, 0.0) * 3)], VECTORS)
+    far = spark.createDataFrame([(i, [v] * 64, "", "", "") for i, v in enumerate((-131072.0, 131071.0, 0.0) * 6)], VECTORS)
     assert bitplanes.cluster(far, k=1, rounds=0).first().inertia is None
 
 
