@@ -19,6 +19,7 @@ from ..sources.delimited import ORDER_COLUMN
 from ..sources.tables import read_table, write_table
 from .daily_series import CURRENT_PRIORITY, LEGACY_PRIORITY, RAW_FIELDS, quota_series, quota_series_of
 from .dimensions import class_dimension, fee_and_benchmark_lookups, fixed_income, subclass_dimension, treated
+from .entity_series import TABLE, read_entity_series, write_entity_series
 from .fund_metrics import fund_metrics
 from .landing_zone import DAILY, LINE_COLUMN, MEMBERS, Zone, daily_archives, level_series, member, products, rate_series
 from .quality_report import quality_report
@@ -126,6 +127,9 @@ def run(spark: SparkSession, landed: Landed, out: str, as_of: date) -> dict[str,
     sub_t = derive("silver", "subclass_funds_fixed_income_treated", treated, sub_fi, stats_from=cls_fi)
     series = derive("silver", "quota_series", quota_series, daily_lines(spark, landed), as_of)
     series_fi = derive("silver", "quota_series_fixed_income", quota_series_of, series, cls_fi, sub_fi)
+    # Scores and anchors read the listed entities' series, exchanged once for both.
+    paths[TABLE] = write_entity_series(series_fi, out, as_of)
+    by_entity = read_entity_series(spark, out, as_of)
     reference = derive("silver", "index_series", index_series, pieces, as_of)
 
     stored: list[DataFrame] = []
@@ -134,12 +138,12 @@ def run(spark: SparkSession, landed: Landed, out: str, as_of: date) -> dict[str,
         stored.append(materialise(df, "entity_metrics"))
         return stored[-1]
 
-    scored = fund_metrics(cls_t, sub_t, series, reference, as_of, store=store)
+    scored = fund_metrics(cls_t, sub_t, by_entity, reference, as_of, store=store)
     counted = steps.of("fund_metrics")(scored, "entities", scored=F.count("score"))
     metrics = publish("gold", "fund_metrics", counted.select(*FUND_METRICS.fieldNames()))
     for df in stored:
         discard(df)
-    check = publish("gold", "validacao", steps.of("validacao")(calendar_year_return(cls_t, sub_t, series, as_of.year), "entities"))
+    check = publish("gold", "validacao", steps.of("validacao")(calendar_year_return(cls_t, sub_t, by_entity, as_of.year), "entities"))
     publish("gold", "top_list", steps.of("top_list")(displayed(top_list(metrics, cls_t, sub_t, PROFILES, SCORING.top_n)), "ranked"))
     publish(
         "gold",

@@ -6,6 +6,9 @@ marker with the highest number.  So a job that is lost in mid-write, and one
 that runs while another reads, leave the old rows in place.  Creating a file is
 one step in every file system, renaming is not.  The version before stays for
 those who read it already.
+
+:func:`write_by_key` also deals the rows into buckets of a key, so that readers
+which join, group or window by that key start without an exchange.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 _MARKER = re.compile(r"_current-(\d{9})-(v-[0-9a-f]{32})")
+_BUCKETS = re.compile(r"_buckets-(\d{6})")
 #: Versions of a date that are kept: the current one and the one before.
 KEPT = 2
 
@@ -52,6 +56,7 @@ def versions(spark: SparkSession, root: str, layer: str, table: str, as_of: date
 
 def _discard_old(spark: SparkSession, path: str, complete: list[tuple[int, str]]) -> None:
     for number, version in complete[:-KEPT]:
+        spark.sql(f"DROP TABLE IF EXISTS {_table_of(version)}")
         for name in (f"_current-{number:09d}-{version}", version):
             at, system = _folder(spark, f"{path}/{name}")
             system.delete(at, True)
@@ -71,12 +76,76 @@ def write_table(
     if order:
         df = (df.repartitionByRange(*order) if by_range else df).sortWithinPartitions(*order)
     df.write.mode("errorifexists").option("compression", "zstd").parquet(f"{path}/{version}")
-    before = versions(spark := df.sparkSession, root, layer, table, as_of)
+    _switch(df.sparkSession, root, layer, table, as_of, version)
+    return f"{path}/{version}"
+
+
+def _switch(spark: SparkSession, root: str, layer: str, table: str, as_of: date, version: str) -> None:
+    """Make a version that is there as a whole the current one."""
+    path = date_path(root, layer, table, as_of)
+    before = versions(spark, root, layer, table, as_of)
     number = before[-1][0] + 1 if before else 1
-    at, system = _folder(spark, f"{path}/_current-{number:09d}-{version}")
-    system.create(at, False).close()
+    _touch(spark, f"{path}/_current-{number:09d}-{version}")
     _discard_old(spark, path, [*before, (number, version)])
-    return f"{path}/{version}"
+
+
+def _touch(spark: SparkSession, path: str) -> None:
+    at, system = _folder(spark, path)
+    system.create(at, False).close()
+
+
+def _table_of(version: str) -> str:
+    """The catalog's name of a version in buckets."""
+    return f"by_key_{version.removeprefix('v-')}"
+
+
+def bucket_count(spark: SparkSession) -> int:
+    """As many buckets as an exchange has partitions: with fewer, Spark would exchange both sides of a join."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def write_by_key(
+    df: DataFrame, root: str, layer: str, table: str, as_of: date, key: str, order: Sequence[str], buckets: int | None = None
+) -> str:
+    """:func:`write_table` with one file per bucket of ``key``, sorted by it and ``order``.
+
+    Rows are exchanged once, here.  ``buckets`` (default :func:`bucket_count`)
+    should grow with the table; it stands beside the files, as Parquet has no
+    place for it.  All rows of a key share a file, so the key's groups must be
+    bounded, as the days of an entity are.
+    """
+    spark, version = df.sparkSession, f"v-{uuid.uuid4().hex}"
+    path, n = f"{date_path(root, layer, table, as_of)}/{version}", buckets or bucket_count(df.sparkSession)
+    (
+        df.repartition(n, key)
+        .write.mode("errorifexists")
+        .bucketBy(n, key)
+        .sortBy(key, *order)
+        .option("compression", "zstd")
+        .option("path", path)
+        .saveAsTable(_table_of(version))
+    )
+    _touch(spark, f"{path}/_buckets-{n:06d}")
+    _switch(spark, root, layer, table, as_of, version)
+    return path
+
+
+def read_by_key(spark: SparkSession, root: str, layer: str, table: str, as_of: date, key: str, order: Sequence[str]) -> DataFrame:
+    """A table of :func:`write_by_key` with its buckets, also in a session that did not write it."""
+    path = current_path(spark, root, layer, table, as_of)
+    name = _table_of(path.rsplit("/", 1)[1])
+    if not spark.catalog.tableExists(name):
+        counts = [int(m[1]) for m in map(_BUCKETS.fullmatch, _names(spark, path)) if m]
+        if not counts:
+            raise ValueError(f"{path} was not written by key")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+        sort = ", ".join(f"`{c}`" for c in [key, *order])
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{path}'"
+            f" CLUSTERED BY (`{key}`) SORTED BY ({sort}) INTO {counts[0]} BUCKETS"
+        )
+    return spark.table(name)
 
 
 def current_path(spark: SparkSession, root: str, layer: str, table: str, as_of: date) -> str:
