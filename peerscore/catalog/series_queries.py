@@ -12,7 +12,8 @@ from ..functions import display
 from ..operators import anchors, match, metrics, quality, ranking, reference, returns, score, select, toplist
 from ..plans import fund_metrics as metrics_plan
 from ..plans import reference_series, top_list, validation
-from ..session import materialise
+from ..plans.entity_series import read_entity_series, write_entity_series
+from ..session import materialise, scratch_path
 from . import frames as f
 
 
@@ -142,11 +143,11 @@ def age_days(spark, sf):
     return metrics.attach_age(_dim(spark, sf), f.AS_OF).select("fund_key", "data_de_inicio", "existing_time")
 
 
-def _metric_plan(spark: SparkSession, sf: str, build, **more):
+def _metric_plan(spark: SparkSession, sf: str, build, series: DataFrame | None = None, **more):
     return build(
         f.classes(spark, sf),
         f.subclasses(spark, sf),
-        f.quotas(spark, sf),
+        f.quotas(spark, sf) if series is None else series,
         _wide(spark, sf),
         f.AS_OF,
         config=f.SCORING,
@@ -161,15 +162,22 @@ def _metrics(spark, sf):
     return _metric_plan(spark, sf, metrics_plan.entity_metrics)
 
 
-def _scored(spark, sf):
-    return _metric_plan(spark, sf, metrics_plan.fund_metrics, store=partial(materialise, label="entity_metrics"))
+def _scored(spark, sf, series=None):
+    return _metric_plan(spark, sf, metrics_plan.fund_metrics, series, store=partial(materialise, label="entity_metrics"))
+
+
+def _by_entity(spark, sf):
+    """The series published in buckets of its entity."""
+    root = scratch_path(spark, "by-entity")
+    write_entity_series(f.quotas(spark, sf), root, f.AS_OF)
+    return read_entity_series(spark, root, f.AS_OF)
 
 
 _SHOWN = ["cnpj_classe", "id_subclasse_cvm", "situacao", "publico_alvo", "tributacao_alvo"]
 
 
-def fund_metrics(spark, sf):
-    out = _scored(spark, sf)
+def fund_metrics(spark, sf, series=None):
+    out = _scored(spark, sf, series)
     return out.select(
         *_SHOWN,
         f.rounded("equity", 2).alias("equity"),
@@ -179,6 +187,11 @@ def fund_metrics(spark, sf):
     )
 
 
+def stored_fund_metrics(spark, sf):
+    """Metrics and score from a series that is stored by entity, and so not exchanged."""
+    return fund_metrics(spark, sf, _by_entity(spark, sf))
+
+
 def eligibility(spark, sf):
     return _metrics(spark, sf).select("fund_key", score.eligible(f.SCORING.eligibility).alias("eligible"))
 
@@ -228,12 +241,17 @@ def display_format(spark, sf):
     )
 
 
-def anchor_returns(spark, sf):
+def anchor_returns(spark, sf, series=None):
     dim = validation.named_entities(f.classes(spark, sf), f.subclasses(spark, sf))
-    out = anchors.anchor_returns(dim, f.quotas(spark, sf), *f.ANCHORS, "anchor_ret")
+    series = f.quotas(spark, sf) if series is None else series
+    out = anchors.anchor_returns(dim, series, *f.ANCHORS, "anchor_ret")
     return out.select("cnpj_fundo", "cnpj_classe", "id_subclasse_cvm", "nome", f.rounded("anchor_ret").alias("anchor_ret"))
 
 
+def stored_anchor_returns(spark, sf):
+    return anchor_returns(spark, sf, _by_entity(spark, sf))
+
+
 def profile_buckets(spark, sf):
     scored = materialise(_scored(spark, sf).select("score"), "scores")
     out = quality.profile_scores(scored, "fund_metrics")
@@ -435,3 +453,7 @@ WHERE data <= DATE '{f.AS_OF}' AND valor IS NOT NULL GROUP BY code""",
         ),
     ),
 }
+
+# Stored by entity, the series gives the same rows.
+QUERIES["stored_fund_metrics"] = (stored_fund_metrics, QUERIES["fund_metrics"][1])
+QUERIES["stored_anchor_returns"] = (stored_anchor_returns, QUERIES["anchor_returns"][1])
