@@ -67,6 +67,16 @@ def test_display(rows):
     assert _apply(rows, lambda c: display.entity_label(F.lit("C"), c), "S", "", None) == ["`C` (sub `S`)", "`C`", "`C`"]
 
 
+def test_two_decimals_round_the_stored_double(rows):
+    values = [2.675, 1.005, -1.005, 0.125, 0.375, 0.995, 0.005, 0.0049, 1e-9, -0.001, -0.0, 9.999, 999.995, 1234567.005, 2.0**52 + 0.5, 2.0**53, -7.285]
+    values += [k / 1000 for k in range(5, 10_000, 10)] + [k / 8 + 1e6 for k in range(8)]
+    assert _apply(rows, display.two_decimals, *values, kind="double") == [f"{v:.2f}" for v in values]
+    assert _apply(rows, display.money, 1005.0, 2985.0, 3125.0, 999.999, 999_999.0, 1.2345e13, kind="double") == [
+        "R$ 1.00K", "R$ 2.98K", "R$ 3.12K", "R$ 1,000.00", "R$ 1000.00K", "R$ 12345.00B",
+    ]
+    assert _apply(rows, display.signed_percent, 0.02675, -0.00125, 0.0, kind="double") == [f"{v * 100:+.2f}%" for v in (0.02675, -0.00125, 0.0)]
+
+
 def test_find_column_and_conform(rows):
     df = rows("`CNPJ Fundo ` string, n int", ("a", 1))
     assert select.find_column(df, "nope", "cnpj fundo") == "CNPJ Fundo "
