@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import dedup, match, select
 from ..plans import dimensions
 from ..schemas import ATTRIBUTE_COLUMNS, struct
-from ..session import materialise
+from ..session import materialise, spread
 from ..sources import attributes
 from . import frames as f
 
@@ -54,14 +54,12 @@ def star_enrich(spark, sf):
 
 
 def composite_lookup(spark, sf):
-    li = f.table(spark, sf, "lineitem")
-    supply = (
-        li.filter(F.col("l_returnflag") == "R")
-        .groupBy("l_partkey", "l_suppkey")
-        .agg(F.min("l_quantity").alias("min_returned"))
-    )
-    out = match.lookup(li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), supply, ["l_partkey", "l_suppkey"])
-    return out.groupBy("l_partkey", "l_suppkey").agg(F.count("*").alias("lines"), F.max("min_returned").alias("min_returned"))
+    """Lines per pair, counted before the lookup: a frequent pair is one row in the join, and pairs are nearly unique."""
+    li, keys = f.table(spark, sf, "lineitem"), ["l_partkey", "l_suppkey"]
+    rows = li.count()
+    pairs = spread(li, keys, rows).groupBy(*keys).agg(F.count("*").alias("lines"))
+    supply = spread(li.filter(F.col("l_returnflag") == "R"), keys, rows).groupBy(*keys).agg(F.min("l_quantity").alias("min_returned"))
+    return match.lookup(pairs, supply, keys)
 
 
 def discriminated_semi(spark, sf):

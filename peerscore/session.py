@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import math
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 # Runtime SQL settings every job here wants.  They are only defaults: values
 # the cluster sets in its own configuration come first.
@@ -24,6 +25,9 @@ SESSION_DEFAULTS = {
 }
 
 
+# Rows a task of `spread` holds on average: some 100 bytes each in a hash map or a sort.
+ROWS_PER_TASK = 500_000
+
 # Scratch paths given out in the current context, where someone records them.
 _RECORD: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
@@ -99,6 +103,17 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, keys: Sequence[Column | str], rows: int) -> DataFrame:
+    """``df``, of about ``rows`` rows, exchanged by ``keys`` into as many partitions as keep a task's rows bounded.
+
+    Exchanges that Spark plans have the session's number of partitions at most, and adaptive execution merges them by
+    compressed bytes and cores; with nearly unique keys a task's hash map or sort would then grow with the table.
+    Groupings and joins on ``keys`` that follow need no other exchange.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, math.ceil(rows / ROWS_PER_TASK)), *keys)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the scratch files behind a table of :func:`materialise` that nothing reads any more."""
     folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}

@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 
 import pytest
+from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 from peerscore import session
+from peerscore.catalog import match_queries
 
 
 def test_recorded_scratch_can_be_removed(spark, rows):
@@ -45,3 +48,14 @@ def test_a_cluster_needs_the_setting(spark, monkeypatch):
         session.scratch_root(Session())
     Context.master = "local[2]"
     assert session.scratch_root(Session()) == session.scratch_root(Session())
+
+
+def _largest_task(df):
+    return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+
+@pytest.mark.parametrize("build", [match_queries.composite_lookup])
+def test_rows_of_a_task_do_not_grow_with_the_table(spark, monkeypatch, build):
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 500, raising=False)
+    out = build(spark, SF_SMALL)
+    assert _largest_task(out) < out.count() / 5  # 6,000 lines in twelve partitions; the session has four
