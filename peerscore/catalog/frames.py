@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.reference import INDEX_LEVEL, PERCENT_PER_DAY, PERCENT_PER_MONTH
 from ..operators.score import Eligibility, MetricSpec, ScoringConfig
+from ..session import spread
 
 AS_OF = date(2001, 10, 31)
 ANCHORS = (date(1999, 12, 31), date(2000, 12, 31))
@@ -62,13 +63,16 @@ def padded(c: Column) -> Column:
 def quotas(spark: SparkSession, sf: str) -> DataFrame:
     """Daily series per supplier with the canonical series columns.
 
-    Grouped by supplier and day, so a supplier with a third of all lines is
-    pre-aggregated on the map side and ends as one row per day.
+    Lines are exchanged once, by supplier and day, so a supplier with a third
+    of all lines is spread over its days.  Nearly every line is a day or an
+    order of its own: counting the orders in steps on the map side would hold
+    all lines of a task, twice, and save nothing.
     """
-    price = F.col("l_extendedprice")
+    price, lines = F.col("l_extendedprice"), table(spark, sf, "lineitem")
+    dated = lines.withColumn("dt_comptc", F.col("l_shipdate").cast("date"))
     daily = (
-        table(spark, sf, "lineitem")
-        .groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("dt_comptc"))
+        spread(dated, ["l_suppkey", "dt_comptc"], lines.count())
+        .groupBy("l_suppkey", "dt_comptc")
         .agg(
             F.avg(price / F.col("l_quantity")).alias("vl_quota"),
             F.sum(price).alias("vl_patrim_liq"),

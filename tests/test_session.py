@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from peerscore import session
-from peerscore.catalog import match_queries
+from peerscore.catalog import frames, match_queries
 
 
 def test_recorded_scratch_can_be_removed(spark, rows):
@@ -54,7 +54,7 @@ def _largest_task(df):
     return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
 
 
-@pytest.mark.parametrize("build", [match_queries.composite_lookup])
+@pytest.mark.parametrize("build", [match_queries.composite_lookup, frames.quotas])
 def test_rows_of_a_task_do_not_grow_with_the_table(spark, monkeypatch, build):
     monkeypatch.setattr(session, "ROWS_PER_TASK", 500, raising=False)
     out = build(spark, SF_SMALL)
