@@ -49,6 +49,12 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 _LAST_STAGE: dict[str, list[str]] = {}
 
 
+#: Rows that pass between Spark and Python at once, if the session says nothing else.  Both sides hold the texts of a batch,
+#: in memory outside the heap that is kept for later batches; of Spark's own 10,000 rows those are some 20 MB each time.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def tidy(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
     """A stage that first deletes the scratch tables of the one before it.
 
@@ -62,6 +68,9 @@ def tidy(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable
         suffix.forget(spark, made)
         remove(spark, made)
         made = _LAST_STAGE[app] = []
+        # For the session, as what a stage returns is computed after it.
+        if _BATCH not in spark.conf.getAll:
+            spark.conf.set(_BATCH, BATCH_ROWS)
         with recorded_scratch(made):
             return stage(spark, docs, sf_dir)
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, worker_cache
+from .common import gives_back, materialise, worker_cache
 
 SEQUENCE = 2048
 #: Id that ends a document.
@@ -163,7 +163,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = SEQUENCE, e
                 ["doc_id", "piece", "start", "length", "ids_crc32"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(gives_back(cut, keeps=True), PIECES)
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

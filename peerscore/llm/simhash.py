@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import gives_back, materialise
 from .components import components
 
 SHINGLE = 3
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             found = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found)], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(gives_back(run), "doc_id long, fp long")
 
 
 def _distance(points: np.ndarray, vantage: np.uint64) -> np.ndarray:
@@ -215,7 +215,7 @@ def links(distinct: DataFrame, reach: int = REACH, sample: int = SAMPLE, leaf: i
         pairs = points[np.array(found, dtype=np.int64).reshape(-1, 2)].view(np.int64)
         return pd.DataFrame({"u": pairs[:, 0], "v": pairs[:, 1]})
 
-    dealt = distinct.select("fp").mapInArrow(deal, "leaf int, fp long, own boolean")
+    dealt = distinct.select("fp").mapInArrow(gives_back(deal), "leaf int, fp long, own boolean")
     return dealt.groupBy("leaf").applyInPandas(meet, "u long, v long")
 
 
@@ -263,7 +263,7 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, reach: int = REACH) ->
             yield pa.RecordBatch.from_arrays([batch["row"], batch["doc_id"], pa.array(found.view(np.int64))], ["row", "doc_id", "fp"])
 
     schema = rows.select("row", "doc_id").schema.add("fp", "long")
-    marked = materialise(rows.mapInArrow(run, schema).withColumn("uid", F.monotonically_increasing_id()), "simhash-documents")
+    marked = materialise(rows.mapInArrow(gives_back(run), schema).withColumn("uid", F.monotonically_increasing_id()), "simhash-documents")
     light = marked.select("uid", "doc_id", "fp")
     labelled = light.join(component_of(light, reach).select("fp", "label"), "fp")
     kept = labelled.groupBy("label").agg(F.min_by("uid", F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("uid"))

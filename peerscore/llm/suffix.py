@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop_worker_caches, materialise, scratch_path
+from .common import give_back, gives_back, materialise, scratch_path
 
 WINDOW = 50
 GRAM = 24
@@ -178,7 +178,6 @@ def chunked(docs: DataFrame, size: int = CHUNK, carried: Column | None = None) -
     carries = carried is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drop_worker_caches()
         number = TaskContext.get().partitionId() << 32
         ids: list[int | None] = []
         texts: list[bytes] = []
@@ -223,7 +222,7 @@ def chunked(docs: DataFrame, size: int = CHUNK, carried: Column | None = None) -
 
     with_doc = F.lit(None).cast("boolean") if carried is None else carried
     chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), with_doc.alias("carried"))
-    return chosen.mapInArrow(run, CHUNKS)
+    return chosen.mapInArrow(gives_back(run), CHUNKS)
 
 
 CHUNK_NAMES = [c.split()[0] for c in CHUNKS.split(", ")]
@@ -356,10 +355,12 @@ def repeated_anchors(chunks: DataFrame, ranges: int, hot: int) -> DataFrame:
             (chunk, rows["range"].iloc[0], np.packbits(n[a:b] > 1).tobytes(), np.packbits(n[a:b] >= hot).tobytes())
             for chunk, a, b in zip(rows["chunk"], cuts[:-1], cuts[1:])
         ]
+        del parts, at, n
+        give_back()
         return pd.DataFrame(marks, columns=["chunk", "range", "shared", "hot"])
 
     return (
-        chunks.mapInArrow(emit, "range int, chunk long, hashes binary")
+        chunks.mapInArrow(gives_back(emit), "range int, chunk long, hashes binary")
         .groupBy("range")
         .applyInPandas(count, "chunk long, range int, shared binary, hot binary")
         .groupBy("chunk")
@@ -643,10 +644,11 @@ def _answered(docs: DataFrame, hot: int, per_range: int, chunk_size: int, carrie
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
         r = rows["range"].iloc[0]
         found = answer(rows.sort_values("chunk").to_dict("records"))
+        give_back()
         return pd.DataFrame([(c, r, *x) for c, *x in found], columns=["chunk", "range", "n", "runs"])
 
     answers = materialise(
-        marked.mapInArrow(emit, "range int, chunk long, n int, segments binary")
+        marked.mapInArrow(gives_back(emit), "range int, chunk long, n int, segments binary")
         .groupBy("range")
         .applyInPandas(meet, "chunk long, range int, n int, runs binary")
         .groupBy("chunk")
@@ -679,7 +681,7 @@ def _finished(docs: DataFrame, carried: Column | None, hot: int, per_range: int,
                 columns.append(_read(row["carried"]))
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return known.mapInArrow(finish, schema)
+    return known.mapInArrow(gives_back(finish), schema)
 
 
 def remove_repeats(docs: DataFrame, hot: int = HOT, per_range: int = PER_RANGE, chunk_size: int = CHUNK) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_worker_caches, materialise
+from .common import gives_back, materialise
 
 #: Labelled rows the chain is trained on, at most: the first by hash of doc_id.
 TRAINING_ROWS = 20_000
@@ -182,7 +182,6 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> Cha
     """The chain for :data:`CATEGORIES`; only labelled toxic texts count for a kind of toxicity."""
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drop_worker_caches()
         for batch in batches:
             words = [words_of(t) for t in batch["text"].to_pylist()]
             columns = [batch["doc_id"], pa.array([sorted(features_of(w)) for w in words], pa.list_(pa.string()))]
@@ -191,7 +190,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> Cha
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "features", "key", "toxic", "insult", "contempt"])
 
     kinds = "doc_id long, features array<string>, key string, toxic int, insult boolean, contempt boolean"
-    every = materialise(training_rows(docs, labels, limit).mapInArrow(featured, kinds), "toxicity-training")
+    every = materialise(training_rows(docs, labels, limit).mapInArrow(gives_back(featured), kinds), "toxicity-training")
     # Of near copies one counts, lest the words of a text that was copied often look like signs of its label.
     first = every.groupBy("key").agg(F.min(F.struct("doc_id", "toxic")).alias("first")).select("key", "first.*").distinct()
     rows = materialise(every.join(first, ["key", "doc_id", "toxic"]).dropDuplicates(["key"]), "toxicity-rows")
@@ -205,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> Cha
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "insult", "contempt", "found"])
 
     # The places of the features in each training row; both numbers are bounded.
-    small = rows.mapInArrow(coded, "doc_id long, toxic int, insult boolean, contempt boolean, found array<int>")
+    small = rows.mapInArrow(gives_back(coded), "doc_id long, toxic int, insult boolean, contempt boolean, found array<int>")
     held = small.orderBy("doc_id", "toxic").limit(limit).toPandas()
     x = np.zeros((len(held), len(place)))
     for row, found in enumerate(held["found"]):
@@ -237,7 +236,7 @@ def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFr
     text = "_text"
     while text in docs.columns:
         text += "_"
-    return plain.withColumn(text, F.col("text").cast("string")).mapInArrow(run, schema.add("is_toxic", "boolean"))
+    return plain.withColumn(text, F.col("text").cast("string")).mapInArrow(gives_back(run), schema.add("is_toxic", "boolean"))
 
 
 def without_toxic(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:
@@ -245,11 +244,10 @@ def without_toxic(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drop_worker_caches()
         for batch in batches:
             yield batch.filter(pa.array(chain.probabilities(batch.column(at).to_pylist())[:, -1] < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(gives_back(run), docs.schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS, threshold: float = THRESHOLD) -> DataFrame:
