@@ -13,8 +13,14 @@ _DECIMAL = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)$"
 _INTEGER = r"^[+-]?\d+$"
 
 
+# Forms that most values have.  They are told at once, without the back-tracking of the general patterns; possessive, so
+# that other values fail fast.  For them a cast gives what the general way does.
+_PLAIN = r"^-?\d++(?:\.\d++)?+$"
+_PLAIN_DATE = r"^(?!0000)\d{4}-\d\d?-\d\d?\z"
+
+
 def to_double(c: Column) -> Column:
-    return F.when(c.rlike(_DECIMAL), c.try_cast("double"))
+    return F.when(c.rlike(_PLAIN) | c.rlike(_DECIMAL), c.try_cast("double"))
 
 
 def to_long(c: Column) -> Column:
@@ -23,7 +29,7 @@ def to_long(c: Column) -> Column:
 
 
 def iso_date(c: Column) -> Column:
-    return F.try_to_date(c, "yyyy-M-d")
+    return F.when(c.rlike(_PLAIN_DATE), c.try_cast("date")).otherwise(F.try_to_date(c, "yyyy-M-d"))
 
 
 def dmy_date(c: Column) -> Column:

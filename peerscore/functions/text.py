@@ -61,7 +61,7 @@ def _ranges(chars: str) -> str:
 
 
 def digits_only(c: Column) -> Column:
-    return F.regexp_replace(c, r"[^\p{Nd}]", "")
+    return F.regexp_replace(c, r"[^\p{Nd}]+", "")
 
 
 def clean_id(c: Column, width: int = ID_WIDTH) -> Column:

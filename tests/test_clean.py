@@ -208,3 +208,19 @@ def test_every_code_point_decomposes(spark):
     for i, block in enumerate(blocks):
         want = "".join(c for ch in block for c in unicodedata.normalize("NFKD", ch) if not 0x300 <= ord(c) < 0x370)
         assert got[i] == want, hex(ord(block[0]))
+
+
+def test_common_forms_parse_as_the_general_way(rows):
+    days = ["2021-01-05", "2021-1-5", "2021-02-30", "2020-02-29", "1500-02-29", "0000-01-01", "0001-01-01", "9999-12-31", "2021-13-01", "2021-10-00"]
+    days += [" 2021-01-05", "2021-01-05 ", "2021-01-05\n", "2021-01-05T00", "+2021-01-05", "12021-01-05", "202-01-05", "2021-001-05", "", "n/d", "٢٠٢١-01-05", None]
+    df = rows("v string", *[(d,) for d in days]).select("v", casts.iso_date(F.col("v")).cast("string").alias("got"), F.try_to_date("v", "yyyy-M-d").cast("string").alias("want"))
+    assert [r.v for r in df.collect() if r.got != r.want] == []
+    numbers = ["7", "-7", "+7", "7.", ".5", "-7.25", "--7", "7.2.5", "7 ", "7d", "1e3", "0012.50", "1" * 400, "NaN", "-inf", "", None]
+    general = F.when(F.col("v").rlike(casts._DECIMAL), F.col("v").try_cast("double"))
+    df = rows("v string", *[(n,) for n in numbers]).select("v", casts.to_double(F.col("v")).alias("got"), general.alias("want"))
+    assert [r.v for r in df.collect() if str(r.got) != str(r.want)] == []
+
+
+def test_ids_of_many_other_characters(rows):
+    df = rows("v string", ("00.CN-/7--",), ("-- ",), ("٢ x",), (None,)).select(text.clean_id(F.col("v")).alias("id"))
+    assert [r.id for r in df.collect()] == ["0" * 13 + "7", "0" * 14, "0" * 13 + "٢", None]
