@@ -10,12 +10,14 @@ longer helps.  A block never holds more than about ``block`` items.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +33,18 @@ SLACK = 8
 #: Bytes of words and ids (with about 170 more for an entry) in a generation of a worker's cache, which has two.
 CACHE_BYTES = 80 << 20
 _ENTRY_BYTES = 170
+#: Bytes of text whose distinct words are looked up together.
+TEXT_BYTES = 8 << 20
+#: Pieces encoded as one text.
+_TOGETHER = 256
 #: What the last token of every piece of a word ends with.
 _WORD_END = "</w>"
-#: Marks that are a piece by themselves behind a word's letters, and those of which a run is one on either side.
-_MARKS = frozenset(b".,;:!?)")
-_AROUND = b".,;:!?()[]{}<>\"*#$%&+-=/@\\^_`|~"
+#: Letters that neither normal form nor lower case changes, whatever letters and marks stand beside them: Latin, Greek,
+#: Cyrillic, Hebrew, Arabic, kana, Han and Hangul.
+_LETTERS = "a-zß-öø-ÿα-ωа-џא-תء-غف-يぁ-ゖァ-ヺ一-龥가-힣"
+#: What the tokenizer makes a piece of words that hold only these letters, digits and marks: no apostrophe, which can begin
+#: a piece of its own, and no bar, which special tokens have.
+_PIECES_OF_WORD = re.compile(f"[{_LETTERS}]+|[0-9]|[!-&(-/:-@\\[-`{{}}~]+").findall
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -46,21 +55,8 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _pieces_of(word: bytes) -> int:
-    """How many pieces the tokenizer makes of a word before it merges: known for letters with marks around them, and digits.
-
-    Lower-casing can only add pieces to that, so a sum of pieces that comes out right is right for every word.
-    """
-    if word.isdigit():
-        return len(word)
-    core = word.lstrip(_AROUND)
-    before, behind = len(core) < len(word), len(core)
-    core = core.rstrip(_AROUND)
-    return before + 1 + (len(core) < behind) if core.decode().isalpha() else 0
-
-
 class WordIds:
-    """Token ids of words, as bytes: two generations of bounded size, so that words in use outlive the others."""
+    """Token ids of words and of their pieces, as bytes: two generations of bounded size, so that those in use outlive the others."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -70,56 +66,60 @@ class WordIds:
         self.encode = tokenizer.encode_batch_fast
         self.ends = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
         self.ends[[i for token, i in tokenizer.get_vocab().items() if token.endswith(_WORD_END)]] = True
-        self.marks = {m: self._one_by_one([bytes([m])])[bytes([m])] for m in _MARKS}
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.held = 0
 
-    def _one_by_one(self, words: list[bytes]) -> dict[bytes, bytes]:
-        found = self.encode([w.decode() for w in words], add_special_tokens=False)
+    def _one_by_one(self, words: list[str]) -> dict[str, bytes]:
+        found = self.encode(words, add_special_tokens=False)
         return {w: np.array(f.ids, dtype="<u4").tobytes() for w, f in zip(words, found)}
 
-    def _together(self, words: list[bytes], pieces: list[int]) -> dict[bytes, bytes]:
-        """Words whose pieces are known, encoded as one text and cut where pieces end."""
-        ids = np.array(self.encode([b" ".join(words).decode()], add_special_tokens=False)[0].ids, dtype="<u4")
+    def _together(self, pieces: list[str]) -> dict[str, bytes]:
+        """Words of one piece each, encoded as one text and cut where pieces end."""
+        ids = np.array(self.encode([" ".join(pieces)], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1
-        last = np.cumsum(pieces)
-        if len(ends) != last[-1]:
-            return self._one_by_one(words)
-        packed, stops = ids.tobytes(), (4 * ends[last - 1]).tolist()
-        return {w: packed[a:b] for w, a, b in zip(words, [0, *stops], stops)}
-
-    def _known(self, word: bytes) -> bytes | None:
-        """Ids of a word that the young generation lacks, from the old one or from those of its letters."""
-        if (ids := self.old.get(word)) is not None:
-            return ids
-        if word[-1] in _MARKS and (ids := self.young.get(word[:-1])) is not None and word[:-1].decode().isalpha():
-            return ids + self.marks[word[-1]]
-        return None
+        if len(ends) != len(pieces):
+            return self._one_by_one(pieces)
+        packed, stops = ids.tobytes(), (4 * ends).tolist()
+        return {p: packed[a:b] for p, a, b in zip(pieces, [0, *stops], stops)}
 
-    def of(self, words: list[bytes]) -> bytes:
+    def each(self, words: list[str]) -> list[bytes]:
+        """Ids of every word.  Of words with known pieces only the pieces are held and encoded."""
         if self.held > CACHE_BYTES:
             self.old, self.young, self.held = self.young, {}, 0
-        each = list(map(self.young.get, words))
-        if None not in each:
-            return b"".join(each)
-        found: dict[bytes, bytes] = {}
-        plain, pieces, others = [], [], []
-        for word in {w for w, ids in zip(words, each) if ids is None}:
-            if (ids := self._known(word)) is not None:
-                found[word] = ids
-            elif n := _pieces_of(word):
-                plain.append(word)
-                pieces.append(n)
-            else:
-                others.append(word)
-        if plain:
-            found |= self._together(plain, pieces)
-        if others:
-            found |= self._one_by_one(others)
+        out = list(map(self.young.get, words))
+        # Flat lists: many small ones would keep the garbage collector busy.
+        missing = [n for n, ids in enumerate(out) if ids is None]
+        parts: list[str] = []
+        counts: list[int] = []
+        others: set[str] = set()
+        for n in missing:
+            word = words[n]
+            part = _PIECES_OF_WORD(word)
+            if "".join(part) != word:
+                part = [word]
+                others.add(word)
+            parts += part
+            counts.append(len(part))
+        new = [p for p in set(parts) if p not in self.young]
+        found = {p: self.old[p] for p in new if p in self.old}
+        pieces = [p for p in new if p not in found and p not in others]
+        for at in range(0, len(pieces), _TOGETHER):
+            found |= self._together(pieces[at : at + _TOGETHER])
+        if rest := [w for w in others if w not in found]:
+            found |= self._one_by_one(rest)
         self.young.update(found)
         self.held += sum(map(len, found)) + sum(map(len, found.values())) + _ENTRY_BYTES * len(found)
-        return b"".join([found[w] if ids is None else ids for w, ids in zip(words, each)])
+        ids_of = list(map(self.young.get, parts))
+        at = 0
+        for n, count in zip(missing, counts):
+            out[n] = ids_of[at] if count == 1 else b"".join(ids_of[at : at + count])
+            at += count
+        return out
+
+    def of(self, words: list[bytes]) -> bytes:
+        """Ids of the words one after the other."""
+        return b"".join(self.each([w.decode() for w in words]))
 
 
 #: One for each tokenizer file, kept from task to task of one worker until another operator's task begins there.
@@ -132,6 +132,27 @@ def word_ids(path: str) -> WordIds:
     return _WORD_IDS[path]
 
 
+def _in_blocks(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """Runs of ``texts``, of about ``TEXT_BYTES`` or a single text, with the place where each begins."""
+    block = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64) // TEXT_BYTES
+    starts = [*np.flatnonzero(np.diff(block, prepend=-1)).tolist(), len(texts)]
+    for at, stop in zip(starts, starts[1:]):
+        yield at, texts.slice(at, stop - at)
+
+
+def _ids_of_texts(texts: pa.Array, ids: WordIds) -> Iterator[bytes]:
+    """Ids of each text: its words' ids, where each distinct word is looked up once for all texts."""
+    # The tokenizer lowers words, but not the names of its special tokens.
+    words = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
+    coded = words.flatten().dictionary_encode()
+    distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    packed = pa.array(ids.each(distinct), pa.large_binary()).take(coded.indices)
+    _, offsets, data = packed.buffers()
+    ends = np.frombuffer(offsets, np.int64)[np.cumsum(pc.list_value_length(words).to_numpy(), dtype=np.int64)].tolist()
+    data = memoryview(data or b"")
+    return (bytes(data[a:b]) for a, b in zip([0, *ends], ends))
+
+
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = SEQUENCE, end: int = END) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)``: every document cut into pieces of at most ``capacity`` ids.
 
@@ -149,14 +170,13 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = SEQUENCE, e
         step = 4 * capacity
         for batch in batches:
             out: list[tuple] = []
-            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist()):
-                text = text or b""
-                # The tokenizer lowers words, but not the names of its special tokens.
-                words = text.split() if b"<|" in text else text.lower().split()
-                packed = ids.of(words) + tail
-                for n, at in enumerate(range(0, len(packed), step)):
-                    part = packed[at : at + step]
-                    out.append((doc, n, at // 4, len(part) // 4, zlib.crc32(part)))
+            doc_ids = batch["doc_id"].to_pylist()
+            for first, texts in _in_blocks(batch["text"].fill_null("")):
+                for doc, packed in zip(doc_ids[first : first + len(texts)], _ids_of_texts(texts, ids)):
+                    packed += tail
+                    for n, at in enumerate(range(0, len(packed), step)):
+                        part = packed[at : at + step]
+                        out.append((doc, n, at // 4, len(part) // 4, zlib.crc32(part)))
             columns = list(zip(*out)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],

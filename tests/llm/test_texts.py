@@ -5,12 +5,14 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter
 from html.parser import HTMLParser
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,6 +86,48 @@ def test_ids_of_words_with_a_small_cache(monkeypatch):
         assert ids.held <= 40_000 + 200 * 60
 
 
+def test_ids_of_texts_in_blocks(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "TEXT_BYTES", 2_000)
+    model, ids = Tokenizer.from_file(packing.tokenizer_path()), packing.WordIds(packing.tokenizer_path())
+    rng = random.Random(6)
+    letters = [c for a, b in re.findall("(.)-(.)", packing._LETTERS) for c in map(chr, range(ord(a), ord(b) + 1))]
+    assert all(c.isalpha() and c == c.lower() == unicodedata.normalize("NFC", c) for c in letters)
+    odd = "'|<>\u0307\u0301\u0338\u093f\u3099\u200d\u0640\x85\xa0\x1c\x00²½٣µªİẞΣǅ，"
+    words = ["".join(rng.sample(letters, rng.randint(1, 4))) for _ in range(3000)] + ["".join(rng.choices("abzéя中7.,!-_%#&\"" + odd, k=rng.randint(1, 5))) for _ in range(3000)]
+    words += [w + m for w in ("TEXTİ", "x<|endoftext|>", "don't", "'s's", "a1b22", "été") for m in ("", ".", "%%%", "..!", "'")]
+    texts = ["", " ", " \t\x0b\n", "".join(letters), "very long " * 900] + [" ".join(rng.choices(words, k=rng.randint(1, 80))) + rng.choice(["", " ", "\n\x0c"]) for _ in range(300)]
+    rng.shuffle(texts)
+    got = [np.frombuffer(b, "<u4").tolist() for _, block in packing._in_blocks(pa.array(texts)) for b in packing._ids_of_texts(block, ids)]
+    assert got == [model.encode(t, add_special_tokens=False).ids for t in texts]
+    blocks = list(packing._in_blocks(pa.array(texts)))
+    assert len(blocks) > 5 and [at for at, _ in blocks] == np.cumsum([0] + [len(b) for _, b in blocks])[:-1].tolist()
+    assert list(packing._in_blocks(pa.array([], pa.string()))) == []
+
+
+def test_a_mark_behind_a_letter_that_ends_in_a_mark_once_lowered():
+    from tokenizers import Tokenizer
+
+    model, ids = Tokenizer.from_file(packing.tokenizer_path()), packing.WordIds(packing.tokenizer_path())
+    for word in ("abİ", "abİ."):
+        assert np.frombuffer(ids.of([word.encode()]), "<u4").tolist() == model.encode(word, add_special_tokens=False).ids
+
+
+def test_a_word_is_encoded_once_whatever_marks_and_texts_it_stands_in():
+    ids = packing.WordIds(packing.tokenizer_path())
+    seen, encode = [], ids.encode
+
+    def noted(texts, **how):
+        seen.extend(w for t in texts for w in t.split())
+        return encode(texts, **how)
+
+    ids.encode = noted
+    for text in ("one two", "one, two!", "(one) two%%%", "one,two"):
+        ids.of(text.encode().split())
+    assert sorted(seen) == sorted(["one", "two", ",", "!", "(", ")", "%%%"])
+
+
 def test_best_fit_takes_the_fullest_bin():
     bins, offsets, fills = packing.best_fit(np.array([6, 5, 4, 3, 2]), 10)
     assert bins.tolist() == [0, 1, 0, 1, 1] and offsets.tolist() == [0, 0, 6, 5, 8] and fills.tolist() == [10, 10]
