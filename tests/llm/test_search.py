@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import bench
 from peerscore.llm import ann, hamming
 
 SCHEMA = "vec_id long, embedding array<float>, label int, rank string, vector string, ids string"
@@ -114,3 +115,59 @@ def test_hamming_search_is_exact(spark, dims):
         own = codes[ids.index(q)]
         want = sorted((int((own != c).sum()), i) for i, c in zip(ids, codes) if i != q)[:10]
         assert found == want
+
+
+def test_hamming_search_exchanges_no_candidates(spark):
+    """Look-ups and candidates stay in their task: what is exchanged follows the input, not the pairs compared."""
+    n = 3000
+    points = np.random.default_rng(4).standard_normal((n, 64)).astype(np.float32)
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<float>")
+    before = bench.totals(spark)[1]
+    assert len(hamming.search(df).collect()) == 10 * n // 50
+    assert bench.totals(spark)[1] - before < points.nbytes
+
+
+def test_hamming_search_splits_large_parts(spark, monkeypatch):
+    """Codes that share all first bits are dealt on by a hash."""
+    rng = np.random.default_rng(6)
+    points = rng.standard_normal((400, 70))
+    points[100:, :40] = np.abs(points[100:, :40])
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+    whole = sorted(map(tuple, hamming.search(df).collect()))
+    monkeypatch.setattr(hamming, "PART_WORDS", 120)
+    assert sorted(map(tuple, hamming.search(df).collect())) == whole
+    bits = points > 0
+    for q in range(0, 400, 50):
+        want = sorted((int((bits[q] != c).sum()), i) for i, c in enumerate(bits) if i != q)[:10]
+        assert [(d, i) for query, _, i, d in whole if query == q] == want
+
+
+@pytest.mark.parametrize(("dims", "candidates", "flat"), [(20, 2**18, 0), (20, 40, 0), (70, 2**18, 350), (70, 40, 350), (130, 100, 0)])
+def test_a_part_loses_no_near_code(monkeypatch, dims, candidates, flat):
+    """With bounds or none, in slices of any size, and where many codes share a value."""
+    monkeypatch.setattr(hamming, "CANDIDATES", candidates)
+    rng = np.random.default_rng(dims + candidates)
+    bits = rng.random((500, dims)) < 0.5
+    cut = hamming.segments(dims, len(bits))
+    width = cut[0][1]
+    bits[:flat, : width - 2] = False
+    bits[:, width - 2 : width] = True
+    words = -(-dims // 64)
+    packed = np.zeros((len(bits), 64 * words), dtype=bool)
+    packed[:, :dims] = bits
+    codes, order = np.unique(np.packbits(packed, axis=1, bitorder="little").view("<u8"), axis=0, return_index=True)
+    bits, want = bits[order], 7
+    ids, copies = rng.permutation(len(codes)), rng.integers(1, 4, len(codes))
+    part = hamming.Part(codes, ids, copies, *cut[0], 2, 0, len(cut))
+    far = (bits[:20, None] != bits[None]).sum(axis=2)
+    own = (bits[:20, None, :width] != bits[None, :, :width]).sum(axis=2)
+    for bound in (dims, dims // 4):
+        query, code, distance = part.nearest(codes[:20], np.full(20, bound), want, dims)
+        found = set(zip(query.tolist(), [tuple(c) for c in part.codes[code].tolist()], distance.tolist()))
+        assert len(found) == len(query)
+        for q in range(20):
+            rows = sorted((far[q, c], ids[c], c) for c in range(len(codes)) if far[q, c] <= bound)
+            for at, (d, _, c) in enumerate(rows):
+                before = sum(copies[o] for e, _, o in rows if e < d) + sum(e == d for e, _, _ in rows[:at])
+                if before < want and own[q, c] <= d // len(cut):
+                    assert (q, tuple(codes[c].tolist()), d) in found
